@@ -20,22 +20,39 @@ from tillcast.functions.values import total
 Window = list[Column]
 
 
+class Cells(list):
+    """A window whose mean, variance and sorted values are columns already, since many features use them."""
+
+    def __init__(self, values: Window, mean: Column, variance: Column, ordered: Column):
+        super().__init__(values)
+        self.mean, self.variance, self.ordered = mean, variance, ordered
+
+
 def dot(x: Window, weights: list[float]) -> Column:
     terms = [v * F.lit(float(w)) for v, w in zip(x, weights) if w]
     return total(terms) if terms else x[0] * 0.0
 
 
 def _mean(x: Window) -> Column:
-    return total(x) / len(x)
+    return x.mean if isinstance(x, Cells) else total(x) / len(x)
 
 
 def _variance(x: Window) -> Column:
+    if isinstance(x, Cells):
+        return x.variance
     mean = _mean(x)
     return total([(v - mean) * (v - mean) for v in x]) / len(x)
 
 
 def _sorted(x: Window) -> Column:
-    return F.array_sort(F.array(*x))
+    return x.ordered if isinstance(x, Cells) else F.sort_array(F.array(*x))
+
+
+def shared_columns(x: Window, suffix: str, mean: Column | None = None) -> dict[str, Column]:
+    """The columns of ``Cells``; the variance is made from the mean's column once that exists."""
+    if mean is None:
+        return {f"_mean_{suffix}": total(x) / len(x), f"_sorted_{suffix}": _sorted(x)}
+    return {f"_var_{suffix}": total([(v - mean) * (v - mean) for v in x]) / len(x)}
 
 
 def _quantile(x: Window, q: float) -> Column:

@@ -41,6 +41,10 @@ def frame_rows(weight: float) -> int | None:
     return rows if rows <= _LONGEST_FRAME else None
 
 
+def _carry(weight: float):
+    return lambda level, cost: level * F.lit(weight) + cost
+
+
 def _carried(spec: AdstockSpec) -> Column | None:
     """The recursion as a fold over a bounded frame, by channel; None if some weight needs the whole series."""
     w = W.partitionBy(*spec.keys, "channel").orderBy("date")
@@ -53,7 +57,7 @@ def _carried(spec: AdstockSpec) -> Column | None:
         if rows is None:
             return None
         spends = F.collect_list("cost").over(w.rowsBetween(-rows, 0))
-        folded = F.aggregate(spends, F.lit(0.0), lambda a, x, weight=weight: a * F.lit(weight) + x)
+        folded = F.aggregate(spends, F.lit(0.0), _carry(weight))
         of_these = F.col("channel").isin(names)
         value = F.when(of_these, folded) if value is None else value.when(of_these, folded)
     return value

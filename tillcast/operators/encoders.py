@@ -45,43 +45,31 @@ def fit_one_hot(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def one_hot_categories(params: DataFrame) -> dict[str, list[str]]:
-    """All categories over the folds, by column: they name the output columns."""
-    values = params.select("column", F.explode("categories").alias("value")).distinct().limit(MAX_CATEGORIES + 1).collect()
-    if len(values) > MAX_CATEGORIES:
+def one_hot_categories(params: DataFrame) -> dict[tuple[str, str], list[int]]:
+    """The folds that give ``(column, value)`` an output column: those where it is not the first category."""
+    n = params.agg(F.max(F.size("categories"))).first()[0] or 0
+    if n > MAX_CATEGORIES:
         raise ValueError(f"more than {MAX_CATEGORIES} categories to one-hot encode")
-    found: dict[str, list[str]] = {}
-    for column, value in sorted((r["column"], r["value"]) for r in values):
-        found.setdefault(column, []).append(value)
-    return found
+    found: dict[tuple[str, str], list[int]] = {}
+    for row in params.collect():
+        for value in row["categories"][1:]:
+            found.setdefault((row["column"], value), []).append(row["fold"])
+    return {k: found[k] for k in sorted(found)}
 
 
-def one_hot_encode(df: DataFrame, params: DataFrame, categories: dict[str, list[str]] | None = None) -> DataFrame:
+def one_hot_encode(df: DataFrame, params: DataFrame) -> DataFrame:
     """``{column}_{value}`` as 0/1 without the first category of the fold; the source column is dropped.
 
-    A column that a fold does not fit (its dropped first category, or one it never saw) is 0 there.
+    The categories become part of the projection, so no join is needed. A category that a fold's training
+    rows did not show is 0 there.
     """
-    categories = categories or one_hot_categories(params)
-    wide = params.groupBy("fold").agg(
-        *[F.max(F.when(F.col("column") == c, F.col("categories"))).alias(f"_cat_{c}") for c in categories]
-    )
-    joined = df.join(wide, "fold", "left")
-    made = {}
-    for c, values in categories.items():
-        fitted = F.slice(F.col(f"_cat_{c}"), 2, MAX_CATEGORIES)
-        for v in values:
-            hit = (F.col(c) == v) & F.array_contains(fitted, v)
-            made[f"{c}_{v}"] = F.when(hit, 1.0).otherwise(0.0)
-    # A category that is the dropped first one in every fold carries no column.
-    never = _always_first(params, categories)
-    keep = {n: e for n, e in made.items() if n not in never}
-    return joined.withColumns(keep).drop(*[f"_cat_{c}" for c in categories], *categories)
-
-
-def _always_first(params: DataFrame, categories: dict[str, list[str]]) -> set[str]:
-    later = params.select("column", F.explode(F.slice("categories", 2, MAX_CATEGORIES)).alias("value")).distinct()
-    kept = {(r["column"], r["value"]) for r in later.collect()}
-    return {f"{c}_{v}" for c, values in categories.items() for v in values if (c, v) not in kept}
+    made = {
+        f"{c}_{value}": F.when((F.col(c) == value) & F.col("fold").isin(folds), 1.0).otherwise(0.0)
+        for (c, value), folds in one_hot_categories(params).items()
+        if c in df.columns
+    }
+    sources = [r["column"] for r in params.select("column").distinct().collect()]
+    return (df.withColumns(made) if made else df).drop(*sources)
 
 
 # --- equal-frequency bins --------------------------------------------------------------------------------

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TEST = ["fold", "outlet", "feature"]
 
@@ -115,7 +116,7 @@ def fisher_p(top1: int, top: int, n1: int, n: int) -> float:
     return float(min(1.0, np.exp(logs[logs <= seen + 1e-7]).sum()))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _p_value(
     values: pd.Series, u: pd.Series, n1: pd.Series, n0: pd.Series, ties: pd.Series, top: pd.Series, top1: pd.Series
 ) -> pd.Series:

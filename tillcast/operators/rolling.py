@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillcast.functions.calculators import Setting, all_settings, feature, feature_name
+from tillcast.functions.calculators import Cells, Setting, all_settings, feature, feature_name, shared_columns
 
 
 @dataclass(frozen=True)
@@ -46,9 +46,15 @@ def rolling_features(
     rows = rows.select(*spec.keys, "date", *[e.cast("double").alias(n) for n, e in cells.items()])
     if complete:
         rows = rows.na.drop("any", subset=list(cells))
+    plain = {c: [F.col(f"_x{i}_{c}") for i in range(spec.days)] for c in spec.columns}
+    for stage_of in (lambda c: None, lambda c: F.col(f"_mean_{c}")):
+        extra = {}
+        for c, x in plain.items():
+            extra |= shared_columns(x, c, stage_of(c))
+        rows = rows.withColumns(extra)
     made = {}
     for name, (c, setting) in wanted.items():
-        x = [F.col(f"_x{i}_{c}") for i in range(spec.days)]
+        x = Cells(plain[c], F.col(f"_mean_{c}"), F.col(f"_var_{c}"), F.col(f"_sorted_{c}"))
         made[name] = feature(x, setting)
     return rows.select(*spec.keys, "date", *[e.alias(n) for n, e in made.items()])
 

@@ -21,7 +21,7 @@ def read_csv(
     df = spark.read.csv(path, schema=schema, header=True, sep=sep, encoding=encoding)
     if date_column:
         df = df.withColumn("date", day(F.col(date_column).cast("string")))
-        if date_column != "date":
+        if date_column.lower() != "date":  # column names are case-insensitive
             df = df.drop(date_column)
     return nan_to_null(df)
 
@@ -39,7 +39,7 @@ def read_partitioned_csv(
     df = df.select("*", F.substring(name, F.lit(1), F.length(name) - len(suffix)).alias("partition_id"))
     if date_column:
         df = df.withColumn("date", day(F.col(date_column).cast("string")))
-        if date_column != "date":
+        if date_column.lower() != "date":  # column names are case-insensitive
             df = df.drop(date_column)
     return nan_to_null(df)
 
