@@ -175,6 +175,25 @@ def block_numbers(spark: SparkSession, sf: str) -> DataFrame:
     return present(lg.block_numbers(r.supplier_daily(spark, sf)))
 
 
+@query(
+    "revenue_lags_and_spend",
+    with_sql(
+        r.SUPPLIER_DAILY,
+        LAGS_SQL,
+        *_COST_TABLES,
+        f"""SELECT outlet, CAST(date AS VARCHAR) AS date, proxyrevenue, {", ".join(f"round({c}, 4) AS {c}" for c in LAG_COLUMNS)},
+  name_counts, round(a_daily_cost, 2) AS a_daily_cost, round(n_daily_cost, 2) AS n_daily_cost, round(r_daily_cost, 2) AS r_daily_cost
+  FROM supplier_daily JOIN lags USING (outlet, date) LEFT JOIN daily_cost USING (date)""",
+    ),
+)
+def revenue_lags_and_spend(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily revenue per outlet with its lags and the marketing spend of the day."""
+    series = r.supplier_daily(spark, sf)
+    spend = stage(camp.campaign_daily_cost(camp.campaign_pivot(r.campaign_costs(spark, sf), r.MODES)), "spend")
+    rows = o.attach_daily(lg.join_lags(series, lg.lag_features(series)), spend)
+    return present(rows, a_daily_cost=2, n_daily_cost=2, r_daily_cost=2)
+
+
 _FOLDS = "folds AS (SELECT s.*, fold, role FROM supplier_daily s JOIN bounds ON date BETWEEN bounds.lo AND bounds.hi)"
 _FOLD_TABLES = (r.SUPPLIER_DAILY, SIMPLE_BOUNDS, _FOLDS)
 
