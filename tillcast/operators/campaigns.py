@@ -103,26 +103,32 @@ def campaign_indicators(campaigns: DataFrame, days: DataFrame, keys: tuple[str,
     range see themselves as their neighbour. ``days`` holds ``keys, date, first, last``.
     """
     valid = campaigns.select(*keys, *CAMPAIGN).where(F.col("start") <= F.col("end"))
-    # Each campaign adds to its own days, and to the previous/next-day counts of the days around it.
-    spread = valid.select(
-        *keys, F.explode(F.sequence(F.date_sub("start", 1), F.date_add("end", 1))).alias("date"), "start", "end"
-    )
-    counts = spread.groupBy(*keys, "date").agg(
-        F.count_if(F.col("date").between(F.col("start"), F.col("end"))).alias("now"),
-        F.count_if(F.date_sub("date", 1).between(F.col("start"), F.col("end"))).alias("prev"),
-        F.count_if(F.date_add("date", 1).between(F.col("start"), F.col("end"))).alias("next"),
-    )
-    edges = _edges(valid, keys).groupBy(*keys, "date").agg(F.max("opens").alias("opens"), F.max("closes").alias("closes"))
     on = [*keys, "date"]
-    full = days.select(*keys, "date", "first", "last").join(counts, on, "left").join(edges, on, "left")
-    full = full.na.fill(0, subset=["now", "prev", "next", "opens", "closes"])
+    # Two rows per campaign, however long it runs; partial sums leave one row per task and edge day.
+    changes = valid.select(
+        *keys,
+        F.inline(
+            F.array(
+                F.struct(F.col("start").alias("date"), F.lit(1).alias("change")),
+                F.struct(F.date_add("end", 1).alias("date"), F.lit(-1).alias("change")),
+            )
+        ),
+    )
+    changes = changes.groupBy(*on).agg(F.sum("change").alias("change"))
+    edges = _edges(valid, keys).groupBy(*on).agg(F.max("opens").alias("opens"), F.max("closes").alias("closes"))
+    full = days.select(*on, "first", "last").join(changes, on, "full").join(edges, on, "left")
+    # One row per calendar day (and series): the running sum of the changes is the number of campaigns.
+    w = W.partitionBy(*keys).orderBy("date") if keys else W.orderBy("date")
+    running = F.sum(F.coalesce("change", F.lit(0))).over(w.rowsBetween(W.unboundedPreceding, 0))
+    full = full.withColumn("now", running)
+    full = full.withColumns({"prev": F.lag("now").over(w), "next": F.lead("now").over(w)})
     is_start = (F.col("date") > F.col("first")) & ((F.col("opens") == 1) | (F.col("now") > F.col("prev")))
     is_end = (F.col("date") < F.col("last")) & ((F.col("closes") == 1) | (F.col("now") > F.col("next")))
-    return full.select(
+    return full.where(F.col("first").isNotNull()).select(
         *on,
         F.col("now").alias("name_counts"),
-        is_start.cast("int").alias("is_name_start"),
-        is_end.cast("int").alias("is_name_end"),
+        F.coalesce(is_start, F.lit(False)).cast("int").alias("is_name_start"),
+        F.coalesce(is_end, F.lit(False)).cast("int").alias("is_name_end"),
     )
 
 

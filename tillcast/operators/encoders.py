@@ -36,20 +36,17 @@ def ordinal_encode(df: DataFrame, orders: dict[str, list[str]]) -> DataFrame:
 
 
 def fit_one_hot(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``fold, column, categories``: the sorted categories seen in training."""
+    """``fold, column, categories``: the sorted categories seen in training, after a check of their number."""
     long = training(df).select("fold", *columns).unpivot(["fold"], columns, "column", "value")
-    return (
-        long.where("value IS NOT NULL")
-        .groupBy("fold", "column")
-        .agg(F.array_sort(F.collect_set("value")).alias("categories"))
-    )
+    values = long.where("value IS NOT NULL").distinct()
+    most = values.groupBy("fold", "column").count().agg(F.max("count")).first()[0] or 0
+    if most > MAX_CATEGORIES:
+        raise ValueError(f"{most} categories are too many to one-hot encode")
+    return values.groupBy("fold", "column").agg(F.array_sort(F.collect_list("value")).alias("categories"))
 
 
 def one_hot_categories(params: DataFrame) -> dict[tuple[str, str], list[int]]:
     """The folds that give ``(column, value)`` an output column: those where it is not the first category."""
-    n = params.agg(F.max(F.size("categories"))).first()[0] or 0
-    if n > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories to one-hot encode")
     found: dict[tuple[str, str], list[int]] = {}
     for row in params.collect():
         for value in row["categories"][1:]:

@@ -1,8 +1,8 @@
 """Which window features tell the target classes apart, fold by fold.
 
 One-vs-rest tests per fold, outlet, feature and class; false discoveries are controlled within a class.
-Values are counted before anything is ranked, so the window that ranks a feature sees one row per distinct
-value of one outlet's training days.
+The wide rows are shuffled once, by fold and outlet; every window and aggregation after that keeps this
+partitioning. A fold and outlet holds at most one row per training day.
 """
 
 from __future__ import annotations
@@ -19,55 +19,50 @@ from pyspark.sql import types as T
 TEST = ["fold", "outlet", "feature"]
 
 
-def _usable(long: DataFrame) -> DataFrame:
-    """Drop features with a NULL, and of features with equal values in an outlet all but the first."""
-    value = F.col("value")
-    marks = long.groupBy(*TEST).agg(
-        F.min("position").alias("position"),
-        F.count_if(value.isNull()).alias("nulls"),
-        F.bit_xor(F.xxhash64("date", "value")).alias("mark"),
-        F.bit_xor(F.xxhash64("value", "date", F.lit("second"))).alias("mark2"),
-    )
-    same = W.partitionBy("fold", "outlet", "mark", "mark2").orderBy("position")
-    keep = marks.withColumn("nth", F.row_number().over(same)).where("nulls = 0 AND nth = 1").select(*TEST)
-    return long.join(keep, TEST, "left_semi")
-
-
 def _labelled(features: DataFrame, labels: list[str]) -> DataFrame:
     """Only the outlets whose training rows show exactly the expected classes."""
-    seen = features.groupBy("fold", "outlet").agg(F.array_sort(F.collect_set("label")).alias("seen"))
+    seen = F.array_sort(F.collect_set("label").over(W.partitionBy("fold", "outlet")))
     expected = F.array(*[F.lit(v) for v in sorted(labels)])
-    return features.join(seen.where(F.col("seen") == expected), ["fold", "outlet"], "left_semi")
+    return features.withColumn("_seen", seen).where(F.col("_seen") == expected).drop("_seen")
 
 
 def rank_statistics(features: DataFrame, names: list[str], labels: list[str]) -> DataFrame:
     """Per fold, outlet, feature and class: group sizes, Mann-Whitney U, tie sum and the 2×2 counts.
 
-    ``features`` holds the training rows: ``fold, outlet, date, label`` and the feature columns.
+    ``features`` holds the training rows: ``fold, outlet, date, label`` and the feature columns. Features
+    with a NULL are left out, and of features with equal values in an outlet all but the first.
     """
-    rows = _labelled(features.where("label IS NOT NULL").na.drop("all", subset=names), labels)
-    long = rows.unpivot(["fold", "outlet", "date", "label"], names, "feature", "value")
-    places = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
-    # -0.0 and 0.0 are one value.
-    long = long.withColumns({"position": places[F.col("feature")], "value": F.col("value") + F.lit(0.0)})
-    of = [f"n{i}" for i in range(len(labels))]
-    counted = (
-        _usable(long)
-        .groupBy(*TEST, "value")
-        .agg(F.count("*").alias("n"), *[F.count_if(F.col("label") == v).alias(c) for v, c in zip(labels, of)])
+    rows = features.where("label IS NOT NULL").na.drop("all", subset=names)
+    rows = _labelled(rows.select("fold", "outlet", "date", "label", *names).repartition("fold", "outlet"), labels)
+    # Exploding an array keeps the partitioning of the rows (unpivot would not). -0.0 and 0.0 are one value.
+    cells = [F.struct(F.lit(n).alias("feature"), (F.col(n) + F.lit(0.0)).alias("value")) for n in names]
+    long = rows.select("fold", "outlet", "date", "label", F.inline(F.array(*cells)))
+    by_value = W.partitionBy(*TEST).orderBy("value")
+    ranked = long.withColumns(
+        {
+            "below": F.rank().over(by_value) - 1,
+            "nth": F.row_number().over(by_value) - 1,
+            "tied": F.count("*").over(W.partitionBy(*TEST, "value")),
+        }
     )
-    below = W.partitionBy(*TEST).orderBy("value").rowsBetween(W.unboundedPreceding, -1)
-    ranked = counted.withColumn("rank", F.coalesce(F.sum("n").over(below), F.lit(0)) + (F.col("n") + 1) / 2)
-    n = F.col("n").cast("double")
+    rank, tied = F.col("below") + (F.col("tied") + 1) / 2, F.col("tied").cast("double")
+    above = F.col("below") > 0
+    of = {f"n{i}": F.col("label") == v for i, v in enumerate(labels)}
     summed = ranked.groupBy(*TEST).agg(
-        F.count("*").alias("values"),
-        F.sum("n").alias("rows"),
-        F.sum(n * n * n - n).alias("ties"),
-        F.max_by("n", "value").alias("top"),
-        *[F.sum(c).alias(c) for c in of],
-        *[F.sum(F.col(c) * F.col("rank")).alias(f"r_{c}") for c in of],
-        *[F.max_by(c, "value").alias(f"t_{c}") for c in of],
+        F.count_if(F.col("value").isNull()).alias("nulls"),
+        F.bit_xor(F.xxhash64("date", "value")).alias("mark"),
+        F.bit_xor(F.xxhash64("value", "date", F.lit("second"))).alias("mark2"),
+        F.count_if(F.col("nth") == F.col("below")).alias("values"),
+        F.count("*").alias("rows"),
+        F.sum(tied * tied - 1).alias("ties"),
+        F.count_if(above).alias("top"),
+        *[F.count_if(own).alias(c) for c, own in of.items()],
+        *[F.sum(F.when(own, rank)).alias(f"r_{c}") for c, own in of.items()],
+        *[F.count_if(own & above).alias(f"t_{c}") for c, own in of.items()],
     )
+    place = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])[F.col("feature")]
+    same = W.partitionBy("fold", "outlet", "mark", "mark2").orderBy(place)
+    kept = summed.where("nulls = 0").withColumn("copy", F.row_number().over(same)).where("copy = 1")
     classes = F.array(
         *[
             F.struct(
@@ -79,7 +74,7 @@ def rank_statistics(features: DataFrame, names: list[str], labels: list[str]) ->
             for v, c in zip(labels, of)
         ]
     )
-    tests = summed.select(*TEST, "values", "rows", "ties", "top", F.inline(classes))
+    tests = kept.select(*TEST, "values", "rows", "ties", "top", F.inline(classes))
     n1 = F.col("n1")
     return tests.select(
         *TEST,

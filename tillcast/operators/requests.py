@@ -34,7 +34,11 @@ LOOKBACK_DAYS = 14
 
 
 def parse_requests(df: DataFrame, body: str = "body") -> DataFrame:
-    """``request_id, request_date`` and the three attribute blocks from JSON text."""
+    """``request_id, request_date`` and the three attribute blocks from JSON text.
+
+    Stage the result before checking it: the checks touch the blocks many times, and a filter on them would
+    repeat the parsing.
+    """
     parsed = F.from_json(body, REQUEST_SCHEMA).alias("_r")
     return df.select("request_id", "request_date", parsed).select("request_id", "request_date", "_r.*")
 

@@ -88,10 +88,10 @@ def date_from_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "propensity_daily_mean",
-    with_sql(r.PROPENSITY_DAILY, "SELECT CAST(date AS VARCHAR) AS date, round(factor, 4) AS factor FROM propensity_daily"),
+    with_sql(r.PROPENSITY_DAILY, "SELECT CAST(date AS VARCHAR) AS date, round(factor, 6) AS factor FROM propensity_daily"),
 )
 def propensity_daily_mean(spark: SparkSession, sf: str) -> DataFrame:
-    return present(d.propensity_daily(r.propensity_raw(spark, sf)))
+    return present(d.propensity_daily(r.propensity_raw(spark, sf)), factor=6)
 
 
 @query(
@@ -210,7 +210,7 @@ def campaign_indicators(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def campaign_indicators_by_outlet(spark: SparkSession, sf: str) -> DataFrame:
-    campaigns = r.campaign_costs(spark, sf).select("outlet", *camp.CAMPAIGN).distinct()
+    campaigns = stage(r.campaign_costs(spark, sf).select("outlet", *camp.CAMPAIGN).distinct(), "campaigns")
     extent = campaigns.groupBy("outlet").agg(F.min("start").alias("first"), F.max("end").alias("last"))
     return present(camp.campaign_indicators(campaigns, d.calendar(extent, "first", "last"), ("outlet",)))
 
@@ -281,7 +281,7 @@ def adstock_tail(spark: SparkSession, sf: str) -> DataFrame:
         r.PROPENSITY_DAILY,
         r.WEATHER_DAILY,
         *_COST_TABLES,
-        """SELECT CAST(date AS VARCHAR) AS date, round(factor, 4) AS factor,
+        """SELECT CAST(date AS VARCHAR) AS date, round(factor, 6) AS factor,
                   round(daily_rainfall_total_mm, 4) AS daily_rainfall_total_mm, round(a_daily_cost, 2) AS a_daily_cost
            FROM propensity_daily FULL JOIN weather_daily USING (date) FULL JOIN daily_cost USING (date)""",
     ),
@@ -290,7 +290,7 @@ def unique_daily_full_outer(spark: SparkSession, sf: str) -> DataFrame:
     propensity = d.propensity_daily(r.propensity_raw(spark, sf))
     weather = d.weather_means(r.weather_raw(spark, sf)).select("date", "daily_rainfall_total_mm")
     costs = camp.campaign_daily_cost(_campaigns(spark, sf)).select("date", "a_daily_cost")
-    return present(d.merge_unique_daily([propensity, weather, costs]), a_daily_cost=2)
+    return present(d.merge_unique_daily([propensity, weather, costs]), factor=6, a_daily_cost=2)
 
 
 @query(
@@ -298,14 +298,14 @@ def unique_daily_full_outer(spark: SparkSession, sf: str) -> DataFrame:
     with_sql(
         r.PROPENSITY_DAILY,
         r.DAY_CONDITIONS,
-        """SELECT CAST(date AS VARCHAR) AS date, school_holiday, group_size_cap, round(factor, 4) AS factor
+        """SELECT CAST(date AS VARCHAR) AS date, school_holiday, group_size_cap, round(factor, 6) AS factor
            FROM propensity_daily FULL JOIN day_conditions USING (date)""",
     ),
 )
 def concat_daily_features(spark: SparkSession, sf: str) -> DataFrame:
     propensity = d.propensity_daily(r.propensity_raw(spark, sf))
     conditions = r.day_conditions(spark, sf).select("date", "school_holiday", "group_size_cap")
-    return present(d.concat_daily_features([stage(propensity, "propensity"), stage(conditions, "conditions")]))
+    return present(d.concat_daily_features([stage(propensity, "propensity"), stage(conditions, "conditions")]), factor=6)
 
 
 def _sparse_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -365,7 +365,7 @@ def outlet_coverage_filter(spark: SparkSession, sf: str) -> DataFrame:
         r.SUPPLIER_DAILY,
         r.PROPENSITY_DAILY,
         r.DAY_CONDITIONS,
-        """SELECT outlet, CAST(date AS VARCHAR) AS date, proxyrevenue, round(factor, 4) AS factor, school_holiday,
+        """SELECT outlet, CAST(date AS VARCHAR) AS date, proxyrevenue, round(factor, 6) AS factor, school_holiday,
                   group_size_cap
            FROM supplier_daily LEFT JOIN propensity_daily USING (date) LEFT JOIN day_conditions USING (date)""",
     ),
@@ -374,7 +374,7 @@ def outlet_features_left_join(spark: SparkSession, sf: str) -> DataFrame:
     propensity = d.propensity_daily(r.propensity_raw(spark, sf))
     conditions = r.day_conditions(spark, sf).select("date", "school_holiday", "group_size_cap")
     daily = stage(d.merge_unique_daily([propensity, conditions]), "daily")
-    return present(o.attach_daily(r.supplier_daily(spark, sf), daily))
+    return present(o.attach_daily(r.supplier_daily(spark, sf), daily), factor=6)
 
 
 @query(
@@ -422,17 +422,17 @@ def _split_sql(bounds: str, approach: str, param: int) -> str:
 
 @query("split_simple", _split_sql(SIMPLE_BOUNDS, sp.SIMPLE, 0))
 def split_simple(spark: SparkSession, sf: str) -> DataFrame:
-    return present(sp.split(r.supplier_daily(spark, sf), SIMPLE))
+    return present(sp.split(stage(r.supplier_daily(spark, sf), "series"), SIMPLE))
 
 
 @query("split_expanding", _split_sql(r.bounds_sql("supplier_daily", 365, 60, 60, 5, expansion=90), sp.EXPANDING, 90))
 def split_expanding(spark: SparkSession, sf: str) -> DataFrame:
-    return present(sp.split(r.supplier_daily(spark, sf), EXPANDING))
+    return present(sp.split(stage(r.supplier_daily(spark, sf), "series"), EXPANDING))
 
 
 @query("split_sliding", _split_sql(r.bounds_sql("supplier_daily", 365, 60, 60, 5, stride=90), sp.SLIDING, 90))
 def split_sliding(spark: SparkSession, sf: str) -> DataFrame:
-    return present(sp.split(r.supplier_daily(spark, sf), SLIDING))
+    return present(sp.split(stage(r.supplier_daily(spark, sf), "series"), SLIDING))
 
 
 @query(
@@ -445,7 +445,7 @@ def split_sliding(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def fold_selection(spark: SparkSession, sf: str) -> DataFrame:
-    rows = sp.one_fold(sp.split(r.supplier_daily(spark, sf), SLIDING), 2, sp.SLIDING)
+    rows = sp.one_fold(sp.split(stage(r.supplier_daily(spark, sf), "series"), SLIDING), 2, sp.SLIDING)
     return present(rows.select("outlet", "date", "proxyrevenue", "role"))
 
 
@@ -509,7 +509,7 @@ def json_artefact_scan(spark: SparkSession, sf: str) -> DataFrame:
 def partitioned_table_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The split table written by role and fold, read back through partition pruning."""
     path = f"{shared_dir(spark)}/folds-{id(object()):x}-{spark.sparkContext.applicationId}"
-    sinks.write_table(sp.split(r.supplier_daily(spark, sf), SIMPLE), path, ["role", "fold"])
+    sinks.write_table(sp.split(stage(r.supplier_daily(spark, sf), "series"), SIMPLE), path, ["role", "fold"])
     rows = spark.read.parquet(path).where("role = 'validation' AND fold = 1")
     return present(rows.select("outlet", "date", "proxyrevenue"))
 

@@ -199,7 +199,7 @@ _FOLD_TABLES = (r.SUPPLIER_DAILY, SIMPLE_BOUNDS, _FOLDS)
 
 
 def _folds(spark: SparkSession, sf: str) -> DataFrame:
-    return sp.split(r.supplier_daily(spark, sf), SIMPLE).drop("split_approach", "window_param")
+    return sp.split(stage(r.supplier_daily(spark, sf), "series"), SIMPLE).drop("split_approach", "window_param")
 
 
 @query(
@@ -232,13 +232,13 @@ binned AS (
         *_FOLD_TABLES,
         EDGES_SQL,
         """SELECT fold, outlet, 0::DOUBLE AS e0, round(e[2], 4) AS e1, round(e[3], 4) AS e2, round(e[4], 4) AS e3,
-  'Infinity' AS e4, coalesce(e IS NULL, true) AS degenerate FROM edges""",
+  'Infinity' AS e4, CAST(e IS NULL AS BIGINT) AS degenerate FROM edges""",
     ),
 )
 def bin_edges(spark: SparkSession, sf: str) -> DataFrame:
     fitted = enc.fit_bins(_folds(spark, sf), TARGET)
     edges = [F.col("edges")[i].alias(f"e{i}") for i in range(4)]
-    return present(fitted.select("fold", "outlet", *edges, F.col("edges")[4].cast("string").alias("e4"), F.col("edges").isNull().alias("degenerate")))
+    return present(fitted.select("fold", "outlet", *edges, F.col("edges")[4].cast("string").alias("e4"), F.col("reason").isNotNull().cast("int").alias("degenerate")))
 
 
 def _binned(spark: SparkSession, sf: str) -> DataFrame:
@@ -517,6 +517,45 @@ def constant_columns(spark: SparkSession, sf: str) -> DataFrame:
     return present(ds.constant_columns(rows, ["proxyrevenue", "always", "unseen", "same"]))
 
 
+@query(
+    "constant_columns_dropped",
+    with_sql(
+        *_FOLD_TABLES,
+        """SELECT outlet, CAST(date AS VARCHAR) AS date, fold, role, proxyrevenue,
+  CAST(CASE WHEN role <> 'training' THEN 1 END AS BIGINT) AS unseen FROM folds WHERE fold = 1""",
+    ),
+)
+def constant_columns_dropped(spark: SparkSession, sf: str) -> DataFrame:
+    """Every role of the fold loses what its training rows show as constant."""
+    unseen = F.when(F.col("role") != "training", 1)
+    rows = _folds(spark, sf).withColumns({"always": F.lit(1), "unseen": unseen})
+    return present(ds.drop_constant(rows, ds.constant_columns(rows, ["proxyrevenue", "always", "unseen"]), 1))
+
+
+_SETTINGS_WITH_SOURCES = {
+    "fe_columns_to_drop_list": ["minimum_temperature_c", "not_there"],
+    "fe_holiday_column_list": [["school_holiday"], ["public_holiday"]],
+    "fe_rainfall_column": "daily_rainfall_total_mm",
+    "fe_ordinal_encoding_dict": {"group_size_cap": ["5", "no limit"]},
+    "fold": 1,
+}
+
+
+@query(
+    "source_columns_dropped",
+    with_sql(
+        r.SUPPLIER_DAILY,
+        r.DAY_CONDITIONS,
+        """SELECT outlet, CAST(date AS VARCHAR) AS date, proxyrevenue, round(maximum_temperature_c, 4) AS maximum_temperature_c
+  FROM supplier_daily JOIN day_conditions USING (date)""",
+    ),
+)
+def source_columns_dropped(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns that settings name as sources go, then every row that still has a gap."""
+    rows = o.attach_daily(r.supplier_daily(spark, sf), stage(r.day_conditions(spark, sf), "conditions"))
+    return present(ds.drop_sources(rows, _SETTINGS_WITH_SOURCES))
+
+
 def training_spec(**changes) -> tr.TrainingSpec:
     """The reference setting of the model table on the supplier series."""
     base = {
@@ -559,7 +598,7 @@ full_rows AS (
   SELECT *, sqrt({" + ".join(f"{c} * {c}" for c in LAG_COLUMNS)}) AS norm
   FROM flags JOIN lags USING (outlet, date) JOIN supplier_types USING (outlet))""",
         f"""SELECT outlet, CAST(date AS VARCHAR) AS date, fold, role, label,
-  CAST(list_position(['Low', 'Medium', 'High', 'Exceptional'], label) - 1 AS BIGINT) AS label_id, round(factor, 4) AS factor,
+  CAST(list_position(['Low', 'Medium', 'High', 'Exceptional'], label) - 1 AS BIGINT) AS label_id, round(factor, 6) AS factor,
   round(maximum_temperature_c, 4) AS maximum_temperature_c, CAST(name_counts AS DOUBLE) AS name_counts,
   {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _MODEL_FEATURES[3:8])},
   {", ".join(f"round({c} / CASE WHEN norm = 0 THEN 1 ELSE norm END, 4) AS {c}" for c in LAG_COLUMNS)}, type
@@ -570,13 +609,12 @@ def model_dataset(spark: SparkSession, sf: str) -> DataFrame:
     """The full chain up to the model table, with the outlet type put back for comparison."""
     spec = training_spec()
     series, daily, campaigns = training_inputs(spark, sf)
-    filled = daily  # days outside the daily tables are gaps: features with gaps in training are left out
-    prepared = tr.prepare(series, filled, campaigns, spec)
+    prepared = tr.prepare(series, daily, campaigns, spec)
     table = ds.model_table(
         prepared.table.na.fill(0.0, ["factor", "maximum_temperature_c"]), "binned_proxyrevenue", LABELS, _MODEL_FEATURES
     )
     types = stage(r.supplier_types(spark, sf), "types")
-    return present(table.drop("split_approach", "window_param").join(types, "outlet"))
+    return present(table.drop("split_approach", "window_param").join(types, "outlet"), factor=6)
 
 
 # --- metrics -----------------------------------------------------------------------------------------------

@@ -188,7 +188,7 @@ good AS (SELECT * FROM checked WHERE errors = '')""",
 
 
 def _checked(spark: SparkSession, sf: str) -> DataFrame:
-    return rq.check_requests(rq.parse_requests(requests(spark, sf)))
+    return rq.check_requests(stage(rq.parse_requests(requests(spark, sf)), "requests"))
 
 
 @query(

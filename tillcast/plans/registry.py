@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillcast.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -16,8 +18,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         def bound(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return run(spark, sf_dir)
+            return run(tune(spark), sf_dir)
 
         bound.__name__, bound.__doc__ = run.__name__, run.__doc__
         QUERIES[name] = bound

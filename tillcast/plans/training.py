@@ -66,6 +66,7 @@ def fold_table(series: DataFrame, daily: DataFrame | None, campaigns: DataFrame
     days = attach_daily(series, stage(daily, "daily") if daily is not None else None)
     folds = split(days, spec.split)
     if campaigns is not None:
+        campaigns = stage(campaigns, "campaigns")
         extent = series.agg(F.min("date").alias("first"), F.max("date").alias("last"))
         spine = extent.select("first", "last", F.explode(F.sequence("first", "last")).alias("date"))
         folds = attach_daily(folds, stage(camp.campaign_indicators(campaigns, spine), "campaign-days"))
@@ -95,6 +96,8 @@ def _with_rolling(binned: DataFrame, selected: DataFrame, spec: TrainingSpec) ->
 
 
 def prepare(series: DataFrame, daily: DataFrame | None, campaigns: DataFrame | None, spec: TrainingSpec) -> Prepared:
+    """Run the chain. Each input is computed once and staged: several steps read it."""
+    series = stage(series, "series")
     folds = stage(fold_table(series, daily, campaigns, spec), "folds")
     labels = {spec.target: list(spec.labels)}
     bins = stage(enc.fit_bins(folds, labels), "bins")

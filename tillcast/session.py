@@ -18,7 +18,6 @@ def build_session(app: str = "tillcast", cpus: int | None = None, **conf: str) -
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cpus))
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
@@ -29,6 +28,15 @@ def build_session(app: str = "tillcast", cpus: int | None = None, **conf: str) -
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return tune(spark)
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Session settings the plans rely on; they can be set on a running session."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # The JVM does not compile methods above 8000 bytes. Wide feature projections exceed that as one
+    # generated method, and run twice as fast when Spark splits them instead.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
