@@ -80,7 +80,7 @@ def test_flatten(rows):
 def history(rows, lag_days, sales=None):
     changes = {"lag": {"lag_sales": sales}} if sales else {}
     good = parsed(rows, body(lag_days, **changes))
-    return [(str(r["date"]), r["proxyrevenue"]) for r in rq.complete_lookback(rq.lag_rows(good), rq.outlet_rows(good)).orderBy("date").collect()]
+    return [(str(r["date"]), r["proxyrevenue"]) for r in rq.complete_lookback(good).orderBy("date").collect()]
 
 
 def test_seven_days_are_repeated(rows):

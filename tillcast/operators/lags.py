@@ -68,13 +68,17 @@ def lag_names(spec: LagSpec) -> list[str]:
     return names
 
 
-def lag_features(series: DataFrame, spec: LagSpec = LagSpec(), complete: bool = True) -> DataFrame:
-    """Keys, date and every lag column; ``complete`` keeps only the rows where all of them are known."""
+def lag_features(
+    series: DataFrame, spec: LagSpec = LagSpec(), complete: bool = True, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Keys, date, the ``carry`` columns and every lag column; ``complete`` keeps only the rows where all lags
+    are known. Carried columns spare the join back to the series."""
     absent = [c for c in spec.columns if c not in series.columns]
     if absent:
         raise KeyError(f"columns not found: {absent}")
     w = W.partitionBy(*spec.keys).orderBy("date")
-    rows = series.select(*spec.keys, "date", *spec.columns)
+    kept = [c for c in carry if c not in (*spec.keys, "date")]
+    rows = series.select(*spec.keys, "date", *dict.fromkeys([*kept, *spec.columns]))
     made: dict[str, Column] = {}
     if "simple" in spec.families:
         made |= _simple(spec, w)
@@ -86,7 +90,7 @@ def lag_features(series: DataFrame, spec: LagSpec = LagSpec(), complete: bool =
         block = W.partitionBy(*spec.keys, "_block")
         rows = rows.withColumns({f"_block_{c}": F.avg(c).over(block) for c in spec.columns})
         made |= _week(spec, w)
-    out = rows.select(*spec.keys, "date", *[e.alias(n) for n, e in made.items()])
+    out = rows.select(*spec.keys, "date", *kept, *[e.alias(n) for n, e in made.items()])
     return out.na.drop("any", subset=list(made)) if complete else out
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillcast.functions.values import day
@@ -124,39 +123,54 @@ def campaign_cost_rows(requests: DataFrame) -> DataFrame:
     return rows
 
 
-def prediction_range(outlets: DataFrame) -> DataFrame:
-    return outlets.groupBy("request_id").agg(F.min("date").alias("from_date"), F.max("date").alias("to_date"))
+def prediction_range(requests: DataFrame) -> DataFrame:
+    """First and last day to predict of each request."""
+    days = F.transform(F.col("outlet_attributes")[0]["inference_date"], day)
+    return requests.select(
+        "request_id", F.array_min(days).alias("from_date"), F.array_max(days).alias("to_date")
+    )
 
 
-def complete_lookback(lags: DataFrame, outlets: DataFrame, target: str = "proxyrevenue") -> DataFrame:
+def complete_lookback(requests: DataFrame, target: str = "proxyrevenue") -> DataFrame:
     """Look-back sales of each request as a gap-free series up to its last day to predict.
 
     With fewer than 14 days given, the first 7 of the look-back period must be there; the missing days up to the
-    14th then repeat the last known value of the same weekday. Without those 7 the request keeps the days it came
-    with. All other gaps are 0. A request's series is at most a few weeks long.
+    14th then repeat the value a week before. Without those 7 the request keeps the days it came with. All other
+    gaps are 0. A request is one row, so everything happens inside it and nothing is shuffled.
     """
-    first_seven = F.col("lag_sales").isNotNull() & F.col("date").between(
-        F.date_sub("request_date", LOOKBACK_DAYS), F.date_sub("request_date", LOOKBACK_DAYS - 6)
-    )
-    shape = lags.groupBy("request_id").agg(
-        F.min("date").alias("first"),
-        F.max("date").alias("last"),
-        F.count("*").alias("given"),
-        F.count_if(first_seven).alias("early"),
+    lag, spread = F.col("lag_sales_attributes")[0], F.col("outlet_attributes")[0]["inference_date"]
+    given = F.transform(
+        F.arrays_zip(lag["lag_sales_date"].alias("day"), lag["lag_sales"].alias("value")),
+        lambda x: F.struct(day(x["day"]).alias("day"), x["value"].alias("value")),
     )
-    known = shape.join(prediction_range(outlets), "request_id")
-    short = F.col("given") < LOOKBACK_DAYS
-    complete = ~short | (F.col("early") >= 7)
-    until = F.when(complete, F.greatest("last", "to_date")).otherwise(F.col("last"))
-    spine = known.select(
-        "request_id", "first", short.alias("short"), complete.alias("complete"), F.explode(F.sequence(F.col("first"), until)).alias("date")
+    rows = requests.select("request_id", "request_date", given.alias("given"), F.transform(spread, day).alias("ahead"))
+    days = F.transform("given", lambda x: x["day"])
+    first_seven = F.filter(
+        "given",
+        lambda x: x["value"].isNotNull()
+        & x["day"].between(F.date_sub("request_date", LOOKBACK_DAYS), F.date_sub("request_date", LOOKBACK_DAYS - 6)),
     )
-    rows = spine.join(lags.select("request_id", "date", "lag_sales"), ["request_id", "date"], "left")
-    w = W.partitionBy("request_id", F.weekday("date")).orderBy("date").rowsBetween(W.unboundedPreceding, 0)
-    copied = F.last("lag_sales", ignorenulls=True).over(w)
-    inside = F.col("date") < F.date_add("first", LOOKBACK_DAYS)
-    value = F.when(F.col("short") & inside, copied).otherwise(F.col("lag_sales"))
-    rows = rows.withColumn("_value", value)
-    return rows.where("complete OR lag_sales IS NOT NULL").select(
-        "request_id", "date", F.coalesce("_value", F.lit(0.0)).alias(target)
+    short = F.size("given") < LOOKBACK_DAYS
+    rows = rows.select(
+        "request_id",
+        "given",
+        F.array_min(days).alias("first"),
+        F.array_max(days).alias("last"),
+        F.array_max("ahead").alias("to_date"),
+        short.alias("short"),
+        (~short | (F.size(first_seven) >= 7)).alias("complete"),
     )
+    until = F.when(F.col("complete"), F.greatest("last", "to_date")).otherwise(F.col("last"))
+    rows = rows.select("*", F.explode(F.sequence(F.col("first"), until)).alias("date"))
+
+    def sales(on: Column) -> Column:
+        same = F.filter("given", lambda x: (x["day"] == on) & x["value"].isNotNull())
+        return F.try_element_at(same, F.lit(-1))["value"]
+
+    inside = F.col("short") & (F.col("date") < F.date_add("first", LOOKBACK_DAYS))
+    rows = rows.select(
+        "request_id", "date", "complete", inside.alias("inside"),
+        sales(F.col("date")).alias("own"), sales(F.date_sub("date", 7)).alias("before"),
+    )
+    value = F.coalesce(F.col("own"), F.when(F.col("inside"), F.col("before")), F.lit(0.0))
+    return rows.where("complete OR own IS NOT NULL").select("request_id", "date", value.alias(target))

@@ -103,7 +103,7 @@ def propensity_daily_mean(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def weather_daily_mean(spark: SparkSession, sf: str) -> DataFrame:
-    means = d.weather_means(r.weather_raw(spark, sf))
+    means = stage(d.weather_means(r.weather_raw(spark, sf)), "weather")  # read twice: by the fit and by the result
     return present(means.select(*d.columns_without_nulls(means)))
 
 

@@ -190,7 +190,7 @@ def revenue_lags_and_spend(spark: SparkSession, sf: str) -> DataFrame:
     """Daily revenue per outlet with its lags and the marketing spend of the day."""
     series = r.supplier_daily(spark, sf)
     spend = stage(camp.campaign_daily_cost(camp.campaign_pivot(r.campaign_costs(spark, sf), r.MODES)), "spend")
-    rows = o.attach_daily(lg.join_lags(series, lg.lag_features(series)), spend)
+    rows = o.attach_daily(lg.lag_features(series, carry=("proxyrevenue",)), spend)
     return present(rows, a_daily_cost=2, n_daily_cost=2, r_daily_cost=2)
 
 

@@ -261,7 +261,7 @@ history AS (SELECT request_id, date, coalesce(v, 0) AS proxyrevenue FROM filled
 )
 def lookback_impute(spark: SparkSession, sf: str) -> DataFrame:
     good = stage(rq.accepted(_checked(spark, sf)), "requests")
-    return present(rq.complete_lookback(rq.lag_rows(good), rq.outlet_rows(good)))
+    return present(rq.complete_lookback(good))
 
 
 @query(

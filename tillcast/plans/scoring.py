@@ -32,10 +32,9 @@ class Artefacts:
 def request_features(good: DataFrame, spec: TrainingSpec) -> DataFrame:
     """One row per request and day to predict, with calendar, campaign and lag features."""
     outlets = rq.outlet_rows(good)
-    history = rq.complete_lookback(rq.lag_rows(good), outlets, spec.target)
+    history = rq.complete_lookback(good, spec.target)
     lags = lag_features(history, replace(spec.lags, keys=KEY))
-    ranges = rq.prediction_range(outlets)
-    days = ranges.select(
+    days = rq.prediction_range(good).select(
         "request_id",
         F.col("from_date").alias("first"),
         F.col("to_date").alias("last"),

@@ -16,7 +16,7 @@ from tillcast.operators import campaigns as camp
 from tillcast.operators import dataset as ds
 from tillcast.operators import encoders as enc
 from tillcast.operators.indicators import IndicatorSpec, day_indicators
-from tillcast.operators.lags import LagSpec, join_lags, lag_features, lag_names
+from tillcast.operators.lags import LagSpec, lag_features, lag_names
 from tillcast.operators.outlets import OutletFilter, attach_daily, usable_outlets
 from tillcast.operators.relevance import relevance_table, top_features
 from tillcast.operators.rolling import RollingSpec, feature_settings, join_rolling, rolling_features
@@ -96,8 +96,12 @@ def _with_rolling(binned: DataFrame, selected: DataFrame, spec: TrainingSpec) ->
 
 
 def prepare(series: DataFrame, daily: DataFrame | None, campaigns: DataFrame | None, spec: TrainingSpec) -> Prepared:
-    """Run the chain. Each input is computed once and staged: several steps read it."""
-    series = stage(series, "series")
+    """Run the chain. Each input is computed once and staged: several steps read it.
+
+    Lags look back in the whole series, so they are made before it is split and travel along; rows without
+    them still count for the target bins and are dropped after those.
+    """
+    series = stage(lag_features(series, spec.lags, complete=False, carry=tuple(series.columns)), "series")
     folds = stage(fold_table(series, daily, campaigns, spec), "folds")
     labels = {spec.target: list(spec.labels)}
     bins = stage(enc.fit_bins(folds, labels), "bins")
@@ -106,7 +110,7 @@ def prepare(series: DataFrame, daily: DataFrame | None, campaigns: DataFrame | N
     if spec.rolling:
         selected = stage(select_rolling(table, spec), "selected")
         table = _with_rolling(table, selected, spec)
-    table = stage(join_lags(table, lag_features(series, spec.lags)), "lagged")
+    table = stage(table.na.drop("any", subset=lag_names(spec.lags)), "lagged")
     scaled = enc.scaled_columns(table, list(spec.scaled), spec.scale_lags)
     scaling = stage(enc.fit_scaling(table, scaled, spec.scaling), "scaling")
     one_hot = None

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,8 +33,26 @@ def build_session(app: str = "tillcast", cpus: int | None = None, **conf: str) -
     return tune(spark)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python functions import from it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tillcast-")) / "tillcast.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Session settings the plans rely on; they can be set on a running session."""
+    """Ship the package and set what the plans rely on; all of it works on a running session."""
+    ship(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # The JVM does not compile methods above 8000 bytes. Wide feature projections exceed that as one
     # generated method, and run twice as fast when Spark splits them instead.
