@@ -80,15 +80,18 @@ def lag_features(
     kept = [c for c in carry if c not in (*spec.keys, "date")]
     rows = series.select(*spec.keys, "date", *dict.fromkeys([*kept, *spec.columns]))
     made: dict[str, Column] = {}
+    if "week" in spec.families:
+        rows = rows.withColumn("_row", F.row_number().over(w) - 1)
+        rows = rows.withColumn("_block", F.floor(F.col("_row") / BLOCK))
+        # Blocks follow the dates, so (keys, block, date) sorts the rows once for the blocks and for the lags.
+        block = W.partitionBy(*spec.keys, "_block").orderBy("date").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+        w = W.partitionBy(*spec.keys).orderBy("_block", "date")
+        rows = rows.withColumns({f"_block_{c}": F.avg(c).over(block) for c in spec.columns})
     if "simple" in spec.families:
         made |= _simple(spec, w)
     if "sma" in spec.families:
         made |= _sma(spec, w)
     if "week" in spec.families:
-        rows = rows.withColumn("_row", F.row_number().over(w) - 1)
-        rows = rows.withColumn("_block", F.floor(F.col("_row") / BLOCK))
-        block = W.partitionBy(*spec.keys, "_block")
-        rows = rows.withColumns({f"_block_{c}": F.avg(c).over(block) for c in spec.columns})
         made |= _week(spec, w)
     out = rows.select(*spec.keys, "date", *kept, *[e.alias(n) for n, e in made.items()])
     return out.na.drop("any", subset=list(made)) if complete else out

@@ -123,27 +123,72 @@ def campaign_cost_rows(requests: DataFrame) -> DataFrame:
     return rows
 
 
-def prediction_range(requests: DataFrame) -> DataFrame:
-    """First and last day to predict of each request."""
-    days = F.transform(F.col("outlet_attributes")[0]["inference_date"], day)
-    return requests.select(
-        "request_id", F.array_min(days).alias("from_date"), F.array_max(days).alias("to_date")
+def _running(campaigns: Column, on: Column) -> Column:
+    """Names of the campaigns that run on a day."""
+    return F.transform(F.filter(campaigns, lambda c: (c["start"] <= on) & (on <= c["end"])), lambda c: c["name"])
+
+
+def _campaign_flags(campaigns: Column, on: Column, first: Column, last: Column) -> list[Column]:
+    """The indicators of ``campaigns.campaign_indicators`` for one day of a request."""
+    now, before, after = (_running(campaigns, F.date_add(on, i)) for i in (0, -1, 1))
+
+    def moved(other: Column) -> Column:
+        return (F.size(F.array_except(now, other)) > 0) | (F.size(now) > F.size(other))
+
+    return [
+        F.size(now).alias("name_counts"),
+        ((on > first) & moved(before)).cast("int").alias("is_name_start"),
+        ((on < last) & moved(after)).cast("int").alias("is_name_end"),
+    ]
+
+
+def days_to_predict(requests: DataFrame) -> Column:
+    """All days to predict of a request as one array: its day fields and campaign indicators."""
+    o = F.col("outlet_attributes")[0]
+    fields = F.arrays_zip(
+        F.transform(o["inference_date"], day).alias("date"), *[o[f].alias(f) for f in DAY_FIELDS]
+    )
+    dates = F.transform(o["inference_date"], day)
+    first, last = F.array_min(dates), F.array_max(dates)
+    paid = F.filter(
+        F.coalesce("mkt_attributes", F.array().cast(requests.schema["mkt_attributes"].dataType)),
+        lambda m: F.exists(m["total_cost"], lambda c: c.isNotNull()),
+    )
+    campaigns = F.array_distinct(
+        F.transform(
+            paid,
+            lambda m: F.struct(
+                m["campaign_name"].alias("name"),
+                day(m["campaign_start_date"]).alias("start"),
+                day(m["campaign_end_date"]).alias("end"),
+            ),
+        )
+    )
+    return F.transform(
+        fields,
+        lambda x: F.struct(
+            x["date"].alias("date"),
+            *[x[f].alias(f) for f in DAY_FIELDS],
+            *_campaign_flags(campaigns, x["date"], first, last),
+        ),
     )
 
 
-def complete_lookback(requests: DataFrame, target: str = "proxyrevenue") -> DataFrame:
+def complete_lookback(requests: DataFrame, target: str = "proxyrevenue", carry: tuple[str, ...] = ()) -> DataFrame:
     """Look-back sales of each request as a gap-free series up to its last day to predict.
 
     With fewer than 14 days given, the first 7 of the look-back period must be there; the missing days up to the
     14th then repeat the value a week before. Without those 7 the request keeps the days it came with. All other
-    gaps are 0. A request is one row, so everything happens inside it and nothing is shuffled.
+    gaps are 0. A request is one row, so everything happens inside it and nothing is shuffled. ``carry`` names
+    further columns of the request to keep on each day.
     """
-    lag, spread = F.col("lag_sales_attributes")[0], F.col("outlet_attributes")[0]["inference_date"]
+    lag = F.col("lag_sales_attributes")[0]
     given = F.transform(
         F.arrays_zip(lag["lag_sales_date"].alias("day"), lag["lag_sales"].alias("value")),
         lambda x: F.struct(day(x["day"]).alias("day"), x["value"].alias("value")),
     )
-    rows = requests.select("request_id", "request_date", given.alias("given"), F.transform(spread, day).alias("ahead"))
+    ahead = F.transform(F.col("outlet_attributes")[0]["inference_date"], day)
+    rows = requests.select("request_id", "request_date", *carry, given.alias("given"), F.array_max(ahead).alias("to_date"))
     days = F.transform("given", lambda x: x["day"])
     first_seven = F.filter(
         "given",
@@ -151,14 +196,13 @@ def complete_lookback(requests: DataFrame, target: str = "proxyrevenue") -> Data
         & x["day"].between(F.date_sub("request_date", LOOKBACK_DAYS), F.date_sub("request_date", LOOKBACK_DAYS - 6)),
     )
     short = F.size("given") < LOOKBACK_DAYS
-    rows = rows.select(
-        "request_id",
-        "given",
-        F.array_min(days).alias("first"),
-        F.array_max(days).alias("last"),
-        F.array_max("ahead").alias("to_date"),
-        short.alias("short"),
-        (~short | (F.size(first_seven) >= 7)).alias("complete"),
+    rows = rows.withColumns(
+        {
+            "first": F.array_min(days),
+            "last": F.array_max(days),
+            "short": short,
+            "complete": ~short | (F.size(first_seven) >= 7),
+        }
     )
     until = F.when(F.col("complete"), F.greatest("last", "to_date")).otherwise(F.col("last"))
     rows = rows.select("*", F.explode(F.sequence(F.col("first"), until)).alias("date"))
@@ -167,10 +211,8 @@ def complete_lookback(requests: DataFrame, target: str = "proxyrevenue") -> Data
         same = F.filter("given", lambda x: (x["day"] == on) & x["value"].isNotNull())
         return F.try_element_at(same, F.lit(-1))["value"]
 
-    inside = F.col("short") & (F.col("date") < F.date_add("first", LOOKBACK_DAYS))
-    rows = rows.select(
-        "request_id", "date", "complete", inside.alias("inside"),
-        sales(F.col("date")).alias("own"), sales(F.date_sub("date", 7)).alias("before"),
-    )
-    value = F.coalesce(F.col("own"), F.when(F.col("inside"), F.col("before")), F.lit(0.0))
-    return rows.where("complete OR own IS NOT NULL").select("request_id", "date", value.alias(target))
+    repeats = F.col("short") & (F.col("date") < F.date_add("first", LOOKBACK_DAYS))
+    own, before = sales(F.col("date")), F.when(repeats, sales(F.date_sub("date", 7)))
+    rows = rows.withColumns({"own": own, "before": before}).where("complete OR own IS NOT NULL")
+    value = F.coalesce("own", "before", F.lit(0.0))
+    return rows.select("request_id", "date", value.alias(target), *carry)

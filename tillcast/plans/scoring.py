@@ -30,24 +30,32 @@ class Artefacts:
 
 
 def request_features(good: DataFrame, spec: TrainingSpec) -> DataFrame:
-    """One row per request and day to predict, with calendar, campaign and lag features."""
-    outlets = rq.outlet_rows(good)
-    history = rq.complete_lookback(good, spec.target)
-    lags = lag_features(history, replace(spec.lags, keys=KEY))
-    days = rq.prediction_range(good).select(
-        "request_id",
-        F.col("from_date").alias("first"),
-        F.col("to_date").alias("last"),
-        F.explode(F.sequence("from_date", "to_date")).alias("date"),
+    """One row per request and day to predict, with calendar, campaign and lag features.
+
+    Everything a request states is worked out inside its row; the only shuffle brings the days of a request's
+    history together for the lags, and the days to predict travel with them.
+    """
+    o = F.col("outlet_attributes")[0]
+    stated = good.withColumns(
+        {
+            "outlet": o["cost_centre_code"].cast("string"),
+            "location": o["location"],
+            "type": o["type"],
+            "days": rq.days_to_predict(good),
+        }
     )
-    campaigns = camp.campaign_pivot(rq.campaign_cost_rows(good), rq.CHANNELS, KEY)
-    on = [*KEY, "date"]
-    rows = outlets.join(lags, on).join(camp.campaign_indicators(campaigns, days, KEY), on, "left")
+    about = ("request_date", "outlet", "location", "type")
+    history = rq.complete_lookback(stated, spec.target, carry=(*about, "days"))
+    # Of the days to predict, each day of the history keeps its own: none for a look-back day.
+    history = history.withColumn("days", F.filter("days", lambda x: x["date"] == F.col("date")))
+    lags = lag_features(history, replace(spec.lags, keys=KEY), carry=(*about, "days")).drop("date")
+    rows = lags.select(*[c for c in lags.columns if c != "days"], F.inline("days"))
     if spec.adstock:
+        campaigns = camp.campaign_pivot(rq.campaign_cost_rows(good), rq.CHANNELS, KEY)
         costs = tuple(f"{normalise_name(c)}_daily_cost" for c in rq.CHANNELS)
         daily = camp.campaign_daily_cost(campaigns, KEY)
         stock = ads.adstock(daily, replace(spec.adstock, keys=KEY, columns=costs))
-        rows = ads.join_adstock(rows, stock, on)
+        rows = ads.join_adstock(rows, stock, [*KEY, "date"])
     return rows.withColumn("is_weekday", weekday_flag())
 
 
