@@ -104,7 +104,7 @@ def campaign_indicators(campaigns: DataFrame, days: DataFrame, keys: tuple[str,
     """
     valid = campaigns.select(*keys, *CAMPAIGN).where(F.col("start") <= F.col("end"))
     on = [*keys, "date"]
-    # Two rows per campaign, however long it runs; partial sums leave one row per task and edge day.
+    # Two rows per campaign, however long it runs.
     changes = valid.select(
         *keys,
         F.inline(
@@ -114,13 +114,24 @@ def campaign_indicators(campaigns: DataFrame, days: DataFrame, keys: tuple[str,
             )
         ),
     )
-    changes = changes.groupBy(*on).agg(F.sum("change").alias("change"))
-    edges = _edges(valid, keys).groupBy(*on).agg(F.max("opens").alias("opens"), F.max("closes").alias("closes"))
-    full = days.select(*on, "first", "last").join(changes, on, "full").join(edges, on, "left")
+    # One aggregation brings days, changes and edges together; a date outside the days has no ``first``.
+    none = F.lit(None).cast("date")
+    zero = F.lit(0)
+    parts = (
+        days.select(*on, "first", "last", zero.alias("change"), zero.alias("opens"), zero.alias("closes"))
+        .unionAll(changes.select(*on, none, none, "change", zero, zero))
+        .unionAll(_edges(valid, keys).select(*on, none, none, zero, "opens", "closes"))
+    )
+    full = parts.groupBy(*on).agg(
+        F.max("first").alias("first"),
+        F.max("last").alias("last"),
+        F.sum("change").alias("change"),
+        F.max("opens").alias("opens"),
+        F.max("closes").alias("closes"),
+    )
     # One row per calendar day (and series): the running sum of the changes is the number of campaigns.
     w = W.partitionBy(*keys).orderBy("date") if keys else W.orderBy("date")
-    running = F.sum(F.coalesce("change", F.lit(0))).over(w.rowsBetween(W.unboundedPreceding, 0))
-    full = full.withColumn("now", running)
+    full = full.withColumn("now", F.sum("change").over(w.rowsBetween(W.unboundedPreceding, 0)))
     full = full.withColumns({"prev": F.lag("now").over(w), "next": F.lead("now").over(w)})
     is_start = (F.col("date") > F.col("first")) & ((F.col("opens") == 1) | (F.col("now") > F.col("prev")))
     is_end = (F.col("date") < F.col("last")) & ((F.col("closes") == 1) | (F.col("now") > F.col("next")))

@@ -42,7 +42,7 @@ def rank_statistics(features: DataFrame, names: list[str], labels: list[str]) ->
         {
             "below": F.rank().over(by_value) - 1,
             "nth": F.row_number().over(by_value) - 1,
-            "tied": F.count("*").over(W.partitionBy(*TEST, "value")),
+            "tied": F.count("*").over(by_value.rangeBetween(0, 0)),  # the rows with an equal value
         }
     )
     rank, tied = F.col("below") + (F.col("tied") + 1) / 2, F.col("tied").cast("double")
@@ -123,7 +123,7 @@ def _p_value(
             made.append(fisher_p(int(m1), int(m), int(a), int(a + b)))
         else:
             made.append(mann_whitney_p(u_, int(a), int(b), t))
-    return pd.Series(made, dtype="float64")
+    return pd.Series(made, dtype="float64")  # a missing value arrives as NULL
 
 
 def relevance_table(
@@ -137,7 +137,6 @@ def relevance_table(
     tests = rank_statistics(features, names, labels).withColumn(
         "p", _p_value("values", "u", "n1", "n0", "ties", "top", "top1")
     )
-    tests = tests.withColumn("p", F.when(~F.isnan("p"), F.col("p")))
     family = W.partitionBy("fold", "outlet", "class")
     known = F.col("p").isNotNull()
     ranked = tests.withColumns(
