@@ -12,7 +12,7 @@ from tillcast.plans import queries_models as qm
 from tillcast.plans.scoring import score
 from tillcast.session import shared_dir, stage
 from tillcast.sources import readers, sinks
-from tillcast.sources.artefacts import ArtefactStore, lookup, preferred_scaling
+from tillcast.sources.artefacts import ArtefactStore, lookup
 from tillcast.streaming.score_stream import BODY_SCHEMA, request_stream, start_scoring
 
 SF = "/root/testdata/sf0.001"
@@ -63,8 +63,6 @@ def test_artefacts(spark, rows, tmp_path):
     with pytest.raises(LookupError):
         store.load("scaling")
     assert store.load("scaling", "b").count() == 2 and store.runs("scaling") == ["a", "b"]
-    both = params.select("fold", "outlet", "option").unionAll(enc.fit_scaling(df, ["x"], "normalize").select("fold", "outlet", "option"))
-    assert listed(preferred_scaling(both, 1)) == [("1", "standardize")]
 
 
 def test_stage(spark):

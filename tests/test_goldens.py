@@ -293,6 +293,16 @@ def test_standardize(rows):
     assert [abs(r["k"]) < 1e-9 for r in got] == [True] * 5
 
 
+def test_scaling_by_stored_option(rows):
+    data = [("1", DAYS[0], 1, "training", 1.0), ("1", DAYS[1], 1, "training", 3.0), ("2", DAYS[0], 1, "training", 5.0), ("3", DAYS[0], 1, "training", 7.0)]
+    df = rows(data, "outlet STRING, date DATE, fold INT, role STRING, x DOUBLE")
+    standard = enc.fit_scaling(df.where("outlet = '1'"), ["x"], "standardize")
+    both = standard.unionByName(enc.fit_scaling(df.where("outlet < '3'"), ["x"], "normalize"), allowMissingColumns=True)
+    got = enc.scale_fitted(df, both, ["x"]).orderBy("outlet", "date").collect()
+    assert [r["x"] for r in got] == [-1, 1, 1, 7]
+    assert [r["x"] for r in enc.standardize(df, standard, ["x"]).orderBy("outlet", "date").collect()] == [-1, 1, 5, 7]
+
+
 def test_normalize(rows):
     df = fold_rows(rows, "x", [4.0, 1.0, 2.0, 2.0])
     assert [r["x"] for r in enc.normalize(df, ["x"]).collect()] == [1, 1, 1, 1]

@@ -43,7 +43,10 @@ def test_ordinal_recovers_the_truth(spark, distr):
     assert row[0] < 1e-9
     wrong = scored.where("class_id <> array_position(probabilities, array_max(probabilities)) - 1").count()
     assert wrong == 0 and {r[0] for r in scored.select("prediction").distinct().collect()} <= set(LABELS)
-    assert model.parameters(spark).count() == 6
+    stored = stage(model.parameters(spark))
+    again = om.OrdinalModel.from_parameters(stored)
+    assert stored.count() == 1 + 3 + 4 + 3
+    assert (again.features, again.labels, again.distr, again.beta, again.theta) == (model.features, model.labels, distr, model.beta, model.theta)
 
 
 def test_ordinal_settings(spark):
@@ -71,6 +74,10 @@ def test_additive(spark):
         assert np.abs((scores * counts[:, None]).sum(axis=0)).max() < 1e-6 * counts.sum()
     weight = {r["feature"]: r["importance"] for r in model.importance(spark).collect()}
     assert weight["a"] > 0.1 and weight["b"] > 0.1 and weight["k"] < 1e-9
+    again = am.AdditiveModel.from_parameters(stage(model.parameters(spark)))
+    assert (again.features, again.labels) == (model.features, model.labels)
+    x = np.array([[0.1, 90.0, 3.0], [-2.0, 140.0, 3.0]])
+    assert np.allclose(again.probabilities(x), model.probabilities(x))
     assert model.shapes(spark).where("feature = 'a'").count() == len(model.splits[0] + 1) * 4 + 4
 
 

@@ -65,6 +65,30 @@ class AdditiveModel:
         schema = "feature string, bin int, lower double, upper double, class string, score double, n bigint"
         return spark.createDataFrame(rows, schema)
 
+    def parameters(self, spark: SparkSession) -> DataFrame:
+        """The model as a table, to store and to read: shapes in feature order, and the intercept."""
+        place = {f: i for i, f in enumerate(self.features)}
+        order = F.create_map(*[F.lit(x) for item in place.items() for x in item])
+        shapes = self.shapes(spark).withColumn("place", order[F.col("feature")])
+        base = [("(intercept)", 0, None, None, c, float(v), 0, i) for i, (c, v) in enumerate(zip(self.labels, self.intercept))]
+        return shapes.unionAll(spark.createDataFrame(base, shapes.schema))
+
+    @classmethod
+    def from_parameters(cls, table: DataFrame) -> AdditiveModel:
+        rows = sorted(table.collect(), key=lambda r: (r["place"], r["bin"]))
+        base = [r for r in rows if r["feature"] == "(intercept)"]
+        labels = [r["class"] for r in base]
+        features = list(dict.fromkeys(r["feature"] for r in rows if r["feature"] != "(intercept)"))
+        splits, scores, counts = [], [], []
+        for f in features:
+            own = [r for r in rows if r["feature"] == f]
+            first = [r for r in own if r["class"] == labels[0]]
+            splits.append(np.array([r["upper"] for r in first[:-1]]))
+            counts.append(np.array([float(r["n"]) for r in first]))
+            scores.append(np.array([[r["score"] for r in own if r["class"] == c] for c in labels]).T)
+        intercept = np.array([r["score"] for r in base])
+        return cls(tuple(features), tuple(labels), tuple(splits), tuple(scores), tuple(counts), intercept)
+
     def importance(self, spark: SparkSession) -> DataFrame:
         """Mean absolute contribution of each feature over the training rows and classes."""
         return (

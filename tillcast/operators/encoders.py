@@ -145,24 +145,55 @@ def fit_scaling(df: DataFrame, columns: list[str], option: str = NORMALIZE) -> D
 
 
 def standardize(df: DataFrame, params: DataFrame, columns: list[str]) -> DataFrame:
-    """(x − mean) / deviation with the outlet's training statistics; a deviation of 0 divides by 1."""
-    stats = params.select("fold", "outlet", *[f"{p}_{c}" for c in columns for p in ("mean", "sd")])
-    joined = df.join(stats, ["fold", "outlet"], "left")
-    scaled = {
-        c: (F.col(c) - F.col(f"mean_{c}")) / F.coalesce(F.nullif(F.col(f"sd_{c}"), F.lit(0.0)), F.lit(1.0))
-        for c in columns
-    }
-    return joined.withColumns(scaled).drop(*[f"{p}_{c}" for c in columns for p in ("mean", "sd")])
+    """(x − mean) / deviation with the outlet's training statistics; a deviation of 0 divides by 1.
+
+    An outlet without statistics keeps its values.
+    """
+    names = [f"{p}_{c}" for c in columns for p in ("mean", "sd")]
+    joined = df.join(params.select("fold", "outlet", *names), ["fold", "outlet"], "left")
+    return joined.withColumns({c: _standard(c) for c in columns}).drop(*names)
+
+
+def _standard(c: str) -> Column:
+    by = F.coalesce(F.nullif(F.col(f"sd_{c}"), F.lit(0.0)), F.lit(1.0))
+    return F.when(F.col(f"mean_{c}").isNull(), F.col(c)).otherwise((F.col(c) - F.col(f"mean_{c}")) / by)
+
+
+def _unit(columns: list[str]) -> Column:
+    """What divides a row to length 1; 1 for a zero row."""
+    norm = F.sqrt(total([F.col(c) * F.col(c) for c in columns]))
+    return F.coalesce(F.nullif(norm, F.lit(0.0)), F.lit(1.0))
 
 
 def normalize(df: DataFrame, columns: list[str]) -> DataFrame:
     """Divide the listed columns of a row by their common Euclidean norm; a zero row stays."""
     if not columns:
         return df
-    norm = F.sqrt(total([F.col(c) * F.col(c) for c in columns]))
-    by = F.coalesce(F.nullif(norm, F.lit(0.0)), F.lit(1.0))
-    return df.withColumns({c: F.col(c) / by for c in columns})
+    return df.withColumns({c: F.col(c) / _unit(columns) for c in columns})
 
 
 def scale(df: DataFrame, params: DataFrame, columns: list[str], option: str) -> DataFrame:
     return standardize(df, params, columns) if scaling_option(option) == STANDARDIZE else normalize(df, columns)
+
+
+def scale_fitted(df: DataFrame, params: DataFrame, columns: list[str]) -> DataFrame:
+    """Scale each outlet the way its stored parameters say: standardised if that was fitted, else normalised.
+
+    Outlets without parameters keep their values.
+    """
+    if not columns:
+        return df
+    names = [f"{p}_{c}" for c in columns for p in ("mean", "sd")]
+    missing = {n: F.lit(None).cast("double") for n in names if n not in params.columns}
+    first = params.withColumns(missing) if missing else params
+    best = first.groupBy("fold", "outlet").agg(  # 'standardize' sorts after 'normalize'
+        F.max("option").alias("_option"), *[F.max_by(n, "option").alias(n) for n in names]
+    )
+    joined = df.join(best, ["fold", "outlet"], "left")
+    scaled = {
+        c: F.when(F.col("_option") == STANDARDIZE, _standard(c))
+        .when(F.col("_option") == NORMALIZE, F.col(c) / _unit(columns))
+        .otherwise(F.col(c))
+        for c in columns
+    }
+    return joined.withColumns(scaled).drop("_option", *names)

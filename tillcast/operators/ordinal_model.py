@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.functions.values import argmax, label_of
@@ -89,7 +89,7 @@ class OrdinalModel:
     beta: tuple[float, ...]
     theta: tuple[float, ...]
     loss: float
-    iterations: int
+    iterations: int  # of the fit; 0 for a model that was read back
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         bounds = np.concatenate([[-np.inf], self.theta, [np.inf]])
@@ -102,10 +102,28 @@ class OrdinalModel:
         """Add ``probabilities``, ``class_id`` and ``prediction``; rows stay where they are."""
         return predict(df, self, list(self.features), list(self.labels))
 
-    def parameters(self, spark) -> DataFrame:
-        rows = [("beta", f, float(b)) for f, b in zip(self.features, self.beta)]
-        rows += [("threshold", f"{a}/{b}", float(t)) for a, b, t in zip(self.labels, self.labels[1:], self.theta)]
-        return spark.createDataFrame(rows, "kind string, name string, value double")
+    def parameters(self, spark: SparkSession) -> DataFrame:
+        """The model as a table, to store and to read."""
+        rows = [("distr", 0, self.distr, self.loss)]
+        rows += [("beta", i, f, float(b)) for i, (f, b) in enumerate(zip(self.features, self.beta))]
+        rows += [("label", i, label, None) for i, label in enumerate(self.labels)]
+        names = [f"{a}/{b}" for a, b in zip(self.labels, self.labels[1:])]
+        rows += [("threshold", i, n, float(t)) for i, (n, t) in enumerate(zip(names, self.theta))]
+        return spark.createDataFrame(rows, "kind string, place int, name string, value double")
+
+    @classmethod
+    def from_parameters(cls, table: DataFrame) -> OrdinalModel:
+        rows = sorted(table.collect(), key=lambda r: r["place"])
+        of = {k: [r for r in rows if r["kind"] == k] for k in ("distr", "beta", "label", "threshold")}
+        return cls(
+            tuple(r["name"] for r in of["beta"]),
+            tuple(r["name"] for r in of["label"]),
+            of["distr"][0]["name"],
+            tuple(r["value"] for r in of["beta"]),
+            tuple(r["value"] for r in of["threshold"]),
+            of["distr"][0]["value"],
+            0,
+        )
 
 
 def predict(df: DataFrame, model, features: list[str], labels: list[str]) -> DataFrame:
@@ -209,4 +227,6 @@ def fit_ordinal(df: DataFrame, features: list[str], labels: list[str], spec: Ord
     width = len(features)
     beta = params[:width] / objective.sd
     theta = thresholds(params[width:]) + float(objective.mean @ beta)
-    return OrdinalModel(tuple(features), tuple(labels), spec.distr, tuple(beta), tuple(theta), loss, done)
+    return OrdinalModel(
+        tuple(features), tuple(labels), spec.distr, tuple(map(float, beta)), tuple(map(float, theta)), float(loss), done
+    )

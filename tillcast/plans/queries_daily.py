@@ -14,7 +14,7 @@ from tillcast.operators import outlets as o
 from tillcast.operators import splits as sp
 from tillcast.plans import roles as r
 from tillcast.plans.registry import present, query, with_sql
-from tillcast.session import shared_dir, stage
+from tillcast.session import fresh_path, stage
 from tillcast.sources import readers, sinks
 from tillcast.sources.artefacts import ArtefactStore
 
@@ -479,7 +479,7 @@ def request_default_dates(spark: SparkSession, sf: str) -> DataFrame:
 )
 def csv_partition_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Daily revenue written as dated CSV files and read back as a directory of partitions."""
-    path = f"{shared_dir(spark)}/csv-{id(object()):x}-{spark.sparkContext.applicationId}/events_daily"
+    path = fresh_path(spark, "csv")
     sinks.write_csv(r.events_daily(spark, sf), path)
     back = readers.read_partitioned_csv(spark, path, "outlet STRING, Date STRING, proxyrevenue DOUBLE", date_column="Date")
     named = back.where(F.col("partition_id").startswith("part-")).withColumn("partition_name", F.lit("events_daily"))
@@ -492,7 +492,7 @@ def csv_partition_scan(spark: SparkSession, sf: str) -> DataFrame:
 )
 def json_artefact_scan(spark: SparkSession, sf: str) -> DataFrame:
     totals = r.user_daily(spark, sf).groupBy("outlet").agg(F.count("*").alias("days"), F.sum("proxyrevenue").alias("total"))
-    path = f"{shared_dir(spark)}/json-{id(object()):x}-{spark.sparkContext.applicationId}"
+    path = fresh_path(spark, "json")
     sinks.write_json(totals, path)
     return present(readers.read_json(spark, path, totals.schema), 2)
 
@@ -508,7 +508,7 @@ def json_artefact_scan(spark: SparkSession, sf: str) -> DataFrame:
 )
 def partitioned_table_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The split table written by role and fold, read back through partition pruning."""
-    path = f"{shared_dir(spark)}/folds-{id(object()):x}-{spark.sparkContext.applicationId}"
+    path = fresh_path(spark, "folds")
     sinks.write_table(sp.split(stage(r.supplier_daily(spark, sf), "series"), SIMPLE), path, ["role", "fold"])
     rows = spark.read.parquet(path).where("role = 'validation' AND fold = 1")
     return present(rows.select("outlet", "date", "proxyrevenue"))
@@ -519,6 +519,6 @@ def partitioned_table_scan(spark: SparkSession, sf: str) -> DataFrame:
     with_sql(r.SUPPLIER_DAILY, "SELECT outlet, CAST(max(date) AS VARCHAR) AS last_date FROM supplier_daily GROUP BY 1"),
 )
 def artefact_store_scan(spark: SparkSession, sf: str) -> DataFrame:
-    store = ArtefactStore(spark, f"{shared_dir(spark)}/artefacts-{id(object()):x}-{spark.sparkContext.applicationId}")
+    store = ArtefactStore(spark, fresh_path(spark, "artefacts"))
     store.save("last_day", "1", r.supplier_daily(spark, sf).groupBy("outlet").agg(F.max("date").alias("last_date")))
     return present(store.load("last_day"))

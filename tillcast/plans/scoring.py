@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillcast.functions.names import normalise_name
 from tillcast.operators import adstock as ads
 from tillcast.operators import campaigns as camp
+from tillcast.operators import encoders as enc
 from tillcast.operators import requests as rq
 from tillcast.operators.indicators import booleans_to_int, weekday_flag
 from tillcast.operators.lags import lag_features
@@ -62,7 +63,7 @@ def request_features(good: DataFrame, spec: TrainingSpec) -> DataFrame:
 def assemble(good: DataFrame, artefacts: Artefacts, spec: TrainingSpec) -> DataFrame:
     """Request features encoded with the parameters of the artefact fold; flags become 0/1."""
     rows = request_features(good, spec).withColumn("fold", F.lit(artefacts.fold))
-    rows = encode(rows, artefacts.scaling, artefacts.one_hot, list(artefacts.scaled), spec)
+    rows = encode(enc.scale_fitted(rows, artefacts.scaling, list(artefacts.scaled)), artefacts.one_hot, spec)
     return booleans_to_int(rows, rq.FLAG_FIELDS).drop("location")
 
 

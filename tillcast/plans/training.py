@@ -116,13 +116,12 @@ def prepare(series: DataFrame, daily: DataFrame | None, campaigns: DataFrame | N
     one_hot = None
     if spec.one_hot:
         one_hot = stage(enc.fit_one_hot(table, list(spec.one_hot)), "one-hot")
-    table = encode(table, scaling, one_hot, scaled, spec)
+    table = encode(enc.scale(table, scaling, scaled, spec.scaling), one_hot, spec)
     return Prepared(table, bins, scaling, one_hot, selected, tuple(scaled))
 
 
-def encode(table: DataFrame, scaling: DataFrame, one_hot: DataFrame | None, scaled: list[str], spec: TrainingSpec) -> DataFrame:
-    """Scaling and encodings with fitted parameters; scoring runs the same step."""
-    table = enc.scale(table, scaling, scaled, spec.scaling)
+def encode(table: DataFrame, one_hot: DataFrame | None, spec: TrainingSpec) -> DataFrame:
+    """Encodings of text columns with fitted parameters; scoring runs the same step."""
     if spec.ordinal:
         table = enc.ordinal_encode(table, spec.ordinal).drop(*spec.ordinal)
     if one_hot is not None:

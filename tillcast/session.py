@@ -72,6 +72,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once and read it back.
 
@@ -80,6 +85,6 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     shuffled beyond that.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -40,15 +40,3 @@ class ArtefactStore:
 def lookup(params: DataFrame, fold: int) -> DataFrame:
     """Parameters of one fold, by equality."""
     return params.where(F.col("fold") == fold)
-
-
-def preferred_scaling(params: DataFrame, fold: int) -> DataFrame:
-    """One scaling option per outlet of the fold: ``standardize`` if it was fitted, else ``normalize``.
-
-    An outlet with neither is absent, and scoring leaves its columns unscaled.
-    """
-    return (
-        lookup(params, fold)
-        .groupBy("outlet")
-        .agg(F.max("option").alias("option"))  # 'standardize' sorts after 'normalize'
-    )
