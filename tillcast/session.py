@@ -73,8 +73,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses; it goes when the application ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    file_system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system.mkdirs(folder)
+    file_system.deleteOnExit(folder)
+    return f"{folder.toString()}/data"
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
