@@ -117,10 +117,10 @@ def assign_folds(df: DataFrame, bounds: list[FoldBound], date: str = "date") ->
     return df.where(inside).select("*", F.inline(tags))
 
 
-def split(df: DataFrame, spec: SplitSpec, date: str = "date") -> DataFrame:
-    """Fit the date range (one pass over ``date``), then tag the rows of every fold."""
+def split(df: DataFrame, spec: SplitSpec, date: str = "date", extent: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+    """Tag the rows of every fold. The date range is fitted with one pass over ``date`` unless ``extent`` is it."""
     spec = spec.resolved()
-    earliest, latest, _ = date_extent(df, date)
+    earliest, latest = extent or date_extent(df, date)[:2]
     tagged = assign_folds(df, fold_bounds(spec, earliest, latest), date)
     return tagged.withColumns(
         {"split_approach": F.lit(spec.approach), "window_param": F.lit(spec.window_param)}

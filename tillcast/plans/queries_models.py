@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.operators import encoders as enc
-from tillcast.operators import metrics as mt
 from tillcast.operators import requests as rq
 from tillcast.operators import splits as sp
-from tillcast.operators.additive_model import AdditiveModel, AdditiveSpec, fit_additive
+from tillcast.operators.additive_model import AdditiveModel, AdditiveSpec
 from tillcast.operators.indicators import IndicatorSpec
-from tillcast.operators.ordinal_model import OrdinalModel, OrdinalSpec, fit_ordinal
+from tillcast.operators.ordinal_model import OrdinalModel
+from tillcast.plans import modelling as md
 from tillcast.plans import roles as r
 from tillcast.plans import scoring as sc
 from tillcast.plans import training as tr
 from tillcast.plans.queries_features import training_inputs, training_spec
 from tillcast.plans.registry import present, query, with_sql
-from tillcast.session import stage
+from tillcast.session import fresh_path, stage
+from tillcast.sources.artefacts import ArtefactStore
 
 LABELS = tr.LABELS
 KEYS = ["outlet", "date", "fold", "role"]
@@ -34,11 +34,11 @@ def _fold_one(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
 
 
 def _ordinal(table: DataFrame, features: list[str]) -> OrdinalModel:
-    return fit_ordinal(enc.training(table), features, LABELS, OrdinalSpec(max_iter=10))
+    return md.fit_model(table, features, LABELS, md.ModelSpec(md.ORDINAL))
 
 
 def _additive(table: DataFrame, features: list[str]) -> AdditiveModel:
-    return fit_additive(enc.training(table), features, LABELS, ADDITIVE)
+    return md.fit_model(table, features, LABELS, md.ModelSpec(additive=ADDITIVE))
 
 
 def _predictions(scored: DataFrame) -> DataFrame:
@@ -62,7 +62,16 @@ def additive_model_predictions(spark: SparkSession, sf: str) -> DataFrame:
 def model_evaluation(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics of the ordinal model on training, validation and testing in one query."""
     table, features = _fold_one(spark, sf)
-    return present(mt.evaluate(_ordinal(table, features).transform(table), ["fold", "role"]))
+    return present(md.report(_ordinal(table, features), table))
+
+
+@query("stored_model_predictions")
+def stored_model_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions of a model that was stored as a table and read back."""
+    table, features = _fold_one(spark, sf)
+    store = ArtefactStore(spark, fresh_path(spark, "models"))
+    store.save("ordinal", "1", _ordinal(table, features).parameters(spark))
+    return _predictions(OrdinalModel.from_parameters(store.load("ordinal")).transform(table))
 
 
 @query("global_importance")

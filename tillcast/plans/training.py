@@ -15,6 +15,7 @@ from tillcast.operators import adstock as ads
 from tillcast.operators import campaigns as camp
 from tillcast.operators import dataset as ds
 from tillcast.operators import encoders as enc
+from tillcast.operators.daily import date_extent
 from tillcast.operators.indicators import IndicatorSpec, day_indicators
 from tillcast.operators.lags import LagSpec, lag_features, lag_names
 from tillcast.operators.outlets import OutletFilter, attach_daily, usable_outlets
@@ -63,12 +64,12 @@ def fold_table(series: DataFrame, daily: DataFrame | None, campaigns: DataFrame
     """Usable outlets with daily, campaign and calendar features, tagged with fold and role."""
     if spec.outlets:
         series = usable_outlets(series, spec.outlets)
+    extent = date_extent(series)[:2]  # of the staged series alone: the joins are not run for it
     days = attach_daily(series, stage(daily, "daily") if daily is not None else None)
-    folds = split(days, spec.split)
+    folds = split(days, spec.split, extent=extent)
     if campaigns is not None:
         campaigns = stage(campaigns, "campaigns")
-        extent = series.agg(F.min("date").alias("first"), F.max("date").alias("last"))
-        spine = extent.select("first", "last", F.explode(F.sequence("first", "last")).alias("date"))
+        spine = camp.day_range(series.sparkSession, *[d.isoformat() for d in extent])
         folds = attach_daily(folds, stage(camp.campaign_indicators(campaigns, spine), "campaign-days"))
         if spec.adstock:
             stock = stage(ads.adstock(camp.campaign_daily_cost(campaigns), spec.adstock), "adstock")
