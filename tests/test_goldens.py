@@ -345,6 +345,9 @@ def test_key_by_first_date(spark):
 def test_calendar_and_densify(rows):
     df = rows([("1", DAYS[0], 1.0), ("1", DAYS[3], 2.0), ("2", DAYS[1], 3.0)], "outlet STRING, date DATE, v DOUBLE")
     assert listed(d.densify(df, ["outlet"]).groupBy("outlet").count(), "outlet") == [("1", 4), ("2", 1)]
+    longer = d.extend_series(df, ["outlet"], DAYS[3])
+    assert listed(longer.groupBy("outlet").count(), "outlet") == [("1", 2), ("2", 3)]
+    assert longer.where("v IS NULL").count() == 2
     spans = rows([(DAYS[3], DAYS[0]), (DAYS[0], DAYS[1])], "a DATE, b DATE")
     assert d.calendar(spans, "a", "b").count() == 2
     assert d.fill_missing(df, {}) is df

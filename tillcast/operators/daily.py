@@ -114,6 +114,14 @@ def densify(df: DataFrame, keys: list[str], date: str = "date") -> DataFrame:
     return spine.join(df, [*keys, date], "left")
 
 
+def extend_series(df: DataFrame, keys: list[str], end: str, date: str = "date") -> DataFrame:
+    """Add empty days after the last one of each series up to ``end``; a series that reaches it stays."""
+    until = F.lit(end).cast("date")
+    last = df.groupBy(*keys).agg(F.max(date).alias("_last"))
+    added = calendar(last, F.date_add("_last", 1), until).select(*keys, F.col("date").alias(date))
+    return df.unionByName(added, allowMissingColumns=True)
+
+
 def fill_missing(df: DataFrame, values: dict) -> DataFrame:
     """Replace NULLs by a column-to-value map; names that are absent are ignored."""
     known = {c: v for c, v in (values or {}).items() if c in df.columns}

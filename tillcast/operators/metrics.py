@@ -21,12 +21,18 @@ def confusion_matrix(df: DataFrame, by: list[str], labels: list[str], actual: st
 
 def class_metrics(counts: DataFrame, by: list[str]) -> DataFrame:
     """Precision, recall and F1 of each class; a class without any denominator scores 0."""
-    side = F.explode(
-        F.array(
-            F.struct(F.col("actual").alias("class"), F.col("n").alias("as_actual"), F.lit(0).cast("bigint").alias("as_predicted"), F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0).cast("bigint").alias("hits")),
-            F.struct(F.col("predicted").alias("class"), F.lit(0).cast("bigint").alias("as_actual"), F.col("n").alias("as_predicted"), F.lit(0).cast("bigint").alias("hits")),
+    n, none = F.col("n"), F.lit(0).cast("bigint")
+
+    def entry(column: str, as_actual, as_predicted, hits):
+        return F.struct(
+            F.col(column).alias("class"),
+            as_actual.alias("as_actual"),
+            as_predicted.alias("as_predicted"),
+            hits.alias("hits"),
         )
-    )
+
+    hits = F.when(F.col("actual") == F.col("predicted"), n).otherwise(none)
+    side = F.explode(F.array(entry("actual", n, none, hits), entry("predicted", none, n, none)))
     sums = (
         counts.select(*by, side.alias("s"))
         .groupBy(*by, F.col("s.class").alias("class"))

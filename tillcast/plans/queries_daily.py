@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.functions.names import normalise_columns, normalised_text
-from tillcast.functions.values import day, day_from_parts, inference_days, lookback_days, number
+from tillcast.functions.values import day_from_parts, inference_days, lookback_days, number
 from tillcast.operators import adstock as ads
 from tillcast.operators import campaigns as camp
 from tillcast.operators import daily as d
@@ -330,6 +330,19 @@ def calendar_spine(spark: SparkSession, sf: str) -> DataFrame:
     return present(_sparse_users(spark, sf))
 
 
+@query(
+    "extend_series",
+    with_sql(
+        r.USER_DAILY,
+        """SELECT outlet, CAST(date AS VARCHAR) AS date, proxyrevenue FROM user_daily
+  UNION ALL SELECT outlet, CAST(CAST(unnest(generate_series(max(date) + 1, DATE '2024-01-29', INTERVAL 1 DAY)) AS DATE) AS VARCHAR), NULL
+  FROM user_daily GROUP BY outlet HAVING max(date) < DATE '2024-01-29'""",
+    ),
+)
+def extend_series(spark: SparkSession, sf: str) -> DataFrame:
+    return present(d.extend_series(r.user_daily(spark, sf), ["outlet"], "2024-01-29"))
+
+
 @query(
     "outlet_zero_share_filter",
     with_sql(
