@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import chat_format, decontaminate, language_id, minmax_dedup, quartile_digest, source_mix, warc_zip
+from tillcast.llm import chat_format, decontaminate, html_extract, language_id, licence_scan, minmax_dedup, quartile_digest, source_mix, token_count, warc_zip
 from tillcast.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,12 +72,34 @@ def op3_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+@query
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by trees learned from pages composed of this table's text blocks."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract_text(pages, html_extract.fit_extractor(pages))
+
+
 @query
 def op5_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how like they are."""
     return quartile_digest.digest_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram tokens of every document."""
+    return token_count.token_counts(table(spark, sf_dir, "documents"), token_count.load_unigram())
+
+
+@query
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that a line, paragraph or the whole of a document states."""
+    return licence_scan.licences(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_licence_scan"] = licence_scan.licences_sql()
+
+
 @query
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold four fifths of a benchmark item's five-word shingles."""
