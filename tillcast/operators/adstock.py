@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Weight of a spend that no longer changes a double.
-_NEGLIGIBLE = 1e-17
-_LONGEST_FRAME = 512
+# Rows of a series that are folded one by one; the levels at the ends of such blocks are then carried on.
+_BLOCK = 64
 
 
 @dataclass(frozen=True)
@@ -31,52 +27,28 @@ class AdstockSpec:
         return float(self.weights.get(column, self.weight))
 
 
-def frame_rows(weight: float) -> int | None:
-    """Rows after which a spend is negligible; None where a bounded frame does not pay."""
-    if weight == 0:
-        return 0
-    if not 0 < weight < 1:
-        return None
-    rows = math.ceil(math.log(_NEGLIGIBLE) / math.log(weight))
-    return rows if rows <= _LONGEST_FRAME else None
-
+def _weight(spec: AdstockSpec) -> Column:
+    """The weight of a row's channel."""
+    weight = None
+    for c in spec.columns:
+        hit = F.col("channel") == c
+        weight = F.when(hit, spec.weight_of(c)) if weight is None else weight.when(hit, spec.weight_of(c))
+    return weight
 
-def _carry(weight: float):
-    return lambda level, cost: level * F.lit(weight) + cost
 
-
-def _carried(spec: AdstockSpec) -> Column | None:
-    """The recursion as a fold over a bounded frame, by channel; None if some weight needs the whole series."""
-    w = W.partitionBy(*spec.keys, "channel").orderBy("date")
-    by_weight: dict[float, list[str]] = {}
-    for c in spec.columns:
-        by_weight.setdefault(spec.weight_of(c), []).append(c)
-    value = None
-    for weight, names in by_weight.items():
-        rows = frame_rows(weight)
-        if rows is None:
-            return None
-        spends = F.collect_list("cost").over(w.rowsBetween(-rows, 0))
-        folded = F.aggregate(spends, F.lit(0.0), _carry(weight))
-        of_these = F.col("channel").isin(names)
-        value = F.when(of_these, folded) if value is None else value.when(of_these, folded)
-    return value
-
-
-def _whole_series(long: DataFrame, spec: AdstockSpec) -> DataFrame:
-    """Weights near or above 1: one pass over each channel's days (one row per calendar day)."""
-    weights = {c: spec.weight_of(c) for c in spec.columns}
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date", ignore_index=True)
-        weight, carried, level = weights[pdf["channel"].iloc[0]], np.empty(len(pdf)), 0.0
-        for i, cost in enumerate(pdf["cost"].to_numpy()):
-            level = level * weight + cost
-            carried[i] = level
-        return pdf.assign(adstock=carried)
-
-    schema = long.schema.simpleString()[7:-1] + ",adstock:double"
-    return long.groupBy(*spec.keys, "channel").applyInPandas(run, schema.replace(":", " "))
+def _levels(long: DataFrame, spec: AdstockSpec) -> DataFrame:
+    """The recursion for any weight and length: a fold inside each block of rows, plus what the ends of the blocks
+    before it leave after as many rows. A row thus folds at most one block and one value per earlier block."""
+    series = W.partitionBy(*spec.keys, "channel").orderBy("date")
+    place = F.row_number().over(series) - 1
+    rows = long.withColumns({"_weight": _weight(spec), "_block": F.floor(place / _BLOCK), "_at": place % _BLOCK + 1})
+    inside = W.partitionBy(*spec.keys, "channel", "_block").orderBy("date").rowsBetween(W.unboundedPreceding, 0)
+    weight = F.col("_weight")
+    own = F.aggregate(F.collect_list("cost").over(inside), F.lit(0.0), lambda level, cost: level * weight + cost)
+    rows = rows.withColumn("_own", own)
+    ends = F.collect_list(F.when(F.col("_at") == _BLOCK, F.col("_own"))).over(series.rowsBetween(W.unboundedPreceding, -1))
+    carried = F.aggregate(ends, F.lit(0.0), lambda level, end: level * F.pow(weight, F.lit(_BLOCK)) + end)
+    return rows.withColumn("adstock", F.col("_own") + carried * F.pow(weight, "_at")).drop("_weight", "_block", "_at", "_own")
 
 
 def adstock_long(daily: DataFrame, spec: AdstockSpec) -> DataFrame:
@@ -85,8 +57,7 @@ def adstock_long(daily: DataFrame, spec: AdstockSpec) -> DataFrame:
         *spec.keys, "date", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in spec.columns]
     )
     long = costs.unpivot([*spec.keys, "date"], list(spec.columns), "channel", "cost")
-    carried = _carried(spec)
-    return _whole_series(long, spec) if carried is None else long.withColumn("adstock", carried)
+    return _levels(long, spec)
 
 
 def _tail(long: DataFrame, spec: AdstockSpec) -> DataFrame:
@@ -95,14 +66,10 @@ def _tail(long: DataFrame, spec: AdstockSpec) -> DataFrame:
     last = long.groupBy(*spec.keys, "channel").agg(
         F.max_by(F.struct("date", "cost", "adstock"), "date").alias("end")
     )
-    weight = None
-    for c in spec.columns:
-        hit = F.col("channel") == c
-        weight = F.when(hit, spec.weight_of(c)) if weight is None else weight.when(hit, spec.weight_of(c))
     step = F.explode(F.sequence(F.lit(1), F.lit(spec.days + 1)))
     floor = F.lit(spec.threshold) * F.col("end.cost")
     # Levels never rise for a weight up to 1, so a later step passes only if all earlier ones did.
-    steps = last.select("*", step.alias("k"), weight.alias("w"))
+    steps = last.select("*", step.alias("k"), _weight(spec).alias("w"))
     level = F.col("end.adstock") * F.pow("w", F.col("k") - 1)
     if any(spec.weight_of(c) > 1 for c in spec.columns):
         raise ValueError("a carried share above 1 never fades: no tail exists")

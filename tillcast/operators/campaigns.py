@@ -14,19 +14,30 @@ from tillcast.functions.names import normalise_name
 from tillcast.operators.daily import require_columns
 
 CAMPAIGN = ["name", "start", "end"]
-MAX_CHANNELS = 1000
 
 
 def channels(costs: DataFrame, mode: str = "mode") -> list[str]:
-    """Fit step: the channel names, which become columns."""
-    found = [r[0] for r in costs.select(mode).distinct().where(F.col(mode).isNotNull()).limit(MAX_CHANNELS + 1).collect()]
-    if len(found) > MAX_CHANNELS:
-        raise ValueError(f"more than {MAX_CHANNELS} channels: is {mode!r} the channel column?")
-    return sorted(found)
+    """Fit step of a wide table: the channel names, which become columns. ``channel_costs`` and ``channel_daily_cost``
+    keep channels as rows where there may be more of them than a table has columns."""
+    return sorted(r[0] for r in costs.select(mode).where(F.col(mode).isNotNull()).distinct().collect())
+
+
+def channel_costs(costs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row per campaign and channel, for any number of channels; campaigns without any cost have none."""
+    require_columns(costs, [*keys, *CAMPAIGN, "mode", "cost"])
+    return costs.where("mode IS NOT NULL AND cost IS NOT NULL").groupBy(*keys, *CAMPAIGN, "mode").agg(F.sum("cost").alias("cost"))
+
+
+def channel_daily_cost(costs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``date, mode, cost``: the daily share of each channel as rows, for any number of channels."""
+    duration = F.date_diff("end", "start") + 1
+    daily = costs.where("mode IS NOT NULL AND cost IS NOT NULL").select(*keys, "start", "end", "mode", (F.col("cost") / duration).alias("cost"))
+    return campaign_days(daily).groupBy(*keys, "date", "mode").agg(F.sum("cost").alias("cost"))
 
 
 def campaign_pivot(costs: DataFrame, modes: list[str], keys: tuple[str, ...] = ()) -> DataFrame:
-    """One row per campaign, one column per channel; campaigns without any cost are dropped, other gaps are 0."""
+    """One row per campaign, one column per channel of the caller's list; campaigns without any cost in those
+    channels are dropped, other gaps are 0. ``channel_costs`` has rows for channels that nobody listed."""
     require_columns(costs, [*keys, *CAMPAIGN, "mode", "cost"])
     names = [normalise_name(m) for m in modes]
     wide = costs.groupBy(*keys, *CAMPAIGN).agg(

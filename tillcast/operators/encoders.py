@@ -7,12 +7,12 @@ per fold, outlet and column, and are joined without a hint: staged, their file s
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillcast.functions.values import total
 
 STANDARDIZE, NORMALIZE = "standardize", "normalize"
-MAX_CATEGORIES = 10_000
 
 
 def training(df: DataFrame) -> DataFrame:
@@ -35,14 +35,29 @@ def ordinal_encode(df: DataFrame, orders: dict[str, list[str]]) -> DataFrame:
 # --- one-hot -------------------------------------------------------------------------------------------
 
 
-def fit_one_hot(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``fold, column, categories``: the sorted categories seen in training, after a check of their number."""
+def fit_categories(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``fold, column, value, place``: the categories seen in training, numbered from 0 in order, as rows."""
     long = training(df).select("fold", *columns).unpivot(["fold"], columns, "column", "value")
     values = long.where("value IS NOT NULL").distinct()
-    most = values.groupBy("fold", "column").count().agg(F.max("count")).first()[0] or 0
-    if most > MAX_CATEGORIES:
-        raise ValueError(f"{most} categories are too many to one-hot encode")
-    return values.groupBy("fold", "column").agg(F.array_sort(F.collect_list("value")).alias("categories"))
+    order = W.partitionBy("fold", "column").orderBy("value")
+    return values.withColumn("place", F.row_number().over(order) - 1)
+
+
+def category_rows(df: DataFrame, categories: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, fold, column, value, place``: the indicators that are 1, as rows, for any number of categories.
+
+    The first category of a fold and values that its training rows did not show have no indicator.
+    """
+    columns = [r["column"] for r in categories.select("column").distinct().collect()]
+    long = df.select(*keys, "fold", *columns).unpivot([*keys, "fold"], columns, "column", "value")
+    return long.join(categories.where("place > 0"), ["fold", "column", "value"]).select(*keys, "fold", "column", "value", "place")
+
+
+def fit_one_hot(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``fold, column, categories``: the sorted categories seen in training. The caller's columns are made wide, one
+    column per category; ``category_rows`` is for those with more categories than a table has columns."""
+    categories = fit_categories(df, columns)
+    return categories.groupBy("fold", "column").agg(F.array_sort(F.collect_list("value")).alias("categories"))
 
 
 def one_hot_categories(params: DataFrame) -> dict[tuple[str, str], list[int]]:
