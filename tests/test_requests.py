@@ -59,6 +59,25 @@ def test_rules(rows):
     assert rq.rejected(checked).count() == len(FLAWS)
 
 
+@pytest.mark.parametrize(
+    ("part", "field"),
+    [
+        *[("outlet", f) for f in ["inference_date", "cost_centre_code", "type", *rq.DAY_FIELDS]],
+        *[("lag", f) for f in ["lag_sales_date", "lag_sales"]],
+        *[("campaign", f) for f in ["campaign_start_date", "campaign_end_date", "marketing_channels", "total_cost"]],
+    ],
+)
+def test_a_missing_field_is_an_error(rows, part, field):
+    checked = rq.check_requests(parsed(rows, body(**{part: {field: None}}), body()))
+    assert {r["request_id"]: bool(r["errors"]) for r in checked.collect()} == {"0": True, "1": False}
+
+
+def test_channels_by_name(rows):
+    other = [*rq.CHANNELS[:-1], "Sky Writing"]
+    checked = rq.check_requests(parsed(rows, body(campaign={"marketing_channels": other})))
+    assert checked.first()["errors"] == ["unknown marketing channel"]
+
+
 def test_text_that_is_no_request(rows):
     checked = rq.check_requests(parsed(rows, "nonsense", "{}"))
     assert rq.accepted(checked).count() == 0

@@ -42,33 +42,53 @@ def parse_requests(df: DataFrame, body: str = "body") -> DataFrame:
     return df.select("request_id", "request_date", parsed).select("request_id", "request_date", "_r.*")
 
 
+def _length(values: Column) -> Column:
+    """Elements of an array; −1 where there is none, so that a missing array breaks every rule about its length."""
+    return F.coalesce(F.size(values), F.lit(-1))
+
+
 def _bad_dates(dates: Column) -> Column:
     return F.exists(dates, lambda d: day(d).isNull())
 
 
 def check_requests(requests: DataFrame) -> DataFrame:
-    """Add ``errors``: every rule the request breaks, an empty array for a good one."""
+    """Add ``errors``: every rule the request breaks, an empty array for a good one.
+
+    No field has a default: a request without a field that scoring needs says so here.
+    """
     outlet, lag = F.try_element_at("outlet_attributes", F.lit(1)), F.try_element_at("lag_sales_attributes", F.lit(1))
-    days = F.size(outlet["inference_date"])
-    lag_days = F.size(lag["lag_sales_date"])
+    days, lag_days = _length(outlet["inference_date"]), _length(lag["lag_sales_date"])
+    one_outlet, one_lag = _length(F.col("outlet_attributes")) == 1, _length(F.col("lag_sales_attributes")) == 1
     uneven = F.lit(False)
     for f in DAY_FIELDS:
-        uneven = uneven | (F.coalesce(F.size(outlet[f]), F.lit(-1)) != days)
+        uneven = uneven | (_length(outlet[f]) != days)
     campaigns = F.coalesce("mkt_attributes", F.array().cast(requests.schema["mkt_attributes"].dataType))
+    listed = F.array(*[F.lit(c) for c in CHANNELS])
     rules = {
-        "exactly one outlet block": F.coalesce(F.size("outlet_attributes"), F.lit(0)) != 1,
-        "exactly one lag sales block": F.coalesce(F.size("lag_sales_attributes"), F.lit(0)) != 1,
+        "exactly one outlet block": ~one_outlet,
+        "exactly one lag sales block": ~one_lag,
+        "inference date is missing": one_outlet & (days < 1),
+        "cost centre code is missing": one_outlet & outlet["cost_centre_code"].isNull(),
+        "outlet type is missing": one_outlet & outlet["type"].isNull(),
         "inference date is not a date": _bad_dates(outlet["inference_date"]),
         "lag sales date is not a date": _bad_dates(lag["lag_sales_date"]),
         "campaign date is not a date": F.exists(
             campaigns, lambda m: day(m["campaign_start_date"]).isNull() | day(m["campaign_end_date"]).isNull()
         ),
-        "outlet fields differ in length": uneven,
-        "lag sales fields differ in length": F.coalesce(F.size(lag["lag_sales"]), F.lit(-1)) != lag_days,
-        f"fewer than {MIN_LAG_DAYS} lag days": lag_days < MIN_LAG_DAYS,
+        "outlet fields differ in length": one_outlet & uneven,
+        "lag sales fields differ in length": one_lag & (_length(lag["lag_sales"]) != lag_days),
+        f"fewer than {MIN_LAG_DAYS} lag days": one_lag & (lag_days < MIN_LAG_DAYS),
         "too few marketing channels": F.exists(
             campaigns,
-            lambda m: (F.size(m["marketing_channels"]) < len(CHANNELS)) | (F.size(m["total_cost"]) < len(CHANNELS)),
+            lambda m: (_length(m["marketing_channels"]) < len(CHANNELS)) | (_length(m["total_cost"]) < len(CHANNELS)),
+        ),
+        "unknown marketing channel": F.exists(
+            campaigns, lambda m: F.size(F.array_except(m["marketing_channels"], listed)) > 0
+        ),
+        "campaign fields differ in length": F.exists(
+            campaigns,
+            lambda m: (_length(m["marketing_channels"]) != _length(m["total_cost"]))
+            & (F.least(_length(m["marketing_channels"]), _length(m["total_cost"])) >= len(CHANNELS)),
         ),
     }
     found = F.array(*[F.when(F.coalesce(broken, F.lit(False)), F.lit(name)) for name, broken in rules.items()])

@@ -14,7 +14,9 @@ from tillcast.operators import encoders as enc
 from tillcast.operators import requests as rq
 from tillcast.operators.indicators import booleans_to_int, weekday_flag
 from tillcast.operators.lags import lag_features
+from tillcast.operators.ordinal_model import OrdinalModel
 from tillcast.plans.training import TrainingSpec, encode
+from tillcast.sources.artefacts import ArtefactStore, lookup
 
 KEY = ("request_id",)
 
@@ -30,6 +32,24 @@ class Artefacts:
     scaled: tuple[str, ...]
 
 
+def save_artefacts(artefacts: Artefacts, store: ArtefactStore, run_id: str) -> None:
+    """Store what scoring needs: the ordinal model's parameters, the scaling and the one-hot categories of all folds."""
+    spark = store.spark
+    store.save("model", run_id, artefacts.model.parameters(spark).withColumn("fold", F.lit(artefacts.fold)))
+    store.save("scaling", run_id, artefacts.scaling)
+    store.save("scaled", run_id, spark.createDataFrame([(c,) for c in artefacts.scaled], "column STRING"))
+    if artefacts.one_hot is not None:
+        store.save("one_hot", run_id, artefacts.one_hot)
+
+
+def load_artefacts(store: ArtefactStore, run_id: str | None, fold: int, spec: TrainingSpec) -> Artefacts:
+    """The stored parameters of one fold; of the asked run, or of the only one."""
+    model = OrdinalModel.from_parameters(lookup(store.load("model", run_id), fold))
+    one_hot = lookup(store.load("one_hot", run_id), fold) if spec.one_hot else None
+    scaled = tuple(sorted(r["column"] for r in store.load("scaled", run_id).collect()))
+    return Artefacts(model, fold, lookup(store.load("scaling", run_id), fold), one_hot, scaled)
+
+
 def request_features(good: DataFrame, spec: TrainingSpec) -> DataFrame:
     """One row per request and day to predict, with calendar, campaign and lag features.
 
@@ -84,11 +104,39 @@ def format_predictions(scored: DataFrame) -> DataFrame:
 
 
 def score(requests: DataFrame, artefacts: Artefacts, spec: TrainingSpec) -> DataFrame:
-    """Parsed requests to response rows. Requests that break a rule are left to ``requests.rejected``."""
+    """Parsed requests to response rows; ``request_outcomes`` accounts for the requests and days without one."""
     good = rq.accepted(rq.check_requests(requests))
     return format_predictions(artefacts.model.transform(assemble(good, artefacts, spec)))
 
 
+SCORED, REJECTED, INCOMPLETE = "scored", "rejected", "look-back incomplete"
+
+
+def request_outcomes(checked: DataFrame, features: DataFrame) -> DataFrame:
+    """``request_id, request_date, date, status, reason``: what became of every request.
+
+    A request that breaks rules is one row without a date. Of the others each day to predict is one row: scored if
+    ``features`` holds it, else its look-back does not reach far enough for its lags.
+    """
+    refused = rq.rejected(checked).select(
+        "request_id",
+        "request_date",
+        F.lit(None).cast("date").alias("date"),
+        F.lit(REJECTED).alias("status"),
+        F.array_join("errors", "; ").alias("reason"),
+    )
+    asked = rq.outlet_rows(rq.accepted(checked)).select("request_id", "request_date", "date").distinct()
+    held = features.select("request_id", "date", F.lit(SCORED).alias("found")).distinct()
+    days = asked.join(held, ["request_id", "date"], "left").select(
+        "request_id",
+        "request_date",
+        "date",
+        F.coalesce("found", F.lit(REJECTED)).alias("status"),
+        F.when(F.col("found").isNull(), INCOMPLETE).alias("reason"),
+    )
+    return refused.unionByName(days)
+
+
 def explain(requests: DataFrame, artefacts: Artefacts, spec: TrainingSpec) -> DataFrame:
     """What every feature adds to each prediction (additive model)."""
     good = rq.accepted(rq.check_requests(requests))
