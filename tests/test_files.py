@@ -1,6 +1,7 @@
 """Sources, sinks, stored parameters, staging, and the request stream."""
 
 import json
+import os
 
 import pytest
 from conftest import listed
@@ -13,7 +14,7 @@ from tillcast.plans.scoring import score
 from tillcast.session import shared_dir, stage
 from tillcast.sources import readers, sinks
 from tillcast.sources.artefacts import ArtefactStore, lookup
-from tillcast.streaming.score_stream import BODY_SCHEMA, request_stream, start_scoring
+from tillcast.streaming.score_stream import BODY_SCHEMA, request_stream, score_batch, start_scoring
 
 SF = "/root/testdata/sf0.001"
 
@@ -94,3 +95,20 @@ def test_stream(spark, tmp_path):
         assert row["sales_class_name"] == qm.LABELS[int(row["sales_class_id"])]
         best = max(row["probabilities"].values())
         assert row["probabilities"][row["sales_class_id"]] == best
+
+
+def test_batch_run_twice_leaves_each_row_once(spark, tmp_path):
+    out = str(tmp_path / "out")
+    spec = qm.user_spec()
+    artefacts = qm.user_artefacts(spark, SF)
+    bodies = spark.createDataFrame([("good", TODAY, body()), ("bad", TODAY, body(range(-6, 0)))], BODY_SCHEMA)
+    before = set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    for _ in range(2):
+        score_batch(bodies, artefacts, spec, out, 7)
+    score_batch(bodies.where("request_id = 'good'"), artefacts, spec, out, 8)
+    got = [(r["batch_id"], r["request_id"], r["date"]) for r in spark.read.json(f"{out}/predictions").collect()]
+    assert len(got) == len(set(got)) == 14
+    requests = sinks.read_log(spark, f"{out}/requests", "batch_id BIGINT, request_id STRING, request_date DATE, body STRING")
+    assert sorted((r["batch_id"], r["request_id"]) for r in requests.collect()) == [(7, "bad"), (7, "good"), (8, "good")]
+    left = {f for f in set(os.listdir(shared_dir(spark).removeprefix("file:"))) - before if f.startswith("requests")}
+    assert not left  # what a batch staged goes with it

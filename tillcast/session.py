@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,3 +94,16 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """``stage`` for a limited time: the files go at the end of the block, as a long-running stream needs."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -17,15 +16,14 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Parquet; with partition columns only the partitions present in ``df`` are replaced.
 
-    Rows are clustered on the partition columns plus a hash of the row, so that no task writes to
-    every partition and a partition that holds most rows still goes to many tasks.
+    Rows are clustered on the partition columns, so that no task writes to every partition; a partition
+    that holds most rows is split by its size at run time.
     """
     if not partition_by:
         df.write.mode("overwrite").parquet(path)
         return
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in partition_by]), F.lit(64))
     (
-        df.repartition(*partition_by, spread)
+        df.hint("rebalance", *partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -37,6 +35,12 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def append_log(df: DataFrame, path: str, day_column: str = "request_date") -> None:
-    """Append requests or responses to a JSON log, one folder per day."""
-    df.write.mode("append").partitionBy(day_column).json(path)
+def write_log(df: DataFrame, path: str, batch: int | str, day_column: str = "request_date") -> None:
+    """Requests or responses of one batch as JSON, a folder per batch and day. Writing a batch again replaces it, so a
+    retried batch leaves each row once."""
+    df.write.mode("overwrite").partitionBy(day_column).json(f"{path}/batch_id={batch}")
+
+
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All batches of a log, with ``batch_id`` and the day it is kept by."""
+    return spark.read.schema(schema).json(path)

@@ -8,8 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tillcast.operators import requests as rq
 from tillcast.plans.scoring import Artefacts, score
 from tillcast.plans.training import TrainingSpec
-from tillcast.session import stage
-from tillcast.sources.sinks import append_log
+from tillcast.session import staged
+from tillcast.sources.sinks import write_log
 
 BODY_SCHEMA = "request_id STRING, request_date DATE, body STRING"
 
@@ -21,17 +21,23 @@ def request_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000
 def start_scoring(
     bodies: DataFrame, artefacts: Artefacts, spec: TrainingSpec, output: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Append predictions and rejected requests as JSON under ``output``.
+    """Write predictions, rejected requests and the requests themselves as JSON under ``output``, a folder per batch.
 
-    Requests are independent, so no state is kept between batches; a failed batch is read again from the
-    checkpointed offsets. A batch that is retried after a partial write can repeat rows: readers keep one per
-    ``request_id, date``.
+    Requests are independent, so no state is kept between batches. A failed batch is read again from the
+    checkpointed offsets under the same number and replaces what it wrote before: each row is there once.
     """
 
-    def handle(batch: DataFrame, _: int) -> None:
-        requests = stage(rq.parse_requests(batch), "requests")
-        append_log(score(requests, artefacts, spec), f"{output}/predictions")
-        append_log(rq.rejected(rq.check_requests(requests)), f"{output}/rejected")
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        score_batch(batch, artefacts, spec, output, batch_id)
 
     writer = bodies.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def score_batch(bodies: DataFrame, artefacts: Artefacts, spec: TrainingSpec, output: str, batch_id: int | str) -> None:
+    """Score one table of request texts and log requests, predictions and outcomes; a batch run calls it as well."""
+    with staged(rq.parse_requests(bodies), "requests") as requests:
+        checked = rq.check_requests(requests)
+        write_log(bodies, f"{output}/requests", batch_id)
+        write_log(score(requests, artefacts, spec), f"{output}/predictions", batch_id)
+        write_log(rq.rejected(checked), f"{output}/rejected", batch_id)
