@@ -80,6 +80,21 @@ def test_every_option(spark, inputs):
     assert got["training"]["accuracy"] > 0.35  # window features that include the day itself tell the class
 
 
+def test_folds_do_not_share_their_selection(spark, inputs):
+    """Fold 1 is the same whether or not a later fold selects features of its own."""
+    window = sp.SplitSpec(sp.EXPANDING, 700, 60, 60, 2, expansion_days=150)
+    spec = qf.training_spec(split=window, rolling=RollingSpec(shift=0), rolling_count=4, rolling_significant=1)
+    both = tr.prepare(*inputs, spec)
+    alone = tr.prepare(*inputs, qf.training_spec(split=sp.SplitSpec(sp.EXPANDING, 700, 60, 60, 1, expansion_days=150), rolling=spec.rolling, rolling_count=4, rolling_significant=1))
+    assert both.chosen[1] == alone.chosen[1] and both.chosen[1] != both.chosen[2]
+    got, features = tr.fold_dataset(both, spec, 1)
+    expected, same = tr.fold_dataset(alone, spec, 1)
+    assert features == same
+    assert not (set(both.chosen[2]) - set(both.chosen[1])) & set(features)
+    columns = ["outlet", "date", "role", *features]
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(map(tuple, expected.select(*columns).collect()))
+
+
 def test_unknown_model_name_means_the_additive_one(spark, inputs):
     spec = qf.training_spec()
     rows, features = tr.fold_dataset(tr.prepare(*inputs, spec), spec, 1)

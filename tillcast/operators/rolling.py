@@ -27,23 +27,28 @@ def feature_settings(spec: RollingSpec) -> dict[str, tuple[str, Setting]]:
 
 
 def rolling_features(
-    series: DataFrame, spec: RollingSpec = RollingSpec(), only: list[str] | None = None, complete: bool = True
+    series: DataFrame,
+    spec: RollingSpec = RollingSpec(),
+    only: list[str] | None = None,
+    complete: bool = True,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Keys, date and one column per feature; rows with a NULL source value are dropped first.
 
     The window and the shift are one set of lag columns over a single sort of the series, so the features
     need no further shuffle. ``only`` restricts them to a selection. Features that a window of this length
     cannot have are NULL in every row and left out when ``complete``; then rows with a NULL go as well.
+    ``carry`` names columns of the series to keep beside them.
     """
     wanted = {n: v for n, v in feature_settings(spec).items() if only is None or n in only}
     w = W.partitionBy(*spec.keys).orderBy("date")
-    rows = series.select(*spec.keys, "date", *spec.columns).na.drop("any", subset=list(spec.columns))
+    rows = series.select(*spec.keys, "date", *spec.columns, *carry).na.drop("any", subset=list(spec.columns))
     cells = {
         f"_x{i}_{c}": F.lag(c, spec.shift + spec.days - 1 - i).over(w)
         for c in spec.columns
         for i in range(spec.days)
     }
-    rows = rows.select(*spec.keys, "date", *[e.cast("double").alias(n) for n, e in cells.items()])
+    rows = rows.select(*spec.keys, "date", *carry, *[e.cast("double").alias(n) for n, e in cells.items()])
     if complete:
         rows = rows.na.drop("any", subset=list(cells))
     plain = {c: [F.col(f"_x{i}_{c}") for i in range(spec.days)] for c in spec.columns}
@@ -56,7 +61,7 @@ def rolling_features(
     for name, (c, setting) in wanted.items():
         x = Cells(plain[c], F.col(f"_mean_{c}"), F.col(f"_var_{c}"), F.col(f"_sorted_{c}"))
         made[name] = feature(x, setting)
-    return rows.select(*spec.keys, "date", *[e.alias(n) for n, e in made.items()])
+    return rows.select(*spec.keys, "date", *carry, *[e.alias(n) for n, e in made.items()])
 
 
 def join_rolling(folds: DataFrame, features: DataFrame, keys: tuple[str, ...] = ("fold", "role", "outlet")) -> DataFrame:

@@ -58,42 +58,63 @@ class Prepared:
     one_hot: DataFrame | None
     selected: DataFrame | None
     scaled: tuple[str, ...]
+    chosen: dict[int, list[str]] = field(default_factory=dict)
 
 
 def fold_table(series: DataFrame, daily: DataFrame | None, campaigns: DataFrame | None, spec: TrainingSpec) -> DataFrame:
-    """Usable outlets with daily, campaign and calendar features, tagged with fold and role."""
+    """Usable outlets with daily, campaign and calendar features, tagged with fold and role.
+
+    All features of a day depend on its date alone, so they are joined before the split, which stays a projection: a
+    day is shuffled once however many folds hold it.
+    """
     if spec.outlets:
         series = usable_outlets(series, spec.outlets)
     extent = date_extent(series)[:2]  # of the staged series alone: the joins are not run for it
     days = attach_daily(series, stage(daily, "daily") if daily is not None else None)
-    folds = split(days, spec.split, extent=extent)
     if campaigns is not None:
         campaigns = stage(campaigns, "campaigns")
         spine = camp.day_range(series.sparkSession, *[d.isoformat() for d in extent])
-        folds = attach_daily(folds, stage(camp.campaign_indicators(campaigns, spine), "campaign-days"))
+        days = attach_daily(days, stage(camp.campaign_indicators(campaigns, spine), "campaign-days"))
         if spec.adstock:
             stock = stage(ads.adstock(camp.campaign_daily_cost(campaigns), spec.adstock), "adstock")
-            folds = ads.join_adstock(folds, stock)
-    return ds.drop_columns(day_indicators(folds, spec.indicators), list(spec.drop))
+            days = ads.join_adstock(days, stock)
+    days = ds.drop_columns(day_indicators(days, spec.indicators), list(spec.drop))
+    return split(days, spec.split, extent=extent)
 
 
 def select_rolling(binned: DataFrame, spec: TrainingSpec) -> DataFrame:
     """``fold, feature, p_value, place``: the best window features of each fold's training rows."""
     label = f"binned_{spec.target}"
-    rows = enc.training(binned)
-    made = stage(rolling_features(rows, spec.rolling), "rolling")
+    rows = enc.training(binned).withColumn("label", F.col(label))
+    made = stage(rolling_features(rows, spec.rolling, carry=("label",)), "rolling")
     names = [c for c in feature_settings(spec.rolling) if c in made.columns]
-    keyed = made.join(rows.select(*spec.rolling.keys, "date", F.col(label).alias("label")), [*spec.rolling.keys, "date"])
-    table = relevance_table(keyed, names, list(spec.labels), spec.rolling_significant)
+    table = relevance_table(made, names, list(spec.labels), spec.rolling_significant)
     return top_features(table, spec.rolling_count)
 
 
-def _with_rolling(binned: DataFrame, selected: DataFrame, spec: TrainingSpec) -> DataFrame:
-    wanted = sorted({r["feature"] for r in selected.select("feature").distinct().collect()})
+def fold_selection(selected: DataFrame) -> dict[int, list[str]]:
+    """The selected features by fold; at most ``rolling_count`` per fold reach the driver."""
+    found: dict[int, list[str]] = {}
+    for row in selected.select("fold", "feature").distinct().collect():
+        found.setdefault(row["fold"], []).append(row["feature"])
+    return {fold: sorted(names) for fold, names in sorted(found.items())}
+
+
+def _with_rolling(binned: DataFrame, chosen: dict[int, list[str]], spec: TrainingSpec) -> DataFrame:
+    """Each fold's own selection; the features of other folds are NULL in its rows and drop none of them."""
+    wanted = sorted({name for names in chosen.values() for name in names})
     if not wanted:
         return binned
     made = rolling_features(binned, spec.rolling, only=wanted)
-    return join_rolling(binned, made, spec.rolling.keys).na.drop("any", subset=wanted)
+    own = {name: F.when(F.col("fold").isin([f for f, names in chosen.items() if name in names]), F.col(name)) for name in wanted}
+    joined = join_rolling(binned, made, spec.rolling.keys).withColumns(own)
+    gap = F.lit(False)
+    for fold, names in chosen.items():
+        missing = F.lit(False)
+        for name in names:
+            missing = missing | F.col(name).isNull()
+        gap = gap | ((F.col("fold") == fold) & missing)
+    return joined.where(~gap)
 
 
 def prepare(series: DataFrame, daily: DataFrame | None, campaigns: DataFrame | None, spec: TrainingSpec) -> Prepared:
@@ -107,10 +128,11 @@ def prepare(series: DataFrame, daily: DataFrame | None, campaigns: DataFrame | N
     labels = {spec.target: list(spec.labels)}
     bins = stage(enc.fit_bins(folds, labels), "bins")
     table = enc.bin_encode(folds, bins, labels)
-    selected = None
+    selected, chosen = None, {}
     if spec.rolling:
         selected = stage(select_rolling(table, spec), "selected")
-        table = _with_rolling(table, selected, spec)
+        chosen = fold_selection(selected)
+        table = _with_rolling(table, chosen, spec)
     table = stage(table.na.drop("any", subset=lag_names(spec.lags)), "lagged")
     scaled = enc.scaled_columns(table, list(spec.scaled), spec.scale_lags)
     scaling = stage(enc.fit_scaling(table, scaled, spec.scaling), "scaling")
@@ -118,7 +140,7 @@ def prepare(series: DataFrame, daily: DataFrame | None, campaigns: DataFrame | N
     if spec.one_hot:
         one_hot = stage(enc.fit_one_hot(table, list(spec.one_hot)), "one-hot")
     table = encode(enc.scale(table, scaling, scaled, spec.scaling), one_hot, spec)
-    return Prepared(table, bins, scaling, one_hot, selected, tuple(scaled))
+    return Prepared(table, bins, scaling, one_hot, selected, tuple(scaled), chosen)
 
 
 def encode(table: DataFrame, one_hot: DataFrame | None, spec: TrainingSpec) -> DataFrame:
@@ -131,9 +153,11 @@ def encode(table: DataFrame, one_hot: DataFrame | None, spec: TrainingSpec) -> D
 
 
 def fold_dataset(prepared: Prepared, spec: TrainingSpec, fold: int) -> tuple[DataFrame, list[str]]:
-    """Model table of one fold and its features: no source columns, no constant ones, none with gaps."""
+    """Model table of one fold and its features: no source columns, no constant ones, none with gaps, and of the
+    window features those that this fold selected."""
     target = f"binned_{spec.target}"
-    rows = prepared.table.where(F.col("fold") == fold).drop(spec.target)
+    others = {name for names in prepared.chosen.values() for name in names} - set(prepared.chosen.get(fold, []))
+    rows = prepared.table.where(F.col("fold") == fold).drop(spec.target, *others)
     constants = ds.constant_columns(rows, ds.feature_columns(rows, target))
     rows = ds.drop_constant(rows, constants, fold)
     table = ds.model_table(rows, target, list(spec.labels))
