@@ -6,12 +6,14 @@ import math
 import random
 import statistics
 
+import numpy as np
 import pytest
 
 from tillcast.functions import calculators as calc
 from tillcast.operators import metrics as mt
 from tillcast.operators import relevance as rel
 from tillcast.operators import rolling as rol
+from tillcast.operators.ordinal_model import erfc
 
 FIRST = dt.date(2021, 1, 1)
 LABELS = ["Low", "Medium", "High", "Exceptional"]
@@ -140,6 +142,14 @@ def test_p_values():
         assert rel.fisher_p(*args) == pytest.approx(exact(*args))
 
 
+def test_erfc_of_arrays():
+    x = np.concatenate([np.linspace(-9, 9, 4001), [0.0, 26.9, -np.inf, np.inf]])
+    expected = np.array([math.erfc(v) for v in x])
+    near = np.abs(x) < 9.5
+    assert np.allclose(erfc(x)[near], expected[near], rtol=1e-13, atol=0)
+    assert np.allclose(erfc(x), expected, rtol=0, atol=1e-15)
+
+
 def test_relevance(spark):
     df, _ = one_outlet(spark, 3)
     table = {r["feature"]: r for r in rel.relevance_table(df, NAMES, LABELS, 2).collect()}

@@ -7,6 +7,7 @@ differ from a boosting library's while the explanations have the same form.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 from tillcast.operators.ordinal_model import predict
 
+_BAGS_AT_ONCE = 4  # fits that share the cluster; each is a row of short jobs
+
 
 @dataclass(frozen=True)
 class AdditiveSpec:
@@ -154,16 +157,20 @@ def fit_additive(df: DataFrame, features: list[str], labels: list[str], spec: Ad
         featuresCol="_x", labelCol="label_id", family="multinomial", regParam=spec.penalty, maxIter=spec.max_iter,
         standardization=False,
     )
-    matrix, intercept = 0.0, 0.0
     bags = max(spec.outer_bags, 1)
+
+    def fit(bag: int) -> tuple[np.ndarray, np.ndarray]:
+        part = assembled if spec.outer_bags < 2 else assembled.where(_in_bag(bag, spec))
+        fitted = learner.fit(part)
+        return fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
+
     try:
-        for bag in range(bags):
-            part = assembled if spec.outer_bags < 2 else assembled.where(_in_bag(bag, spec))
-            fitted = learner.fit(part)
-            matrix = matrix + fitted.coefficientMatrix.toArray() / bags
-            intercept = intercept + fitted.interceptVector.toArray() / bags
+        assembled.count()  # kept before the bags read it side by side
+        with ThreadPool(min(bags, _BAGS_AT_ONCE)) as pool:
+            fits = pool.map(fit, range(bags))
     finally:
         assembled.unpersist()
+    matrix, intercept = (sum(parts) / bags for parts in zip(*fits))
     if matrix.shape[0] != len(labels):
         raise ValueError("every class needs training rows")
     scores, at = [], 0

@@ -37,12 +37,28 @@ class OrdinalSpec:
             raise ValueError("max_iter must be at least 1")
 
 
-_erfc = np.frompyfunc(math.erfc, 1, 1)
+# erfc at evenly spaced places, from which Taylor's series reaches every place between.
+_PER_UNIT, _FAR = 512, 27
+_PLACES = np.arange(-_FAR * _PER_UNIT, _FAR * _PER_UNIT + 1) / _PER_UNIT
+_ERFC = np.array([math.erfc(x) for x in _PLACES])
+_SLOPE = -2 / math.sqrt(math.pi) * np.exp(-_PLACES * _PLACES)
+
+
+def erfc(x: np.ndarray) -> np.ndarray:
+    """The complementary error function of whole arrays, to about 13 digits; 0 and 2 beyond ±27."""
+    x = np.clip(x, -_FAR, _FAR)
+    at = np.rint(x * _PER_UNIT).astype(np.int64)
+    p, d = at / _PER_UNIT, x - at / _PER_UNIT
+    p2 = p * p
+    # The derivatives of exp(-p²) over exp(-p²), divided by the factorials.
+    series = 1 + d * (-p + d * ((2 * p2 - 1) / 3 + d * (p * (3 - 2 * p2) / 6 + d * ((4 * p2 - 12) * p2 + 3) / 30)))
+    at += _FAR * _PER_UNIT
+    return _ERFC[at] + _SLOPE[at] * d * series
 
 
 def _cdf(z: np.ndarray, distr: str) -> np.ndarray:
     if distr == PROBIT:
-        return 0.5 * _erfc(-z / math.sqrt(2)).astype(float)
+        return 0.5 * erfc(-z / math.sqrt(2))
     return 0.5 * (1 + np.tanh(z / 2))
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillcast.operators.ordinal_model import erfc
+
 TEST = ["fold", "outlet", "feature"]
 
 
@@ -89,41 +91,48 @@ def rank_statistics(features: DataFrame, names: list[str], labels: list[str]) ->
     )
 
 
-def mann_whitney_p(u: float, n1: int, n0: int, ties: float) -> float:
-    """Two-sided p by the normal approximation with continuity and tie correction."""
+def mann_whitney_p(u, n1, n0, ties) -> np.ndarray:
+    """Two-sided p by the normal approximation with continuity and tie correction; whole arrays or single numbers."""
+    u, n1, n0, ties = (np.asarray(v, dtype=float) for v in (u, n1, n0, ties))
     n = n1 + n0
-    spread = n1 * n0 / 12 * ((n + 1) - ties / (n * (n - 1)))
-    if spread <= 0:
-        return 1.0
-    z = (abs(u - n1 * n0 / 2) - 0.5) / math.sqrt(spread)
-    return min(1.0, math.erfc(z / math.sqrt(2)))
+    spread = n1 * n0 / 12 * ((n + 1) - ties / np.maximum(n * (n - 1), 1))
+    z = (np.abs(u - n1 * n0 / 2) - 0.5) / np.sqrt(np.where(spread > 0, spread, 1))
+    return np.where(spread > 0, np.minimum(1.0, erfc(z / math.sqrt(2))), 1.0)
 
 
-def fisher_p(top1: int, top: int, n1: int, n: int) -> float:
-    """Two-sided exact p of a 2×2 table: all tables that are no likelier than the observed one."""
+def fisher_p(top1, top, n1, n) -> np.ndarray:
+    """Two-sided exact p of 2×2 tables: all tables that are no likelier than the observed one. The tables of all rows
+    stand one after another in one array and are summed by row."""
+    top1, top, n1, n = np.broadcast_arrays(*(np.atleast_1d(np.asarray(v, dtype=np.int64)) for v in (top1, top, n1, n)))
+    log_factorial = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n.max(initial=0) + 1)))])
 
-    def choose(a: int, b: int) -> float:
-        return math.lgamma(a + 1) - math.lgamma(b + 1) - math.lgamma(a - b + 1)
+    def choose(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return log_factorial[a] - log_factorial[b] - log_factorial[a - b]
 
-    low, high = max(0, top - (n - n1)), min(top, n1)
-    logs = np.array([choose(n1, k) + choose(n - n1, top - k) - choose(n, top) for k in range(low, high + 1)])
-    seen = logs[top1 - low]
-    return float(min(1.0, np.exp(logs[logs <= seen + 1e-7]).sum()))
+    low, high = np.maximum(0, top - (n - n1)), np.minimum(top, n1)
+    sizes = high - low + 1
+    first = np.cumsum(sizes) - sizes
+    row = np.repeat(np.arange(len(n)), sizes)
+    k = np.arange(len(row)) - first[row] + low[row]
+    logs = choose(n1[row], k) + choose((n - n1)[row], top[row] - k) - choose(n[row], top[row])
+    seen = logs[first + top1 - low]
+    likely = np.where(logs <= seen[row] + 1e-7, np.exp(logs), 0.0)
+    return np.minimum(1.0, np.add.reduceat(likely, first)) if len(n) else np.empty(0)
 
 
 @F.pandas_udf(T.DoubleType())
 def _p_value(
     values: pd.Series, u: pd.Series, n1: pd.Series, n0: pd.Series, ties: pd.Series, top: pd.Series, top1: pd.Series
 ) -> pd.Series:
-    made = []
-    for kinds, u_, a, b, t, m, m1 in zip(values, u, n1, n0, ties, top, top1):
-        if kinds < 2 or not a or not b:
-            made.append(None)
-        elif kinds == 2:
-            made.append(fisher_p(int(m1), int(m), int(a), int(a + b)))
-        else:
-            made.append(mann_whitney_p(u_, int(a), int(b), t))
-    return pd.Series(made, dtype="float64")  # a missing value arrives as NULL
+    made = np.full(len(values), np.nan)
+    tested = (values.to_numpy() >= 2) & (n1.to_numpy() > 0) & (n0.to_numpy() > 0)
+    two = tested & (values.to_numpy() == 2)
+    many = tested & ~two
+    if two.any():
+        made[two] = fisher_p(top1[two], top[two], n1[two], n1[two] + n0[two])
+    if many.any():
+        made[many] = mann_whitney_p(u[many], n1[many], n0[many], ties[many])
+    return pd.Series(made).astype(object).where(~np.isnan(made), None).astype("Float64")
 
 
 def relevance_table(
