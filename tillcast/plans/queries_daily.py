@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -190,14 +192,17 @@ filled AS (
 @query(
     "campaign_indicators",
     _indicator_sql(
-        "SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS date",
+        """SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date
+  FROM (SELECT min("start") AS lo, max("end") AS hi FROM campaigns WHERE "start" <= "end")""",
         "",
         "campaigns",
     ),
 )
 def campaign_indicators(spark: SparkSession, sf: str) -> DataFrame:
-    days = camp.day_range(spark, "1995-01-01", "2001-12-31")
-    return present(camp.campaign_indicators(_campaigns(spark, sf), days))
+    """Every day from the first to the last one of any campaign."""
+    campaigns = stage(_campaigns(spark, sf), "campaigns")
+    extent = campaigns.where(F.col("start") <= F.col("end")).agg(F.min("start").alias("first"), F.max("end").alias("last"))
+    return present(camp.campaign_indicators(campaigns, d.calendar(extent, "first", "last")))
 
 
 @query(
@@ -335,12 +340,15 @@ def calendar_spine(spark: SparkSession, sf: str) -> DataFrame:
     with_sql(
         r.USER_DAILY,
         """SELECT outlet, CAST(date AS VARCHAR) AS date, proxyrevenue FROM user_daily
-  UNION ALL SELECT outlet, CAST(CAST(unnest(generate_series(max(date) + 1, DATE '2024-01-29', INTERVAL 1 DAY)) AS DATE) AS VARCHAR), NULL
-  FROM user_daily GROUP BY outlet HAVING max(date) < DATE '2024-01-29'""",
+  UNION ALL SELECT outlet, CAST(CAST(unnest(generate_series(hi + 1, (SELECT max(date) + 7 FROM user_daily), INTERVAL 1 DAY)) AS DATE) AS VARCHAR), NULL
+  FROM (SELECT outlet, max(date) AS hi FROM user_daily GROUP BY outlet)""",
     ),
 )
 def extend_series(spark: SparkSession, sf: str) -> DataFrame:
-    return present(d.extend_series(r.user_daily(spark, sf), ["outlet"], "2024-01-29"))
+    """Every user's series up to a week after the last day of any."""
+    daily = stage(r.user_daily(spark, sf), "users")
+    end = d.date_extent(daily)[1] + dt.timedelta(days=7)
+    return present(d.extend_series(daily, ["outlet"], end.isoformat()))
 
 
 @query(
@@ -364,12 +372,16 @@ def outlet_zero_share_filter(spark: SparkSession, sf: str) -> DataFrame:
         r.USER_DAILY,
         """SELECT outlet, CAST(date AS VARCHAR) AS date, proxyrevenue FROM user_daily
            WHERE outlet NOT IN ('3', '7') AND outlet IN (SELECT outlet FROM user_daily GROUP BY outlet
-             HAVING min(date) <= DATE '2024-01-01' AND max(date) >= DATE '2024-01-30')""",
+             HAVING min(date) <= (SELECT min(date) + 1 FROM user_daily) AND max(date) >= (SELECT max(date) - 1 FROM user_daily))""",
     ),
 )
 def outlet_coverage_filter(spark: SparkSession, sf: str) -> DataFrame:
-    rule = o.OutletFilter("2024-01-30", "2024-01-01", 2, [3, 7])
-    return present(o.usable_outlets(r.user_daily(spark, sf), rule))
+    """Users but two whose series covers the days of the table, short of the first and the last; dates in reverse."""
+    daily = stage(r.user_daily(spark, sf), "users")
+    first, last, _ = d.date_extent(daily)
+    day = dt.timedelta(days=1)
+    rule = o.OutletFilter((last - day).isoformat(), (first + day).isoformat(), 2, [3, 7])
+    return present(o.usable_outlets(daily, rule))
 
 
 @query(
@@ -409,12 +421,16 @@ def stack_outlets(spark: SparkSession, sf: str) -> DataFrame:
     with_sql(
         r.SUPPLIER_DAILY,
         """SELECT outlet, CAST(min(date) AS VARCHAR) AS earliest, CAST(max(date) AS VARCHAR) AS latest,
-                  date_diff('day', min(date), max(date)) + 1 AS duration FROM supplier_daily GROUP BY outlet""",
+                  date_diff('day', min(date), max(date)) + 1 AS duration FROM supplier_daily GROUP BY outlet
+           UNION ALL SELECT 'all', CAST(min(date) AS VARCHAR), CAST(max(date) AS VARCHAR), date_diff('day', min(date), max(date)) + 1 FROM supplier_daily""",
     ),
 )
 def date_extent(spark: SparkSession, sf: str) -> DataFrame:
-    extent = r.supplier_daily(spark, sf).groupBy("outlet").agg(F.min("date").alias("earliest"), F.max("date").alias("latest"))
-    return present(extent.withColumn("duration", F.date_diff("latest", "earliest") + 1))
+    daily = stage(r.supplier_daily(spark, sf), "series")
+    earliest, latest, duration = d.date_extent(daily)
+    own = daily.groupBy("outlet").agg(F.min("date").alias("earliest"), F.max("date").alias("latest"))
+    whole = spark.createDataFrame([("all", earliest, latest, duration)], "outlet STRING, earliest DATE, latest DATE, duration INT")
+    return present(own.withColumn("duration", F.date_diff("latest", "earliest") + 1).unionByName(whole))
 
 
 SIMPLE = sp.SplitSpec(sp.SIMPLE, 610, 60, 60, 1)
@@ -487,16 +503,17 @@ def request_default_dates(spark: SparkSession, sf: str) -> DataFrame:
     "csv_partition_scan",
     with_sql(
         r.EVENTS_DAILY,
-        """SELECT 'events_daily' AS partition_name, outlet, CAST(date AS VARCHAR) AS date, proxyrevenue FROM events_daily""",
+        """SELECT 'part' AS partition_name, outlet, CAST(date AS VARCHAR) AS date, proxyrevenue FROM events_daily""",
     ),
 )
 def csv_partition_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Daily revenue written as dated CSV files and read back as a directory of partitions."""
+    """Daily revenue written as dated CSV files and read back as a directory of files, with the kind of file that each
+    row's own id names."""
     path = fresh_path(spark, "csv")
     sinks.write_csv(r.events_daily(spark, sf), path)
     back = readers.read_partitioned_csv(spark, path, "outlet STRING, Date STRING, proxyrevenue DOUBLE", date_column="Date")
-    named = back.where(F.col("partition_id").startswith("part-")).withColumn("partition_name", F.lit("events_daily"))
-    return present(named.select("partition_name", "outlet", "date", "proxyrevenue"))
+    kind = F.regexp_extract("partition_id", "^([a-z]+)-[0-9]{5}-", 1)
+    return present(back.select(kind.alias("partition_name"), "outlet", "date", "proxyrevenue"))
 
 
 @query(

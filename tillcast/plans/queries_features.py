@@ -308,8 +308,9 @@ _SCALED = ["proxyrevenue", *LAG_COLUMNS[:2]]
 
 
 def _lagged(spark: SparkSession, sf: str) -> DataFrame:
-    joined = lg.join_lags(_folds(spark, sf), lg.lag_features(r.supplier_daily(spark, sf)))
-    return joined.select("outlet", "date", "fold", "role", *_SCALED)
+    """Fold rows with their lags; those travel with the series, so nothing is joined back."""
+    series = stage(lg.lag_features(r.supplier_daily(spark, sf), complete=False, carry=("proxyrevenue",)), "series")
+    return sp.split(series, SIMPLE).na.drop("any", subset=LAG_COLUMNS).select("outlet", "date", "fold", "role", *_SCALED)
 
 
 @query(
@@ -441,12 +442,10 @@ _TESTED = ["proxyrevenue_maximum", "proxyrevenue_minimum", "proxyrevenue_median"
 
 
 def _tested(spark: SparkSession, sf: str, names: list[str] | None) -> tuple[DataFrame, list[str]]:
-    """Training rows with window features and their class."""
-    rows = stage(enc.training(_binned(spark, sf)), "training")
-    spec = rol.RollingSpec(shift=0)  # windows that include the day itself: the given series has no memory
-    made = rol.rolling_features(rows, spec, only=names)
-    keyed = made.join(rows.select("fold", "role", "outlet", "date", F.col("binned_proxyrevenue").alias("label")), ["fold", "role", "outlet", "date"])
-    return stage(keyed, "rolling"), [c for c in made.columns if c not in ("fold", "role", "outlet", "date")]
+    """Training rows with window features of the days up to nine days before, and their class."""
+    rows = enc.training(_binned(spark, sf)).withColumnRenamed("binned_proxyrevenue", "label")
+    made = rol.rolling_features(rows, rol.RollingSpec(), only=names, carry=("label",))
+    return stage(made, "rolling"), [c for c in made.columns if c not in ("fold", "role", "outlet", "date", "label")]
 
 
 @query(
@@ -456,7 +455,7 @@ def _tested(spark: SparkSession, sf: str, names: list[str] | None) -> tuple[Data
         EDGES_SQL,
         """windows AS (
   SELECT fold, outlet, date, binned_proxyrevenue AS label,
-         list(proxyrevenue) OVER (PARTITION BY fold, outlet ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS x
+         list(proxyrevenue) OVER (PARTITION BY fold, outlet ORDER BY date ROWS BETWEEN 15 PRECEDING AND 9 PRECEDING) AS x
   FROM binned WHERE role = 'training'),
 wide AS (SELECT * FROM windows WHERE len(x) = 7 AND label IS NOT NULL),
 complete AS (SELECT fold, outlet FROM wide GROUP BY ALL HAVING count(DISTINCT label) = 4),
@@ -482,13 +481,14 @@ def feature_rank_statistics(spark: SparkSession, sf: str) -> DataFrame:
 @query("feature_relevance")
 def feature_relevance(spark: SparkSession, sf: str) -> DataFrame:
     rows, names = _tested(spark, sf, None)
-    return present(rel.relevance_table(rows, names, LABELS, 1))
+    return present(rel.relevance_table(rows, names, LABELS))
 
 
 @query("feature_topk")
 def feature_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The best features of the fold that tell all four classes apart; none if the series has no memory."""
     rows, names = _tested(spark, sf, None)
-    return present(rel.top_features(rel.relevance_table(rows, names, LABELS, 1), 20))
+    return present(rel.top_features(rel.relevance_table(rows, names, LABELS)))
 
 
 # --- model table -------------------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillcast.operators import requests as rq
 from tillcast.operators import splits as sp
 from tillcast.operators.additive_model import AdditiveModel, AdditiveSpec
-from tillcast.operators.indicators import IndicatorSpec
+from tillcast.operators.indicators import IndicatorSpec, booleans_to_int
 from tillcast.operators.ordinal_model import OrdinalModel
 from tillcast.plans import modelling as md
 from tillcast.plans import roles as r
@@ -21,7 +21,7 @@ from tillcast.sources.artefacts import ArtefactStore
 
 LABELS = tr.LABELS
 KEYS = ["outlet", "date", "fold", "role"]
-ADDITIVE = AdditiveSpec(max_bins=16, outer_bags=2, max_iter=20)
+ADDITIVE = AdditiveSpec()
 
 # --- models on the supplier series -------------------------------------------------------------------------
 
@@ -94,11 +94,14 @@ def local_contributions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("relevant_window_features")
 def relevant_window_features(spark: SparkSession, sf: str) -> DataFrame:
-    """The training chain with window features selected per fold and generated for every role."""
-    spec = training_spec(rolling=tr.RollingSpec(shift=0), rolling_count=5, rolling_significant=1)
+    """The training chain on three folds with each fold's own selection of window features, as rows: 20 at most, that
+    tell all four classes apart. None if the series has no memory."""
+    spec = training_spec(split=sp.SplitSpec(sp.EXPANDING, 365, 60, 60, 3, expansion_days=90), rolling=tr.RollingSpec())
     prepared = tr.prepare(*training_inputs(spark, sf), spec)
-    names = sorted({row["feature"] for row in prepared.selected.collect()})
-    return present(prepared.table.select(*KEYS, *names))
+    names = sorted({name for chosen in prepared.chosen.values() for name in chosen})
+    values = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("value")) for n in names])
+    own = values if names else F.array().cast("array<struct<feature: string, value: double>>")
+    return present(prepared.table.select(*KEYS, F.inline(own)).where("value IS NOT NULL"))
 
 
 # --- forecast requests from the users' daily revenue ---------------------------------------------------------
@@ -208,6 +211,47 @@ def request_validate(spark: SparkSession, sf: str) -> DataFrame:
     return present(_checked(spark, sf).select("request_id", "request_date", F.array_join("errors", "; ").alias("errors")))
 
 
+_MISSING = {0: "inference_date", 1: "lag_sales_date", 2: "marketing_channels", 3: "total_cost", 4: "factor"}
+
+
+def _with_gaps(parsed: DataFrame) -> DataFrame:
+    """Well-formed requests without one array each, by the user; some with a channel of another name."""
+    user = F.split("request_id", "/")[0].cast("int") % 7
+
+    def without(block: Column, field: str, which: int) -> Column:
+        empty = F.lit(None).cast("array<string>" if field not in ("factor", "total_cost") else "array<double>")
+        return F.when(user == which, block.withField(field, empty)).otherwise(block)
+
+    def campaign(m: Column) -> Column:
+        other = m.withField("marketing_channels", F.concat(m["marketing_channels"], F.array(F.lit("Sky Writing"))))
+        return F.when(user == 5, other).otherwise(without(without(m, "marketing_channels", 2), "total_cost", 3))
+
+    return parsed.withColumns(
+        {
+            "outlet_attributes": F.transform("outlet_attributes", lambda o: without(without(o, "inference_date", 0), "factor", 4)),
+            "lag_sales_attributes": F.transform("lag_sales_attributes", lambda o: without(o, "lag_sales_date", 1)),
+            "mkt_attributes": F.transform("mkt_attributes", campaign),
+        }
+    )
+
+
+@query(
+    "request_missing_arrays",
+    with_sql(
+        *_REQUESTS,
+        """SELECT request_id, concat_ws('; ', CASE WHEN u % 7 = 0 THEN 'inference date is missing' END,
+    CASE WHEN u % 7 IN (0, 4) THEN 'outlet fields differ in length' END, CASE WHEN u % 7 = 1 THEN 'lag sales fields differ in length' END,
+    CASE WHEN n < 7 OR u % 7 = 1 THEN 'fewer than 7 lag days' END, CASE WHEN u % 7 IN (2, 3) THEN 'too few marketing channels' END,
+    CASE WHEN u % 7 = 5 THEN 'unknown marketing channel' END, CASE WHEN u % 7 = 5 THEN 'campaign fields differ in length' END) AS errors
+  FROM made""",
+    ),
+)
+def request_missing_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """A missing array is an error that the request is told, never a request that passes and gives nothing."""
+    parsed = stage(_with_gaps(rq.parse_requests(requests(spark, sf, flawed=False))), "requests")
+    return present(rq.check_requests(parsed).select("request_id", F.array_join("errors", "; ").alias("errors")))
+
+
 @query(
     "request_flatten",
     with_sql(
@@ -222,7 +266,7 @@ def request_validate(spark: SparkSession, sf: str) -> DataFrame:
 )
 def request_flatten(spark: SparkSession, sf: str) -> DataFrame:
     rows = rq.outlet_rows(rq.accepted(_checked(spark, sf)))
-    return present(rows.withColumns({c: F.col(c).cast("int") for c in rq.FLAG_FIELDS}))
+    return present(booleans_to_int(rows, rq.FLAG_FIELDS))
 
 
 @query(
@@ -273,12 +317,7 @@ def lookback_impute(spark: SparkSession, sf: str) -> DataFrame:
     return present(rq.complete_lookback(good))
 
 
-@query(
-    "request_features",
-    with_sql(
-        *_REQUESTS,
-        _LOOKBACK,
-        """numbered AS (
+_PLACED = """numbered AS (
   SELECT *, lag(proxyrevenue, 9) OVER w AS l9, lag(proxyrevenue, 14) OVER w AS l14, count(*) OVER f AS c, avg(proxyrevenue) OVER f AS sma,
          row_number() OVER w - 1 AS k FROM history
   WINDOW w AS (PARTITION BY request_id ORDER BY date), f AS (PARTITION BY request_id ORDER BY date ROWS BETWEEN 15 PRECEDING AND 9 PRECEDING)),
@@ -286,7 +325,15 @@ blocks AS (SELECT request_id, k // 7 AS b, avg(proxyrevenue) AS m FROM numbered
 placed AS (
   SELECT x.*, p.m AS m1, (p.m + q.m) / 2 AS m2 FROM numbered x
   JOIN blocks p ON p.request_id = x.request_id AND p.b = (x.k - 2) // 7 - 1
-  JOIN blocks q ON q.request_id = x.request_id AND q.b = (x.k - 2) // 7 - 2 WHERE x.k >= 2)""",
+  JOIN blocks q ON q.request_id = x.request_id AND q.b = (x.k - 2) // 7 - 2 WHERE x.k >= 2)"""
+
+
+@query(
+    "request_features",
+    with_sql(
+        *_REQUESTS,
+        _LOOKBACK,
+        _PLACED,
         """SELECT request_id, CAST(date AS VARCHAR) AS date, round(l9, 4) AS lag_9_proxyrevenue, round(l14, 4) AS lag_14_proxyrevenue,
   round(sma, 4) AS lag_9_sma_7_days_proxyrevenue, round(m1, 4) AS lag_mean_1_week_proxyrevenue, round(m2, 4) AS lag_mean_2_week_proxyrevenue,
   CAST(1 AS BIGINT) AS name_counts, CAST(date = w + 3 AS BIGINT) AS is_name_start, CAST(date = w + 2 AS BIGINT) AS is_name_end,
@@ -300,6 +347,27 @@ def request_features(spark: SparkSession, sf: str) -> DataFrame:
     return present(rows.select("request_id", "date", *tr.lag_columns(user_spec()), "name_counts", "is_name_start", "is_name_end", "is_weekday"))
 
 
+@query(
+    "request_outcomes",
+    with_sql(
+        *_REQUESTS,
+        _LOOKBACK,
+        _PLACED,
+        """scored AS (SELECT request_id, date FROM placed JOIN good USING (request_id) WHERE date BETWEEN w AND w + 6 AND l14 IS NOT NULL AND c = 7),
+asked AS (SELECT request_id, today, CAST(w + CAST(unnest(range(0, 7)) AS INTEGER) AS DATE) AS date FROM good)""",
+        """SELECT request_id, CAST(today AS VARCHAR) AS request_date, CAST(NULL AS VARCHAR) AS date, 'rejected' AS status, errors AS reason
+  FROM checked WHERE errors <> ''
+  UNION ALL SELECT a.request_id, CAST(today AS VARCHAR), CAST(a.date AS VARCHAR), CASE WHEN s.date IS NULL THEN 'rejected' ELSE 'scored' END,
+    CASE WHEN s.date IS NULL THEN 'look-back incomplete' END
+  FROM asked a LEFT JOIN scored s ON s.request_id = a.request_id AND s.date = a.date""",
+    ),
+)
+def request_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of every request and every day asked for."""
+    checked = stage(_checked(spark, sf), "checked")
+    return present(sc.request_outcomes(checked, sc.request_features(rq.accepted(checked), user_spec())))
+
+
 # --- batch scoring -----------------------------------------------------------------------------------------
 
 
@@ -323,8 +391,11 @@ def user_artefacts(spark: SparkSession, sf: str, additive: bool = False) -> sc.A
 
 @query("score_batch")
 def score_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests scored with the model, scaling and one-hot categories that training stored, by run and fold."""
     parsed = stage(rq.parse_requests(requests(spark, sf)), "requests")
-    scored = sc.score(parsed, user_artefacts(spark, sf), user_spec())
+    store = ArtefactStore(spark, fresh_path(spark, "artefacts"))
+    sc.save_artefacts(user_artefacts(spark, sf), store, "1")
+    scored = sc.score(parsed, sc.load_artefacts(store, "1", 1, user_spec()), user_spec())
     chances = [F.col("probabilities")[str(i)].alias(f"p{i}") for i in range(len(LABELS))]
     return present(scored.select("request_id", "date", "cost_centre_code", "sales_class_id", "sales_class_name", *chances))
 

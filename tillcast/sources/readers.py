@@ -44,6 +44,18 @@ def read_partitioned_csv(
     return nan_to_null(df)
 
 
+def read_folders_csv(spark: SparkSession, directory: str, schema: T.StructType | str, date_column: str | None = None) -> DataFrame:
+    """All CSV files below a directory of folders; ``partition_id`` is the folder's name, or what follows ``=`` in it."""
+    df = spark.read.csv(directory, schema=schema, header=True, recursiveFileLookup=True, pathGlobFilter="*.csv")
+    folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
+    df = df.select("*", F.url_decode(F.regexp_replace(folder, "^[^=]*=", "")).alias("partition_id"))
+    if date_column:
+        df = df.withColumn("date", day(F.col(date_column).cast("string")))
+        if date_column.lower() != "date":
+            df = df.drop(date_column)
+    return nan_to_null(df)
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.json(path, schema=schema)
 
@@ -54,11 +66,3 @@ def key_by_date(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             return df.withColumnRenamed(field.name, "date").withColumn("date", F.col("date").cast("date"))
     return df
-
-
-def number_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> list[str]:
-    return [
-        f.name
-        for f in df.schema.fields
-        if f.name not in keep and isinstance(f.dataType, (T.NumericType, T.BooleanType))
-    ]
