@@ -25,8 +25,8 @@ _letters: np.ndarray | None = None
 class LanguageSpec:
     """``sample_rows`` bounds the labelled rows that weights are fitted on, shared equally by the languages."""
 
-    orders: tuple[int, ...] = (1, 2, 3, 4)
-    bucket_bits: int = 16
+    orders: tuple[int, ...] = (1, 2, 3)
+    bucket_bits: int = 16  # at most 16
     sample_rows: int = 4000
     calibration_share: float = 0.25
     epochs: int = 3
@@ -77,10 +77,10 @@ def ngram_counts(text: str | None, spec: LanguageSpec) -> tuple[np.ndarray, np.n
         rolled = rolled[: len(padded) - n + 1] * _STEP + padded[n - 1 :] + np.uint32(n)
         if n in spec.orders:
             mixed = (rolled ^ (rolled >> np.uint32(15))) * _SPREAD
-            found.append(mixed >> np.uint32(32 - spec.bucket_bits))
-    counts = np.bincount(np.concatenate(found), minlength=1 << spec.bucket_bits)
-    buckets = np.flatnonzero(counts)
-    return buckets, counts[buckets]
+            found.append((mixed >> np.uint32(32 - spec.bucket_bits)).astype(np.uint16))
+    buckets = np.sort(np.concatenate(found), kind="stable")
+    first = np.flatnonzero(np.concatenate(([True], buckets[1:] != buckets[:-1])))
+    return buckets[first].astype(np.int64), np.diff(np.append(first, len(buckets)))
 
 
 def _features(buckets: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:

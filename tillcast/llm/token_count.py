@@ -106,12 +106,18 @@ def count_tokens(text: str | None, counter: WordCounter) -> int:
     return sum(counter[SPACE + word] for word in text.split()) if text else 0
 
 
+#: Of this Python process: words counted by one task serve the next.
+_counters: dict[Unigram, WordCounter] = {}
+
+
 def token_counts(docs: DataFrame, model: Unigram) -> DataFrame:
     """doc_id, n_chars, n_tokens for every row of ``docs`` (doc_id, text); null and blank texts have no token."""
 
     @F.pandas_udf("long")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = WordCounter(model)
+        if model not in _counters:
+            _counters[model] = WordCounter(model)
+        counter = _counters[model]
         for texts in batches:
             yield pd.Series([count_tokens(text, counter) for text in texts], dtype="int64")
 
