@@ -98,7 +98,8 @@ def windows(turns: DataFrame, spec: ChatSpec = ChatSpec()) -> DataFrame:
     )
     spans = F.aggregate(F.sequence(F.lit(0), F.size("turns") - 1), start, place, lambda s: s["spans"])
     rows = rows.select("conv_id", "turns", "first", spans.alias("spans"))
-    rows = rows.select("conv_id", "turns", "first", "spans", F.posexplode("spans").alias("window", "span"))
+    # There is always a window; the outer form keeps the optimizer from working out the spans a second time in a filter.
+    rows = rows.select("conv_id", "turns", "first", "spans", F.posexplode_outer("spans").alias("window", "span"))
     end = F.coalesce(F.get("spans", F.col("window") + 1)["begin"], F.size("turns"))
     history = F.slice(F.col("turns"), F.col("span.back") + 1, F.col("span.begin") - F.col("span.back"))
     system = F.when(F.col("span.begin") > 0, F.slice(F.col("turns"), F.lit(1), F.col("first"))).otherwise(F.slice(F.col("turns"), F.lit(1), F.lit(0)))
