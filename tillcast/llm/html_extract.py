@@ -52,6 +52,7 @@ for _i, _words in enumerate(TOKENS.values()):
 TAGS = ("p", "div", "section", "article", "main", "header", "footer", "nav", "aside", "form", "ul", "li", "table", "td", "blockquote", "pre", "figure", "h1", "h2", "body")
 _TAG_AT = {t: i for i, t in enumerate(TAGS)} | {"ol": 10, "dl": 10, "menu": 10, "dt": 11, "dd": 11, "tr": 12, "th": 13, "figcaption": 16, "h3": 18, "h4": 18, "h5": 18, "h6": 18, "fieldset": 9, "html": 19}
 _AWAY = frozenset("header footer nav aside form menu dialog search".split())
+_CUT = re.compile(r"(?:<!--(?:(?!-->).)*|<[/!?a-zA-Z][^<>]*)\Z", re.S)  # a tag or comment that the page's end cuts off
 _SPLIT = re.compile(r"[^a-z]+")
 MARK = "\ue000"  # in composed pages: begins each block of the main part
 
@@ -61,8 +62,8 @@ class ExtractSpec:
     """``sample_pages``: pages whose text blocks the composed pages are made of; ``composed``: how many are made."""
 
     sample_pages: int = 200
-    composed: int = 500
-    trees: int = 40
+    composed: int = 1000
+    trees: int = 80
     depth: int = 4
     bins: int = 32
     rate: float = 0.25
@@ -103,7 +104,7 @@ class Page(HTMLParser):
         self.link_chars, self.inline = [0], [0]
         self.segments: list[tuple[int, str]] = []
         self.open, self.silent, self.in_link, self.pieces = [0], [], False, []
-        self.feed(html)
+        self.feed(_CUT.sub("", html))
         self.close()
         self._end_segment()
 
@@ -371,10 +372,12 @@ def compose(texts: list[str], draw: random.Random) -> str:
         "share": lambda: held("div ul", "share", links()),
     }
 
+    longest = draw.choice((4, 25, 120, 120, 120, 1500))
+
     def part() -> str:
         kind = draw.random()
         if kind < 0.82:
-            return f"<p>{draw.choice(('', '<b>'))}{MARK}{words(1, 120)}{draw.choice(('', '<br>'))}{draw.choice(('</p>', '</p>', ''))}"
+            return f"<p>{draw.choice(('', '<b>'))}{MARK}{words(1, longest)}{draw.choice(('', '<br>'))}{draw.choice(('</p>', '</p>', ''))}"
         if kind < 0.88:
             return f"<h2>{MARK}{words(1, 8)}</h2>"
         if kind < 0.92:
@@ -383,6 +386,10 @@ def compose(texts: list[str], draw: random.Random) -> str:
             return f"<blockquote>{draw.choice(('', '<p>'))}{MARK}{words(3, 60)}</blockquote>"
         return f"<pre>{MARK}{words(3, 30)}</pre>" if kind < 0.98 else f"<table><tr><td>{MARK}{words(1, 10)}</td><td>{MARK}{words(1, 10)}</td></tr></table>"
 
+    if draw.random() < 0.05:  # text and little else
+        plain = draw.choice(("<p>{}</p>", "<p>{}", "{}<br>", "<div>{}</div>"))
+        inside = "".join(plain.format(MARK + words(1, longest)) for _ in range(draw.randint(1, 3)))
+        return draw.choice(("{}", "<body>{}</body>", "<html><body><div>{}</div></body></html>")).format(inside)
     parts = [part() for _ in range(max(1, int(draw.expovariate(1 / 7))))]
     if draw.random() < 0.85:
         parts.insert(0, f"<h1>{MARK}{words(1, 14)}</h1>")
@@ -401,6 +408,8 @@ def compose(texts: list[str], draw: random.Random) -> str:
         body = inside
     for _ in range(draw.choice((0, 0, 1, 2))):
         body = f"<div{draw.choice((' class=wrap', ' class=row', ' id=page', ''))}>{body}</div>"
+    if draw.random() < 0.08:
+        away = dict.fromkeys(away, str)  # nothing around the main part
     ahead = [away[k]() for k in ("notice", "head", "nav", "ad", "side", "form", "share") if draw.random() < 0.45]
     behind = [away[k]() for k in ("side", "talk", "share", "ad", "nav", "form", "notice", "foot") if draw.random() < 0.45]
     draw.shuffle(ahead)
@@ -431,7 +440,7 @@ def fit_extractor(pages: DataFrame, spec: ExtractSpec = ExtractSpec()) -> Booste
     def train(sampled: pd.DataFrame) -> pd.DataFrame:
         texts = [text for html in sorted(sampled["html"]) for _, text in Page(html).segments]
         if not texts:
-            return pd.DataFrame({"edges": [], "sizes": [], "start": [], "features": [], "cuts": [], "leaves": []})
+            return pd.DataFrame({c: pd.Series(dtype=object) for c in ("edges", "sizes", "start", "features", "cuts", "leaves")})
         draw = random.Random(spec.seed)
         nodes = [labelled_nodes(compose(texts, draw)) for _ in range(spec.composed)]
         fitted = fit_boosted(np.vstack([x for x, _ in nodes]), np.concatenate([y for _, y in nodes]), spec)
