@@ -128,12 +128,12 @@ def contaminations_sql(spec: ContainmentSpec = ContainmentSpec()) -> str:
     return f"""
 WITH items AS ({shingled("benchmark", "item_id")}),
 docs AS ({shingled("documents", "doc_id")}),
-sizes AS (SELECT item_id, copy, count(*) AS item_shingles FROM items GROUP BY ALL),
+sizes AS (SELECT copy, count(DISTINCT shingle) AS item_shingles FROM items GROUP BY ALL),
 met AS (
   SELECT d.doc_id, i.item_id, i.copy, d.copy AS doc_copy, count(*) AS shared
   FROM docs d JOIN items i USING (shingle) GROUP BY ALL)
 SELECT doc_id, item_id, CAST(-max({{'shared': shared, 'fewer': -item_shingles}}).fewer AS BIGINT) AS item_shingles,
   CAST(max({{'shared': shared, 'fewer': -item_shingles}}).shared AS BIGINT) AS shared
-FROM met JOIN sizes USING (item_id, copy)
+FROM met JOIN sizes USING (copy)
 WHERE 100 * shared >= {spec.percent} * item_shingles
 GROUP BY doc_id, item_id"""

@@ -151,15 +151,17 @@ def licences_sql(spec: LicenceSpec = LicenceSpec()) -> str:
     return f"""
 WITH passages AS (
   SELECT DISTINCT doc_id, unnest(list_concat(string_split(text, chr(10)), regexp_split_to_array(text, '\\n[ \\t\\r]*\\n'), [text])) AS passage FROM documents),
+texts AS (SELECT DISTINCT passage FROM passages),
 templates(template, licence, wording) AS (VALUES {values}),
-a AS ({pairs("doc_id, passage", "passage", "passages")}),
+a AS ({pairs("passage", "passage", "texts")}),
 b AS ({pairs("template, licence", "wording", "templates")}),
-a_size AS (SELECT doc_id, passage, count(*) AS n FROM a GROUP BY ALL),
+a_size AS (SELECT passage, count(*) AS n FROM a GROUP BY ALL),
 b_size AS (SELECT template, count(*) AS n FROM b GROUP BY ALL),
-met AS (SELECT doc_id, passage, template, licence, count(*) AS shared FROM a JOIN b USING (pair) GROUP BY ALL)
-SELECT doc_id, licence, max(dice) AS dice FROM (
-  SELECT doc_id, passage, licence, 2 * shared / (a_size.n + b_size.n) AS dice
-  FROM met JOIN a_size USING (doc_id, passage) JOIN b_size USING (template)
+met AS (SELECT passage, template, licence, count(*) AS shared FROM a JOIN b USING (pair) GROUP BY ALL),
+best AS (
+  SELECT passage, licence, 2 * shared / (a_size.n + b_size.n) AS dice
+  FROM met JOIN a_size USING (passage) JOIN b_size USING (template)
   WHERE 200 * shared >= {spec.percent} * (a_size.n + b_size.n)
-  QUALIFY row_number() OVER (PARTITION BY doc_id, passage ORDER BY 2 * shared / (a_size.n + b_size.n) DESC, licence) = 1)
+  QUALIFY row_number() OVER (PARTITION BY passage ORDER BY 2 * shared / (a_size.n + b_size.n) DESC, licence) = 1)
+SELECT doc_id, licence, max(dice) AS dice FROM passages JOIN best USING (passage)
 GROUP BY doc_id, licence"""
