@@ -33,7 +33,7 @@ def round_trip(spark, rows, spec=wz.WarcSpec()):
     held = brute(rows, spec.least_bytes)
     assert sorted((tuple(r[c] for c in OUT) for r in found), key=str) == held
     responses = {r[0] for r in held if r[3] == "response"}
-    assert payloads == sorted((p, h or "") for p, _, h in rows if p in responses)
+    assert payloads == sorted((p, h or "") for p, _, h in rows if p is not None and p in responses)
     return packages
 
 

@@ -106,9 +106,10 @@ def members(file: pa.NativeFile) -> dict[str, Member]:
     length = file.size()
     tail_at = max(0, length - 22 - _FULL16)
     tail = _read_at(file, tail_at, length - tail_at)
-    found = tail.rfind(struct.pack("<I", _END))
-    while found >= 0 and found + 22 + struct.unpack_from("<H", tail, found + 20)[0] != len(tail):
-        found = tail.rfind(struct.pack("<I", _END), 0, found)
+    mark, found = struct.pack("<I", _END), len(tail)
+    while (found := tail.rfind(mark, 0, found)) >= 0:  # the mark may also stand in the note behind the record
+        if found + 22 <= len(tail) and found + 22 + struct.unpack_from("<H", tail, found + 20)[0] == len(tail):
+            break
     if found < 0:
         raise ValueError("no end record: not a ZIP package")
     count, size, begins = struct.unpack_from("<HII", tail, found + 10)
