@@ -3,6 +3,10 @@
 A passage is a line, a paragraph or the whole text. It is normalised to lower-case words of a-z and 0-9 and becomes the set
 of its bigrams. Two sets of a and b bigrams with a Dice coefficient of at least t have sizes within t / (2 - t) of each
 other, so only the templates in that range of sizes are compared; they stand in order of size.
+
+A notice in the middle of a line, or wrapped inside a longer paragraph, is a window: a run of the text's words, whatever
+stands between them, that begins and ends with a bigram of the template and is at most as long as the size bounds let it
+be. Windows are looked for only near a template's rarer bigrams: so many of them that a match must hold one.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -70,6 +75,16 @@ def _words(passage: bytes) -> list[bytes]:
     return _WORD.findall(passage)
 
 
+@dataclass(frozen=True)
+class Wanted:
+    """A template as windows meet it: ``least`` of its bigrams must be there, within ``most`` bigrams of the text."""
+
+    name: str
+    pairs: frozenset[tuple[bytes, bytes]]
+    least: int
+    most: int
+
+
 class Scanner:
     """Templates by size, and the range of sizes that a passage of some size can match."""
 
@@ -80,6 +95,18 @@ class Scanner:
         self.sizes = [size for size, _, _ in self.known]
         self.least = self._bounds(self.sizes[0])[0] if self.sizes else 1
         self.most = self._bounds(self.sizes[-1])[1] if self.sizes else 0
+        self.wanted: list[Wanted] = []
+        self.anchors: dict[tuple[bytes, bytes], list[int]] = {}
+        for name, text in spec.templates:
+            words = _words(text.encode().lower())
+            pairs = frozenset(bigrams(words))
+            if not pairs:
+                continue
+            least = max(1, self._bounds(len(pairs))[0])
+            # A match lacks at most len(pairs) - least bigrams, so it holds one of any more than that. Long words are rare.
+            for pair in sorted(pairs, key=lambda p: (-len(p[0]) - len(p[1]), p))[: len(pairs) - least + 1]:
+                self.anchors.setdefault(pair, []).append(len(self.wanted))
+            self.wanted.append(Wanted(name, pairs, least, self._bounds(len(words) - 1)[1]))
 
     def _bounds(self, size: int) -> tuple[int, int]:
         """Sizes s with 100 * 2 * min(s, size) >= percent * (s + size)."""
@@ -103,8 +130,52 @@ class Scanner:
         if best:
             found[best[1]] = max(found.get(best[1], 0.0), best[0])
 
+    def _windows_of(self, wanted: Wanted, near: list[int], pairs: list[tuple[bytes, bytes]]) -> Iterator[tuple[float, str, int, int]]:
+        """-dice, licence, first and last bigram of the most like window from each bigram on, around the places ``near``."""
+        places: list[int] = []
+        done = 0
+        for at in near:
+            start, done = max(done, at - wanted.most + 1), min(len(pairs), at + wanted.most)
+            places += [i for i in range(start, done) if pairs[i] in wanted.pairs]
+        size = len(wanted.pairs)
+        for k in range(len(places) - wanted.least + 1):
+            first = places[k]
+            if places[k + wanted.least - 1] - first >= wanted.most:
+                continue
+            own: set[tuple[bytes, bytes]] = set()
+            shared, best, seen = 0, None, first
+            for last in places[k : k + wanted.most]:
+                if last - first >= wanted.most:
+                    break
+                shared += pairs[last] not in own
+                own.update(pairs[seen : last + 1])
+                seen = last + 1
+                dice = 2 * shared / (size + len(own))
+                if 200 * shared >= self.percent * (size + len(own)) and (best is None or dice > best[0]):
+                    best = dice, last
+            if best:
+                yield -best[0], wanted.name, first, best[1]
+
+    def windows(self, words: list[bytes], found: dict[str, float]) -> None:
+        """Add the licences that windows match to ``found``, without those mostly inside better matches of other licences."""
+        pairs = list(pairwise(words))
+        near: dict[int, list[int]] = {}
+        for at, pair in enumerate(pairs):
+            if pair in self.anchors:
+                for template in self.anchors[pair]:
+                    near.setdefault(template, []).append(at)
+        matches = sorted(m for template, places in near.items() for m in self._windows_of(self.wanted[template], places, pairs))
+        taken: dict[int, set[str]] = {}
+        for minus, name, first, last in matches:
+            held = range(first, last + 1)
+            if 2 * sum(any(other != name for other in taken.get(i, ())) for i in held) > len(held):
+                continue
+            found[name] = max(found.get(name, 0.0), -minus)
+            for i in held:
+                taken.setdefault(i, set()).add(name)
+
     def scan(self, text: str | None) -> dict[str, float]:
-        """The best coefficient of each licence that a line, a paragraph or the whole text matches."""
+        """The best coefficient of each licence that a line, a paragraph, the whole text or a window of it matches."""
         found: dict[str, float] = {}
         if not text:
             return found
@@ -114,8 +185,10 @@ class Scanner:
             self.compare(_words(line), found)
         for paragraph in paragraphs if len(paragraphs) > 1 else ():
             self.compare(_words(paragraph), found)
+        words = _words(raw)
         if len(lines) > 1:
-            self.compare(_words(raw), found)
+            self.compare(words, found)
+        self.windows(words, found)
         return found
 
 

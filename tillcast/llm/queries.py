@@ -93,7 +93,7 @@ def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licences that a line, paragraph or the whole of a document states."""
+    """Licences that a line, a paragraph, the whole of a document or a window of its words states."""
     return licence_scan.licences(table(spark, sf_dir, "documents"))
 
 
