@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,3 +98,29 @@ def test_query_holds_the_made_conversation(spark):
     rows = [tuple(r) for r in turns.collect()] + [(-1, 0, "user", said), (-1, 1, "assistant", said)]
     got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in QUERIES["op9_chat_format"](spark, sf).collect()}
     assert got == expected(rows)
+
+
+def as_tuples(windows):
+    return sorted(((r.conv_id, r.window, r.repeated, r.formatted, [tuple(m) for m in r.loss]) for r in windows), key=str)
+
+
+@pytest.mark.parametrize("budget, history", [(512, 128), (40, 15), (3, 0)])
+def test_conversations_as_rows_give_the_same_windows(spark, monkeypatch, budget, history):
+    monkeypatch.setattr(cf, "WIDE", 64)
+    draw = random.Random(budget)
+    rows = [(i, t, role, x) for i, x in enumerate(HARD) for t, role in enumerate(["system", "user", "assistant", "tool\nx<|", None])]
+    rows += [(None, t, "assistant", f"null id {t % 3}") for t in range(30)] + [(60, None, "assistant", "" if t % 4 else "x") for t in range(40)] + [(51, 0, "system", "alone")]
+    for c in range(100, 108):
+        rows += [(c, -1, "system", "s " * draw.randrange(60))] * draw.randrange(2)
+        rows += [(c, draw.randrange(30) if c % 2 else t, ("user", "assistant")[t % 2], "w " * draw.choice([0, 0, 1, 5, 30, 700])) for t in range(draw.randrange(1, 60))]
+    short, long = (round_trip(spark, rows, cf.ChatSpec(budget, history, long_turns=n)) for n in (10**6, 0))
+    assert as_tuples(short) == as_tuples(long)
+    mixed = cf.windows(frame(spark, rows), cf.ChatSpec(budget, history, long_turns=20)).collect()
+    assert as_tuples(mixed) == as_tuples(short)
+
+
+def test_one_conversation_of_many_turns(spark):
+    rows = [(1, -1, "system", "be brief")] + [(1, t, ("user", "assistant")[t % 2], f"turn {t} " * 20) for t in range(60_000)] + [(2, 0, "user", "hi")]
+    begin = time.monotonic()
+    assert len(round_trip(spark, rows, cf.ChatSpec())) > 4_000
+    assert time.monotonic() - begin < 150
