@@ -59,6 +59,34 @@ def test_families_of_edited_copies(spark):
     assert found(spark, rows, spec) == expected
 
 
+def test_families_under_repeated_and_null_ids(spark):
+    draw = random.Random(4)
+    rows = []
+    for family in range(8):
+        base = [f"w{draw.randrange(400)}" for _ in range(70)]
+        for c in range(16):
+            copy = list(base)
+            for _ in range(draw.randrange(1, 8)):
+                copy[draw.randrange(len(copy))] = f"v{draw.randrange(400)}"
+            rows += [(None if c % 4 == 0 else c * 8 + family if c % 4 == 1 else c % 4, " ".join(copy))] * (1 + c % 2)
+    spec = md.DedupSpec(words=3, percent=85)
+    assert found(spark, rows, spec) == brute(rows, 3, 85)
+
+
+def test_one_body_for_each_node(spark):
+    spec = md.DedupSpec(words=3, percent=85)
+    rows = [(None if i % 2 else 7, f"a b c d e f g h i j k l m n o p q r s t u v w x y {i // 3}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    kept = md.candidate_bodies
+    try:
+        md.candidate_bodies = lambda *given: seen.append(kept(*given)) or seen[0]
+        md.near_duplicates(docs, spec)
+    finally:
+        md.candidate_bodies = kept
+    assert seen[0].count() == seen[0].select("node").distinct().count() == 20
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \t"), (4, "Ab c"), (5, "aB\x0bc"), (6, "ab"), (7, "a b c d"), (7, "e f g h"), (7, "e f g h"), (9, "E F G H"), (None, "p q r s"), (None, "p q r s"), (None, "a b c d"), (11, "k l m n " * 9000), (12, "K l m n " * 9000)]
     assert found(spark, rows, md.DedupSpec(words=3, percent=85)) == brute(rows, 3, 85)

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.session import stage
@@ -144,8 +144,13 @@ def permutation_keys(spec: DedupSpec) -> np.ndarray:
     return drawn
 
 
+def _mark() -> Column:
+    """With the doc_id, what a text is found by: rows of one doc_id, or of none, may have different texts."""
+    return F.xxhash64("text").alias("mark")
+
+
 def signatures(docs: DataFrame, spec: DedupSpec) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if empty), bands."""
+    """doc_id, mark (hash of the text), n_shingles, digest of the set (null if empty), bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = permutation_keys(spec)
@@ -157,11 +162,12 @@ def signatures(docs: DataFrame, spec: DedupSpec) -> DataFrame:
                 digests.append(xxhash.xxh3_128_digest(values.tobytes()) if len(values) else None)
                 bands.append(signature_bands(values, spec, keys) if len(values) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "bands"],
+                [batch.column("doc_id"), batch.column("mark"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                ["doc_id", "mark", "n_shingles", "digest", "bands"],
             )
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    marked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", _mark())
+    return marked.mapInArrow(run, "doc_id long, mark long, n_shingles long, digest binary, bands array<long>")
 
 
 def open_members(members: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -198,7 +204,7 @@ def shingle_rows(opened: DataFrame, bodies: DataFrame, spec: DedupSpec) -> DataF
                 if xxhash.xxh3_128_digest(values.tobytes()) == digest:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), node)), pa.array(values.view(np.int64))], ["node", "shingle"])
 
-    asked = bodies.join(opened.select("node").distinct(), "node").dropDuplicates(["node"])
+    asked = bodies.join(opened.select("node").distinct(), "node")
     return asked.select("node", "digest", "body").mapInArrow(run, "node long, shingle long")
 
 
@@ -235,9 +241,9 @@ def remaining_pairs(opened: DataFrame, bodies: DataFrame, spec: DedupSpec) -> Da
 def candidate_bodies(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """node, digest, body: one text for each node that shares a bucket, staged once for all rounds."""
     missing = F.lit(-(1 << 63))
-    wanted = members.select("node").distinct().join(nodes, "node").select("node", "digest", F.coalesce("rep", missing).alias("rep"))
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), missing).alias("rep"), F.col("text").alias("body"))
-    return stage(texts.join(wanted, "rep").select("node", "digest", "body"), "bodies")
+    wanted = members.select("node").distinct().join(nodes, "node").select("node", "digest", F.coalesce("row.doc_id", missing).alias("rep"), "row.mark")
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), missing).alias("rep"), _mark(), F.col("text").alias("body"))
+    return stage(texts.join(wanted, ["rep", "mark"]).dropDuplicates(["rep", "mark"]).select("node", "digest", "body"), "bodies")
 
 
 def confirm(pairs: DataFrame, bodies: DataFrame, spec: DedupSpec) -> DataFrame:
@@ -323,7 +329,7 @@ def near_duplicates(docs: DataFrame, spec: DedupSpec = DedupSpec()) -> DataFrame
     """
     docs = docs.select("doc_id", "text")
     signed = stage(signatures(docs, spec), "signatures")
-    same = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    same = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "mark")).alias("row"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     nodes = stage(same.withColumn("node", F.monotonically_increasing_id()), "nodes")
     placed = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
