@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import chat_format, decontaminate, html_extract, language_id, licence_scan, minmax_dedup, quartile_digest, source_mix, token_count, warc_zip
+from tillcast.llm import chat_format, decontaminate, html_extract, language_id, licence_scan, minmax_dedup, quartile_digest, source_divergence, source_mix, target_resample, token_count, warc_zip
 from tillcast.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,21 @@ def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A WARC record per page, written to ZIP packages and read back by range."""
     packages = warc_zip.write_packages(table(spark, sf_dir, "pages"))
     return warc_zip.read_packages(packages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op11_target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all documents towards the benchmark's texts, and the ranks of the five per cent drawn."""
+    return target_resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_target_resample"] = target_resample.resample_sql()
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language are apart, and the terms that each uses more than its language."""
+    return source_divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_source_divergence"] = source_divergence.divergences_sql()
