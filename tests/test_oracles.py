@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE"}
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
 
 
 @pytest.fixture(scope="module")
