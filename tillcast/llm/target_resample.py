@@ -204,7 +204,8 @@ def _crc32_sql(text: str) -> str:
 
 def resample_sql(spec: ResampleSpec = ResampleSpec()) -> str:
     """DuckDB SQL for the same rows of ``documents`` and ``benchmark``."""
-    runs = [f"list_transform(range(1, len(ws) - {n - 2}), lambda i: array_to_string(ws[i:i + {n - 1}], ' '))" for n in range(1, spec.longest + 1)]
+    after = [" || ' ' || ".join(f"ws[i + {k}]" for k in range(n)) for n in range(1, spec.longest + 1)]
+    runs = [f"list_transform(range(1, len(ws) - {n - 2}), lambda i: {words})" for n, words in enumerate(after, 1)]
     features = runs[0]
     for more in runs[1:]:
         features = f"list_concat({features}, {more})"
@@ -216,8 +217,8 @@ words AS (
   SELECT raw, doc_id, row_number() OVER () AS r,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
   FROM texts),
-features AS (SELECT raw, r, unnest({features}) AS f FROM words),
-sums AS (SELECT f, {_crc32_sql("f")} % {k} AS bucket FROM (SELECT DISTINCT f FROM features)),
+features AS MATERIALIZED (SELECT raw, r, unnest({features}) AS f FROM words),
+sums AS MATERIALIZED (SELECT f, {_crc32_sql("f")} % {k} AS bucket FROM (SELECT DISTINCT f FROM features)),
 counts AS (
   SELECT bucket, count(*) FILTER (raw) AS s, count(*) FILTER (NOT raw) AS t FROM features JOIN sums USING (f) GROUP BY bucket),
 gains AS (
