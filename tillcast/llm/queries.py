@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import chat_format, decontaminate, html_extract, language_id, licence_scan, minmax_dedup, quartile_digest, source_divergence, source_mix, target_resample, token_count, warc_zip
+from tillcast.llm import bloom_lm, chat_format, decontaminate, html_extract, language_id, licence_scan, minmax_dedup, quartile_digest, source_divergence, source_mix, target_resample, token_count, warc_zip
 from tillcast.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,6 +135,14 @@ def op11_target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op11_target_resample"] = target_resample.resample_sql()
 
 
+@query
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document by a model of four fifths of them, beside the exact unigram one."""
+    docs = table(spark, sf_dir, "documents")
+    apart = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return bloom_lm.score_texts(docs, apart)
+
+
 @query
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far the sources of each language are apart, and the terms that each uses more than its language."""
