@@ -65,7 +65,7 @@ def test_tail_probability_keeps_its_digits():
 
 def test_additive(spark):
     df = simulated(spark)
-    spec = am.AdditiveSpec(max_bins=8, outer_bags=2, max_iter=30)
+    spec = am.AdditiveSpec(max_bins=8, outer_bags=2)
     model = am.fit_additive(df, ["a", "b", "k"], LABELS, spec)
     scored = model.transform(df)
     hits = scored.where("class_id = label_id").count() / df.count()
@@ -83,7 +83,7 @@ def test_additive(spark):
 
 def test_contributions_add_up(spark):
     df = stage(simulated(spark, 500).withColumn("id", F.monotonically_increasing_id()))
-    model = am.fit_additive(df, ["a", "b"], LABELS, am.AdditiveSpec(max_bins=4, outer_bags=0, max_iter=10))
+    model = am.fit_additive(df, ["a", "b"], LABELS, am.AdditiveSpec(max_bins=4, outer_bags=0, rounds=4))
     parts = model.contributions(df, ["id"])
     assert parts.count() == 500 * 3
     sums = {r["id"]: (r["class_id"], r["s"]) for r in parts.groupBy("id", "class_id").agg(F.sum("contribution").alias("s")).collect()}
@@ -94,5 +94,76 @@ def test_contributions_add_up(spark):
 
 
 def test_additive_settings():
-    with pytest.raises(ValueError):
-        am.AdditiveSpec(max_bins=1)
+    for wrong in ({"max_bins": 1}, {"outer_bags": 63}, {"max_leaves": 1}, {"min_samples_leaf": 0}, {"rounds": -1}, {"features_at_once": 0}):
+        with pytest.raises(ValueError):
+            am.AdditiveSpec(**wrong)
+
+
+def plain_boosting(x, y, splits, spec, classes=4):
+    """One bag, row by row: features in turn, the best cut found by trying all of them."""
+    bins = [np.searchsorted(s, x[:, i], side="right") for i, s in enumerate(splits)]
+    shares = np.array([np.log((y == k).mean()) for k in range(classes)])
+    intercept = shares - shares.mean()
+    shapes = [np.zeros((len(s) + 1, classes)) for s in splits]
+
+    def sums(rows, g, h):
+        return g[rows].sum(axis=0), h[rows].sum(axis=0), rows.sum()
+
+    def worth(rows, g, h):
+        a, b, _ = sums(rows, g, h)
+        return (a * a / (b + 1e-9)).sum()
+
+    for _ in range(spec.rounds):
+        for f, at in enumerate(bins):
+            raw = intercept + sum(s[b] for s, b in zip(shapes, bins))
+            p = np.exp(raw) / np.exp(raw).sum(axis=1, keepdims=True)
+            g, h = np.eye(classes)[y] - p, p * (1 - p)
+            leaves = [(0, len(shapes[f]))]
+            while len(leaves) < spec.max_leaves:
+                cuts = []
+                for begin, end in leaves:
+                    whole = worth((at >= begin) & (at < end), g, h)
+                    for cut in range(begin + 1, end):
+                        left, right = (at >= begin) & (at < cut), (at >= cut) & (at < end)
+                        if min(left.sum(), right.sum()) >= spec.min_samples_leaf:
+                            cuts.append((worth(left, g, h) + worth(right, g, h) - whole, begin, end, cut))
+                if not cuts or max(cuts)[0] <= 1e-12:
+                    break
+                _, begin, end, cut = max(cuts)
+                leaves = [l for l in leaves if l != (begin, end)] + [(begin, cut), (cut, end)]
+            for begin, end in leaves:
+                a, b, n = sums((at >= begin) & (at < end), g, h)
+                shapes[f][begin:end] += spec.learning_rate * a / (b + 1e-9)
+    for f, at in enumerate(bins):
+        middle = shapes[f][at].mean(axis=0)
+        intercept, shapes[f] = intercept + middle, shapes[f] - middle
+    return shapes, intercept
+
+
+@pytest.mark.parametrize("leaves, least", [(3, 2), (2, 30)])
+def test_boosting_equals_one_machine(spark, leaves, least):
+    df = stage(simulated(spark, 500))
+    spec = am.AdditiveSpec(max_bins=12, outer_bags=0, rounds=6, max_leaves=leaves, min_samples_leaf=least, features_at_once=1)
+    model = am.fit_additive(df, ["a", "b"], LABELS, spec)
+    rows = df.collect()
+    x, y = np.array([[r["a"], r["b"]] for r in rows]), np.array([r["label_id"] for r in rows])
+    shapes, intercept = plain_boosting(x, y, model.splits, spec)
+    assert np.allclose(model.intercept, intercept, atol=1e-6)
+    for got, expected in zip(model.scores, shapes):
+        assert np.allclose(got, expected, atol=1e-6) and np.abs(got).max() > 0.1
+
+
+def test_bags_stop_at_their_best_round(spark):
+    df = stage(simulated(spark, 600))
+    loss = {}
+    for rounds in (3, 60):
+        model = am.fit_additive(df, ["a", "b"], LABELS, am.AdditiveSpec(max_bins=64, outer_bags=3, rounds=rounds, learning_rate=0.5, patience=2))
+        fresh = model.transform(simulated(spark, 3000))
+        loss[rounds] = fresh.select(F.avg(-F.log(F.element_at("probabilities", F.col("label_id") + 1)))).first()[0]
+    assert loss[60] < loss[3] + 0.02  # sixty rounds at this rate would learn the rows by heart
+
+
+def test_a_fit_is_repeatable(spark):
+    spec = am.AdditiveSpec(max_bins=8, outer_bags=2, rounds=3)
+    first, second = (am.fit_additive(simulated(spark, 800).repartition(n), ["a", "b"], LABELS, spec) for n in (2, 2))
+    assert all((a == b).all() for a, b in zip(first.scores, second.scores))

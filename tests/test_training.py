@@ -98,5 +98,5 @@ def test_folds_do_not_share_their_selection(spark, inputs):
 def test_unknown_model_name_means_the_additive_one(spark, inputs):
     spec = qf.training_spec()
     rows, features = tr.fold_dataset(tr.prepare(*inputs, spec), spec, 1)
-    model = md.fit_model(stage(rows), features[-4:], tr.LABELS, md.ModelSpec("other", md.AdditiveSpec(8, 0, max_iter=5)))
+    model = md.fit_model(stage(rows), features[-4:], tr.LABELS, md.ModelSpec("other", md.AdditiveSpec(8, 0, rounds=2)))
     assert isinstance(model, md.AdditiveModel)

@@ -1,38 +1,42 @@
-"""Glass-box additive classifier: one step function per feature and class, fitted as binned multinomial regression.
-
-Not boosted trees: the shapes come from regularised regression on one-hot bins, averaged over bags, so scores
-differ from a boosting library's while the explanations have the same form.
-"""
+"""Glass-box additive classifier: one step function per feature and class, fitted by cyclic gradient boosting."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, QuantileDiscretizer, VectorAssembler
+from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillcast.operators.boosting import bag_bits, bin_counts, boost
 from tillcast.operators.ordinal_model import predict
 
-_BAGS_AT_ONCE = 4  # fits that share the cluster; each is a row of short jobs
-
 
 @dataclass(frozen=True)
 class AdditiveSpec:
+    """``rounds`` bounds the visits of each feature; a visit is a job, so the rate is higher than a single machine's.
+
+    ``features_at_once`` features learn from the same scores, in one job; 1 is strictly one after the other.
+    """
+
     max_bins: int = 256
     outer_bags: int = 8
     bag_share: float = 0.85
-    penalty: float = 0.01
-    max_iter: int = 50
+    learning_rate: float = 0.15
+    max_leaves: int = 3
+    min_samples_leaf: int = 2
+    rounds: int = 20
+    patience: int = 3
+    features_at_once: int = 4
     seed: int = 42
 
     def __post_init__(self):
-        if self.max_bins < 2 or self.outer_bags < 0:
-            raise ValueError("max_bins must be at least 2 and outer_bags not negative")
+        if self.max_bins < 2 or not 0 <= self.outer_bags <= 62:
+            raise ValueError("max_bins must be at least 2 and outer_bags between 0 and 62")
+        if self.max_leaves < 2 or self.min_samples_leaf < 1 or self.rounds < 0 or self.features_at_once < 1:
+            raise ValueError("a tree has at least 2 leaves of at least 1 row; rounds are not negative; features_at_once is at least 1")
 
 
 @dataclass(frozen=True)
@@ -128,62 +132,31 @@ def _binned(rows: DataFrame, features: list[str], max_bins: int) -> tuple[DataFr
     return binner.transform(rows), splits
 
 
-def _bin_counts(binned: DataFrame, splits: list[np.ndarray]) -> list[np.ndarray]:
-    bins = [f"_b{i}" for i in range(len(splits))]
-    rows = binned.select(*bins).unpivot([], bins, "feature", "bin").groupBy("feature", "bin").count().collect()
-    counts = [np.zeros(len(s) + 1) for s in splits]
-    for r in rows:
-        counts[int(r["feature"][2:])][int(r["bin"])] = r["count"]
-    return counts
-
-
 def fit_additive(df: DataFrame, features: list[str], labels: list[str], spec: AdditiveSpec = AdditiveSpec()) -> AdditiveModel:
     """Fit on all rows of ``df`` (the training rows of one fold), which holds ``label_id``.
 
-    Everything on the driver is sized by features × bins × classes, never by rows.
+    Everything on the driver is sized by bags × features × bins × classes, never by rows.
     """
-    rows = df.select(F.col("label_id").cast("double").alias("label_id"), *[F.col(c).cast("double").alias(c) for c in features])
-    rows = rows.withColumn("_draw", F.pmod(F.xxhash64(*features, "label_id"), F.lit(1 << 30)))
-    binned, splits = _binned(rows, features, spec.max_bins)
-    counts = _bin_counts(binned, splits)
-    onehot = OneHotEncoder(
-        inputCols=[f"_b{i}" for i in range(len(features))], outputCols=[f"_h{i}" for i in range(len(features))], dropLast=False
-    ).fit(binned)
-    sizes = list(onehot.categorySizes)
-    assembled = VectorAssembler(inputCols=[f"_h{i}" for i in range(len(features))], outputCol="_x").transform(
-        onehot.transform(binned)
-    ).select("label_id", "_x", "_draw").persist()
-    learner = LogisticRegression(
-        featuresCol="_x", labelCol="label_id", family="multinomial", regParam=spec.penalty, maxIter=spec.max_iter,
-        standardization=False,
-    )
+    rows = df.select(F.col("label_id").cast("int").alias("label_id"), *[F.col(c).cast("double").alias(c) for c in features])
     bags = max(spec.outer_bags, 1)
-
-    def fit(bag: int) -> tuple[np.ndarray, np.ndarray]:
-        part = assembled if spec.outer_bags < 2 else assembled.where(_in_bag(bag, spec))
-        fitted = learner.fit(part)
-        return fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
-
+    share = spec.bag_share if spec.outer_bags > 1 else 1.0
+    rows = rows.withColumn("bags", bag_bits(F.xxhash64(*features, "label_id"), bags, share, spec.seed))
+    binned, splits = _binned(rows, features, spec.max_bins)
+    sizes = [len(s) + 1 for s in splits]
+    kept = binned.select("label_id", "bags", *[F.col(f"_b{i}").cast("int").alias(f"_b{i}") for i in range(len(features))]).persist()
     try:
-        assembled.count()  # kept before the bags read it side by side
-        with ThreadPool(min(bags, _BAGS_AT_ONCE)) as pool:
-            fits = pool.map(fit, range(bags))
+        by_class = dict(kept.groupBy("label_id").count().collect())
+        if set(by_class) != set(range(len(labels))):
+            raise ValueError("every class needs training rows")
+        counts = bin_counts(kept, sizes)
+        total = sum(by_class.values())
+        prior = np.log([by_class[k] / total for k in range(len(labels))])
+        shapes, intercept = boost(kept, sizes, prior - prior.mean(), spec)
     finally:
-        assembled.unpersist()
-    matrix, intercept = (sum(parts) / bags for parts in zip(*fits))
-    if matrix.shape[0] != len(labels):
-        raise ValueError("every class needs training rows")
-    scores, at = [], 0
-    for size, n in zip(sizes, counts):
-        shape = matrix[:, at : at + size].T[: len(n)]
+        kept.unpersist()
+    scores = []
+    for shape, n in zip(shapes, counts, strict=True):
         middle = (shape * n[:, None]).sum(axis=0) / max(n.sum(), 1)  # shapes average to 0 over training
         intercept = intercept + middle
         scores.append(shape - middle)
-        at += size
     return AdditiveModel(tuple(features), tuple(labels), tuple(splits), tuple(scores), tuple(counts), intercept)
-
-
-def _in_bag(bag: int, spec: AdditiveSpec):
-    """A repeatable draw by row content: the same rows form a bag whatever the partitioning."""
-    draw = F.pmod(F.xxhash64("_draw", F.lit(bag), F.lit(spec.seed)), F.lit(10_000))
-    return draw < int(spec.bag_share * 10_000)
