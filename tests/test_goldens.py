@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from conftest import listed
 from pyspark.sql import functions as F
@@ -184,6 +185,24 @@ def test_adstock_recursion(rows, weight):
     assert got == pytest.approx(expected, rel=1e-12)
 
 
+def test_adstock_of_a_million_days(spark):
+    """Two series over 2,700 years, one of them with a null key and gaps, against the plain recursion."""
+    days = spark.range(1_000_000).selectExpr("date_add(DATE'0001-01-01', CAST(id AS INT)) AS date", "CAST(pmod(xxhash64(id), 100) AS DOUBLE) AS tv", "explode(array('x', NULL)) AS outlet")
+    days = days.where("outlet IS NOT NULL OR pmod(xxhash64(date), 3) > 0")
+    spec = ads.AdstockSpec(("tv",), 0.999, keys=("outlet",))
+    stock = ads.adstock(days, spec, tail=False)
+    assert "collect_list" not in stock._jdf.queryExecution().toString()
+    costs = days.select(F.col("outlet").alias("of"), F.col("date").alias("day"), "tv")
+    got = stock.join(costs, F.col("outlet").eqNullSafe(F.col("of")) & (F.col("date") == F.col("day"))).select("outlet", F.datediff("day", F.lit("1970-01-01").cast("date")).alias("day"), "tv", "adstock_tv").toPandas()
+    for outlet in ("x", None):
+        own = got[got.outlet.isna() if outlet is None else got.outlet == outlet].sort_values("day")
+        level, expected = 0.0, np.empty(len(own))
+        for i, cost in enumerate(own.tv.to_numpy()):
+            level = level * 0.999 + cost
+            expected[i] = level
+        assert len(own) > 600_000 and np.allclose(own.adstock_tv.to_numpy(), expected, rtol=1e-9)
+
+
 def test_adstock_tail_length(rows):
     """The tail stops after 61 days even if the level is still above the threshold."""
     df = rows([(DAYS[0], 100.0), (DAYS[1], 0.0)], "date DATE, tv DOUBLE")

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Rows of a series that are folded one by one; the levels at the ends of such blocks are then carried on.
-_BLOCK = 64
+# Days of a block, and blocks of a block of blocks.
+_BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -36,19 +36,58 @@ def _weight(spec: AdstockSpec) -> Column:
     return weight
 
 
+def _kept(keep: Column, level: Column) -> Column:
+    """What is left of a level; of none nothing, even where a share above 1 has grown beyond all numbers."""
+    return F.when(level == 0, 0.0).otherwise(keep * level)
+
+
+def _scanned(rows: DataFrame, part: list[str], order: str, longest: int) -> DataFrame:
+    """Each row's map after those of all rows before it in its part, of at most ``longest`` rows.
+
+    ``_keep`` and ``_add`` say what a row makes of a level: ``level * _keep + _add``. Two maps after one another are such a
+    map again, so after steps of 1, 2, 4... rows back every row has the whole way from its part's first row. All steps share
+    one partitioning and sort, and a row holds two numbers whatever the length.
+    """
+    series, back = W.partitionBy(*part).orderBy(order), 1
+    while back < longest:
+        keep, add = F.lag("_keep", back, 1.0).over(series), F.lag("_add", back, 0.0).over(series)
+        rows = rows.withColumns({"_add": F.col("_add") + _kept(F.col("_keep"), add), "_keep": F.col("_keep") * keep})
+        back *= 2
+    return rows
+
+
+def _ends(rows: DataFrame, part: list[str], order: str) -> DataFrame:
+    """The map of each whole part: that of its last row."""
+    last = rows.groupBy(*part).agg(F.max_by(F.struct("_keep", "_add"), order).alias("end"))
+    return last.select(*part, F.col("end._keep").alias("_keep"), F.col("end._add").alias("_add"))
+
+
+def _with_carry(rows: DataFrame, carry: DataFrame, part: list[str], keys: tuple[str, ...]) -> DataFrame:
+    """``rows`` with the level that their part begins at. Keys may be null."""
+    named = carry.withColumnsRenamed({c: f"_of_{c}" for c in part})
+    met = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) if c in keys else F.col(c) == F.col(f"_of_{c}") for c in part]
+    return rows.join(named, met).drop(*[f"_of_{c}" for c in part])
+
+
 def _levels(long: DataFrame, spec: AdstockSpec) -> DataFrame:
-    """The recursion for any weight and length: a fold inside each block of rows, plus what the ends of the blocks
-    before it leave after as many rows. A row thus folds at most one block and one value per earlier block."""
-    series = W.partitionBy(*spec.keys, "channel").orderBy("date")
-    place = F.row_number().over(series) - 1
-    rows = long.withColumns({"_weight": _weight(spec), "_block": F.floor(place / _BLOCK), "_at": place % _BLOCK + 1})
-    inside = W.partitionBy(*spec.keys, "channel", "_block").orderBy("date").rowsBetween(W.unboundedPreceding, 0)
-    weight = F.col("_weight")
-    own = F.aggregate(F.collect_list("cost").over(inside), F.lit(0.0), lambda level, cost: level * weight + cost)
-    rows = rows.withColumn("_own", own)
-    ends = F.collect_list(F.when(F.col("_at") == _BLOCK, F.col("_own"))).over(series.rowsBetween(W.unboundedPreceding, -1))
-    carried = F.aggregate(ends, F.lit(0.0), lambda level, end: level * F.pow(weight, F.lit(_BLOCK)) + end)
-    return rows.withColumn("adstock", F.col("_own") + carried * F.pow(weight, "_at")).drop("_weight", "_block", "_at", "_own")
+    """The recursion for any weight and length, as a scan of affine maps over blocks of days and blocks of these.
+
+    Blocks follow from the date alone, so the days of one long series are dealt over many tasks; a part of a scan has at
+    most ``_BLOCK`` rows at the two lower levels, and the blocks of blocks of all dates that Spark knows are fewer than that.
+    """
+    series = [*spec.keys, "channel"]
+    block = F.floor(F.datediff("date", F.lit("1970-01-01").cast("date")) / _BLOCK)
+    rows = long.withColumns({"_keep": _weight(spec), "_add": F.col("cost"), "_block": block, "_above": F.floor(block / _BLOCK)})
+    rows = _scanned(rows, [*series, "_above", "_block"], "date", _BLOCK)
+    blocks = _scanned(_ends(rows, [*series, "_above", "_block"], "date"), [*series, "_above"], "_block", _BLOCK)
+    above = _scanned(_ends(blocks, [*series, "_above"], "_block"), series, "_above", _BLOCK)
+    above = above.select(*series, "_above", F.lag("_add", 1, 0.0).over(W.partitionBy(*series).orderBy("_above")).alias("_begin"))
+    before = W.partitionBy(*series, "_above").orderBy("_block")
+    blocks = blocks.withColumns({"_add": F.lag("_add", 1, 0.0).over(before), "_keep": F.lag("_keep", 1, 1.0).over(before)})
+    blocks = _with_carry(blocks, above, [*series, "_above"], spec.keys)
+    carry = blocks.select(*series, "_above", "_block", (F.col("_add") + _kept(F.col("_keep"), F.col("_begin"))).alias("_carry"))
+    rows = _with_carry(rows, carry, [*series, "_above", "_block"], spec.keys)
+    return rows.withColumn("adstock", F.col("_add") + _kept(F.col("_keep"), F.col("_carry"))).drop("_keep", "_add", "_block", "_above", "_carry")
 
 
 def adstock_long(daily: DataFrame, spec: AdstockSpec) -> DataFrame:
