@@ -20,7 +20,6 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,13 +74,13 @@ def bucket_counts(texts: DataFrame, spec: ResampleSpec) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(spec.buckets, dtype=np.int64)
         for batch in batches:
-            for data in batch.column(0):
+            for data in batch.column(0).cast(pa.binary()):
                 for _, found in feature_buckets(data.as_py(), spec):
                     total += np.bincount(found, minlength=spec.buckets)
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"bucket": held, "n": total[held]})
 
-    counted = texts.select(F.col("text").cast("binary")).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    counted = texts.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(spec.buckets, dtype=np.int64)
     out[counted["bucket"].to_numpy(dtype=np.int64)] = counted["n"].to_numpy(dtype=np.int64)
     return out
@@ -101,14 +100,13 @@ def weights(docs: DataFrame, gains: np.ndarray, spec: ResampleSpec) -> DataFrame
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             features, words, sums = [], [], []
-            for data in batch.column(1):
+            for data in batch.column(1).cast(pa.binary()):
                 counted = [(n, len(found), int(gains[found].sum())) for n, found in feature_buckets(data.as_py(), spec)]
                 for out, k in ((words, 0), (features, 1), (sums, 2)):
                     out.append(sum(block[k] for block in counted))
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, pa.int64()) for x in (features, words, sums)]], schema=schema)
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(weigh, "doc_id long, n_features long, n_words long, weight long")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(weigh, "doc_id long, n_features long, n_words long, weight long")
 
 
 def gumbel(seed: int) -> Column:
@@ -148,13 +146,12 @@ def top_ranks(scored: DataFrame, spec: ResampleSpec) -> DataFrame:
     segments = max(int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size["rows"] // spec.segment_rows))
     splitters = regular_splitters(runs, size["rows"], size["runs"], segments, spec)
 
-    @F.pandas_udf("int")
-    def segment_of(score: pd.Series, doc_id: pd.Series, row: pd.Series) -> pd.Series:
-        ids = doc_id.astype("object").where(doc_id.notna(), None)
-        return pd.Series([bisect_right(splitters, _key(s, None if d is None else int(d), r)) for s, d, r in zip(score, ids, row, strict=True)], dtype="int32")
+    def parting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = zip(*[batch.column(c).to_pylist() for c in ("score", "doc_id", "row")], strict=True)
+            yield batch.append_column("segment", pa.array([bisect_right(splitters, _key(*k)) for k in keys], pa.int32()))
 
-    named = F.col("doc_id").cast("string")  # pandas would turn numbers beside a null into doubles
-    parted = runs_out.withColumn("segment", segment_of("score", named, "row"))
+    parted = runs_out.mapInArrow(parting, runs_out.withColumn("segment", F.lit(0)).schema)
     held = sorted((r["segment"], r["n"]) for r in parted.groupBy("segment").agg(F.count("*").alias("n")).collect())
     before, offsets = 0, []
     for segment, n in held:
