@@ -17,12 +17,17 @@ def mixed(spark, rows, spec=sm.MixSpec()):
     return sm.mix_sources(df, spec).collect()
 
 
+def taken(spark, rows, spec=sm.MixSpec()):
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], DDL)
+    return [tuple(r) for r in sm.taken_words(sm.mix_sources(df, spec)).collect()]
+
+
 def against_sql(spark, rows):
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, source VARCHAR, text VARCHAR)")
     if rows:
         con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [list(r) for r in rows])
-    got = [(r.doc_id, r["size"], r.source_size, r.target, sum(d.words for d in r.draws)) for r in mixed(spark, rows)]
+    got = taken(spark, rows)
     assert Counter(got) == Counter(con.execute(sm.mix_sql()).fetchall())
     return got
 
@@ -30,7 +35,7 @@ def against_sql(spark, rows):
 def test_odd_rows(spark):
     rows = [(1, "a", "one two"), (1, "a", "one two"), (1, "a", "three"), (2, None, "x\x0by z  "), (None, "b", "w " * 5000), (3, "b", None), (4, "c", ""), (5, "", " "), (6, "é", "q")]
     got = against_sql(spark, rows)
-    assert len(got) == len(rows) and all(taken <= 2 * size for _, size, _, _, taken in got)
+    assert len(got) == len(rows) and all(r[4] <= 2 * r[1] for r in got)
     assert {r[1] for r in got if r[0] == 2} == {2}  # a no-break space is part of a word
 
 
@@ -44,9 +49,9 @@ def test_taken_words_meet_targets(spark):
     rows = [(i, f"s{min(i % 7, 3)}", "w " * int(r.integers(0, 60))) for i in range(800)]
     got = against_sql(spark, rows)
     by = {}
-    for doc_id, size, source_size, target, taken in got:
+    for _, _, source_size, target, own in got:
         words, _ = by.get(source_size, (0, 0))
-        by[source_size] = words + taken, target
+        by[source_size] = words + own, target
     assert all(abs(words - target) <= 0.5 for words, target in by.values())
     assert sum(t for _, t in by.values()) == pytest.approx(1.5 * sum(by))
 
@@ -62,6 +67,43 @@ def test_shards_are_disjoint_and_hold_every_draw(spark):
     assert found == mixed(spark, rows, spec)
 
 
+ROWS = [(i, f"s{i % 3}", "w " * (1 + i % 9)) for i in range(600)]
+
+
+@pytest.mark.parametrize("broken", ["empty", "one shard lost"])
+def test_taken_words_come_from_the_tree(spark, monkeypatch, broken):
+    whole = sum(r[4] for r in taken(spark, ROWS))
+    split = sm.split_quotas
+
+    def spoilt(quotas, spec):
+        leaves = split(quotas, spec)
+        lost = F.transform("quotas", lambda q: q * 0)
+        return leaves.withColumn("quotas", lost if broken == "empty" else F.when(F.col("shard") == 3, lost).otherwise(F.col("quotas")))
+
+    monkeypatch.setattr(sm, "split_quotas", spoilt)
+    left = sum(r[4] for r in taken(spark, ROWS))
+    assert left == 0 if broken == "empty" else 0.8 * whole < left < 0.99 * whole
+
+
+def test_rows_of_shards_lie_in_order(spark):
+    df = spark.createDataFrame([(*r, "x", "y") for r in ROWS], DDL)
+    drawn = sm.shard_rows(sm.mix_sources(df)).withColumn("task", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()).collect()
+    by_place = sorted(drawn, key=lambda r: r["at"])
+    keys = [(r.shard, r.position, r["row"]) for r in by_place]
+    assert keys == sorted(keys) and len({r.task for r in drawn}) > 1
+    assert len({(r["row"], r.epoch) for r in drawn}) == len(drawn)
+    first = [r.doc_id for r in by_place if r.shard == 0]
+    assert first != sorted(first)
+
+
+def test_rows_without_id_spread_over_blocks(spark):
+    rows = [(None, "s", f"word{i}") for i in range(400)] + [(7, "s", f"more{i}") for i in range(400)]
+    got = against_sql(spark, rows)
+    assert sum(r[4] for r in got) == 1200
+    found = mixed(spark, rows)
+    assert max(Counter(d.shard for r in found for d in r.draws).values()) < 200
+
+
 def test_tree_splits_quotas_exactly(spark):
     quotas = [0, 1, 17, 400, 5]
     df = spark.createDataFrame([(quotas,)], "quotas array<bigint>")

@@ -50,16 +50,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said.select("doc_id", "held_out", F.col("said.lang").alias("lang_pred"), "said.score")
 
 
-def _word_total(words: Column, draw: Column) -> Column:
-    return words + draw["words"]
-
-
 @query
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of 150 % of all words takes of each document."""
-    mixed = source_mix.mix_sources(table(spark, sf_dir, "documents"))
-    taken = F.aggregate("draws", F.lit(0).cast("bigint"), _word_total)
-    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return source_mix.taken_words(source_mix.mix_sources(table(spark, sf_dir, "documents")))
 
 
 ORACLES["op2_source_mix"] = source_mix.mix_sql()

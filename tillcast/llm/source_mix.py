@@ -138,15 +138,19 @@ def source_targets(sources: DataFrame, spec: MixSpec) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
-    """doc_id, size, source_size, target, draws for every row of ``docs`` (doc_id, source, text).
+    """row, doc_id, size, source_size, target, draws for every row of ``docs`` (doc_id, source, text).
 
-    ``draws``: array of (epoch, words, shard, position), one for each time the mix takes the document; ``words`` is its
+    ``draws``: array of (epoch, words, shard, position), one for each time a shard takes the document; ``words`` is its
     size but for the one document per source at which the target is reached. Documents of no words are never drawn. Rows
-    of one doc_id are mixed each on its own.
+    of one doc_id, or of none, are mixed each on its own; the block is a hash of id and text, so they spread. A null source
+    is a source, a null text has no words. An empty table gives no row.
+
+    Targets need all sources in order: one row per source, about 100 bytes, meets in one task and one list.
     """
-    shuffled = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f"/{spec.seed}"))), 1, 15), 16, 10).cast("bigint")
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f"/{spec.seed}/"), F.md5(F.coalesce("text", F.lit(""))))
+    shuffled = F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("bigint")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    sized = stage(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), shuffled.alias("drawn")), "sizes")
+    sized = stage(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), shuffled.alias("drawn")), "sizes")
     totals = sized.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("source_size"))
     n_blocks = F.ceil(F.col("docs") / spec.block_docs).cast("bigint")
     whole = F.floor(F.floor(F.col("target") + 0.5) / F.greatest("source_size", F.lit(1))).cast("bigint")
@@ -194,7 +198,7 @@ def mix_sources(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     ends = stage(ends.join(counted, "place").select("place", "held", "ends"), "shard-ends")
 
     in_block = Window.partitionBy("place", "block").orderBy("drawn", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    own = placed.select("doc_id", "size", "source_size", "target", "place", "block", "drawn", "whole", "rest")
+    own = placed.select("row", "doc_id", "size", "source_size", "target", "place", "block", "drawn", "whole", "rest")
     own = own.join(blocks.drop("rest"), ["place", "block"]).withColumn("at", F.col("before") + F.coalesce(F.sum("size").over(in_block), F.lit(0)))
     own = own.join(ends, "place").withColumn("last_words", F.greatest(F.lit(0).cast("bigint"), F.least(F.col("size"), F.col("rest") - F.col("at"))))
 
@@ -207,14 +211,29 @@ def mix_sources(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
             F.xxhash64(F.lit(spec.seed), F.lit("position"), F.col("doc_id"), epoch).alias("position"),
         )
 
-    draws = F.filter(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("whole")), draw), lambda d: d["words"] > 0)
-    return own.select("doc_id", "size", "source_size", "target", draws.alias("draws"))
+    # The leaves have taken the slots before the last end; a block is drawn once for each of its slots among them.
+    last = F.element_at("ends", -1)
+    epochs = F.floor((last - F.col("ordinal") + F.col("held") - 1) / F.col("held"))
+    slots = F.when(epochs > 0, F.sequence(F.lit(0).cast("bigint"), epochs - 1)).otherwise(F.array().cast("array<bigint>"))
+    draws = F.filter(F.transform(slots, draw), lambda d: d["words"] > 0)
+    return own.select("row", "doc_id", "size", "source_size", "target", draws.alias("draws"))
 
 
 def shard_rows(mixed: DataFrame) -> DataFrame:
-    """shard, position, doc_id, epoch, words: one row per draw, sorted inside each task by shard and place in it."""
-    rows = mixed.select("doc_id", F.explode("draws").alias("draw")).select("draw.shard", "draw.position", "doc_id", "draw.epoch", "draw.words")
-    return rows.sortWithinPartitions("shard", "position")
+    """shard, position, row, doc_id, epoch, words: one row per draw, all shards one after the other, each in its own order.
+
+    Tasks hold ranges of that order, so a shard of any size is dealt over as many as it needs.
+    """
+    rows = mixed.select("row", "doc_id", F.explode("draws").alias("draw")).select("draw.shard", "draw.position", "row", "doc_id", "draw.epoch", "draw.words")
+    width = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(width, "shard", "position").sortWithinPartitions("shard", "position", "row")
+
+
+def taken_words(mixed: DataFrame) -> DataFrame:
+    """doc_id, size, source_size, target, taken: the words that the rows of all shards, written and read back, hold of each row."""
+    mixed = stage(mixed, "mixed")
+    drawn = stage(shard_rows(mixed), "shards").groupBy("row").agg(F.sum("words").alias("taken"))
+    return mixed.join(drawn, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
 def mix_sql(spec: MixSpec = MixSpec()) -> str:
@@ -223,7 +242,7 @@ def mix_sql(spec: MixSpec = MixSpec()) -> str:
     return rf"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS BIGINT) AS size,
-    ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/{spec.seed}'), 1, 15))::BIGINT AS drawn
+    ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/{spec.seed}/' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS drawn
   FROM documents),
 totals AS (
   SELECT source, count(*) AS docs, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
