@@ -53,7 +53,14 @@ def test_odd_rows(spark):
     items = [(1, item), (1, item), (2, None), (3, ""), (4, "too short here now"), (None, item), (5, "one two three four five")]
     found = both(spark, docs, items)
     assert {r[:2] for r in found if r[1] == 1} == {(4, 1), (None, 1), (5, 1), (6, 1)}
-    assert (8, 5, 1, 1) in found
+    assert (8, 5, 1, 1) in found and (8, 4, 1, 1) not in found
+
+
+def test_items_shorter_than_a_shingle(spark):
+    docs = [(1, "Tell me: where is, the CAT? Now."), (2, "the cat is where"), (3, "他问：猫在哪里，它在这里。好"), (4, "cat"), (5, "Cats"), (6, None), (7, ""), (None, "a cat"), (8, "the cat " * 200)]
+    items = [(1, "cat"), (2, "the cat"), (3, "where is the cat"), (4, "猫在哪里，它在这里"), (5, "!?"), (6, "one two three four five")]
+    found = {r[:2] for r in both(spark, docs, items)}
+    assert found == {(1, 1), (2, 1), (4, 1), (None, 1), (8, 1), (1, 2), (2, 2), (8, 2), (1, 3), (3, 4)}
 
 
 @pytest.mark.parametrize(("docs", "items"), [([], [(1, "a b c d e f")]), ([(1, "a b c d e f")], []), ([], [])])

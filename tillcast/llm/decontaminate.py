@@ -7,6 +7,9 @@ with probability c, whatever its own size. Both sides are partitioned by size: t
 for are set per partition, so that a pair at the threshold is missed with at most ``miss`` chance while longer documents,
 which hold more shingles by accident, must show more hits. Candidates are then checked on all shingles.
 
+An item of fewer words than a shingle is one shingle of its own length. Documents are cut into word runs of just the
+lengths of such items, and joined with them by the whole run.
+
 Everything is DataFrame operations. Documents are never shuffled to find candidates while the sketches are small; the
 planner broadcasts them below its size limit and joins by shuffle beyond.
 """
@@ -70,6 +73,18 @@ def hashes_of(words: str, n: int) -> Column:
     return F.transform(at, lambda i: F.xxhash64(*[F.get(F.col(words), i + k) for k in range(n)]))
 
 
+def short_hits(texts: DataFrame, short: DataFrame, lengths: list[int]) -> DataFrame:
+    """doc_id, item_id, item_shingles, shared of items (item_id, words) that are shorter than a shingle, of ``lengths`` words.
+
+    The item's words are found as a run anywhere in the text.
+    """
+    runs = F.flatten(F.array(*[shingles_of("words", n) for n in lengths]))
+    held = texts.select("doc_id", words_of("text").alias("words")).select("doc_id", F.explode(F.array_distinct(runs)).alias("run"))
+    asked = short.select("item_id", F.concat_ws(" ", "words").alias("run")).distinct()
+    one = F.lit(1).cast("bigint")
+    return held.join(asked, "run").select("doc_id", "item_id", one.alias("item_shingles"), one.alias("shared")).distinct()
+
+
 def item_sketches(items: DataFrame, spec: ContainmentSpec) -> DataFrame:
     """(item_id, text_key, shingle, permutation): for each permutation the item's shingle of least hash."""
     hashed = items.select("item_id", "copy", F.explode(F.array_distinct(hashes_of("words", spec.words))).alias("shingle"))
@@ -83,12 +98,15 @@ def item_sketches(items: DataFrame, spec: ContainmentSpec) -> DataFrame:
 def contaminations(docs: DataFrame, benchmark: DataFrame, spec: ContainmentSpec = ContainmentSpec()) -> DataFrame:
     """doc_id, item_id, item_shingles, shared for each document (doc_id, text) that holds enough of an item (item_id, text).
 
-    Null, empty and short texts (fewer words than a shingle) hold nothing and are held by nothing. Several rows of one
-    doc_id, or of one item_id, count as one document, or item, that holds the pair if any of its rows does; the row with
+    Null and empty texts hold nothing and are held by nothing; an item of fewer words than a shingle is held whole. A word is
+    a run of letters and digits, so a phrase in a script without spaces is one word between marks. Several rows of one
+    doc_id (or null), or of one item_id, count as one document, or item, that holds the pair if any of its rows does; the row with
     most shared shingles is reported.
     """
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct()
-    items = items.withColumn("words", words_of("text")).withColumn("copy", F.xxhash64("text")).where(F.size("words") >= spec.words)
+    items = items.withColumn("words", words_of("text")).withColumn("copy", F.xxhash64("text"))
+    short = items.where((F.size("words") > 0) & (F.size("words") < spec.words)).select("item_id", "words")
+    items = items.where(F.size("words") >= spec.words)
     items = stage(items.select("item_id", "copy", "words", shingles_of("words", spec.words).alias("shingles")), "items")
     sketches = stage(item_sketches(items, spec), "sketches")
 
@@ -111,6 +129,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, spec: ContainmentSpec
     pairs = pairs.join(items.select("item_id", "copy", "shingles").withColumnsRenamed({"item_id": "of_item", "copy": "of_copy"}), F.col("item_id").eqNullSafe(F.col("of_item")) & (F.col("copy") == F.col("of_copy")))
     shared = pairs.select("doc_id", "item_id", F.size("shingles").cast("bigint").alias("item_shingles"), F.size(F.array_intersect("shingles", "doc_shingles")).cast("bigint").alias("shared"))
     enough = shared.where(100 * F.col("shared") >= spec.percent * F.col("item_shingles"))
+    lengths = sorted(r["n"] for r in short.select(F.size("words").alias("n")).distinct().collect())
+    if lengths:  # fewer than a shingle's words
+        enough = enough.unionByName(short_hits(texts, short, lengths))
     best = F.max(F.struct(F.col("shared"), (-F.col("item_shingles")).alias("fewer")))
     return enough.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", (-F.col("best.fewer")).alias("item_shingles"), F.col("best.shared").alias("shared"))
 
@@ -119,11 +140,14 @@ def contaminations_sql(spec: ContainmentSpec = ContainmentSpec()) -> str:
     """DuckDB SQL for the same rows, by joining all shingles."""
     n = spec.words
 
-    def shingled(table: str, key: str) -> str:
+    def words(table: str, key: str) -> str:
         text = f"trim(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+        return f"SELECT {key}, text AS copy, string_split({text}, ' ') AS w FROM (SELECT DISTINCT {key}, text FROM {table})"
+
+    def shingled(table: str, key: str) -> str:
         return f"""
   SELECT {key}, copy, unnest(list_distinct(list_transform(generate_series(1, len(w) - {n - 1}), lambda i: array_to_string(w[i:i + {n - 1}], ' ')))) AS shingle
-  FROM (SELECT {key}, text AS copy, string_split({text}, ' ') AS w FROM (SELECT DISTINCT {key}, text FROM {table})) WHERE len(w) >= {n}"""
+  FROM ({words(table, key)}) WHERE len(w) >= {n}"""
 
     return f"""
 WITH items AS ({shingled("benchmark", "item_id")}),
@@ -131,9 +155,14 @@ docs AS ({shingled("documents", "doc_id")}),
 sizes AS (SELECT copy, count(DISTINCT shingle) AS item_shingles FROM items GROUP BY ALL),
 met AS (
   SELECT d.doc_id, i.item_id, i.copy, d.copy AS doc_copy, count(*) AS shared
-  FROM docs d JOIN items i USING (shingle) GROUP BY ALL)
+  FROM docs d JOIN items i USING (shingle) GROUP BY ALL),
+short AS (SELECT DISTINCT item_id, array_to_string(w, ' ') AS run, len(w) AS n FROM ({words("benchmark", "item_id")}) WHERE run <> '' AND len(w) < {n}),
+runs AS (
+  SELECT doc_id, unnest(list_distinct(list_transform(generate_series(1, len(w) - n + 1), lambda i: array_to_string(w[i:i + n - 1], ' ')))) AS run
+  FROM ({words("documents", "doc_id")}), (SELECT DISTINCT n FROM short) WHERE len(w) >= n),
+found AS (
+  SELECT doc_id, item_id, item_shingles, shared FROM met JOIN sizes USING (copy) WHERE 100 * shared >= {spec.percent} * item_shingles
+  UNION ALL SELECT DISTINCT doc_id, item_id, 1, 1 FROM runs JOIN short USING (run))
 SELECT doc_id, item_id, CAST(-max({{'shared': shared, 'fewer': -item_shingles}}).fewer AS BIGINT) AS item_shingles,
   CAST(max({{'shared': shared, 'fewer': -item_shingles}}).shared AS BIGINT) AS shared
-FROM met JOIN sizes USING (copy)
-WHERE 100 * shared >= {spec.percent} * item_shingles
-GROUP BY doc_id, item_id"""
+FROM found GROUP BY doc_id, item_id"""
