@@ -152,18 +152,18 @@ def digest_with_next(docs: DataFrame, spec: DigestSpec = DigestSpec()) -> DataFr
             yield pa.RecordBatch.from_pylist([{"doc_id": before[0], "part": before[2], "tail": before[1]}], schema)
 
     rows = stage(ranged.select("doc_id", "text", "part").mapInArrow(run, _PARTS), "digests")
-    # One head and one tail per range: the head of the following range, or of the first, comes after a tail.
-    heads = rows.where("head is not null").select("part", "head")
+    # One head and one tail per range: the head of the following range, or of the first, comes after a tail. Only the
+    # numbers of the ranges meet in one task; each text goes to the one tail that it follows.
+    heads = rows.where("head is not null").select(F.col("part").alias("next"), F.col("head").alias("after"))
     once = Window.orderBy("part")
-    following = heads.select("part", F.lead("head").over(once).alias("next"), F.first("head").over(once).alias("first"))
-    tails = rows.where("tail is not null").select("doc_id", "tail", "part").join(following, "part")
+    following = rows.where("head is not null").select("part", F.coalesce(F.lead("part").over(once), F.first("part").over(once)).alias("next"))
+    tails = rows.where("tail is not null").select("doc_id", "tail", "part").join(following, "part").join(heads, "next")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for r in batch.to_pylist():
-                after = r["first"] if r["next"] is None else r["next"]
-                found.append(_row(r["doc_id"], r["tail"], digest(r["tail"], spec), after, digest(after, spec), spec))
+                found.append(_row(r["doc_id"], r["tail"], digest(r["tail"], spec), r["after"], digest(r["after"], spec), spec))
             yield pa.RecordBatch.from_pylist(found, pa.schema(_SCHEMA))
 
     inner = rows.where("head is null and tail is null").select(*[name for name, _ in _SCHEMA])
