@@ -59,6 +59,16 @@ def test_references_white_space_and_broken_markup(model):
     assert texts(model, page) == ["a & b é c d <p> e f\n\nsecond part &am"]
 
 
+def test_formulas_and_fallbacks_are_text(model):
+    page = (
+        f"<article><p>The energy is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> in all frames.</p><noscript><p>{T}</p></noscript>"
+        f"<object data=x><p>A map of the region, as text, for those without.</p></object><p>A sign <svg><path d=m /><text>up</text></svg> here.</p>"
+        f"<video src=v><p>{T}</p></video><template><p>never</p></template><textarea>typed</textarea><p>{T}</p></article>"
+    )
+    t = T.strip()
+    assert texts(model, page) == [f"The energy is E=m in all frames.\n\n{t}\n\nA map of the region, as text, for those without.\n\nA sign up here.\n\n{t}\n\n{t}"]
+
+
 def test_odd_pages(spark, model):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "no tags at all"), (3, "u", "no tags at all"), (None, "u", "<p>" + "word " * 50_000), (4, "u", "<div>" * 3000 + "deep" + "</div>" * 3000), (5, "u", "<article><p>cut <a hre")]
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "page_id long, url string, html string, n_chars int, text string")

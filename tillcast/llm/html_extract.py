@@ -27,7 +27,7 @@ BLOCKS = frozenset(
     "html body article section main header footer nav aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
     "caption blockquote pre form fieldset figure figcaption address details summary menu dialog hgroup search center".split()
 )
-SILENT = frozenset("script style title noscript template svg math iframe object select textarea button option audio video canvas".split())
+SILENT = frozenset("script style title template iframe select textarea button option".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: What an opening tag closes when it is open, nearest first, up to the elements that hold it.
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"})}
