@@ -77,14 +77,14 @@ ROWS += [(7, "repeated row W1 w2"), (7, "repeated row W1 w2"), (7, "another text
 
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_equals_exact_counts(spark, order):
-    # With 40 probes a level, a false answer is out of the question.
-    spec = lm.LmSpec(order=order, hashes=40, shard_ngrams=200, chunk=50, held=60, heavy=30)
+    # With so many bits an entry, a false answer is out of the question.
+    spec = lm.LmSpec(order=order, entry_bits=20_000, shard_ngrams=200, chunk=50, held=60, heavy=30)
     same(found(spark, ROWS, spec), plain(ROWS, spec))
 
 
 def test_routed_equals_sent(spark):
-    sent = lm.LmSpec(order=3, hashes=3, shard_ngrams=300, heavy=10)
-    got = found(spark, ROWS, lm.LmSpec(order=3, hashes=3, shard_ngrams=300, heavy=10, broadcast_bytes=0))
+    sent = lm.LmSpec(order=3, entry_bits=6, shard_ngrams=300, heavy=10)
+    got = found(spark, ROWS, lm.LmSpec(order=3, entry_bits=6, shard_ngrams=300, heavy=10, broadcast_bytes=0))
     same(got, found(spark, ROWS, sent), 1e-9)
 
 
@@ -110,13 +110,14 @@ def test_filter_never_loses_a_level():
     draw = np.random.default_rng(2)
     grams = draw.integers(0, 2**63, 50_000).astype(np.uint64)
     levels = draw.geometric(0.6, len(grams)).astype(np.int64)
-    bits = lm.build_shard(grams, levels, 6)
+    spec = lm.LmSpec()
+    bits = lm.build_shard(grams, levels, spec)
     begins = np.array([0, len(bits)])
-    got = lm.read_levels(bits, begins, grams, 6)
+    got = lm.read_levels(bits, begins, grams, spec)
     assert (got >= levels).all() and (got > levels).mean() < 0.03
-    unseen = lm.read_levels(bits, begins, draw.integers(0, 2**63, 50_000).astype(np.uint64), 6)
+    unseen = lm.read_levels(bits, begins, draw.integers(0, 2**63, 50_000).astype(np.uint64), spec)
     assert 0.005 < (unseen > 0).mean() < 0.03
-    assert len(bits) * 8 < 1.01 * levels.sum() * 6 / math.log(2) + 8
+    assert len(bits) * 64 <= levels.sum() * 12 + 64
 
 
 def test_levels_are_binary_digits():

@@ -11,46 +11,46 @@ The filter lies in shards by n-gram hash, each as large as its own entries ask f
 no task builds more than one shard. While all shards are below ``broadcast_bytes``, workers get them and texts are read
 once, without a shuffle. Beyond that the distinct n-grams of the texts are sent to the shards and their levels joined back.
 
-Beside it stands the exact unigram score: tokens of at least a 2^-16th share, of which there can be no more than 2^16, are
+Beside it stands the exact unigram score: tokens of at least a 2^-18th share, of which there can be no more than 2^18, are
 known to every worker; counts of rarer ones are joined by a shuffle of the (row, token) pairs.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.word_blocks import word_blocks
 from tillcast.session import stage
 
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _END = b""  # no word is empty
 _START = np.uint64(xxhash.xxh64_intdigest(b" "))  # no word holds a space
-_LOW, _ALL = np.uint64(0xFFFFFFFF), (1 << 64) - 1
+_ALL = (1 << 64) - 1
 _ODD = tuple(np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
 @dataclass(frozen=True)
 class LmSpec:
-    """``prior``: weight, in occurrences, of the shorter history. ``hashes`` probes a level; a shard has as many bits as then
-    make a missing level look present with chance 2 ** -hashes. ``shard_ngrams``: training n-grams, repeats counted, per shard.
+    """``prior``: weight, in occurrences, of the shorter history. An entry sets ``probes`` bits of one 64-bit word; a shard has
+    ``entry_bits`` bits per entry, at which about one missing level in fifty looks present. ``shard_ngrams``: training n-grams,
+    repeats counted, per shard.
     """
 
     order: int = 2
     prior: float = 100.0
-    hashes: int = 6
+    probes: int = 5
+    entry_bits: float = 12.0
     shard_ngrams: int = 1 << 20
     broadcast_bytes: int = 256 << 20
-    heavy: int = 1 << 16
+    heavy: int = 1 << 18
     heavy_bytes: int = 64  # longer tokens are joined, however frequent
     chunk: int = 1 << 18  # tokens worked on at a time
     held: int = 1 << 21  # tokens whose n-grams a task gathers before it sends them on
@@ -64,11 +64,31 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def words_of(data: bytes | None) -> list[bytes]:
-    return [w for block in word_blocks((data or b"").lower(), _WORD, _SPACE) for w in block]
+    """Words in order, A-Z in lower case; the white space of bytes is just 0x20 and 0x09 to 0x0D."""
+    return (data or b"").lower().split()
 
 
-def token_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+@dataclass(frozen=True)
+class Heavy:
+    """The frequent tokens: their places in the arrays of their counts and hashes. A last entry stands for all others."""
+
+    place: dict[bytes, int]
+    counts: np.ndarray
+    hashes: np.ndarray
+
+    @classmethod
+    def of(cls, counts: dict[bytes, int]) -> Heavy:
+        hashes = [*map(xxhash.xxh64_intdigest, counts), 0]
+        return cls({t: i for i, t in enumerate(counts)}, np.array([*counts.values(), 0], dtype=np.int64), np.array(hashes, dtype=np.uint64))
+
+    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """Places and hashes of the words, and the rarer words with where they stand."""
+        places = np.fromiter(map(self.place.get, words, repeat(len(self.place))), np.int64, len(words))
+        at = np.flatnonzero(places == len(self.place))
+        rare = [words[i] for i in at]
+        hashes = self.hashes[places]
+        hashes[at] = np.fromiter(map(xxhash.xxh64_intdigest, rare), np.uint64, len(rare))
+        return places, hashes, rare, at
 
 
 def marked(texts: list[np.ndarray], order: int) -> np.ndarray:
@@ -90,40 +110,33 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
 
 
-def _entry(hashes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two hashes of each n-gram's entry at a level, from which its probes follow."""
+def _entry(hashes: np.ndarray, level: int, words: np.ndarray | np.uint64, probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each n-gram's entry at a level, its word among a shard's ``words`` and the bits it sets there."""
     bits = mixed(hashes ^ np.uint64(level * int(_ODD[0]) & _ALL))
-    return bits & _LOW, (bits >> np.uint64(32)) | np.uint64(1)
-
-
-def _place(low: np.ndarray, step: np.ndarray, sizes: np.ndarray, probe: int) -> np.ndarray:
-    """The bit of a probe, within shards of ``sizes`` bits."""
-    return ((((low + np.uint64(probe) * step) & _LOW) * sizes) >> np.uint64(32)).astype(np.int64)
+    mask = np.zeros(len(bits), dtype=np.uint64)
+    for k in range(probes):
+        mask |= np.uint64(1) << ((bits >> np.uint64(6 * k)) & np.uint64(63))
+    return (((bits >> np.uint64(32)) * words) >> np.uint64(32)).astype(np.int64), mask
 
 
-def build_shard(hashes: np.ndarray, levels: np.ndarray, probes: int) -> np.ndarray:
-    """The bits, packed, of a filter that holds every n-gram at its levels 1 to ``levels``."""
-    size = 8 * max(1, -(-int(np.ceil(levels.sum() * probes / np.log(2))) // 8))
-    bits = np.zeros(size, dtype=bool)
+def build_shard(hashes: np.ndarray, levels: np.ndarray, spec: LmSpec) -> np.ndarray:
+    """The 64-bit words of a filter that holds every n-gram at its levels 1 to ``levels``."""
+    words = np.zeros(max(1, int(np.ceil(levels.sum() * spec.entry_bits / 64))), dtype=np.uint64)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        low, step = _entry(hashes[levels >= level], level)
-        for probe in range(probes):
-            bits[_place(low, step, np.uint64(size), probe)] = True
-    return np.packbits(bits, bitorder="little")
+        at, mask = _entry(hashes[levels >= level], level, np.uint64(len(words)), spec.probes)
+        np.bitwise_or.at(words, at, mask)
+    return words
 
 
-def read_levels(bits: np.ndarray, begins: np.ndarray, hashes: np.ndarray, probes: int) -> np.ndarray:
-    """Levels of n-grams in shards that lie one after the other in ``bits``, from ``begins`` (bytes; the last is the end)."""
+def read_levels(words: np.ndarray, begins: np.ndarray, hashes: np.ndarray, spec: LmSpec) -> np.ndarray:
+    """Levels of n-grams in shards that lie one after the other in ``words``, from ``begins`` (the last is the end)."""
     unique, back = np.unique(hashes, return_inverse=True)
     shards = shard_of(unique, len(begins) - 1)
-    begin, size = begins[shards], (np.diff(begins) * 8)[shards].astype(np.uint64)
+    begin, size = begins[shards], np.diff(begins)[shards].astype(np.uint64)
     levels, left = np.zeros(len(unique), dtype=np.int64), np.arange(len(unique))
     for level in range(1, 64):
-        low, step = _entry(unique[left], level)
-        for probe in range(probes):
-            place = _place(low, step, size[left], probe)
-            there = (bits[begin[left] + (place >> 3)] >> (place & 7).astype(np.uint8)) & 1 == 1
-            left, low, step = left[there], low[there], step[there]
+        at, mask = _entry(unique[left], level, size[left], spec.probes)
+        left = left[words[begin[left] + at] & mask == mask]
         if not len(left):
             break
         levels[left] = level
@@ -150,8 +163,7 @@ def vocabulary(training: DataFrame, spec: LmSpec) -> DataFrame:
         found = Counter()
         for batch in batches:
             for data in batch.column(0).cast(pa.binary()):
-                for words in word_blocks((data.as_py() or b"").lower(), _WORD, _SPACE):
-                    found.update(words)
+                found.update(words_of(data.as_py()))
                 found[_END] += 1
                 if len(found) >= spec.chunk:
                     yield packed(found)
@@ -161,7 +173,7 @@ def vocabulary(training: DataFrame, spec: LmSpec) -> DataFrame:
     return training.select("text").mapInArrow(count, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def count_filter(training: DataFrame, tokens: int, spec: LmSpec) -> tuple[DataFrame, int]:
+def count_filter(training: DataFrame, heavy: Broadcast[Heavy], tokens: int, spec: LmSpec) -> tuple[DataFrame, int]:
     """(shard, bits) of the n-grams of ``training`` (text), and the number of shards for that many ``tokens``.
 
     A task sends each of its n-grams once per ``held`` tokens, packed by shard, so a frequent one is no hot row.
@@ -187,7 +199,7 @@ def count_filter(training: DataFrame, tokens: int, spec: LmSpec) -> tuple[DataFr
         texts, size = [], 0
         for batch in batches:
             for data in batch.column(0).cast(pa.binary()):
-                texts.append(token_hashes([*words_of(data.as_py()), _END]))
+                texts.append(heavy.value.read([*words_of(data.as_py()), _END])[1])
                 size += len(texts[-1])
                 if size >= spec.held:
                     yield packed(texts)
@@ -199,7 +211,7 @@ def count_filter(training: DataFrame, tokens: int, spec: LmSpec) -> tuple[DataFr
         ngrams = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in rows.column("ngrams")])
         counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in rows.column("counts")]).astype(np.int64)
         unique, back = np.unique(ngrams, return_inverse=True)
-        bits = build_shard(unique, levels_of(np.bincount(back, weights=counts)), spec.hashes)
+        bits = build_shard(unique, levels_of(np.bincount(back, weights=counts)), spec)
         return pa.table({"shard": rows.column("shard")[:1], "bits": pa.array([bits.tobytes()], pa.binary())})
 
     gathered = training.select("text").mapInArrow(gather, "shard long, ngrams binary, counts binary")
@@ -207,13 +219,13 @@ def count_filter(training: DataFrame, tokens: int, spec: LmSpec) -> tuple[DataFr
 
 
 def gathered_filter(parts: DataFrame, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """All shards as one array, and where each begins. The caller has checked their size."""
-    held = {r["shard"]: r["n"] for r in parts.select("shard", F.octet_length("bits").alias("n")).collect()}
+    """All shards as one array of words, and where each begins. The caller has checked their size."""
+    held = {r["shard"]: r["n"] // 8 for r in parts.select("shard", F.octet_length("bits").alias("n")).collect()}
     begins = np.concatenate(([0], np.cumsum([held.get(s, 1) for s in range(shards)]))).astype(np.int64)
-    bits = np.zeros(int(begins[-1]), dtype=np.uint8)
+    words = np.zeros(int(begins[-1]), dtype=np.uint64)
     for r in parts.toLocalIterator():
-        bits[begins[r["shard"]] : begins[r["shard"] + 1]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return bits, begins
+        words[begins[r["shard"]] : begins[r["shard"] + 1]] = np.frombuffer(bytes(r["bits"]), np.uint64)
+    return words, begins
 
 
 def _probabilities(levels: list[np.ndarray], places: np.ndarray, tokens: int, distinct: int, spec: LmSpec) -> np.ndarray:
@@ -231,49 +243,60 @@ _RARE = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
 _READ = "doc_id long, held_out boolean, row long, n_tokens long, known long, base double, rare array<struct<token: binary, n: long>>, score double"
 
 
-def read_texts(docs: DataFrame, heavy: dict[bytes, int], counted: tuple | None, tokens: int, distinct: int, spec: LmSpec) -> DataFrame:
-    """Per row of ``docs`` (doc_id, held_out, row, text): tokens, the exact sums over heavy ones, the rarer tokens with their repeats, and
-    the model's score where ``counted``, the filter and where its shards begin, is given."""
-    context = docs.sparkSession.sparkContext
-    known, sent = context.broadcast(heavy), context.broadcast(counted) if counted else None
+def read_texts(docs: DataFrame, heavy: Broadcast[Heavy], counted: tuple | None, tokens: int, distinct: int, spec: LmSpec) -> DataFrame:
+    """Per row of ``docs`` (doc_id, held_out, row, text): tokens, the exact sums over heavy ones, the rarer tokens with their
+    repeats, and the model's score where ``counted``, the filter and where its shards begin, is given."""
+    sent = docs.sparkSession.sparkContext.broadcast(counted) if counted else None
     schema = pa.schema([*_BASE, ("rare", _RARE), ("score", pa.float64())])
 
-    def work(rows: list[tuple[int | None, bool, int, list[bytes]]]) -> pa.RecordBatch:
-        texts = [r[-1] for r in rows]
-        lengths = np.array([len(words) for words in texts], dtype=np.int64)
+    def scores(flat: tuple, lengths: np.ndarray, begins: np.ndarray, heavy_levels: np.ndarray) -> np.ndarray:
+        """Log10 probabilities of texts; the levels of heavy tokens have been read before."""
+        places, hashes, _, at = flat
+        words, starts = sent.value
+        padded = marked(np.split(hashes, begins[1:]), spec.order)
+        own = np.arange(len(hashes)) + np.repeat((np.arange(len(lengths)) + 1) * (spec.order - 1), lengths)
+        grams = ngram_hashes(padded, spec.order)
+        first = heavy_levels[places]
+        first[at] = read_levels(words, starts, grams[0][own[at]], spec)
+        levels = [np.full(len(padded), heavy_levels[-1]), *[read_levels(words, starts, g, spec) for g in grams[1:]]]
+        levels[0][own] = first
+        return np.add.reduceat(_probabilities(levels, own, tokens, distinct, spec), begins)
+
+    def work(rows: list[tuple[int | None, bool, int, list[bytes]]], heavy_levels: np.ndarray | None) -> pa.RecordBatch:
+        lengths = np.array([len(r[-1]) for r in rows], dtype=np.int64)
         begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        flat = [w for words in texts for w in words]
-        counts = np.fromiter((known.value.get(w, 0) for w in flat), np.int64, len(flat))
-        is_known = counts > 0
-        base = np.add.reduceat(np.where(is_known, np.log10(counts + 0.5), 0.0), begins)
-        rare = [[{"token": t, "n": n} for t, n in Counter(flat[b + i] for i in np.flatnonzero(~is_known[b : b + k])).items()] for b, k in zip(begins, lengths, strict=True)]
-        score = np.full(len(rows), np.nan)
-        if sent is not None:
-            bits, starts = sent.value
-            padded = marked(np.split(token_hashes(flat), begins[1:]), spec.order)
-            levels = [read_levels(bits, starts, g, spec.hashes) for g in ngram_hashes(padded, spec.order)]
-            places = np.arange(len(flat)) + np.repeat((np.arange(len(rows)) + 1) * (spec.order - 1), lengths)
-            score = np.add.reduceat(_probabilities(levels, places, tokens, distinct, spec), begins)
-        own = np.add.reduceat(is_known.astype(np.int64), begins)
-        columns = [*[[r[k] for r in rows] for k in range(3)], lengths, own, base, rare, score]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        flat = heavy.value.read([w for r in rows for w in r[-1]])
+        places, _, rare, at = flat
+        counts = heavy.value.counts[places]
+        base = np.add.reduceat(np.where(counts > 0, np.log10(counts + 0.5), 0.0), begins)
+        cuts = np.searchsorted(at, np.append(begins, lengths.sum()))
+        repeats = [Counter(rare[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        offsets = np.concatenate(([0], np.cumsum([len(c) for c in repeats])))
+        pairs = pa.StructArray.from_arrays([pa.array([t for c in repeats for t in c], pa.binary()), pa.array([n for c in repeats for n in c.values()], pa.int64())], names=["token", "n"])
+        score = np.full(len(rows), np.nan) if heavy_levels is None else scores(flat, lengths, begins, heavy_levels)
+        columns = [*[[r[k] for r in rows] for k in range(3)], lengths, np.add.reduceat((counts > 0).astype(np.int64), begins), base]
+        listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
+        return pa.RecordBatch.from_arrays([*[pa.array(c, f.type) for c, f in zip(columns, schema, strict=False)], listed, pa.array(score)], schema=schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
+        rows, size, heavy_levels = [], 0, None
+        if sent is not None:  # levels of heavy tokens, and in place of all others that of the start mark
+            known = np.append(heavy.value.hashes[:-1], _START)
+            heavy_levels = read_levels(*sent.value, ngram_hashes(known, 1)[0], spec)
         for batch in batches:
             for *own, data in zip(*[batch.column(k) for k in range(3)], batch.column(3).cast(pa.binary()), strict=True):
                 rows.append((*[x.as_py() for x in own], [*words_of(data.as_py()), _END]))
                 size += len(rows[-1][-1])
                 if size >= spec.chunk:
-                    yield work(rows)
+                    yield work(rows, heavy_levels)
                     rows, size = [], 0
         if rows:
-            yield work(rows)
+            yield work(rows, heavy_levels)
 
     return docs.select("doc_id", "held_out", "row", "text").mapInArrow(read, _READ)
 
 
-def routed_scores(docs: DataFrame, parts: DataFrame, shards: int, tokens: int, distinct: int, spec: LmSpec) -> DataFrame:
+def routed_scores(docs: DataFrame, heavy: Broadcast[Heavy], parts: DataFrame, shards: int, tokens: int, distinct: int, spec: LmSpec) -> DataFrame:
     """row, score of ``docs`` (row, text) without any copy of the filter: distinct n-grams go to its shards, levels come back.
 
     The levels are joined to the tokens, where a frequent n-gram is a skewed key with one row on the other side, which
@@ -285,7 +308,7 @@ def routed_scores(docs: DataFrame, parts: DataFrame, shards: int, tokens: int, d
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data in zip(batch.column(0), batch.column(1).cast(pa.binary()), strict=True):
-                padded = marked([token_hashes([*words_of(data.as_py()), _END])], spec.order)
+                padded = marked([heavy.value.read([*words_of(data.as_py()), _END])[1]], spec.order)
                 at = np.arange(len(padded))
                 grams = [g.view(np.int64) for g in ngram_hashes(padded, spec.order)]
                 columns = [np.full(len(padded), row.as_py()), at, at >= spec.order - 1, *grams]
@@ -296,8 +319,8 @@ def routed_scores(docs: DataFrame, parts: DataFrame, shards: int, tokens: int, d
 
     def answer(asked: pa.Table, held: pa.Table) -> pa.Table:
         hashes = asked.column("hash").to_numpy().view(np.uint64)
-        bits = np.frombuffer(held.column("bits")[0].as_py(), np.uint8) if held.num_rows else np.zeros(1, np.uint8)
-        found = read_levels(bits, np.array([0, len(bits)]), hashes, spec.hashes)
+        words = np.frombuffer(held.column("bits")[0].as_py(), np.uint64) if held.num_rows else np.zeros(1, np.uint64)
+        found = read_levels(words, np.array([0, len(words)]), hashes, spec)
         return pa.table({"hash": asked.column("hash"), "level": found})
 
     asked = spread_out.select(F.explode(F.array(*names)).alias("hash")).distinct()
@@ -334,9 +357,10 @@ def score_texts(docs: DataFrame, held_out: Column, spec: LmSpec = LmSpec()) -> D
     size = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")).first()
     tokens, distinct = size["tokens"], size["distinct"]
     enough = (F.col("c") * spec.heavy >= tokens) & (F.octet_length("token") <= spec.heavy_bytes)
-    heavy = {bytes(r["token"]): r["c"] for r in words.where(enough).collect()}
+    heavy = Heavy.of({bytes(r["token"]): r["c"] for r in words.where(enough).collect()})
+    heavy = docs.sparkSession.sparkContext.broadcast(heavy)
 
-    parts, shards = count_filter(training, tokens, spec)
+    parts, shards = count_filter(training, heavy, tokens, spec)
     parts = stage(parts, "lm-filter")
     filter_bytes = parts.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0]
     sent = filter_bytes <= spec.broadcast_bytes
@@ -353,7 +377,7 @@ def score_texts(docs: DataFrame, held_out: Column, spec: LmSpec = LmSpec()) -> D
     rare = counts.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 0.5)).alias("rare_base"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"))
     out = read.drop("rare").join(rare, "row", "left")
     if not sent:
-        out = out.drop("score").join(routed_scores(numbered, parts, shards, tokens, distinct, spec), "row")
+        out = out.drop("score").join(routed_scores(numbered, heavy, parts, shards, tokens, distinct, spec), "row")
     share = F.log10(F.lit(tokens + 0.5 * (distinct + 1)))
     base = F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * share
     return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(tokens).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score")
