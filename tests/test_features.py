@@ -2,6 +2,7 @@
 
 import cmath
 import datetime as dt
+import itertools
 import math
 import random
 import statistics
@@ -193,3 +194,21 @@ def test_metrics(rows):
     assert got["macro_precision"] == pytest.approx(sum(precision.values()) / 3)
     matrix = {r["actual"]: tuple(r)[2:] for r in mt.confusion_matrix(df, ["role"], ["a", "b", "c"]).collect()}
     assert matrix == {"a": (1, 1, 0), "b": (0, 2, 0), "c": (1, 0, 0)}
+
+
+@pytest.mark.parametrize("n1, n0", [(1, 1), (2, 3), (3, 9), (8, 4), (5, 5)])
+def test_exact_small_groups_by_all_placements(n1, n0):
+    """Every way to place the first group among all rows is as likely as any other."""
+    seen = [sum(places) - n1 * (n1 - 1) // 2 for places in itertools.combinations(range(n1 + n0), n1)]
+    for u in range(n1 * n0 + 1):
+        far = max(u, n1 * n0 - u)
+        expected = min(1.0, 2 * sum(v >= far for v in seen) / len(seen))
+        assert rel.exact_mann_whitney_p([u], [n1], [n0])[0] == pytest.approx(expected, rel=1e-12)
+
+
+def test_exact_small_groups_beside_large_ones():
+    u, n1, n0 = np.array([0, 900, 1200]), np.array([8, 3, 400]), np.array([400, 600, 6])
+    got = rel.exact_mann_whitney_p(u, n1, n0)
+    assert got[0] == pytest.approx(2 / math.comb(408, 8), rel=1e-9) and got[1] == got[2] == 1.0
+    normal = rel.mann_whitney_p([2000], [8], [600], [0])[0]
+    assert rel.exact_mann_whitney_p([2000], [8], [600])[0] == pytest.approx(normal, rel=0.05)

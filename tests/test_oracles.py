@@ -35,14 +35,10 @@ def test_query_equals_sql(spark, duck, name):
     assert expected and got == canonical(expected, list(types))
 
 
-#: With the settings of the training chain, the smallest tables may hold no feature that tells all classes apart.
-MAY_BE_EMPTY = {"feature_topk", "relevant_window_features"}
-
-
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_query_without_sql_gives_rows(spark, name):
     df = entry.queries()[name](spark, SF)
-    assert df.columns and (name in MAY_BE_EMPTY or not df.isEmpty())
+    assert df.columns and not df.isEmpty()
 
 
 def test_entry(spark):

@@ -8,6 +8,7 @@ partitioning. A fold and outlet holds at most one row per training day.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from tillcast.operators.ordinal_model import erfc
 
 TEST = ["fold", "outlet", "feature"]
+SMALL = 8  # without ties, groups of up to this many rows are tested exactly
 
 
 def _labelled(features: DataFrame, labels: list[str]) -> DataFrame:
@@ -100,6 +102,36 @@ def mann_whitney_p(u, n1, n0, ties) -> np.ndarray:
     return np.where(spread > 0, np.minimum(1.0, erfc(z / math.sqrt(2))), 1.0)
 
 
+@lru_cache(maxsize=256)
+def _at_least(few: int, many: int) -> np.ndarray:
+    """For u = 0, 1, 2...: the share of all ways to place ``few`` among ``many`` rows whose U is at least u.
+
+    The numbers of ways are the coefficients of a product of (1 - q^(many + i)) / (1 - q^i), in whole numbers.
+    """
+    ways = np.zeros(few * many + 1, dtype=object)
+    ways[0] = 1
+    for i in range(1, few + 1):
+        shifted = ways.copy()
+        shifted[many + i :] -= ways[: max(0, len(ways) - many - i)]
+        for start in range(i):
+            shifted[start::i] = np.cumsum(shifted[start::i])
+        ways = shifted
+    total = math.comb(few + many, few)
+    return np.array([n / total for n in np.cumsum(ways[::-1])[::-1]], dtype=float)
+
+
+def exact_mann_whitney_p(u, n1, n0) -> np.ndarray:
+    """Two-sided p from the exact distribution of U without ties, one table per pair of group sizes."""
+    u, n1, n0 = (np.asarray(v, dtype=np.int64) for v in (u, n1, n0))
+    farther = np.maximum(u, n1 * n0 - u)
+    made = np.ones(len(u))
+    few, many = np.minimum(n1, n0), np.maximum(n1, n0)
+    for a, b in set(zip(few.tolist(), many.tolist(), strict=True)):
+        own = (few == a) & (many == b)
+        made[own] = np.minimum(1.0, 2 * _at_least(a, b)[farther[own]])
+    return made
+
+
 def fisher_p(top1, top, n1, n) -> np.ndarray:
     """Two-sided exact p of 2×2 tables: all tables that are no likelier than the observed one. The tables of all rows
     stand one after another in one array and are summed by row."""
@@ -127,14 +159,22 @@ def _p_value(
     made = np.full(len(values), np.nan)
     tested = (values.to_numpy() >= 2) & (n1.to_numpy() > 0) & (n0.to_numpy() > 0)
     two = tested & (values.to_numpy() == 2)
-    many = tested & ~two
+    small = tested & ~two & (ties.to_numpy() == 0) & (np.minimum(n1.to_numpy(), n0.to_numpy()) <= SMALL)
+    many = tested & ~two & ~small
     if two.any():
         made[two] = fisher_p(top1[two], top[two], n1[two], n1[two] + n0[two])
+    if small.any():
+        made[small] = exact_mann_whitney_p(u[small], n1[small], n0[small])
     if many.any():
         made[many] = mann_whitney_p(u[many], n1[many], n0[many], ties[many])
     return pd.Series(made).astype(object).where(~np.isnan(made), None).astype("Float64")
 
 
+def class_tests(features: DataFrame, names: list[str], labels: list[str]) -> DataFrame:
+    """The rank statistics with ``p``: exact for two values and for small groups without ties, else normal."""
+    return rank_statistics(features, names, labels).withColumn("p", _p_value("values", "u", "n1", "n0", "ties", "top", "top1"))
+
+
 def relevance_table(
     features: DataFrame, names: list[str], labels: list[str], n_significant: int = 4, fdr: float = 0.05
 ) -> DataFrame:
@@ -143,9 +183,7 @@ def relevance_table(
     ``p_value`` is the mean over the classes. A feature is relevant if it is significant for at least
     ``n_significant`` of them, by the step-up rule that holds under any dependence between features.
     """
-    tests = rank_statistics(features, names, labels).withColumn(
-        "p", _p_value("values", "u", "n1", "n0", "ties", "top", "top1")
-    )
+    tests = class_tests(features, names, labels)
     family = W.partitionBy("fold", "outlet", "class")
     known = F.col("p").isNotNull()
     ranked = tests.withColumns(

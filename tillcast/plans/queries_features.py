@@ -484,13 +484,6 @@ def feature_relevance(spark: SparkSession, sf: str) -> DataFrame:
     return present(rel.relevance_table(rows, names, LABELS))
 
 
-@query("feature_topk")
-def feature_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """The best features of the fold that tell all four classes apart; none if the series has no memory."""
-    rows, names = _tested(spark, sf, None)
-    return present(rel.top_features(rel.relevance_table(rows, names, LABELS)))
-
-
 # --- model table -------------------------------------------------------------------------------------------
 
 

@@ -92,18 +92,6 @@ def local_contributions(spark: SparkSession, sf: str) -> DataFrame:
     return present(_additive(table, features).contributions(table, KEYS))
 
 
-@query("relevant_window_features")
-def relevant_window_features(spark: SparkSession, sf: str) -> DataFrame:
-    """The training chain on three folds with each fold's own selection of window features, as rows: 20 at most, that
-    tell all four classes apart. None if the series has no memory."""
-    spec = training_spec(split=sp.SplitSpec(sp.EXPANDING, 365, 60, 60, 3, expansion_days=90), rolling=tr.RollingSpec())
-    prepared = tr.prepare(*training_inputs(spark, sf), spec)
-    names = sorted({name for chosen in prepared.chosen.values() for name in chosen})
-    values = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("value")) for n in names])
-    own = values if names else F.array().cast("array<struct<feature: string, value: double>>")
-    return present(prepared.table.select(*KEYS, F.inline(own)).where("value IS NOT NULL"))
-
-
 # --- forecast requests from the users' daily revenue ---------------------------------------------------------
 
 
