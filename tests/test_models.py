@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tillcast.operators import additive_model as am
 from tillcast.operators import ordinal_model as om
+from tillcast.operators.collinear import dependent_columns
 from tillcast.session import stage
 
 LABELS = ["Low", "Medium", "High", "Exceptional"]
@@ -167,3 +168,22 @@ def test_a_fit_is_repeatable(spark):
     spec = am.AdditiveSpec(max_bins=8, outer_bags=2, rounds=3)
     first, second = (am.fit_additive(simulated(spark, 800).repartition(n), ["a", "b"], LABELS, spec) for n in (2, 2))
     assert all((a == b).all() for a, b in zip(first.scores, second.scores))
+
+
+def test_dependent_columns_by_rank(spark):
+    draw = np.random.default_rng(11)
+    x = draw.normal(size=(400, 4)) * [1, 100, 1e-3, 5] + [0, 1e4, 0, -3]
+    dummies = np.eye(3)[draw.integers(0, 3, 400)]
+    mixes = np.column_stack([x[:, 0] - 2 * x[:, 3] + 7, np.full(400, 4.0), x[:, 1] + draw.normal(size=400)])
+    values = np.column_stack([x, dummies, mixes])
+    names = ["a", "b", "c", "d", "k0", "k1", "k2", "mix", "flat", "near"]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in values], ", ".join(f"{n} DOUBLE" for n in names)).repartition(3)
+    expected, kept = [], np.ones((400, 1))
+    for j, name in enumerate(names):
+        wider = np.column_stack([kept, (values[:, j] - values[:, j].mean()) / max(values[:, j].std(), 1e-12)])
+        if np.linalg.matrix_rank(wider, tol=1e-6) == kept.shape[1]:
+            expected.append(name)
+        else:
+            kept = wider
+    assert dependent_columns(df, names) == expected == ["k2", "mix", "flat"]
+    assert dependent_columns(df, []) == [] and dependent_columns(df.where("a > 99"), ["a"]) == ["a"]

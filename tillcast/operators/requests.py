@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.functions.values import day
+from tillcast.functions.values import day, inference_days, lookback_days
 
 # The request format.
 REQUEST_SCHEMA = """
@@ -42,6 +44,65 @@ def parse_requests(df: DataFrame, body: str = "body") -> DataFrame:
     return df.select("request_id", "request_date", parsed).select("request_id", "request_date", "_r.*")
 
 
+@dataclass(frozen=True)
+class RequestDefaults:
+    """What a request means that leaves a field out."""
+
+    days: int = 7
+    cost_centre_code: int = 201
+    location: str = "West"
+    type: str = "dine-in"
+    factor: float = 1.0
+    maximum_temperature_c: float = 30.0
+    flag: bool = False
+    lag_days: int = 7
+    lag_sales: float = 5831.0
+    campaign_name: str = "campaign 1"
+    campaign_start_date: str = "2023-10-01"
+    campaign_end_date: str = "2023-10-30"
+    total_cost: float = 0.0
+
+
+def with_defaults(requests: DataFrame, defaults: RequestDefaults = RequestDefaults()) -> DataFrame:
+    """Fill the fields that a block of a parsed request leaves out. Blocks that are missing stay missing.
+
+    Days to predict follow the request's date, look-back days lie before it; the other day fields get as many values as
+    there are default days. Without this step a missing field is an error of the request.
+    """
+    iso = "yyyy-MM-dd"
+
+    def filled(block: Column, values: dict[str, Column]) -> Column:
+        for name, value in values.items():
+            block = block.withField(name, F.coalesce(block[name], value))
+        return block
+
+    def dates(days: Column) -> Column:
+        return F.transform(days, lambda d: F.date_format(d, iso))
+
+    of_day = {"factor": F.lit(defaults.factor), "maximum_temperature_c": F.lit(defaults.maximum_temperature_c)} | {f: F.lit(defaults.flag) for f in FLAG_FIELDS}
+    outlet = {
+        "inference_date": dates(inference_days(F.col("request_date"), defaults.days)),
+        "cost_centre_code": F.lit(defaults.cost_centre_code),
+        "location": F.lit(defaults.location),
+        "type": F.lit(defaults.type),
+        **{name: F.array_repeat(value, defaults.days) for name, value in of_day.items()},
+    }
+    lag = {"lag_sales_date": dates(lookback_days(F.col("request_date"), defaults.lag_days)), "lag_sales": F.array_repeat(F.lit(defaults.lag_sales), defaults.lag_days)}
+    campaign = {
+        "campaign_name": F.lit(defaults.campaign_name),
+        "campaign_start_date": F.lit(defaults.campaign_start_date),
+        "campaign_end_date": F.lit(defaults.campaign_end_date),
+        "marketing_channels": F.array(*[F.lit(c) for c in CHANNELS]),
+        "total_cost": F.array_repeat(F.lit(defaults.total_cost), len(CHANNELS)),
+    }
+    blocks = {"outlet_attributes": outlet, "lag_sales_attributes": lag, "mkt_attributes": campaign}
+    return requests.withColumns({name: F.transform(name, _filler(filled, values)) for name, values in blocks.items()})
+
+
+def _filler(filled, values: dict[str, Column]):
+    return lambda block: filled(block, values)
+
+
 def _length(values: Column) -> Column:
     """Elements of an array; −1 where there is none, so that a missing array breaks every rule about its length."""
     return F.coalesce(F.size(values), F.lit(-1))
@@ -54,7 +115,7 @@ def _bad_dates(dates: Column) -> Column:
 def check_requests(requests: DataFrame) -> DataFrame:
     """Add ``errors``: every rule the request breaks, an empty array for a good one.
 
-    No field has a default: a request without a field that scoring needs says so here.
+    A request without a field that scoring needs says so here, unless ``with_defaults`` has filled it.
     """
     outlet, lag = F.try_element_at("outlet_attributes", F.lit(1)), F.try_element_at("lag_sales_attributes", F.lit(1))
     days, lag_days = _length(outlet["inference_date"]), _length(lag["lag_sales_date"])

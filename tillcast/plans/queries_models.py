@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillcast.functions.names import normalise_name
 from tillcast.operators import requests as rq
 from tillcast.operators import splits as sp
 from tillcast.operators.additive_model import AdditiveModel, AdditiveSpec
+from tillcast.operators.adstock import AdstockSpec
+from tillcast.operators.collinear import dependent_columns
 from tillcast.operators.indicators import IndicatorSpec, booleans_to_int
 from tillcast.operators.ordinal_model import OrdinalModel
 from tillcast.plans import modelling as md
@@ -17,7 +22,7 @@ from tillcast.plans import training as tr
 from tillcast.plans.queries_features import training_inputs, training_spec
 from tillcast.plans.registry import present, query, with_sql
 from tillcast.session import fresh_path, stage
-from tillcast.sources.artefacts import ArtefactStore
+from tillcast.sources.artefacts import ArtefactStore, RunStore
 
 LABELS = tr.LABELS
 KEYS = ["outlet", "date", "fold", "role"]
@@ -335,6 +340,63 @@ def request_features(spark: SparkSession, sf: str) -> DataFrame:
     return present(rows.select("request_id", "date", *tr.lag_columns(user_spec()), "name_counts", "is_name_start", "is_name_end", "is_weekday"))
 
 
+_COSTS = tuple(f"{normalise_name(c)}_daily_cost" for c in rq.CHANNELS)
+
+
+@query(
+    "request_features_adstock",
+    with_sql(
+        *_REQUESTS,
+        _LOOKBACK,
+        _PLACED,
+        f"""SELECT request_id, CAST(date AS VARCHAR) AS date,
+  {", ".join(f"round({25 * (k + 1)} * (1 - pow(0.5, date - w + 6)), 4) AS adstock_{c}" for k, c in enumerate(_COSTS))}
+  FROM placed JOIN good USING (request_id) WHERE date BETWEEN w AND w + 6 AND l14 IS NOT NULL AND c = 7""",
+    ),
+)
+def request_features_adstock(spark: SparkSession, sf: str) -> DataFrame:
+    """Adstock of the campaigns that a request states: two of eight days each, one after the other, at the same cost."""
+    good = stage(rq.accepted(_checked(spark, sf)), "requests")
+    spec = replace(user_spec(), adstock=AdstockSpec(_COSTS, 0.5))
+    return present(sc.request_features(good, spec).select("request_id", "date", *[f"adstock_{c}" for c in _COSTS]))
+
+
+def _left_out(parsed: DataFrame) -> DataFrame:
+    """Well-formed requests without some fields, by the user."""
+    user = F.split("request_id", "/")[0].cast("int") % 5
+    without = {0: ("inference_date",), 1: ("factor", "is_school_holiday"), 2: ("type", "location"), 3: ("cost_centre_code", "maximum_temperature_c")}
+
+    def outlet(o: Column) -> Column:
+        for kind, names in without.items():
+            for name in names:
+                o = o.withField(name, F.when(user != kind, o[name]))
+        return o
+
+    def lag(block: Column) -> Column:
+        return block.withField("lag_sales_date", F.when(user != 4, block["lag_sales_date"])).withField("lag_sales", F.when(user != 4, block["lag_sales"]))
+
+    return parsed.withColumns({"outlet_attributes": F.transform("outlet_attributes", outlet), "lag_sales_attributes": F.transform("lag_sales_attributes", lag)})
+
+
+@query(
+    "request_defaults",
+    with_sql(
+        *_REQUESTS,
+        "days AS (SELECT *, unnest(range(0, 7)) AS i FROM made)",
+        """SELECT request_id, CAST(w + CAST(i AS INTEGER) AS VARCHAR) AS date, CASE WHEN u % 5 = 3 THEN '201' ELSE CAST(u AS VARCHAR) END AS outlet,
+  CASE WHEN u % 5 = 2 OR u % 2 = 0 THEN 'dine-in' ELSE 'carry-out' END AS type, CASE WHEN u % 5 = 1 THEN 1 ELSE round((u % 5 + i) / 2, 4) END AS factor,
+  CASE WHEN u % 5 = 3 THEN 30::DOUBLE ELSE CAST(25 + (u + i) % 7 AS DOUBLE) END AS maximum_temperature_c,
+  CAST(u % 5 <> 1 AND i = 4 AS BIGINT) AS is_school_holiday, CASE WHEN u % 5 = 4 THEN 7 ELSE n END AS lag_days FROM days""",
+    ),
+)
+def request_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests that leave fields out, with the defaults in their place."""
+    parsed = stage(rq.with_defaults(_left_out(rq.parse_requests(requests(spark, sf, flawed=False)))), "requests")
+    lag_days = parsed.select("request_id", F.size(F.col("lag_sales_attributes")[0]["lag_sales"]).alias("lag_days"))
+    rows = booleans_to_int(rq.outlet_rows(parsed), rq.FLAG_FIELDS).join(lag_days, "request_id")
+    return present(rows.select("request_id", "date", "outlet", "type", "factor", "maximum_temperature_c", "is_school_holiday", "lag_days"))
+
+
 @query(
     "request_outcomes",
     with_sql(
@@ -374,16 +436,16 @@ def user_artefacts(spark: SparkSession, sf: str, additive: bool = False) -> sc.A
     table, features = tr.fold_dataset(prepared, spec, 1)
     table = stage(table, "model-table")
     model = _additive(table, features) if additive else _ordinal(table, features)
-    return sc.Artefacts(model, 1, prepared.scaling, prepared.one_hot, prepared.scaled)
+    return sc.Artefacts(model, 1, prepared.scaling, prepared.one_hot, prepared.scaled, prepared.bins)
 
 
 @query("score_batch")
 def score_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Requests scored with the model, scaling and one-hot categories that training stored, by run and fold."""
     parsed = stage(rq.parse_requests(requests(spark, sf)), "requests")
-    store = ArtefactStore(spark, fresh_path(spark, "artefacts"))
+    store = RunStore(spark, fresh_path(spark, "artefacts"))
     sc.save_artefacts(user_artefacts(spark, sf), store, "1")
-    scored = sc.score(parsed, sc.load_artefacts(store, "1", 1, user_spec()), user_spec())
+    scored = sc.score(parsed, sc.load_artefacts(store, "1", 1), user_spec())
     chances = [F.col("probabilities")[str(i)].alias(f"p{i}") for i in range(len(LABELS))]
     return present(scored.select("request_id", "date", "cost_centre_code", "sales_class_id", "sales_class_name", *chances))
 
@@ -392,3 +454,47 @@ def score_batch(spark: SparkSession, sf: str) -> DataFrame:
 def score_explanations(spark: SparkSession, sf: str) -> DataFrame:
     parsed = stage(rq.parse_requests(requests(spark, sf)), "requests")
     return present(sc.explain(parsed, user_artefacts(spark, sf, additive=True), user_spec()))
+
+
+# --- stored runs and models with dependent features -----------------------------------------------------------
+
+
+@query(
+    "artefact_latest",
+    """WITH runs AS (
+  SELECT 'first' AS run, l_returnflag AS flag, l_extendedprice AS price FROM lineitem WHERE l_quantity <= 25
+  UNION ALL SELECT 'second', l_returnflag, l_extendedprice FROM lineitem),
+asked(asked, run) AS (VALUES ('latest', 'second'), ('first', 'first'))
+SELECT asked, flag, round(avg(price), 4) AS mean, count(*) AS n, (SELECT round(max(price), 4) FROM runs r WHERE r.run = a.run) AS highest
+FROM asked a JOIN runs USING (run) GROUP BY asked, a.run, flag""",
+)
+def artefact_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs of two tables each; the last committed one is read without naming it, the other by its name."""
+    store, lines = RunStore(spark, fresh_path(spark, "runs")), r.table(spark, sf, "lineitem")
+    for run, rows in (("first", lines.where("l_quantity <= 25")), ("second", lines)):
+        means = rows.groupBy(F.col("l_returnflag").alias("flag")).agg(F.avg("l_extendedprice").alias("mean"), F.count("*").alias("n"))
+        store.publish(run, {"means": means, "highest": rows.agg(F.max("l_extendedprice").alias("highest"))})
+    read = []
+    for asked, run in (("latest", None), ("first", "first")):
+        tables = store.load(run)
+        highest = tables["highest"].first()["highest"]
+        read.append(tables["means"].select(F.lit(asked).alias("asked"), "flag", "mean", "n", F.lit(highest).alias("highest")))
+    return present(read[0].unionByName(read[1]))
+
+
+@query(
+    "implicit_constants",
+    """SELECT * FROM (
+  SELECT 1::BIGINT AS place, 'is_r' AS feature FROM lineitem
+  HAVING max(abs((l_returnflag = 'A')::INT + (l_returnflag = 'N')::INT + (l_returnflag = 'R')::INT - 1)) = 0
+  UNION ALL SELECT 2, 'twice' FROM lineitem HAVING abs(regr_r2(2 * l_quantity - 3, l_quantity) - 1) < 1e-9
+  UNION ALL SELECT 3, 'net' FROM lineitem HAVING max(abs((l_extendedprice - 7 * l_tax) - l_extendedprice + 7 * l_tax)) < 1e-6)""",
+)
+def implicit_constants(spark: SparkSession, sf: str) -> DataFrame:
+    """Features that a constant and the features before them give: the last of all dummies, and mixes of other columns."""
+    flags = {f"is_{v.lower()}": (F.col("l_returnflag") == v).cast("double") for v in "ANR"}
+    mixes = {"twice": 2 * F.col("l_quantity") - 3, "net": F.col("l_extendedprice") - 7 * F.col("l_tax")}
+    rows = r.table(spark, sf, "lineitem").withColumns(flags | mixes)
+    names = ["l_quantity", "l_extendedprice", "l_tax", "l_discount", *flags, *mixes]
+    found = dependent_columns(rows, names)
+    return present(spark.createDataFrame(list(enumerate(found, 1)), "place bigint, feature string"))

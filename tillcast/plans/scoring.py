@@ -12,11 +12,12 @@ from tillcast.operators import adstock as ads
 from tillcast.operators import campaigns as camp
 from tillcast.operators import encoders as enc
 from tillcast.operators import requests as rq
+from tillcast.operators.additive_model import AdditiveModel
 from tillcast.operators.indicators import booleans_to_int, weekday_flag
 from tillcast.operators.lags import lag_features
 from tillcast.operators.ordinal_model import OrdinalModel
 from tillcast.plans.training import TrainingSpec, encode
-from tillcast.sources.artefacts import ArtefactStore, lookup
+from tillcast.sources.artefacts import RunStore, lookup
 
 KEY = ("request_id",)
 
@@ -25,29 +26,41 @@ KEY = ("request_id",)
 class Artefacts:
     """What training left for scoring: model, fold, and its parameter tables."""
 
-    model: object
+    model: OrdinalModel | AdditiveModel
     fold: int
     scaling: DataFrame
     one_hot: DataFrame | None
     scaled: tuple[str, ...]
+    bins: DataFrame | None = None
 
 
-def save_artefacts(artefacts: Artefacts, store: ArtefactStore, run_id: str) -> None:
-    """Store what scoring needs: the ordinal model's parameters, the scaling and the one-hot categories of all folds."""
-    spark = store.spark
-    store.save("model", run_id, artefacts.model.parameters(spark).withColumn("fold", F.lit(artefacts.fold)))
-    store.save("scaling", run_id, artefacts.scaling)
-    store.save("scaled", run_id, spark.createDataFrame([(c,) for c in artefacts.scaled], "column STRING"))
-    if artefacts.one_hot is not None:
-        store.save("one_hot", run_id, artefacts.one_hot)
+_KINDS = {"ordinal": OrdinalModel, "additive": AdditiveModel}
 
 
-def load_artefacts(store: ArtefactStore, run_id: str | None, fold: int, spec: TrainingSpec) -> Artefacts:
-    """The stored parameters of one fold; of the asked run, or of the only one."""
-    model = OrdinalModel.from_parameters(lookup(store.load("model", run_id), fold))
-    one_hot = lookup(store.load("one_hot", run_id), fold) if spec.one_hot else None
-    scaled = tuple(sorted(r["column"] for r in store.load("scaled", run_id).collect()))
-    return Artefacts(model, fold, lookup(store.load("scaling", run_id), fold), one_hot, scaled)
+def save_artefacts(artefacts: Artefacts, store: RunStore, run_id: str) -> None:
+    """Publish what scoring needs as one run: the model of either kind, the scaling, the one-hot categories and the class
+    edges of all folds."""
+    spark = store.spark
+    kind = next(name for name, of in _KINDS.items() if isinstance(artefacts.model, of))
+    tables = {
+        "model": artefacts.model.parameters(spark).withColumns({"fold": F.lit(artefacts.fold), "model_kind": F.lit(kind)}),
+        "scaling": artefacts.scaling,
+        "scaled": spark.createDataFrame([(c,) for c in artefacts.scaled], "column STRING"),
+    }
+    tables |= {name: table for name, table in (("one_hot", artefacts.one_hot), ("bins", artefacts.bins)) if table is not None}
+    store.publish(run_id, tables)
+
+
+def load_artefacts(store: RunStore, run_id: str | None, fold: int) -> Artefacts:
+    """The stored parameters of one fold; of the asked run, or of the last one."""
+    tables = store.load(run_id)
+    model = lookup(tables["model"], fold)
+    kinds = [r["model_kind"] for r in model.select("model_kind").distinct().collect()]
+    if len(kinds) != 1:
+        raise LookupError(f"fold {fold} needs exactly one model, found {kinds}")
+    scaled = tuple(sorted(r["column"] for r in tables["scaled"].collect()))
+    one_hot, bins = (lookup(tables[name], fold) if name in tables else None for name in ("one_hot", "bins"))
+    return Artefacts(_KINDS[kinds[0]].from_parameters(model), fold, lookup(tables["scaling"], fold), one_hot, scaled, bins)
 
 
 def request_features(good: DataFrame, spec: TrainingSpec) -> DataFrame:
@@ -80,9 +93,9 @@ def request_features(good: DataFrame, spec: TrainingSpec) -> DataFrame:
     return rows.withColumn("is_weekday", weekday_flag())
 
 
-def assemble(good: DataFrame, artefacts: Artefacts, spec: TrainingSpec) -> DataFrame:
+def assemble(features: DataFrame, artefacts: Artefacts, spec: TrainingSpec) -> DataFrame:
     """Request features encoded with the parameters of the artefact fold; flags become 0/1."""
-    rows = request_features(good, spec).withColumn("fold", F.lit(artefacts.fold))
+    rows = features.withColumn("fold", F.lit(artefacts.fold))
     rows = encode(enc.scale_fitted(rows, artefacts.scaling, list(artefacts.scaled)), artefacts.one_hot, spec)
     return booleans_to_int(rows, rq.FLAG_FIELDS).drop("location")
 
@@ -105,8 +118,12 @@ def format_predictions(scored: DataFrame) -> DataFrame:
 
 def score(requests: DataFrame, artefacts: Artefacts, spec: TrainingSpec) -> DataFrame:
     """Parsed requests to response rows; ``request_outcomes`` accounts for the requests and days without one."""
-    good = rq.accepted(rq.check_requests(requests))
-    return format_predictions(artefacts.model.transform(assemble(good, artefacts, spec)))
+    return score_features(request_features(rq.accepted(rq.check_requests(requests)), spec), artefacts, spec)
+
+
+def score_features(features: DataFrame, artefacts: Artefacts, spec: TrainingSpec) -> DataFrame:
+    """Response rows of the days that ``request_features`` has made."""
+    return format_predictions(artefacts.model.transform(assemble(features, artefacts, spec)))
 
 
 SCORED, REJECTED, INCOMPLETE = "scored", "rejected", "look-back incomplete"
@@ -140,4 +157,4 @@ def request_outcomes(checked: DataFrame, features: DataFrame) -> DataFrame:
 def explain(requests: DataFrame, artefacts: Artefacts, spec: TrainingSpec) -> DataFrame:
     """What every feature adds to each prediction (additive model)."""
     good = rq.accepted(rq.check_requests(requests))
-    return artefacts.model.contributions(assemble(good, artefacts, spec), ["request_id", "date"])
+    return artefacts.model.contributions(assemble(request_features(good, spec), artefacts, spec), ["request_id", "date"])

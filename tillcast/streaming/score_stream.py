@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillcast.operators import requests as rq
-from tillcast.plans.scoring import Artefacts, score
+from tillcast.plans.scoring import Artefacts, request_features, request_outcomes, score_features
 from tillcast.plans.training import TrainingSpec
 from tillcast.session import staged
-from tillcast.sources.sinks import write_log
+from tillcast.sources.sinks import begin_batch, commit_batch, write_log
 
 BODY_SCHEMA = "request_id STRING, request_date DATE, body STRING"
 
@@ -21,7 +21,7 @@ def request_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000
 def start_scoring(
     bodies: DataFrame, artefacts: Artefacts, spec: TrainingSpec, output: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Write predictions, rejected requests and the requests themselves as JSON under ``output``, a folder per batch.
+    """Write predictions, outcomes, rejected requests and the requests themselves as JSON under ``output``, a folder per batch.
 
     Requests are independent, so no state is kept between batches. A failed batch is read again from the
     checkpointed offsets under the same number and replaces what it wrote before: each row is there once.
@@ -35,9 +35,19 @@ def start_scoring(
 
 
 def score_batch(bodies: DataFrame, artefacts: Artefacts, spec: TrainingSpec, output: str, batch_id: int | str) -> None:
-    """Score one table of request texts and log requests, predictions and outcomes; a batch run calls it as well."""
+    """Score one table of request texts and log requests, predictions, rejected requests and the outcome of every request and
+    day asked for; a batch run calls it as well. ``read_batches`` shows the four logs of a batch together or not at all."""
+    spark = bodies.sparkSession
+    begin_batch(spark, output, batch_id)
     with staged(rq.parse_requests(bodies), "requests") as requests:
         checked = rq.check_requests(requests)
-        write_log(bodies, f"{output}/requests", batch_id)
-        write_log(score(requests, artefacts, spec), f"{output}/predictions", batch_id)
-        write_log(rq.rejected(checked), f"{output}/rejected", batch_id)
+        with staged(request_features(rq.accepted(checked), spec), "features") as features:
+            logs = {
+                "requests": bodies,
+                "predictions": score_features(features, artefacts, spec),
+                "rejected": rq.rejected(checked),
+                "outcomes": request_outcomes(checked, features),
+            }
+            for name, rows in logs.items():
+                write_log(rows, f"{output}/{name}", batch_id)
+    commit_batch(spark, output, batch_id, list(logs))
