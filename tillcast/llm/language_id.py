@@ -3,10 +3,14 @@
 Training is follow-the-regularised-leader (proximal, per-coordinate rates) with an elastic net, on a bounded sample of
 labelled rows; a temperature fitted on rows kept out of that training turns scores into calibrated probabilities.
 Document frequencies come from every labelled row. Prediction reads the text and nothing else.
+
+How strange a text is, whatever language it is taken for, is the mean inverse document frequency of its n-grams: text of
+the learned languages is made of n-grams that many labelled rows hold, noise and other languages are not.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +33,7 @@ class LanguageSpec:
     bucket_bits: int = 16  # at most 16
     sample_rows: int = 4000
     calibration_share: float = 0.25
+    least_known: int = 100  # sampled rows from which on the strangest of them is a measure
     epochs: int = 3
     alpha: float = 0.5
     beta: float = 1.0
@@ -46,6 +51,7 @@ class LanguageModel:
     weights: np.ndarray
     temperature: float
     spec: LanguageSpec
+    strangest: float = math.inf  # of the sampled rows; infinite where they are too few to tell
 
 
 def _is_letter() -> np.ndarray:
@@ -88,6 +94,10 @@ def _features(buckets: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.nd
     return values / np.sqrt(values @ values)
 
 
+def strangeness(buckets: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> float:
+    return float(counts @ idf[buckets] / counts.sum())
+
+
 def _softmax(scores: np.ndarray) -> np.ndarray:
     raised = np.exp(scores - scores.max(axis=-1, keepdims=True))
     return raised / raised.sum(axis=-1, keepdims=True)
@@ -183,48 +193,53 @@ def fit_language_model(labelled: DataFrame, spec: LanguageSpec = LanguageSpec())
 
     def train(sampled: pd.DataFrame) -> pd.DataFrame:
         sampled = sampled.drop_duplicates(["text", "lang"]).sort_values(["key", "text", "lang"])
-        fitted, kept_out = [], []
+        fitted, kept_out, strange = [], [], []
         for text, lang, is_apart in zip(sampled["text"], sampled["lang"], sampled["apart"], strict=True):
             counted = ngram_counts(text, spec)
             if counted is not None:
                 values = _features(*counted, idf)
+                strange.append(strangeness(*counted, idf))
                 (kept_out if is_apart else fitted).append((np.append(counted[0], len(idf)), np.append(values, 1.0), labels.index(lang)))
         weights = _ftrl(fitted, len(labels), spec)
         scores = np.array([v @ weights[b] for b, v, _ in kept_out]).reshape(-1, len(labels))
         temperature = _temperature(scores, np.array([label for _, _, label in kept_out], dtype=int))
-        return pd.DataFrame({"weights": [weights.astype(np.float32).tobytes()], "temperature": [temperature]})
+        strangest = max(strange) if len(strange) >= spec.least_known else math.inf
+        return pd.DataFrame({"weights": [weights.astype(np.float32).tobytes()], "temperature": [temperature], "strangest": [strangest]})
 
-    fitted = sample.withColumn("whole", F.lit(0)).groupBy("whole").applyInPandas(train, "weights binary, temperature double").collect()
+    fitted = sample.withColumn("whole", F.lit(0)).groupBy("whole").applyInPandas(train, "weights binary, temperature double, strangest double").collect()
     if not fitted:
-        weights, temperature = np.zeros((len(idf) + 1, len(labels)), dtype=np.float32), 1.0
+        weights, temperature, strangest = np.zeros((len(idf) + 1, len(labels)), dtype=np.float32), 1.0, math.inf
     else:
         weights = np.frombuffer(bytes(fitted[0]["weights"]), dtype=np.float32).reshape(-1, len(labels))
-        temperature = fitted[0]["temperature"]
-    return LanguageModel(labels, idf, weights, temperature, spec)
+        temperature, strangest = fitted[0]["temperature"], fitted[0]["strangest"]
+    return LanguageModel(labels, idf, weights, temperature, spec, strangest)
 
 
 def predict_language(docs: DataFrame, model: LanguageModel | None, into: str, text: str = "text") -> DataFrame:
-    """``docs`` with a column ``into``: struct of ``lang`` and ``score``, the calibrated probability of that language.
+    """``docs`` with a column ``into``: struct of ``lang``, ``score``, the calibrated probability of that language, and
+    ``strange``, the strangeness of the text over that of the strangest sampled row (0 where those were too few).
 
     A null text or one without a letter is ``und`` with score 0, as is every text where nothing could be learned.
     Of languages with the same probability the first in code point order is taken.
     """
 
-    @F.pandas_udf("struct<lang: string, score: double>")
+    @F.pandas_udf("struct<lang: string, score: double, strange: double>")
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            langs, scores = [], []
+            langs, scores, strange = [], [], []
             for value in texts:
                 counted = ngram_counts(value, model.spec) if model else None
                 if counted is None:
                     langs.append(UNDETERMINED)
                     scores.append(0.0)
+                    strange.append(0.0)
                     continue
                 logits = _features(*counted, model.idf) @ model.weights[counted[0]] + model.weights[-1]
                 p = _softmax(logits.astype(np.float64) / model.temperature)
                 best = int(p.argmax())
                 langs.append(model.labels[best])
                 scores.append(float(p[best]))
-            yield pd.DataFrame({"lang": langs, "score": scores})
+                strange.append(strangeness(*counted, model.idf) / model.strangest)
+            yield pd.DataFrame({"lang": langs, "score": scores, "strange": strange})
 
     return docs.withColumn(into, predicted(F.col(f"`{text}`")))
