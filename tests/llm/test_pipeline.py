@@ -1,5 +1,7 @@
 """The corpus pipeline: each stage on its own input, and the whole run against a brute-force version."""
 
+import random
+
 import duckdb
 import pytest
 
@@ -52,6 +54,25 @@ def test_stages_keep_columns_and_clean_rows(spark, name):
     assert kept == sorted(wanted, key=str)
 
 
+def test_language_stage_drops_noise_and_languages_not_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    draw = random.Random(4)
+    noise = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(400)) for _ in range(20)]
+    foreign = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью",
+        "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı",
+    ]
+    plain = ["the of", "Re.", "and", "The the this to be der die und das le la les des el la los con", "to the thing that is on of and"]
+    made = [(10**6 + i, t, None, "x", len(t)) for i, t in enumerate([*noise, *foreign, *plain])]
+    rows = docs.unionByName(spark.createDataFrame(made, "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = {r.doc_id for r in cp.languages(spark, rows, "").select("doc_id").collect()}
+    with_letters = {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    assert kept & {r[0] for r in made} == {r[0] for r in made[-len(plain) :]}
+    assert kept - {r[0] for r in made} == with_letters
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for _, step in cp.STAGES:
