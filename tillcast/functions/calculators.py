@@ -164,6 +164,52 @@ def _kurtosis(x: Window) -> Column:
     return (excess * (n + 1) + 6) * ((n - 1) / ((n - 2) * (n - 3)))
 
 
+def partial_autocorrelation(x: Window, lag: int) -> Column:
+    """What a value tells of the one ``lag`` steps later beyond those between, by the Levinson-Durbin recursion."""
+    n, mean = len(x), _mean(x)
+    if 2 * lag >= n - 1:
+        return F.lit(None).cast("double")
+    shared = [total([(x[i] - mean) * (x[i + k] - mean) for i in range(n - k)]) / (n - k) for k in range(lag + 1)]
+    weights, left = [], shared[0]
+    for k in range(1, lag + 1):
+        told = total([w * shared[k - 1 - i] for i, w in enumerate(weights)]) if weights else F.lit(0.0)
+        own = (shared[k] - told) / F.nullif(left, F.lit(0.0))
+        weights = [w - own * v for w, v in zip(weights, reversed(weights))] + [own]
+        left = left * (1 - own * own)
+    return weights[-1]
+
+
+def permutation_entropy(x: Window, dimension: int) -> Column:
+    """Entropy of the orders that ``dimension`` neighbouring values come in; equal values count as rising."""
+    n = len(x) - dimension + 1
+    if n < 1:
+        return F.lit(None).cast("double")
+    pairs = list(itertools.combinations(range(dimension), 2))
+    seen = [total([F.when(x[at + i] <= x[at + j], 1 << k).otherwise(0) for k, (i, j) in enumerate(pairs)]) for at in range(n)]
+    shares = F.transform(F.array_distinct(F.array(*seen)), lambda code: F.size(F.filter(F.array(*seen), lambda other: other == code)) / n)
+    return -F.aggregate(shares, F.lit(0.0), lambda s, p: s + p * F.ln(p))
+
+
+def sample_entropy(x: Window, length: int = 2, reach: float = 0.2) -> Column:
+    """How rarely stretches that are alike for ``length`` values stay so for one more; NULL where none are or none stay.
+
+    Alike: no two values further apart than ``reach`` standard deviations.
+    """
+    bound = F.sqrt(_variance(x)) * reach
+
+    def alike(size: int) -> Column:
+        def near(i: int, j: int) -> Column:
+            gaps = [F.abs(x[i + k] - x[j + k]) for k in range(size)]
+            return F.when(F.greatest(*gaps) <= bound, 1).otherwise(0)
+
+        return total([near(i, j) for i, j in itertools.combinations(range(len(x) - size + 1), 2)])
+
+    if len(x) < length + 2:
+        return F.lit(None).cast("double")
+    short, longer = alike(length), alike(length + 1)
+    return F.when((short > 0) & (longer > 0), -F.ln(longer / short))
+
+
 def _steps(x: Window) -> Window:
     return [b - a for a, b in itertools.pairwise(x)]
 
@@ -198,6 +244,9 @@ CALCULATORS: dict[str, Callable[..., Column]] = {
     "agg_linear_trend": agg_linear_trend,
     "fft_coefficient": fft_coefficient,
     "cwt_coefficients": cwt_coefficients,
+    "partial_autocorrelation": partial_autocorrelation,
+    "permutation_entropy": permutation_entropy,
+    "sample_entropy": sample_entropy,
 }
 
 Setting = tuple[str, tuple[tuple[str, object], ...]]
@@ -216,6 +265,8 @@ _PARAMETERS = {
     "agg_linear_trend": {"attr": ["slope", "intercept"], "chunk_len": [2, 3], "f_agg": ["mean", "max", "min"]},
     "fft_coefficient": {"coeff": [0, 1, 2, 3], "attr": ["real", "imag", "abs", "angle"]},
     "cwt_coefficients": {"coeff": list(range(7)), "w": [2, 5]},
+    "partial_autocorrelation": {"lag": [1, 2]},
+    "permutation_entropy": {"dimension": [3, 4]},
 }
 
 

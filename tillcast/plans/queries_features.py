@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillcast.functions.calculators import feature_name
+from tillcast.functions.calculators import all_settings, feature_name
 from tillcast.functions.values import label_id, label_of
 from tillcast.operators import campaigns as camp
 from tillcast.operators import daily as d
@@ -414,10 +414,96 @@ def rolling_features(spark: SparkSession, sf: str) -> DataFrame:
     return present(rol.rolling_features(_scaled_revenue(spark, sf), spec), **{n: digits for n, (_, digits) in _NAMED.items()})
 
 
-@query("rolling_features_all")
+def _line_sql(y: list[str], attr: str) -> str:
+    n, middle = len(y), (len(y) - 1) / 2
+    mean, spread = f"(({' + '.join(y)}) / {n})", sum((i - middle) ** 2 for i in range(n))
+    slope = f"(({' + '.join(f'({v}) * {i - middle}' for i, v in enumerate(y))}) / {spread})"
+    rest = " + ".join(f"pow({v} - {mean}, 2)" for v in y)
+    return {
+        "slope": slope,
+        "intercept": f"{mean} - {slope} * {middle}",
+        "rvalue": f"greatest(-1, least(1, coalesce({slope} * sqrt({spread}) / sqrt(nullif({rest}, 0)), 0)))",
+        "stderr": f"sqrt(greatest({rest} - {slope} * {slope} * {spread}, 0) / {max(n - 2, 1) * spread})",
+    }[attr]
+
+
+def _quantile_sql(q: float) -> str:
+    low = int(q * 6)
+    return f"(list_sort(x)[{low + 1}] + (list_sort(x)[{min(low + 2, 7)}] - list_sort(x)[{low + 1}]) * {q * 6 - low!r})"
+
+
+def _chunk_sql(size: int, how: str) -> list[str]:
+    groups = [_X[i : i + size] for i in range(0, 7, size)]
+    made = {"mean": lambda g: f"(({' + '.join(g)}) / {len(g)})", "max": lambda g: f"greatest({', '.join(g)})", "min": lambda g: f"least({', '.join(g)})"}
+    return [made[how](g) for g in groups]
+
+
+def _fft_sql(coeff: int, attr: str) -> str:
+    real, imag = (f"({' + '.join(f'{v} * {sign}{turn}(2 * pi() * {i * coeff} / 7)' for i, v in enumerate(_X))})" for turn, sign in (("cos", ""), ("sin", "-")))
+    imag = imag if coeff else "0::DOUBLE"
+    return {"real": real, "imag": imag, "abs": f"sqrt(pow({real}, 2) + pow({imag}, 2))", "angle": f"degrees(atan2({imag}, {real}))"}[attr]
+
+
+def _cwt_sql(coeff: int, w: int) -> str:
+    near = [(v, coeff - j) for j, v in enumerate(_X) if abs(coeff - j) <= 3]
+    return f"2 / (sqrt({3 * w}) * pow(pi(), 0.25)) * ({' + '.join(f'{v} * (1 - pow({t} / {w}, 2)) * exp(-{t * t} / {2 * w * w})' for v, t in near)})"
+
+
+def _shared_sql(lag: int) -> str:
+    return f"(({' + '.join(f'({_X[i]} - {_M}) * ({_X[i + lag]} - {_M})' for i in range(7 - lag))}) / {7 - lag})"
+
+
+def _orders_sql(dimension: int) -> str:
+    """Entropy of the codes of which pairs of neighbouring values rise."""
+    n, pairs = 8 - dimension, [(i, j) for i in range(dimension) for j in range(i + 1, dimension)]
+    codes = [" || ".join(f"({_X[at + i]} <= {_X[at + j]})::INT" for i, j in pairs) for at in range(n)]
+    return f"-list_sum([c / {n} * ln(c / {n}) FOR c IN map_values(list_histogram([{', '.join(codes)}]))])"
+
+
+def _alike_sql(size: int) -> str:
+    near = [f"(greatest({', '.join(f'abs({_X[i + k]} - {_X[j + k]})' for k in range(size))}) <= 0.2 * sqrt({_V}))::INT" for i in range(8 - size) for j in range(i + 1, 8 - size)]
+    return f"({' + '.join(near)})"
+
+
+def _setting_sql(name: str, params: dict) -> tuple[str, int]:
+    """A calculator with its parameters in SQL over the list x, and the digits compared: as many as leave no value halfway."""
+    made = {
+        "linear_trend": lambda attr: _line_sql(_X, attr),
+        "quantile": _quantile_sql,
+        "count_above_mean": lambda: f"len(list_filter(x, lambda v: v > {_M}))::DOUBLE",
+        "count_below_mean": lambda: f"len(list_filter(x, lambda v: v < {_M}))::DOUBLE",
+        "last_location_of_maximum": lambda: "1 - (list_position(list_reverse(x), list_max(x)) - 1) / 7",
+        "first_location_of_minimum": lambda: "(list_position(x, list_min(x)) - 1) / 7",
+        "autocorrelation": lambda lag: f"{_shared_sql(lag)} / nullif({_V}, 0)",
+        "c3": lambda lag: f"({' + '.join(f'{_X[i]} * {_X[i + lag]} * {_X[i + 2 * lag]}' for i in range(7 - 2 * lag))}) / {7 - 2 * lag}",
+        "agg_linear_trend": lambda attr, chunk_len, f_agg: _line_sql(_chunk_sql(chunk_len, f_agg), attr),
+        "fft_coefficient": _fft_sql,
+        "cwt_coefficients": _cwt_sql,
+        "partial_autocorrelation": lambda lag: f"{_shared_sql(1)} / nullif({_V}, 0)"
+        if lag == 1
+        else f"({_shared_sql(2)} * {_V} - pow({_shared_sql(1)}, 2)) / nullif(pow({_V}, 2) - pow({_shared_sql(1)}, 2), 0)",
+        "permutation_entropy": _orders_sql,
+        "sample_entropy": lambda: f"CASE WHEN {_alike_sql(2)} > 0 AND {_alike_sql(3)} > 0 THEN -ln({_alike_sql(3)} / {_alike_sql(2)}) END",
+    }
+    plain = {(n, tuple(sorted(p.items()))): sql for n, p, sql, _ in _CHECKED}
+    sql = plain[name, tuple(sorted(params.items()))] if (name, tuple(sorted(params.items()))) in plain and name not in made else made[name](**params)
+    return sql, {"c3": 0, "abs_energy": 1, "variance": 3}.get(name, 3 if params.get("attr") == "angle" else 4)
+
+
+_EVERY = {feature_name("revenue", s): _setting_sql(s[0], dict(s[1])) for s in all_settings()}
+
+
+@query(
+    "rolling_features_all",
+    with_sql(
+        r.SUPPLIER_DAILY,
+        _WINDOWS_SQL,
+        "SELECT outlet, CAST(date AS VARCHAR) AS date, " + ", ".join(f"round({sql}, {digits}) AS {name}" for name, (sql, digits) in _EVERY.items()) + " FROM windows WHERE len(x) = 7",
+    ),
+)
 def rolling_features_all(spark: SparkSession, sf: str) -> DataFrame:
     """Every calculator with every parameter that is tried before a selection."""
-    return present(rol.rolling_features(_scaled_revenue(spark, sf), ROLLING))
+    return present(rol.rolling_features(_scaled_revenue(spark, sf), ROLLING), **{n: digits for n, (_, digits) in _EVERY.items()})
 
 
 @query(
