@@ -14,6 +14,7 @@ from tillcast.functions import calculators as calc
 from tillcast.operators import metrics as mt
 from tillcast.operators import relevance as rel
 from tillcast.operators import rolling as rol
+from tillcast.operators import sliding as sl
 from tillcast.operators.ordinal_model import erfc
 
 FIRST = dt.date(2021, 1, 1)
@@ -237,3 +238,38 @@ def test_exact_small_groups_beside_large_ones():
     assert got[0] == pytest.approx(2 / math.comb(408, 8), rel=1e-9) and got[1] == got[2] == 1.0
     normal = rel.mann_whitney_p([2000], [8], [600], [0])[0]
     assert rel.exact_mann_whitney_p([2000], [8], [600])[0] == pytest.approx(normal, rel=0.05)
+
+
+@pytest.mark.parametrize("days, shift", [(2, 0), (7, 2), (50, 9)])
+def test_sliding_windows(rows, days, shift):
+    """Windows of any length against plain sums; two outlets, one with gaps that are left out."""
+    rng, data = random.Random(days), {}
+    for outlet in ("1", "2"):
+        data[outlet] = [None if outlet == "2" and i % 5 == 3 else round(rng.uniform(1e6, 1e6 + 90), 3) for i in range(130)]
+    df = rows([(1, "training", o, (FIRST + dt.timedelta(days=i)).isoformat(), v) for o, vs in data.items() for i, v in enumerate(vs)], "fold INT, role STRING, outlet STRING, date DATE, proxyrevenue DOUBLE")
+    got = sl.sliding_features(df, sl.SlidingSpec(days=days, shift=shift)).orderBy("outlet", "date").collect()
+    expected = []
+    for outlet, values in data.items():
+        kept = [v for v in values if v is not None]
+        expected += [(outlet, kept[i - days + 1 : i + 1]) for i in range(days - 1, len(kept) - shift)]
+    assert [r["outlet"] for r in got] == [o for o, _ in expected]
+    for row, (_, x) in zip(got, expected):
+        steps = [abs(b - a) for a, b in zip(x, x[1:])]
+        middle, m = (days - 1) / 2, statistics.fmean(x)
+        trend = sum((i - middle) * (v - m) for i, v in enumerate(x)) / sum((i - middle) ** 2 for i in range(days))
+        plain = {
+            "sum_values": sum(x), "mean": m, "variance": statistics.pvariance(x), "standard_deviation": statistics.pstdev(x),
+            "abs_energy": sum(v * v for v in x), "root_mean_square": math.sqrt(sum(v * v for v in x) / days), "mean_change": (x[-1] - x[0]) / (days - 1),
+            "mean_abs_change": statistics.fmean(steps), "absolute_sum_of_changes": sum(steps), "linear_trend_attr_slope": trend,
+            "linear_trend_attr_intercept": m - trend * middle, "minimum": min(x), "maximum": max(x),
+        }
+        for name, value in plain.items():
+            assert row[f"proxyrevenue_{name}"] == pytest.approx(value, rel=1e-9, abs=1e-6), name
+
+
+def test_sliding_plan_does_not_grow(rows):
+    def size(days):
+        plan = sl.sliding_features(series(rows, [1.0] * 9), sl.SlidingSpec(days=days))._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Window"), plan.count("Exchange hashpartitioning")
+
+    assert size(7) == size(365) and size(365)[1] == 1

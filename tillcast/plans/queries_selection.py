@@ -18,6 +18,7 @@ from tillcast.operators import relevance as rel
 from tillcast.operators import rolling as rol
 from tillcast.operators import splits as sp
 from tillcast.operators.daily import daily_totals
+from tillcast.operators.sliding import SlidingSpec, sliding_features
 from tillcast.plans import roles as r
 from tillcast.plans import training as tr
 from tillcast.plans.queries_features import _CHECKED, _FOLDS, EDGES_SQL, LABELS, LAGS_SQL, TARGET, training_inputs, training_spec
@@ -223,3 +224,39 @@ def small_group_tests(spark: SparkSession, sf: str) -> DataFrame:
     rows = r.table(spark, sf, "customer").select(F.lit(1).alias("fold"), outlet.alias("outlet"), day.alias("date"), label.alias("label"), F.col("c_acctbal").cast("double").alias("balance"))
     found = rel.class_tests(rows, ["balance"], LABELS).where(F.col("values") > 2)
     return present(found.select("outlet", "class", "n1", "n0", "u", "p"), p=8)
+
+
+_LONG = {
+    "sum_values": "list_sum(x)",
+    "mean": "list_avg(x)",
+    "variance": "list_var_pop(x)",
+    "standard_deviation": "sqrt(list_var_pop(x))",
+    "abs_energy": "list_sum([v * v FOR v IN x])",
+    "root_mean_square": "sqrt(list_sum([v * v FOR v IN x]) / 365)",
+    "mean_change": "(x[365] - x[1]) / 364",
+    "mean_abs_change": "list_sum(list_transform(list_zip(x[2:], x[:-2]), lambda p: abs(p[1] - p[2]))) / 364",
+    "absolute_sum_of_changes": "list_sum(list_transform(list_zip(x[2:], x[:-2]), lambda p: abs(p[1] - p[2])))",
+    "linear_trend_attr_slope": "list_sum(list_transform(x, lambda v, i: v * (i - 183))) / (365 * (365 * 365 - 1) / 12)",
+    "linear_trend_attr_intercept": "list_avg(x) - 182 * list_sum(list_transform(x, lambda v, i: v * (i - 183))) / (365 * (365 * 365 - 1) / 12)",
+    "minimum": "list_min(x)",
+    "maximum": "list_max(x)",
+}
+_LONG_DIGITS = {"variance": 1, "abs_energy": 0, "sum_values": 2, "absolute_sum_of_changes": 2, "linear_trend_attr_slope": 6}
+
+
+@query(
+    "sliding_features_year",
+    with_sql(
+        SEASONAL,
+        """windows AS (
+  SELECT outlet, date, list(proxyrevenue / 997000) OVER (PARTITION BY outlet ORDER BY date ROWS BETWEEN 373 PRECEDING AND 9 PRECEDING) AS x FROM supplier_daily)""",
+        "SELECT outlet, CAST(date AS VARCHAR) AS date, "
+        + ", ".join(f"round({sql}, {_LONG_DIGITS.get(name, 3)}) AS revenue_{name}" for name, sql in _LONG.items())
+        + " FROM windows WHERE len(x) = 365",
+    ),
+)
+def sliding_features_year(spark: SparkSession, sf: str) -> DataFrame:
+    """Features of the 365 rows up to nine before each day."""
+    series = seasonal(spark, sf).withColumn("revenue", F.col("proxyrevenue") / 997000)
+    found = sliding_features(series, SlidingSpec("revenue", 365, 9, ("outlet",)))
+    return present(found, 3, **{f"revenue_{name}": digits for name, digits in _LONG_DIGITS.items()})
