@@ -11,11 +11,14 @@ import numpy as np
 import pytest
 
 from tillcast.functions import calculators as calc
+from tillcast.operators import encoders as enc
 from tillcast.operators import metrics as mt
 from tillcast.operators import relevance as rel
 from tillcast.operators import rolling as rol
 from tillcast.operators import sliding as sl
 from tillcast.operators.ordinal_model import erfc
+from tillcast.operators.quantiles import exact_quantiles
+from tillcast.session import stage
 
 FIRST = dt.date(2021, 1, 1)
 LABELS = ["Low", "Medium", "High", "Exceptional"]
@@ -273,3 +276,26 @@ def test_sliding_plan_does_not_grow(rows):
         return plan.count("Window"), plan.count("Exchange hashpartitioning")
 
     assert size(7) == size(365) and size(365)[1] == 1
+
+
+@pytest.mark.parametrize("accuracy", [20, 10_000])
+def test_exact_quantiles(spark, accuracy):
+    """Groups of one row to thousands, with ties, nulls, a null key and a value that most rows share."""
+    draw, shares = np.random.default_rng(8), [0.0, 0.03, 0.25, 0.5, 0.9, 1.0]
+    groups = {"one": [4.0], "two": [1.0, 2.0], "ties": [7.0] * 900 + [1.0, 9.0], "few": list(draw.integers(0, 5, 700) * 1.0), None: list(draw.normal(size=3000)), "none": [None]}
+    df = spark.createDataFrame([(k, float(v) if v is not None else None) for k, vs in groups.items() for v in [*vs, None]], "k STRING, v DOUBLE").repartition(5)
+    got = {r["k"]: (r["n"], r["quantiles"]) for r in exact_quantiles(df, ["k"], "v", shares, accuracy).collect()}
+    assert set(got) == set(groups) - {"none"}
+    for k, (n, found) in got.items():
+        assert n == len(groups[k]) and found == pytest.approx(np.quantile(groups[k], shares).tolist(), abs=1e-12), k
+
+
+def test_bins_of_large_outlets_are_the_same(spark):
+    draw = np.random.default_rng(9)
+    data = [(1 + i % 2, "training" if i % 5 else "testing", str(i % 3), float(draw.integers(0, 400)), float(draw.normal())) for i in range(2400)]
+    df = stage(spark.createDataFrame(data + [(1, "training", "flat", 5.0, 1.0)] * 9, "fold INT, role STRING, outlet STRING, a DOUBLE, b DOUBLE"))
+    labels = {"a": LABELS, "b": LABELS[:3]}
+    plain, large = ({(r["fold"], r["outlet"], r["column"]): (r["edges"], r["reason"]) for r in enc.fit_bins(df, labels, x).collect()} for x in (None, 50))
+    assert set(plain) == set(large) and len(plain) == 14 and plain[1, "flat", "a"][0] is None
+    for k, (edges, reason) in plain.items():
+        assert large[k] == (edges and pytest.approx(edges, rel=1e-12), reason)

@@ -6,11 +6,14 @@ per fold, outlet and column, and are joined without a hint: staged, their file s
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillcast.functions.values import total
+from tillcast.operators.quantiles import exact_quantiles
 
 STANDARDIZE, NORMALIZE = "standardize", "normalize"
 
@@ -87,18 +90,21 @@ def one_hot_encode(df: DataFrame, params: DataFrame) -> DataFrame:
 # --- equal-frequency bins --------------------------------------------------------------------------------
 
 
-def fit_bins(df: DataFrame, labels: dict[str, list[str]]) -> DataFrame:
+def fit_bins(df: DataFrame, labels: dict[str, list[str]], accuracy: int | None = None) -> DataFrame:
     """``fold, outlet, column, edges, reason``: quantile edges per outlet from its training rows.
 
     The first edge becomes 0, the last one infinity. Edges that coincide cannot make bins: ``edges`` is
-    then NULL and ``reason`` says so.
+    then NULL and ``reason`` says so. An outlet's distinct values are kept in one buffer; with ``accuracy`` they are not:
+    the same edges come from two passes that sort only the values around them, for outlets of any size.
     """
-    parts = []
-    for c, names in labels.items():
-        shares = F.array(*[F.lit(i / len(names)) for i in range(len(names) + 1)])
-        parts.append(F.percentile(F.col(c).cast("double"), shares).alias(c))
-    fitted = training(df).na.drop("any", subset=list(labels)).groupBy("fold", "outlet").agg(*parts)
-    long = fitted.unpivot(["fold", "outlet"], list(labels), "column", "raw")
+    shares = {c: [i / len(names) for i in range(len(names) + 1)] for c, names in labels.items()}
+    rows = training(df).na.drop("any", subset=list(labels))
+    if accuracy:
+        found = [exact_quantiles(rows, ["fold", "outlet"], c, q, accuracy).select("fold", "outlet", F.lit(c).alias("column"), F.col("quantiles").alias("raw")) for c, q in shares.items()]
+        long = reduce(DataFrame.unionByName, found)
+    else:
+        parts = [F.percentile(F.col(c).cast("double"), F.array(*[F.lit(v) for v in q])).alias(c) for c, q in shares.items()]
+        long = rows.groupBy("fold", "outlet").agg(*parts).unpivot(["fold", "outlet"], list(labels), "column", "raw")
     distinct = F.size(F.array_distinct("raw")) == F.size("raw")
     inner = F.slice("raw", F.lit(2), F.size("raw") - 2)
     edges = F.concat(F.array(F.lit(0.0)), inner, F.array(F.lit(float("inf"))))

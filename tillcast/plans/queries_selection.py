@@ -18,6 +18,7 @@ from tillcast.operators import relevance as rel
 from tillcast.operators import rolling as rol
 from tillcast.operators import splits as sp
 from tillcast.operators.daily import daily_totals
+from tillcast.operators.quantiles import exact_quantiles
 from tillcast.operators.sliding import SlidingSpec, sliding_features
 from tillcast.plans import roles as r
 from tillcast.plans import training as tr
@@ -260,3 +261,21 @@ def sliding_features_year(spark: SparkSession, sf: str) -> DataFrame:
     series = seasonal(spark, sf).withColumn("revenue", F.col("proxyrevenue") / 997000)
     found = sliding_features(series, SlidingSpec("revenue", 365, 9, ("outlet",)))
     return present(found, 3, **{f"revenue_{name}": digits for name, digits in _LONG_DIGITS.items()})
+
+
+_SHARES = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+
+
+@query(
+    "large_group_quantiles",
+    f"""SELECT flag, n, {", ".join(f"round(q[{i}], 4) AS q{i}" for i in range(1, len(_SHARES) + 1))} FROM (
+  SELECT l_returnflag AS flag, count(l_extendedprice) AS n, quantile_cont(l_extendedprice, {_SHARES}) AS q FROM lineitem GROUP BY 1
+  UNION ALL SELECT 'quantity', count(l_quantity), quantile_cont(l_quantity, {_SHARES}) FROM lineitem)""",
+)
+def large_group_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact quantiles of the raw rows: three groups of prices, one with half of all rows, and quantities of few values."""
+    lines = r.table(spark, sf, "lineitem")
+    prices = exact_quantiles(lines.withColumn("flag", F.col("l_returnflag")), ["flag"], "l_extendedprice", _SHARES, 100)
+    amounts = exact_quantiles(lines.withColumn("flag", F.lit("quantity")), ["flag"], "l_quantity", _SHARES, 100)
+    found = prices.unionByName(amounts)
+    return present(found.select("flag", "n", *[F.col("quantiles")[i].alias(f"q{i + 1}") for i in range(len(_SHARES))]))
