@@ -24,12 +24,12 @@ class AdditiveSpec:
     max_bins: int = 256
     outer_bags: int = 8
     bag_share: float = 0.85
-    learning_rate: float = 0.15
+    learning_rate: float = 0.12
     max_leaves: int = 3
     min_samples_leaf: int = 2
     rounds: int = 20
     patience: int = 3
-    features_at_once: int = 4
+    features_at_once: int = 8
     seed: int = 42
 
     def __post_init__(self):
@@ -151,7 +151,7 @@ def fit_additive(df: DataFrame, features: list[str], labels: list[str], spec: Ad
         counts = bin_counts(kept, sizes)
         total = sum(by_class.values())
         prior = np.log([by_class[k] / total for k in range(len(labels))])
-        shapes, intercept = boost(kept, sizes, prior - prior.mean(), spec)
+        shapes, intercept = boost(kept, sizes, prior - prior.mean(), total, spec)
     finally:
         kept.unpersist()
     scores = []

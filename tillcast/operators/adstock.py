@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Days of a block, and blocks of a block of blocks.
-_BLOCK = 256
+_BLOCK_DAYS = 1 << 16
+_BLOCKS = 64  # blocks from year 1 to 9999
 
 
 @dataclass(frozen=True)
@@ -70,24 +70,19 @@ def _with_carry(rows: DataFrame, carry: DataFrame, part: list[str], keys: tuple[
 
 
 def _levels(long: DataFrame, spec: AdstockSpec) -> DataFrame:
-    """The recursion for any weight and length, as a scan of affine maps over blocks of days and blocks of these.
+    """The recursion for any weight and length, as a scan of affine maps inside blocks of days and one over the blocks.
 
-    Blocks follow from the date alone, so the days of one long series are dealt over many tasks; a part of a scan has at
-    most ``_BLOCK`` rows at the two lower levels, and the blocks of blocks of all dates that Spark knows are fewer than that.
+    Blocks follow from the date alone, so the days of one long series are dealt over many tasks: a task sorts at most the
+    days of a block, and the blocks of all dates that Spark knows are fewer than ``_BLOCKS``.
     """
     series = [*spec.keys, "channel"]
-    block = F.floor(F.datediff("date", F.lit("1970-01-01").cast("date")) / _BLOCK)
-    rows = long.withColumns({"_keep": _weight(spec), "_add": F.col("cost"), "_block": block, "_above": F.floor(block / _BLOCK)})
-    rows = _scanned(rows, [*series, "_above", "_block"], "date", _BLOCK)
-    blocks = _scanned(_ends(rows, [*series, "_above", "_block"], "date"), [*series, "_above"], "_block", _BLOCK)
-    above = _scanned(_ends(blocks, [*series, "_above"], "_block"), series, "_above", _BLOCK)
-    above = above.select(*series, "_above", F.lag("_add", 1, 0.0).over(W.partitionBy(*series).orderBy("_above")).alias("_begin"))
-    before = W.partitionBy(*series, "_above").orderBy("_block")
-    blocks = blocks.withColumns({"_add": F.lag("_add", 1, 0.0).over(before), "_keep": F.lag("_keep", 1, 1.0).over(before)})
-    blocks = _with_carry(blocks, above, [*series, "_above"], spec.keys)
-    carry = blocks.select(*series, "_above", "_block", (F.col("_add") + _kept(F.col("_keep"), F.col("_begin"))).alias("_carry"))
-    rows = _with_carry(rows, carry, [*series, "_above", "_block"], spec.keys)
-    return rows.withColumn("adstock", F.col("_add") + _kept(F.col("_keep"), F.col("_carry"))).drop("_keep", "_add", "_block", "_above", "_carry")
+    block = F.floor(F.datediff("date", F.lit("1970-01-01").cast("date")) / _BLOCK_DAYS)
+    rows = long.withColumns({"_keep": _weight(spec), "_add": F.col("cost"), "_block": block})
+    rows = _scanned(rows, [*series, "_block"], "date", _BLOCK_DAYS)
+    blocks = _scanned(_ends(rows, [*series, "_block"], "date"), series, "_block", _BLOCKS)
+    begin = F.lag("_add", 1, 0.0).over(W.partitionBy(*series).orderBy("_block"))
+    rows = _with_carry(rows, blocks.select(*series, "_block", begin.alias("_carry")), [*series, "_block"], spec.keys)
+    return rows.withColumn("adstock", F.col("_add") + _kept(F.col("_keep"), F.col("_carry"))).drop("_keep", "_add", "_block", "_carry")
 
 
 def adstock_long(daily: DataFrame, spec: AdstockSpec) -> DataFrame:

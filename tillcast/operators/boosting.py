@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_GRID = float(1 << 30)  # gradients and curvatures lie between -1 and 1; their sums are kept in steps of 2 ** -30
+_GRID_BITS = 30  # gradients and curvatures lie between -1 and 1; their sums are kept in steps of 2 ** -30, or of more for many rows
 _LEAST_CURVATURE = 1e-9
 
 
@@ -45,55 +45,67 @@ def bin_counts(binned: DataFrame, sizes: list[int]) -> list[np.ndarray]:
     return counts
 
 
-def _visit(binned: DataFrame, shapes: list[np.ndarray], intercept: np.ndarray, visited: list[int]) -> tuple[dict[int, np.ndarray], np.ndarray]:
+def _visit(binned: DataFrame, shapes: list[np.ndarray], intercept: np.ndarray, visited: list[int], rows: int) -> tuple[dict[int, np.ndarray], np.ndarray]:
     """For each visited feature an array (bag, bin, 1 + 2 * classes) of rows, gradients and curvatures, and per bag the loss
-    and the number of the rows left out of it."""
+    and the number of the rows left out of it. ``rows`` is the number of all rows."""
     bags, classes = intercept.shape
-    sizes = [s.shape[1] for s in shapes]
-    sent = binned.sparkSession.sparkContext.broadcast((shapes, intercept))
-    width = 1 + 2 * classes
+    sizes, width = [s.shape[1] for s in shapes], 1 + 2 * classes
+    # Sums travel in steps so fine that all rows together stay within a bigint.
+    grid = float(1 << min(_GRID_BITS, 62 - int(rows).bit_length()))
+    flat = [np.ascontiguousarray(s.transpose(1, 0, 2)).reshape(size, -1) for s, size in zip(shapes, sizes, strict=True)]
+    sent = binned.sparkSession.sparkContext.broadcast((flat, intercept.reshape(-1)))
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_shapes, base = sent.value
-        sums = {i: np.zeros((bags * sizes[i], width)) for i in visited}
+        sums = {i: np.zeros((sizes[i], bags * width)) for i in visited}
         left_out = np.zeros((bags, 2))
         for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
-            label, bits, bins = columns[0], columns[1], columns[2:]
-            own = ((bits[None, :] >> np.arange(bags)[:, None]) & 1).astype(bool)
-            raw = np.repeat(base[:, None, :], len(label), axis=1)
+            label, bits, *bins = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+            n = len(label)
+            if not n:
+                continue
+            own = ((bits[:, None] >> np.arange(bags)) & 1).astype(np.float64)
+            raw = np.tile(base, (n, 1))
             for shape, at in zip(held_shapes, bins, strict=True):
-                raw += shape[:, at, :]
+                raw += shape.take(at, axis=0)
+            raw = raw.reshape(n, bags, classes)
             p = np.exp(raw - raw.max(axis=2, keepdims=True))
             p /= p.sum(axis=2, keepdims=True)
-            loss = -np.log(np.maximum(p[:, np.arange(len(label)), label], 1e-300))
-            left_out += np.stack([np.where(own, 0.0, loss).sum(axis=1), (~own).sum(axis=1)], axis=1)
-            curvature, gradient = p * (1 - p), -p
-            gradient[:, np.arange(len(label)), label] += 1
+            chosen = p[np.arange(n), :, label]
+            left_out += np.stack([(-np.log(np.maximum(chosen, 1e-300)) * (1 - own)).sum(axis=0), (1 - own).sum(axis=0)], axis=1)
+            held = np.empty((n, bags, width))
+            held[:, :, 0] = own
+            held[:, :, 1 : 1 + classes] = -p * own[:, :, None]
+            held[np.arange(n), :, 1 + label] += own
+            held[:, :, 1 + classes :] = p * (1 - p) * own[:, :, None]
+            held = held.reshape(n, -1)
             for i in visited:
-                slot = (np.arange(bags)[:, None] * sizes[i] + bins[i][None, :])[own]
-                sums[i][:, 0] += np.bincount(slot, minlength=len(sums[i]))
-                for k in range(classes):
-                    sums[i][:, 1 + k] += np.bincount(slot, gradient[:, :, k][own], len(sums[i]))
-                    sums[i][:, 1 + classes + k] += np.bincount(slot, curvature[:, :, k][own], len(sums[i]))
-        rows = [(i, int(s), np.rint(sums[i][s] * _GRID).astype(np.int64).tolist()) for i in visited for s in np.flatnonzero(sums[i][:, 0])]
-        rows += [(-1, bag, np.rint(left_out[bag] * _GRID).astype(np.int64).tolist() + [0] * (width - 2)) for bag in range(bags)]
-        made = {"feature": [r[0] for r in rows], "slot": [r[1] for r in rows]} | {f"v{k}": [r[2][k] for r in rows] for k in range(width)}
+                order = np.argsort(bins[i], kind="stable")
+                ordered = bins[i][order]
+                starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+                sums[i][ordered[starts]] += np.add.reduceat(held[order], starts, axis=0)
+        rows_out = []
+        for i in visited:
+            by_slot = sums[i].reshape(sizes[i], bags, width).transpose(1, 0, 2).reshape(-1, width)
+            rows_out += [(i, int(s), np.rint(by_slot[s] * grid).astype(np.int64).tolist()) for s in np.flatnonzero(by_slot[:, 0])]
+        # A row's loss may be large, so losses keep a coarser step.
+        rows_out += [(-1, bag, np.rint(left_out[bag] * (grid / 1024)).astype(np.int64).tolist() + [0] * (width - 2)) for bag in range(bags)]
+        made = {"feature": [r[0] for r in rows_out], "slot": [r[1] for r in rows_out]} | {f"v{k}": [r[2][k] for r in rows_out] for k in range(width)}
         yield pa.RecordBatch.from_pydict(made, schema=pa.schema([(name, pa.int64()) for name in made]))
 
-    ddl = "feature long, slot long, " + ", ".join(f"v{k} long" for k in range(width))
-    # Sums of many rows pass the range of a bigint on this grid, those of decimals do not.
-    total = [F.sum(F.col(f"v{k}").cast("decimal(38,0)")).alias(f"v{k}") for k in range(width)]
-    found = binned.mapInArrow(partial, ddl).groupBy("feature", "slot").agg(*total).collect()
+    names = [f"v{k}" for k in range(width)]
+    ddl = "feature long, slot long, " + ", ".join(f"{name} long" for name in names)
+    found = binned.mapInArrow(partial, ddl).groupBy("feature", "slot").agg(*[F.sum(name).alias(name) for name in names]).toPandas()
     sent.destroy()
-    histograms, left_out = {i: np.zeros((bags * sizes[i], width)) for i in visited}, np.zeros((bags, 2))
-    for r in found:
-        values = np.array([float(r[f"v{k}"]) for k in range(width)]) / _GRID
-        if r["feature"] < 0:
-            left_out[r["slot"]] = values[:2]
-        else:
-            histograms[r["feature"]][r["slot"]] = values
-    return {i: h.reshape(bags, sizes[i], width) for i, h in histograms.items()}, left_out
+    values = found[names].to_numpy(dtype=np.float64) / grid
+    feature, slot = found["feature"].to_numpy(), found["slot"].to_numpy()
+    histograms, left_out = {}, np.zeros((bags, 2))
+    for i in visited:
+        histogram = np.zeros((bags * sizes[i], width))
+        histogram[slot[feature == i]] = values[feature == i]
+        histograms[i] = histogram.reshape(bags, sizes[i], width)
+    left_out[slot[feature < 0]] = values[feature < 0, :2] * 1024
+    return histograms, left_out
 
 
 def grow(histogram: np.ndarray, max_leaves: int, min_samples_leaf: int) -> np.ndarray:
@@ -128,7 +140,7 @@ def grow(histogram: np.ndarray, max_leaves: int, min_samples_leaf: int) -> np.nd
     return step
 
 
-def boost(binned: DataFrame, sizes: list[int], prior: np.ndarray, spec) -> tuple[list[np.ndarray], np.ndarray]:
+def boost(binned: DataFrame, sizes: list[int], prior: np.ndarray, rows: int, spec) -> tuple[list[np.ndarray], np.ndarray]:
     """Shapes (bin, class) per feature and the intercept, averaged over the bags.
 
     ``binned``: label_id, bags (bits) and a bin per feature, kept between the visits. ``prior``: log share of each class.
@@ -152,7 +164,7 @@ def boost(binned: DataFrame, sizes: list[int], prior: np.ndarray, spec) -> tuple
 
     for _ in range(spec.rounds if blocks else 0):
         for k, block in enumerate(blocks):
-            histograms, left_out = _visit(binned, shapes, intercept, block)
+            histograms, left_out = _visit(binned, shapes, intercept, block, rows)
             if early and k == 0:
                 judge(left_out)
                 if (waited > spec.patience).all():
@@ -162,6 +174,6 @@ def boost(binned: DataFrame, sizes: list[int], prior: np.ndarray, spec) -> tuple
                     if not early or waited[bag] <= spec.patience:
                         shapes[i][bag] += spec.learning_rate * grow(histograms[i][bag], spec.max_leaves, spec.min_samples_leaf)
     if early and blocks:
-        judge(_visit(binned, shapes, intercept, [])[1])
+        judge(_visit(binned, shapes, intercept, [], rows)[1])
         shapes = best
     return [s.mean(axis=0) for s in shapes], intercept.mean(axis=0)
