@@ -376,12 +376,16 @@ def outlet_zero_share_filter(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def outlet_coverage_filter(spark: SparkSession, sf: str) -> DataFrame:
-    """Users but two whose series covers the days of the table, short of the first and the last; dates in reverse."""
+    """Users but two whose series covers the days of the table, short of the first and the last; dates in reverse.
+
+    How many of their days have no revenue is no matter here."""
     daily = stage(r.user_daily(spark, sf), "users")
     first, last, _ = d.date_extent(daily)
-    day = dt.timedelta(days=1)
-    rule = o.OutletFilter((last - day).isoformat(), (first + day).isoformat(), 2, [3, 7])
-    return present(o.usable_outlets(daily, rule))
+    kept, day = o.not_excluded(daily, [3, 7]), dt.timedelta(days=1)
+    if last - first < 2 * day:  # every series of one or two days reaches that far
+        return present(kept)
+    covered = o.covering(o.outlet_profile(kept), (last - day).isoformat(), (first + day).isoformat())
+    return present(kept.join(covered, "outlet", "left_semi"))
 
 
 @query(
