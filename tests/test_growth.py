@@ -30,3 +30,26 @@ def test_coverage_filter_keeps_outlets_with_days_of_no_revenue(spark, tmp_path,
     events = spark.createDataFrame(rows, "ts timestamp, user_id long, value double")
     got, expected = against_sql(spark, tmp_path, "outlet_coverage_filter", events=events)
     assert got == expected and {r[0] for r in expected} >= {"1", "2", "5"}
+
+
+def test_days_are_made_after_the_shuffle_of_spans(spark, capsys):
+    import random
+
+    from tillcast.operators import campaigns as camp
+
+    rng, first = random.Random(4), dt.date(1969, 12, 1)
+    spans = [(rng.choice("ab"), rng.choice("xyz"), a := first + dt.timedelta(days=rng.randrange(90)), a + dt.timedelta(days=rng.randrange(-2, 50)), rng.choice([None, 0.0, 3.5, 8.25])) for _ in range(200)]
+    df = spark.createDataFrame(spans, "mode string, name string, start date, end date, cost double")
+    cost, active = {}, {}
+    for mode, name, a, b, c in spans:
+        for i in range((b - a).days + 1):
+            day = a + dt.timedelta(days=i)
+            active[day, name] = active.get((day, name), 0) + 1
+            if c is not None:
+                cost[day, mode] = cost.get((day, mode), 0.0) + c / ((b - a).days + 1)
+    made = camp.channel_daily_cost(df)
+    assert {(r["date"], r["mode"]): r["cost"] for r in made.collect()} == pytest.approx(cost)
+    assert {(r["date"], r["name"]): r["n"] for r in camp.active_counts(df).collect()} == active
+    made.explain()
+    plan = capsys.readouterr().out
+    assert plan.rindex("Generate") < plan.index("Exchange")

@@ -14,6 +14,7 @@ from tillcast.functions.names import normalise_name
 from tillcast.operators.daily import require_columns
 
 CAMPAIGN = ["name", "start", "end"]
+BLOCK = 16  # days that one row of ``sum_by_day`` holds
 
 
 def channels(costs: DataFrame, mode: str = "mode") -> list[str]:
@@ -32,7 +33,24 @@ def channel_daily_cost(costs: DataFrame, keys: tuple[str, ...] = ()) -> DataFram
     """``date, mode, cost``: the daily share of each channel as rows, for any number of channels."""
     duration = F.date_diff("end", "start") + 1
     daily = costs.where("mode IS NOT NULL AND cost IS NOT NULL").select(*keys, "start", "end", "mode", (F.col("cost") / duration).alias("cost"))
-    return campaign_days(daily).groupBy(*keys, "date", "mode").agg(F.sum("cost").alias("cost"))
+    return sum_by_day(daily, [*keys, "mode"], "cost").select(*keys, "date", "mode", "cost")
+
+
+def sum_by_day(spans: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``keys, date, value``: the sum of ``value`` over the rows whose ``start`` to ``end`` holds the day, for many keys.
+
+    Spans travel, not days: equal spans are summed first, so a key with most of the rows is no hot spot, and a key's spans
+    then meet in one task. There a row is a key and a block of ``BLOCK`` days with a sum per day; days follow at the end.
+    """
+    merged = spans.where(F.col("start") <= F.col("end")).groupBy(*keys, "start", "end").agg(F.sum(value).alias("_value"))
+    first, last = F.unix_date("start"), F.unix_date("end")
+    block = F.explode(F.sequence(F.floor(first / BLOCK).cast("int"), F.floor(last / BLOCK).cast("int")))
+    placed = merged.repartition(*keys).select(*keys, first.alias("_first"), last.alias("_last"), "_value", block.alias("_block"))
+    day = F.col("_block") * BLOCK
+    sums = [F.sum(F.when((day + i).between(F.col("_first"), F.col("_last")), F.col("_value"))).alias(f"_{i}") for i in range(BLOCK)]
+    blocks = placed.groupBy(*keys, "_block").agg(*sums)
+    days = blocks.select(*keys, "_block", F.posexplode(F.array(*[f"_{i}" for i in range(BLOCK)])).alias("_day", value)).where(F.col(value).isNotNull())
+    return days.select(*keys, F.date_from_unix_date(F.col("_block") * BLOCK + F.col("_day")).alias("date"), value)
 
 
 def campaign_pivot(costs: DataFrame, modes: list[str], keys: tuple[str, ...] = ()) -> DataFrame:
@@ -56,6 +74,11 @@ def active_campaigns(campaigns: DataFrame, keys: tuple[str, ...] = ()) -> DataFr
     return campaign_days(campaigns).select(*keys, "date", "name")
 
 
+def active_counts(campaigns: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``date, name, n``: how many campaigns of each name run on each of its days."""
+    return sum_by_day(campaigns.withColumn("n", F.lit(1)), [*keys, "name"], "n").select(*keys, "date", "name", "n")
+
+
 def cost_columns(campaigns: DataFrame, keys: tuple[str, ...] = ()) -> list[str]:
     return [c for c in campaigns.columns if c not in (*keys, *CAMPAIGN)]
 

@@ -152,8 +152,7 @@ def campaign_daily_cost(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def active_campaigns(spark: SparkSession, sf: str) -> DataFrame:
-    active = camp.active_campaigns(_campaigns(spark, sf))
-    return present(active.groupBy("date", "name").agg(F.count("*").alias("n")))
+    return present(camp.active_counts(_campaigns(spark, sf)))
 
 
 def _indicator_sql(days: str, key: str, source: str) -> str:
