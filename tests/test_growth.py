@@ -51,5 +51,19 @@ def test_days_are_made_after_the_shuffle_of_spans(spark, capsys):
     assert {(r["date"], r["mode"]): r["cost"] for r in made.collect()} == pytest.approx(cost)
     assert {(r["date"], r["name"]): r["n"] for r in camp.active_counts(df).collect()} == active
     made.explain()
-    plan = capsys.readouterr().out
+    plan = capsys.readouterr().out.split("Initial Plan")[-1]
     assert plan.rindex("Generate") < plan.index("Exchange")
+
+
+def test_languages_are_learned_from_every_row(spark):
+    """A word that one labelled row alone holds moves the model and the measure of strangeness, whatever the table's size."""
+    from tillcast.llm import language_id as li
+    from pyspark.sql import functions as F
+
+    made = spark.range(9000).select(F.col("id").alias("key"), F.when(F.col("id") % 2 == 0, "der hund und die katze").otherwise("the dog and the cat").alias("text"), F.when(F.col("id") % 2 == 0, "de").otherwise("en").alias("lang"))
+    plain = li.fit_language_model(made)
+    spec = plain.spec
+    for key in (9100, 9101, 9102):
+        model = li.fit_language_model(made.unionByName(spark.createDataFrame([(key, "жћђ", "en")], "key long, text string, lang string")))
+        at = li.ngram_counts("жћђ", spec)
+        assert model.strangest == pytest.approx(li.strangeness(*at, model.idf)) and model.strangest > 2 * plain.strangest

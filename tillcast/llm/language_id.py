@@ -1,8 +1,9 @@
 """Language of whole texts: sparse multinomial logistic regression on TF-IDF character n-grams.
 
-Training is follow-the-regularised-leader (proximal, per-coordinate rates) with an elastic net, on a bounded sample of
-labelled rows; a temperature fitted on rows kept out of that training turns scores into calibrated probabilities.
-Document frequencies come from every labelled row. Prediction reads the text and nothing else.
+Training is follow-the-regularised-leader (proximal, per-coordinate rates) with an elastic net over every labelled row: a
+step is one job that sums the gradients of a batch of rows in all tasks. A temperature fitted on the rows kept out of that
+training turns scores into calibrated probabilities. Document frequencies come from every labelled row too. Prediction reads
+the text and nothing else.
 
 How strange a text is, whatever language it is taken for, is the mean inverse document frequency of its n-grams: text of
 the learned languages is made of n-grams that many labelled rows hold, noise and other languages are not.
@@ -27,14 +28,15 @@ _letters: np.ndarray | None = None
 
 @dataclass(frozen=True)
 class LanguageSpec:
-    """``sample_rows`` bounds the labelled rows that weights are fitted on, shared equally by the languages."""
+    """``weight_rows``: what all labelled rows weigh together, shared equally by the languages; a row weighs at most 1."""
 
     orders: tuple[int, ...] = (1, 2, 3)
     bucket_bits: int = 16  # at most 16
-    sample_rows: int = 4000
+    weight_rows: int = 4000
     calibration_share: float = 0.25
-    least_known: int = 100  # sampled rows from which on the strangest of them is a measure
-    epochs: int = 3
+    least_known: int = 100  # rows from which on the strangest of them is a measure
+    epochs: int = 2
+    batches: int = 8  # steps of an epoch
     alpha: float = 0.5
     beta: float = 1.0
     l1: float = 0.02
@@ -51,7 +53,7 @@ class LanguageModel:
     weights: np.ndarray
     temperature: float
     spec: LanguageSpec
-    strangest: float = math.inf  # of the sampled rows; infinite where they are too few to tell
+    strangest: float = math.inf  # of the labelled rows; infinite where they are too few to tell
 
 
 def _is_letter() -> np.ndarray:
@@ -126,55 +128,94 @@ def document_frequencies(labelled: DataFrame, spec: LanguageSpec) -> tuple[int,
     return int(found[-1]), found[:-1]
 
 
-def _ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], n_labels: int, spec: LanguageSpec) -> np.ndarray:
-    """Weights after ``epochs`` passes of follow-the-regularised-leader over the rows, in a seeded order."""
-    size = (1 << spec.bucket_bits) + 1
-    z, n = np.zeros((size, n_labels)), np.zeros((size, n_labels))
+class _Leader:
+    """State of follow-the-regularised-leader: ``weights`` after the gradients so far."""
+
+    def __init__(self, n_labels: int, spec: LanguageSpec):
+        size = (1 << spec.bucket_bits) + 1
+        self.z, self.n, self.spec = np.zeros((size, n_labels)), np.zeros((size, n_labels)), spec
 
-    def solved(z: np.ndarray, n: np.ndarray) -> np.ndarray:
+    def weights(self, at=slice(None)) -> np.ndarray:
+        z, n, spec = self.z[at], self.n[at], self.spec
         return -np.sign(z) * np.maximum(np.abs(z) - spec.l1, 0.0) / ((spec.beta + np.sqrt(n)) / spec.alpha + spec.l2)
 
-    order = np.random.default_rng(spec.seed)
+    def step(self, gradient: np.ndarray, at=slice(None)) -> None:
+        w, grown = self.weights(at), self.n[at] + gradient * gradient
+        self.z[at] += gradient - (np.sqrt(grown) - np.sqrt(self.n[at])) / self.spec.alpha * w
+        self.n[at] = grown
+
+
+def _gradient(values: np.ndarray, w: np.ndarray, label: int) -> np.ndarray:
+    """Of the log loss of one row, by its features (their weights are ``w``) and labels."""
+    error = _softmax(values @ w)
+    error[label] -= 1.0
+    return values[:, None] * error
+
+
+def _ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], n_labels: int, spec: LanguageSpec) -> np.ndarray:
+    """Weights after ``epochs`` passes with a step for every row, in a seeded order."""
+    leader, order = _Leader(n_labels, spec), np.random.default_rng(spec.seed)
     for _ in range(spec.epochs):
         for i in order.permutation(len(rows)):
             buckets, values, label = rows[i]
-            z_here, n_here = z[buckets], n[buckets]
-            w = solved(z_here, n_here)
-            error = _softmax(values @ w)
-            error[label] -= 1.0
-            gradient = values[:, None] * error
-            grown = n_here + gradient * gradient
-            z[buckets] = z_here + gradient - (np.sqrt(grown) - np.sqrt(n_here)) / spec.alpha * w
-            n[buckets] = grown
-    return solved(z, n)
+            leader.step(_gradient(values, leader.weights(buckets), label), buckets)
+    return leader.weights()
 
 
-def _temperature(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The temperature of least log loss, by golden section on its logarithm between 1/20 and 20.
+_TEMPERATURES = np.exp(np.linspace(-np.log(20.0), np.log(20.0), 241))
+
+
+def _log_chances(scores: np.ndarray, label: int) -> np.ndarray:
+    """For each of the temperatures: the log probability of the label, and the sum of those of all labels."""
+    raw = scores[None, :] / _TEMPERATURES[:, None]
+    raw -= raw.max(axis=1, keepdims=True)
+    logs = np.maximum(raw - np.log(np.exp(raw).sum(axis=1, keepdims=True)), math.log(1e-300))
+    return np.stack([logs[:, label], logs.sum(axis=1)])
+
 
-    Targets are smoothed to (n + 1) / (n + 2), so that a sample without an error does not claim certainty.
+def _least_loss(chances: np.ndarray, n: int, n_labels: int) -> float:
+    """The temperature of least log loss from the summed ``_log_chances`` of n rows.
+
+    Targets are smoothed to (n + 1) / (n + 2), so that rows without an error do not claim certainty.
     """
+    if not n or n_labels < 2:
+        return 1.0
+    target, rest = (n + 1) / (n + 2), 1.0 / (n + 2) / (n_labels - 1)
+    return float(_TEMPERATURES[np.argmax(target * chances[0] + rest * (chances[1] - chances[0]))])
+
+
+def _temperature(scores: np.ndarray, labels: np.ndarray) -> float:
     n, n_labels = scores.shape
     if not n or n_labels < 2:
         return 1.0
-    target = np.full(scores.shape, 1.0 / (n + 2) / (n_labels - 1))
-    target[np.arange(n), labels] = (n + 1) / (n + 2)
+    return _least_loss(sum(_log_chances(s, int(label)) for s, label in zip(scores, labels, strict=True)), n, n_labels)
+
+
+def _summed(rows: DataFrame, per_task, size: int) -> tuple[np.ndarray, int, float]:
+    """Sum of the arrays that ``per_task`` makes of the (label, text) of its rows, with the number of rows and the largest strangeness.
+
+    Rows are merged into about as many tasks as run at once, so what reaches the driver is sized by cores and model.
+    """
+    context = rows.sparkSession.sparkContext
+    tasks = max(1, min(context.defaultParallelism, (256 << 20) // (8 * size)))
 
-    def loss(log_t: float) -> float:
-        return -(target * np.log(np.maximum(_softmax(scores / np.exp(log_t)), 1e-300))).sum()
+    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums, n, strange = per_task((label, text) for batch in batches for label, text in zip(batch["lang"], batch["text"], strict=True))
+        yield pd.DataFrame({"sums": [sums.astype(np.float64).tobytes()], "n": [n], "strange": [strange]})
 
-    low, high, golden = -np.log(20.0), np.log(20.0), (np.sqrt(5) - 1) / 2
-    for _ in range(60):
-        a, b = high - golden * (high - low), low + golden * (high - low)
-        low, high = (low, b) if loss(a) <= loss(b) else (a, high)
-    return float(np.exp((low + high) / 2))
+    total, n, strangest = np.zeros(size), 0, 0.0
+    for r in rows.select("lang", "text").coalesce(tasks).mapInPandas(made, "sums binary, n long, strange double").toLocalIterator():
+        total += np.frombuffer(bytes(r["sums"]))
+        n, strangest = n + r["n"], max(strangest, r["strange"])
+    return total, n, strangest
 
 
 def fit_language_model(labelled: DataFrame, spec: LanguageSpec = LanguageSpec()) -> LanguageModel | None:
-    """Fit on ``labelled`` (key, text, lang). None if no row has both a language and a letter.
+    """Fit on every row of ``labelled`` (key, text, lang). None if no row has both a language and a letter.
 
-    Rows whose language is null are left out. The sample keeps each language's rows of smallest hashed key, about
-    ``sample_rows`` / languages each, so a language with most of the rows weighs no more than another.
+    Rows whose language is null are left out. Each language's rows weigh ``weight_rows`` / languages together (a row at most
+    1), so a language with most of the rows weighs no more than another. Hashed keys deal the rows: ``calibration_share`` of
+    them fit the temperature, the others the weights, in ``batches`` steps an epoch.
     """
     labelled = labelled.select("key", "text", "lang").where("lang is not null and text is not null")
     per_lang = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -185,39 +226,58 @@ def fit_language_model(labelled: DataFrame, spec: LanguageSpec = LanguageSpec())
     if not rows:
         return None
     idf = np.log((1.0 + rows) / (1.0 + frequency)) + 1.0
-    quota = max(1.0, spec.sample_rows / len(labels))
-    share = F.create_map(*[F.lit(x) for lang, n in per_lang.items() for x in (lang, min(1.0, quota / n))])
-    drawn = F.shiftrightunsigned(F.xxhash64("key", F.lit(spec.seed)), 11) / F.lit(float(1 << 53))
-    apart = F.pmod(F.xxhash64("key", F.lit(spec.seed + 1)), F.lit(1000)) < int(1000 * spec.calibration_share)
-    sample = labelled.where(drawn < share[F.col("lang")]).select("key", "text", "lang", apart.alias("apart"))
-
-    def train(sampled: pd.DataFrame) -> pd.DataFrame:
-        sampled = sampled.drop_duplicates(["text", "lang"]).sort_values(["key", "text", "lang"])
-        fitted, kept_out, strange = [], [], []
-        for text, lang, is_apart in zip(sampled["text"], sampled["lang"], sampled["apart"], strict=True):
-            counted = ngram_counts(text, spec)
-            if counted is not None:
-                values = _features(*counted, idf)
-                strange.append(strangeness(*counted, idf))
-                (kept_out if is_apart else fitted).append((np.append(counted[0], len(idf)), np.append(values, 1.0), labels.index(lang)))
-        weights = _ftrl(fitted, len(labels), spec)
-        scores = np.array([v @ weights[b] for b, v, _ in kept_out]).reshape(-1, len(labels))
-        temperature = _temperature(scores, np.array([label for _, _, label in kept_out], dtype=int))
-        strangest = max(strange) if len(strange) >= spec.least_known else math.inf
-        return pd.DataFrame({"weights": [weights.astype(np.float32).tobytes()], "temperature": [temperature], "strangest": [strangest]})
-
-    fitted = sample.withColumn("whole", F.lit(0)).groupBy("whole").applyInPandas(train, "weights binary, temperature double, strangest double").collect()
-    if not fitted:
-        weights, temperature, strangest = np.zeros((len(idf) + 1, len(labels)), dtype=np.float32), 1.0, math.inf
-    else:
-        weights = np.frombuffer(bytes(fitted[0]["weights"]), dtype=np.float32).reshape(-1, len(labels))
-        temperature, strangest = fitted[0]["temperature"], fitted[0]["strangest"]
-    return LanguageModel(labels, idf, weights, temperature, spec, strangest)
+    place = {lang: (i, min(1.0, spec.weight_rows / len(labels) / per_lang[lang])) for i, lang in enumerate(labels)}
+    hashed = [F.pmod(F.xxhash64("key", F.lit(spec.seed + i)), F.lit(m)) for i, m in enumerate((spec.batches, 1000))]
+    dealt = labelled.select("text", "lang", F.when(hashed[1] >= int(1000 * spec.calibration_share), hashed[0]).alias("batch"))
+    context, leader, size = labelled.sparkSession.sparkContext, _Leader(len(labels), spec), (len(idf) + 1) * len(labels)
+    known, strangest = 0, 0.0
+
+    def features(text: str):
+        counted = ngram_counts(text, spec)
+        if counted is None:
+            return None
+        return np.append(counted[0], len(idf)), np.append(_features(*counted, idf), 1.0), strangeness(*counted, idf)
+
+    for epoch in range(spec.epochs):
+        for batch in range(spec.batches):
+            sent = context.broadcast(leader.weights())
+
+            def gradients(texts, sent=sent):
+                w, sums, n, strange = sent.value, np.zeros((len(idf) + 1, len(labels))), 0, 0.0
+                for lang, text in texts:
+                    if (made := features(text)) is not None:
+                        at, values, odd = made
+                        label, weight = place[lang]
+                        sums[at] += weight * _gradient(values, w[at], label)
+                        n, strange = n + 1, max(strange, odd)
+                return sums.reshape(-1), n, strange
+
+            total, n, strange = _summed(dealt.where(F.col("batch") == batch), gradients, size)
+            sent.destroy()
+            leader.step(total.reshape(-1, len(labels)))
+            known, strangest = known + (n if epoch == 0 else 0), max(strangest, strange)
+    weights = leader.weights().astype(np.float32)
+    sent = context.broadcast(weights)
+
+    def chances(texts):
+        sums, n, strange = np.zeros((2, len(_TEMPERATURES))), 0, 0.0
+        for lang, text in texts:
+            if (made := features(text)) is not None:
+                at, values, odd = made
+                sums += _log_chances((values @ sent.value[at]).astype(np.float64), place[lang][0])
+                n, strange = n + 1, max(strange, odd)
+        return sums.reshape(-1), n, strange
+
+    total, n, strange = _summed(dealt.where("batch IS NULL"), chances, 2 * len(_TEMPERATURES))
+    sent.destroy()
+    known, strangest = known + n, max(strangest, strange)
+    temperature = _least_loss(total.reshape(2, -1), n, len(labels))
+    return LanguageModel(labels, idf, weights, temperature, spec, strangest if known >= spec.least_known else math.inf)
 
 
 def predict_language(docs: DataFrame, model: LanguageModel | None, into: str, text: str = "text") -> DataFrame:
     """``docs`` with a column ``into``: struct of ``lang``, ``score``, the calibrated probability of that language, and
-    ``strange``, the strangeness of the text over that of the strangest sampled row (0 where those were too few).
+    ``strange``, the strangeness of the text over that of the strangest labelled row (0 where those were too few).
 
     A null text or one without a letter is ``und`` with score 0, as is every text where nothing could be learned.
     Of languages with the same probability the first in code point order is taken.
