@@ -67,3 +67,31 @@ def test_languages_are_learned_from_every_row(spark):
         model = li.fit_language_model(made.unionByName(spark.createDataFrame([(key, "жћђ", "en")], "key long, text string, lang string")))
         at = li.ngram_counts("жћђ", spec)
         assert model.strangest == pytest.approx(li.strangeness(*at, model.idf)) and model.strangest > 2 * plain.strangest
+
+
+def test_relevance_shuffles_series_only(spark, capsys):
+    """Window features are grouped by the keys of their tests: no feature becomes a row, and no wide row is shuffled."""
+    from tillcast.operators import relevance as rel
+    from tillcast.operators import rolling as rol
+
+    days = [(1, o, dt.date(2024, 1, 1) + dt.timedelta(days=i), "ab"[i % 2], float(i * i % 17)) for o in "xy" for i in range(60)]
+    series = spark.createDataFrame(days, "fold int, outlet string, date date, label string, proxyrevenue double")
+    made = rol.rolling_features(series, rol.RollingSpec(keys=("fold", "outlet")), carry=("label",))
+    table = rel.relevance_table(made, [c for c in made.columns if c.startswith("proxyrevenue")], ["a", "b"])
+    assert {r["outlet"] for r in table.select("outlet").distinct().collect()} == {"x", "y"}
+    table.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1 and plan.count("Sort") == 1 and "Generate" not in plan
+
+
+def test_relevance_takes_zeros_as_one_value_and_nan_as_the_largest(spark):
+    from tillcast.operators import relevance as rel
+
+    nan = float("nan")
+    values = [(0.0, nan, -0.0), (-0.0, nan, 0.0), (1.0, 2.0, 1.0), (-1.0, 3.0, -1.0)]
+    data = [(1, "x", dt.date(2024, 1, 1 + i), "ab"[i % 2], *v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(data, "fold int, outlet string, date date, label string, zeros double, gaps double, same double")
+    got = {(r["feature"], r["class"]): r for r in rel.rank_statistics(df, ["zeros", "gaps", "same"], ["a", "b"]).collect()}
+    assert {f for f, _ in got} == {"zeros", "gaps"}
+    assert {(k, r["values"], r["u"], r["ties"], r["top1"]) for k, r in got.items()} == {
+        (("zeros", "a"), 3, 3.5, 6.0, 2), (("zeros", "b"), 3, 0.5, 6.0, 1), (("gaps", "a"), 3, 1.5, 6.0, 1), (("gaps", "b"), 3, 2.5, 6.0, 2)}

@@ -1,33 +1,100 @@
 """Which window features tell the target classes apart, fold by fold.
 
 One-vs-rest tests per fold, outlet, feature and class; false discoveries are controlled within a class.
-The wide rows are shuffled once, by fold and outlet; every window and aggregation after that keeps this
-partitioning. A fold and outlet holds at most one row per training day.
+Everything a test needs lies in one fold and outlet, which holds at most one row per training day. So the rows are grouped
+once, by fold and outlet, with their features as one array; features made with these keys are grouped already.
+A group is ranked as a whole array: its features never become rows that are shuffled, sorted or spilled.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillcast.operators.ordinal_model import erfc
 
-TEST = ["fold", "outlet", "feature"]
 SMALL = 8  # without ties, groups of up to this many rows are tested exactly
 
 
-def _labelled(features: DataFrame, labels: list[str]) -> DataFrame:
-    """Only the outlets whose training rows show exactly the expected classes."""
-    seen = F.array_sort(F.collect_set("label").over(W.partitionBy("fold", "outlet")))
-    expected = F.array(*[F.lit(v) for v in sorted(labels)])
-    return features.withColumn("_seen", seen).where(F.col("_seen") == expected).drop("_seen")
+def ranked_counts(cells: np.ndarray, ids: np.ndarray, classes: int) -> dict[str, np.ndarray]:
+    """Counts of a one-vs-rest rank test of each feature (a row of ``cells``) and class; NaN is the largest value and equals itself."""
+    n = cells.shape[1]
+    order = np.argsort(cells, axis=1)
+    value = np.take_along_axis(cells, order, axis=1)
+    gap = np.isnan(value)
+    first = np.ones(cells.shape, dtype=bool)
+    first[:, 1:] = (value[:, 1:] != value[:, :-1]) & ~(gap[:, 1:] & gap[:, :-1])
+    at = np.arange(n)
+    below = np.maximum.accumulate(np.where(first, at, 0), axis=1)
+    end = np.full(cells.shape, n)
+    end[:, :-1] = np.minimum.accumulate(np.where(first[:, 1:], at[1:], n)[:, ::-1], axis=1)[:, ::-1]
+    tied = end - below  # the rows with an equal value
+    rank, above = below + (tied + 1) / 2, below > 0
+    own = ids[order]
+    n1 = np.bincount(ids, minlength=classes)
+    rank_sum = np.stack([np.where(own == k, rank, 0.0).sum(axis=1) for k in range(classes)], axis=1)
+    return {
+        "values": first.sum(axis=1)[:, None],
+        "n1": n1[None, :],
+        "n0": (n - n1)[None, :],
+        "u": rank_sum - n1 * (n1 + 1) / 2,
+        "ties": (tied * tied - 1.0).sum(axis=1)[:, None],
+        "top": above.sum(axis=1)[:, None],
+        "top1": np.stack([((own == k) & above).sum(axis=1) for k in range(classes)], axis=1),
+    }
+
+
+def _by_outlet(features: DataFrame, names: list[str], labels: list[str], made: Callable[[list[str], dict], dict], columns: str) -> DataFrame:
+    """``made`` of every fold and outlet whose training rows show exactly the expected classes.
+
+    It gets the names and counts of the outlet's features: those without a NULL, and of features with equal values the first.
+    """
+    rows = features.where("label IS NOT NULL").na.drop("all", subset=names)
+    place = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col("label")).cast("int") - 1
+    # -0.0 and 0.0 are one value.
+    packed = rows.select("fold", "outlet", place.alias("id"), F.array(*[F.col(n).cast("double") + F.lit(0.0) for n in names]).alias("cells"))
+    ddl = ", ".join(f"{c} {packed.schema[c].dataType.simpleString()}" for c in ("fold", "outlet")) + f", {columns}"
+    fields = [tuple(c.split()) for c in columns.split(", ")]
+    arrow = {"string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "bigint": pa.int64()}
+
+    def group(table: pa.Table) -> pa.Table:
+        keys = [table.column(c) for c in ("fold", "outlet")]
+        ids, flat = table.column("id").to_numpy(), table.column("cells").combine_chunks().flatten()
+        found: dict = {c: [] for c, _ in fields}
+        if np.array_equal(np.unique(ids), np.arange(len(labels))):
+            gaps = flat.is_null().to_numpy(zero_copy_only=False).reshape(len(ids), -1).any(axis=0)
+            cells = np.ascontiguousarray(flat.to_numpy(zero_copy_only=False).reshape(len(ids), -1).T)
+            cells[np.isnan(cells)] = np.nan
+            first: dict[bytes, int] = {}
+            for i in np.flatnonzero(~gaps):
+                first.setdefault(cells[i].tobytes(), int(i))
+            kept = list(first.values())
+            if kept:
+                found = made([names[i] for i in kept], ranked_counts(cells[kept], ids, len(labels)))
+        n = len(found[fields[0][0]])
+        same = [pa.repeat(k[0], n) for k in keys]
+        # NaN stands for no value.
+        own = [pa.array(found[c], type=arrow[t], from_pandas=t == "double") for c, t in fields]
+        return pa.table([*same, *own], names=["fold", "outlet", *[c for c, _ in fields]])
+
+    return packed.groupBy("fold", "outlet").applyInArrow(group, ddl)
+
+
+_COUNTS = "values bigint, n1 bigint, n0 bigint, u double, ties double, top bigint, top1 bigint"
+
+
+def _test_rows(names: list[str], counts: dict, labels: list[str]) -> dict:
+    """One row per feature and class."""
+    shape = (len(names), len(labels))
+    rows = {"feature": np.repeat(names, len(labels)), "class": np.tile(labels, len(names))}
+    return rows | {c: np.broadcast_to(v, shape).ravel() for c, v in counts.items()}
 
 
 def rank_statistics(features: DataFrame, names: list[str], labels: list[str]) -> DataFrame:
@@ -36,61 +103,7 @@ def rank_statistics(features: DataFrame, names: list[str], labels: list[str]) ->
     ``features`` holds the training rows: ``fold, outlet, date, label`` and the feature columns. Features
     with a NULL are left out, and of features with equal values in an outlet all but the first.
     """
-    rows = features.where("label IS NOT NULL").na.drop("all", subset=names)
-    rows = _labelled(rows.select("fold", "outlet", "date", "label", *names).repartition("fold", "outlet"), labels)
-    # Exploding an array keeps the partitioning of the rows (unpivot would not). -0.0 and 0.0 are one value.
-    cells = [F.struct(F.lit(n).alias("feature"), (F.col(n) + F.lit(0.0)).alias("value")) for n in names]
-    long = rows.select("fold", "outlet", "date", "label", F.inline(F.array(*cells)))
-    by_value = W.partitionBy(*TEST).orderBy("value")
-    ranked = long.withColumns(
-        {
-            "below": F.rank().over(by_value) - 1,
-            "nth": F.row_number().over(by_value) - 1,
-            "tied": F.count("*").over(by_value.rangeBetween(0, 0)),  # the rows with an equal value
-        }
-    )
-    rank, tied = F.col("below") + (F.col("tied") + 1) / 2, F.col("tied").cast("double")
-    above = F.col("below") > 0
-    of = {f"n{i}": F.col("label") == v for i, v in enumerate(labels)}
-    summed = ranked.groupBy(*TEST).agg(
-        F.count_if(F.col("value").isNull()).alias("nulls"),
-        F.bit_xor(F.xxhash64("date", "value")).alias("mark"),
-        F.bit_xor(F.xxhash64("value", "date", F.lit("second"))).alias("mark2"),
-        F.count_if(F.col("nth") == F.col("below")).alias("values"),
-        F.count("*").alias("rows"),
-        F.sum(tied * tied - 1).alias("ties"),
-        F.count_if(above).alias("top"),
-        *[F.count_if(own).alias(c) for c, own in of.items()],
-        *[F.sum(F.when(own, rank)).alias(f"r_{c}") for c, own in of.items()],
-        *[F.count_if(own & above).alias(f"t_{c}") for c, own in of.items()],
-    )
-    place = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])[F.col("feature")]
-    same = W.partitionBy("fold", "outlet", "mark", "mark2").orderBy(place)
-    kept = summed.where("nulls = 0").withColumn("copy", F.row_number().over(same)).where("copy = 1")
-    classes = F.array(
-        *[
-            F.struct(
-                F.lit(v).alias("class"),
-                F.col(c).alias("n1"),
-                F.col(f"r_{c}").cast("double").alias("rank_sum"),
-                F.col(f"t_{c}").alias("top1"),
-            )
-            for v, c in zip(labels, of)
-        ]
-    )
-    tests = kept.select(*TEST, "values", "rows", "ties", "top", F.inline(classes))
-    n1 = F.col("n1")
-    return tests.select(
-        *TEST,
-        "class",
-        "values",
-        n1,
-        (F.col("rows") - n1).alias("n0"),
-        (F.col("rank_sum") - n1 * (n1 + 1) / 2).alias("u"),
-        "ties",
-        "top",
-        "top1",
-    )
+    return _by_outlet(features, names, labels, lambda kept, counts: _test_rows(kept, counts, labels), f"feature string, class string, {_COUNTS}")
 
 
 def mann_whitney_p(u, n1, n0, ties) -> np.ndarray:
@@ -152,14 +165,14 @@ def fisher_p(top1, top, n1, n) -> np.ndarray:
     return np.minimum(1.0, np.add.reduceat(likely, first)) if len(n) else np.empty(0)
 
 
-@F.pandas_udf(T.DoubleType())
-def _p_value(
-    values: pd.Series, u: pd.Series, n1: pd.Series, n0: pd.Series, ties: pd.Series, top: pd.Series, top1: pd.Series
-) -> pd.Series:
-    made = np.full(len(values), np.nan)
-    tested = (values.to_numpy() >= 2) & (n1.to_numpy() > 0) & (n0.to_numpy() > 0)
-    two = tested & (values.to_numpy() == 2)
-    small = tested & ~two & (ties.to_numpy() == 0) & (np.minimum(n1.to_numpy(), n0.to_numpy()) <= SMALL)
+def p_values(counts: dict[str, np.ndarray]) -> np.ndarray:
+    """p of every feature and class, NaN where there is nothing to test: exact for two values and for small groups
+    without ties, else normal."""
+    values, u, n1, n0, ties, top, top1 = np.broadcast_arrays(*(counts[c] for c in ("values", "u", "n1", "n0", "ties", "top", "top1")))
+    made = np.full(values.shape, np.nan)
+    tested = (values >= 2) & (n1 > 0) & (n0 > 0)
+    two = tested & (values == 2)
+    small = tested & ~two & (ties == 0) & (np.minimum(n1, n0) <= SMALL)
     many = tested & ~two & ~small
     if two.any():
         made[two] = fisher_p(top1[two], top[two], n1[two], n1[two] + n0[two])
@@ -167,12 +180,30 @@ def _p_value(
         made[small] = exact_mann_whitney_p(u[small], n1[small], n0[small])
     if many.any():
         made[many] = mann_whitney_p(u[many], n1[many], n0[many], ties[many])
-    return pd.Series(made).astype(object).where(~np.isnan(made), None).astype("Float64")
+    return made
 
 
 def class_tests(features: DataFrame, names: list[str], labels: list[str]) -> DataFrame:
-    """The rank statistics with ``p``: exact for two values and for small groups without ties, else normal."""
-    return rank_statistics(features, names, labels).withColumn("p", _p_value("values", "u", "n1", "n0", "ties", "top", "top1"))
+    """The rank statistics with ``p``."""
+
+    def made(kept: list[str], counts: dict) -> dict:
+        return _test_rows(kept, counts | {"p": p_values(counts)}, labels)
+
+    return _by_outlet(features, names, labels, made, f"feature string, class string, {_COUNTS}, p double")
+
+
+def step_up(names: list[str], p: np.ndarray, fdr: float) -> np.ndarray:
+    """Which features (rows) are significant for which class (columns), by the step-up rule that holds under any dependence
+    between features; equal p in the order of the names, NaN is no test."""
+    hits = np.zeros(p.shape, dtype=bool)
+    for k in range(p.shape[1]):
+        order = np.lexsort((names, p[:, k]))
+        m = int((~np.isnan(p[:, k])).sum())
+        place = np.arange(1, m + 1)
+        harmonic = np.cumsum(1.0 / place)[-1] if m else 1.0
+        passed = np.flatnonzero(p[order[:m], k] <= place * fdr / (m * harmonic)) if m else place
+        hits[order[: passed[-1] + 1 if len(passed) else 0], k] = True
+    return hits
 
 
 def relevance_table(
@@ -181,26 +212,17 @@ def relevance_table(
     """``fold, outlet, feature, p_value, significant, relevant``.
 
     ``p_value`` is the mean over the classes. A feature is relevant if it is significant for at least
-    ``n_significant`` of them, by the step-up rule that holds under any dependence between features.
+    ``n_significant`` of them, by ``step_up``.
     """
-    tests = class_tests(features, names, labels)
-    family = W.partitionBy("fold", "outlet", "class")
-    known = F.col("p").isNotNull()
-    ranked = tests.withColumns(
-        {
-            "m": F.count("p").over(family),
-            "place": F.row_number().over(family.orderBy(F.col("p").asc_nulls_last(), "feature")),
-        }
-    )
-    harmonic = F.aggregate(F.sequence(F.lit(1), F.col("m").cast("int")), F.lit(0.0), lambda a, i: a + 1.0 / i)
-    passes = known & (F.col("p") <= F.col("place") * fdr / (F.col("m") * F.when(F.col("m") > 0, harmonic)))
-    cut = F.max(F.when(passes, F.col("place"))).over(family)
-    judged = ranked.withColumn("hit", known & (F.col("place") <= F.coalesce(cut, F.lit(0))))
-    return judged.groupBy(*TEST).agg(
-        F.avg("p").alias("p_value"),
-        F.count_if("hit").alias("significant"),
-        (F.count_if("hit") >= n_significant).alias("relevant"),
-    )
+
+    def made(kept: list[str], counts: dict) -> dict:
+        p = p_values(counts)
+        known = (~np.isnan(p)).sum(axis=1)
+        significant = step_up(kept, p, fdr).sum(axis=1)
+        mean = np.where(known > 0, np.nansum(p, axis=1) / np.maximum(known, 1), np.nan)
+        return {"feature": kept, "p_value": mean, "significant": significant, "relevant": significant >= n_significant}
+
+    return _by_outlet(features, names, labels, made, "feature string, p_value double, significant bigint, relevant boolean")
 
 
 def top_features(table: DataFrame, count: int = 20) -> DataFrame:

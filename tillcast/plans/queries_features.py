@@ -530,8 +530,8 @@ _TESTED = ["proxyrevenue_maximum", "proxyrevenue_minimum", "proxyrevenue_median"
 def _tested(spark: SparkSession, sf: str, names: list[str] | None) -> tuple[DataFrame, list[str]]:
     """Training rows with window features of the days up to nine days before, and their class."""
     rows = enc.training(_binned(spark, sf)).withColumnRenamed("binned_proxyrevenue", "label")
-    made = rol.rolling_features(rows, rol.RollingSpec(), only=names, carry=("label",))
-    return stage(made, "rolling"), [c for c in made.columns if c not in ("fold", "role", "outlet", "date", "label")]
+    made = rol.rolling_features(rows, rol.RollingSpec(keys=("fold", "outlet")), only=names, carry=("label",))
+    return made, [c for c in made.columns if c not in ("fold", "outlet", "date", "label")]
 
 
 @query(

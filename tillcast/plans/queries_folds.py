@@ -124,8 +124,8 @@ def folds_constant_columns(spark: SparkSession, sf: str) -> DataFrame:
 def folds_feature_selection(spark: SparkSession, sf: str) -> DataFrame:
     """Fold, feature and p-value of every window feature of each fold's training rows, before the selection."""
     rows = enc.training(_three_binned(spark, sf)).withColumnRenamed("binned_proxyrevenue", "label")
-    made = stage(rol.rolling_features(rows, rol.RollingSpec(), carry=("label",)), "rolling")
-    names = [c for c in made.columns if c not in ("fold", "role", "outlet", "date", "label")]
+    made = rol.rolling_features(rows, rol.RollingSpec(keys=("fold", "outlet")), carry=("label",))
+    names = [c for c in made.columns if c not in ("fold", "outlet", "date", "label")]
     table = rel.relevance_table(made, names, LABELS)
     merged = table.groupBy("fold", "feature").agg(F.min("p_value").alias("p_value"), F.count_if("relevant").alias("outlets"))
     return present(merged, 8)

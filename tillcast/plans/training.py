@@ -6,7 +6,7 @@ the transforms after them scan it instead of repeating the joins before it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,7 +86,8 @@ def select_rolling(binned: DataFrame, spec: TrainingSpec) -> DataFrame:
     """``fold, feature, p_value, place``: the best window features of each fold's training rows."""
     label = f"binned_{spec.target}"
     rows = enc.training(binned).withColumn("label", F.col(label))
-    made = stage(rolling_features(rows, spec.rolling, carry=("label",)), "rolling")
+    # One role only, so windows and tests are grouped by the same keys.
+    made = rolling_features(rows, replace(spec.rolling, keys=("fold", "outlet")), carry=("label",))
     names = [c for c in feature_settings(spec.rolling) if c in made.columns]
     table = relevance_table(made, names, list(spec.labels), spec.rolling_significant)
     return top_features(table, spec.rolling_count)
