@@ -7,6 +7,7 @@ generated code: no arrays, no Python per row. ``x`` is the window, oldest value
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Callable
@@ -186,8 +187,12 @@ def permutation_entropy(x: Window, dimension: int) -> Column:
         return F.lit(None).cast("double")
     pairs = list(itertools.combinations(range(dimension), 2))
     seen = [total([F.when(x[at + i] <= x[at + j], 1 << k).otherwise(0) for k, (i, j) in enumerate(pairs)]) for at in range(n)]
-    shares = F.transform(F.array_distinct(F.array(*seen)), lambda code: F.size(F.filter(F.array(*seen), lambda other: other == code)) / n)
-    return -F.aggregate(shares, F.lit(0.0), lambda s, p: s + p * F.ln(p))
+    same = {(i, j): (seen[i] == seen[j]).cast("double") for i, j in itertools.combinations(range(n), 2)}
+    often = [total([F.lit(1.0), *[same[min(i, j), max(i, j)] for j in range(n) if j != i]]) for i in range(n)]
+    # Every place adds ln(n / how often its order comes) / n. Products of up to 13 counts are exact in short windows, so
+    # windows with equal counts have equal entropies, in whichever order these come.
+    logs = [F.ln(math.prod(often[i : i + 13][1:], start=often[i])) for i in range(0, n, 13)]
+    return F.greatest(F.lit(math.log(n)) - total(logs) / n, F.lit(0.0))
 
 
 def sample_entropy(x: Window, length: int = 2, reach: float = 0.2) -> Column:
@@ -199,8 +204,8 @@ def sample_entropy(x: Window, length: int = 2, reach: float = 0.2) -> Column:
 
     def alike(size: int) -> Column:
         def near(i: int, j: int) -> Column:
-            gaps = [F.abs(x[i + k] - x[j + k]) for k in range(size)]
-            return F.when(F.greatest(*gaps) <= bound, 1).otherwise(0)
+            close = [F.abs(x[i + k] - x[j + k]) <= bound for k in range(size)]
+            return F.when(functools.reduce(Column.__and__, close), 1).otherwise(0)
 
         return total([near(i, j) for i, j in itertools.combinations(range(len(x) - size + 1), 2)])
 
