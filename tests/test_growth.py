@@ -95,3 +95,24 @@ def test_relevance_takes_zeros_as_one_value_and_nan_as_the_largest(spark):
     assert {f for f, _ in got} == {"zeros", "gaps"}
     assert {(k, r["values"], r["u"], r["ties"], r["top1"]) for k, r in got.items()} == {
         (("zeros", "a"), 3, 3.5, 6.0, 2), (("zeros", "b"), 3, 0.5, 6.0, 1), (("gaps", "a"), 3, 1.5, 6.0, 1), (("gaps", "b"), 3, 2.5, 6.0, 2)}
+
+
+def test_presented_numbers_are_rounded_by_arithmetic_to_the_same_double(spark, capsys):
+    import random
+    import struct
+
+    from pyspark.sql import functions as F
+
+    from tillcast.plans.registry import present
+
+    rng = random.Random(7)
+    values = [None, 0.0, -0.0, float("nan"), float("inf"), float("-inf"), 0.5, -0.5, 2.5, 1e300, 5e-324, 1.00005, -1.00005, 0.00005, 123456.78905, 1e8, 99999999.99995, 1e12, 12345678901.23455]
+    values += [rng.choice([-1, 1]) * rng.random() * 10 ** rng.randint(-6, 14) for _ in range(4000)]
+    values += [rng.randint(-10**9, 10**9) / 10**5 for _ in range(4000)]
+    df = spark.createDataFrame([(v,) for v in values], "a double").select("a", F.col("a").alias("b"), F.col("a").alias("c"))
+    made = present(df, 4, b=0, c=8)
+    plain = df.select(*[(F.round(c, d) + F.lit(0.0)).alias(c) for c, d in (("a", 4), ("b", 0), ("c", 8))])
+    bits = lambda rows: [tuple(v if v is None else struct.pack("d", v) for v in r) for r in rows]
+    assert bits(made.collect()) == bits(plain.collect())
+    made.explain()
+    assert "rint" in capsys.readouterr().out.lower()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,18 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """``F.round`` of a double. Spark rounds by way of decimal text; a number whose scaled form is below 1e12 and not near the
+    middle of two whole numbers is rounded by arithmetic, to the same double: one division of two exact numbers."""
+    exact = F.round(value, digits)
+    if not 0 <= digits <= 22:
+        return exact
+    scale = F.lit(float(10**digits))
+    scaled = value * scale
+    plain = (F.abs(scaled) < 1e12) & (F.abs(scaled - F.rint(scaled)) < 0.499)
+    return F.when(plain, F.rint(scaled) / scale).otherwise(exact)
+
+
 def present(df: DataFrame, digits: int = 4, **column_digits: int) -> DataFrame:
     """Results in a form that compares across engines: ISO dates, BIGINT, rounded doubles."""
     shown = []
@@ -39,7 +51,7 @@ def present(df: DataFrame, digits: int = 4, **column_digits: int) -> DataFrame:
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType, T.LongType)):
             value = value.cast("bigint")
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            value = F.round(value.cast("double"), column_digits.get(field.name, digits)) + F.lit(0.0)
+            value = rounded(value.cast("double"), column_digits.get(field.name, digits)) + F.lit(0.0)
         shown.append(value.alias(field.name))
     return df.select(*shown)
 
