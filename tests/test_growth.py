@@ -116,3 +116,36 @@ def test_presented_numbers_are_rounded_by_arithmetic_to_the_same_double(spark, c
     assert bits(made.collect()) == bits(plain.collect())
     made.explain()
     assert "rint" in capsys.readouterr().out.lower()
+
+
+def test_days_of_a_series_are_made_after_its_changes_are_sorted(spark, capsys):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tillcast.operators import campaigns as camp
+    from tillcast.operators import daily as d
+
+    rng, first = random.Random(11), dt.date(2024, 1, 1)
+    spans = {(rng.choice("uvw"), rng.choice("abcd"), a := first + dt.timedelta(days=rng.randrange(70)), a + dt.timedelta(days=rng.randrange(-2, 12))) for _ in range(60)}
+    df = spark.createDataFrame(sorted(spans), "outlet string, name string, start date, end date")
+    extents = spark.createDataFrame([("u", first - dt.timedelta(days=4), first + dt.timedelta(days=90)), ("v", first + dt.timedelta(days=9), first + dt.timedelta(days=30)), ("w", first, first), ("z", first, first + dt.timedelta(days=2))], "outlet string, first date, last date")
+    made = camp.indicators_within(df, extents, ("outlet",))
+    got = {tuple(r) for r in made.collect()}
+    live = {}
+    for outlet, name, a, b in spans:
+        for i in range((b - a).days + 1):
+            live.setdefault((outlet, a + dt.timedelta(days=i)), []).append(name)
+    expected = set()
+    for outlet, lo, hi in extents.collect():
+        for i in range((hi - lo).days + 1):
+            day = lo + dt.timedelta(days=i)
+            names, before, after = (live.get((outlet, day + dt.timedelta(days=k)), []) for k in (0, -1, 1))
+            start = day > lo and (bool(set(names) - set(before)) or len(names) > len(before))
+            end = day < hi and (bool(set(names) - set(after)) or len(names) > len(after))
+            expected.add((outlet, day, len(names), int(start), int(end)))
+    assert got == expected
+    assert got == {tuple(r) for r in camp.campaign_indicators(df, d.calendar(extents, F.col("first"), F.col("last")), ("outlet",)).collect()}
+    made.explain()
+    plan = capsys.readouterr().out.split("Initial Plan")[-1]
+    assert "sequence(" in plan and plan.index("sequence(") < plan.index("Window")

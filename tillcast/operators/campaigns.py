@@ -113,20 +113,72 @@ def _edges(campaigns: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     at most one row per calendar day however many campaigns share the name.
     """
     starts = campaigns.groupBy(*keys, "name", "start").agg(F.max("end").alias("reach"))
-    before = W.partitionBy(*keys, "name").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
-    opens = (
-        starts.withColumn("covered", F.max("reach").over(before))
-        .where(F.col("covered").isNull() | (F.col("covered") < F.date_sub("start", 1)))
-        .select(*keys, F.col("start").alias("date"), F.lit(1).alias("opens"), F.lit(0).alias("closes"))
+    by_name = W.partitionBy(*keys, "name").orderBy("start")
+    seen = starts.withColumns(
+        {
+            "covered": F.max("reach").over(by_name.rowsBetween(W.unboundedPreceding, -1)),
+            "reach": F.max("reach").over(by_name.rowsBetween(W.unboundedPreceding, 0)),
+            "following": F.lead("start").over(by_name),
+        }
     )
-    ends = campaigns.groupBy(*keys, "name", "end").agg(F.min("start").alias("reach"))
-    after = W.partitionBy(*keys, "name").orderBy(F.desc("end")).rowsBetween(W.unboundedPreceding, -1)
-    closes = (
-        ends.withColumn("covered", F.min("reach").over(after))
-        .where(F.col("covered").isNull() | (F.col("covered") > F.date_add("end", 1)))
-        .select(*keys, F.col("end").alias("date"), F.lit(0).alias("opens"), F.lit(1).alias("closes"))
+    # A name closes where the days covered so far end before the day before its next start.
+    opens = F.col("covered").isNull() | (F.col("covered") < F.date_sub("start", 1))
+    closes = F.col("following").isNull() | (F.col("reach") < F.date_sub("following", 1))
+    opened = F.struct(F.col("start").alias("date"), F.lit(1).alias("opens"), F.lit(0).alias("closes"))
+    closed = F.struct(F.col("reach").alias("date"), F.lit(0).alias("opens"), F.lit(1).alias("closes"))
+    moves = F.array_compact(F.array(F.when(opens, opened), F.when(closes, closed)))
+    return seen.where(opens | closes).select(*keys, F.inline(moves))
+
+
+def _changes(campaigns: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``keys, date, change``: two rows per campaign, however long it runs."""
+    return campaigns.select(
+        *keys,
+        F.inline(
+            F.array(
+                F.struct(F.col("start").alias("date"), F.lit(1).alias("change")),
+                F.struct(F.date_add("end", 1).alias("date"), F.lit(-1).alias("change")),
+            )
+        ),
+    )
+
+
+def indicators_within(campaigns: DataFrame, extents: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``campaign_indicators`` of every day from ``first`` to ``last`` of each series; ``extents`` holds ``keys, first, last``.
+
+    Only days on which something changes are shuffled and sorted. Such a row stands for the days up to the next one, which are
+    made from it at the end.
+    """
+    valid = campaigns.select(*keys, *CAMPAIGN).where(F.col("start") <= F.col("end"))
+    none, zero = F.lit(None).cast("date"), F.lit(0)
+    parts = (
+        _changes(valid, keys).select(*keys, "date", none.alias("first"), none.alias("last"), "change", zero.alias("opens"), zero.alias("closes"))
+        .unionAll(_edges(valid, keys).select(*keys, "date", none, none, zero, "opens", "closes"))
+        .unionAll(extents.where("first <= last").select(*keys, F.col("first").alias("date"), "first", "last", zero, zero, zero))
+    )
+    found = parts.groupBy(*keys, "date").agg(
+        *[F.max(c).alias(c) for c in ("first", "last", "opens", "closes")], F.sum("change").alias("change")
+    )
+    series = W.partitionBy(*keys)
+    w = series.orderBy("date")
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    runs = found.withColumns(
+        {
+            "first": F.max("first").over(whole),
+            "last": F.max("last").over(whole),
+            "now": F.sum("change").over(w.rowsBetween(W.unboundedPreceding, 0)),
+            "until": F.date_sub(F.lead("date").over(w), 1),
+            "fewer": F.coalesce(F.lead("change").over(w) < 0, F.lit(False)),
+        }
+    ).withColumn("until", F.coalesce("until", "last"))
+    begin, end = F.greatest("date", "first"), F.least("until", "last")
+    days = runs.where(begin <= end).withColumn("day", F.explode(F.sequence(begin, end)))
+    changed = F.col("day") == F.col("date")
+    is_start = changed & (F.col("day") > F.col("first")) & ((F.col("opens") == 1) | (F.col("change") > 0))
+    is_end = (F.col("day") < F.col("last")) & ((changed & (F.col("closes") == 1)) | ((F.col("day") == F.col("until")) & F.col("fewer")))
+    return days.select(
+        *keys, F.col("day").alias("date"), F.col("now").alias("name_counts"), is_start.cast("int").alias("is_name_start"), is_end.cast("int").alias("is_name_end")
     )
-    return opens.unionAll(closes)
 
 
 def campaign_indicators(campaigns: DataFrame, days: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -138,16 +190,7 @@ def campaign_indicators(campaigns: DataFrame, days: DataFrame, keys: tuple[str,
     """
     valid = campaigns.select(*keys, *CAMPAIGN).where(F.col("start") <= F.col("end"))
     on = [*keys, "date"]
-    # Two rows per campaign, however long it runs.
-    changes = valid.select(
-        *keys,
-        F.inline(
-            F.array(
-                F.struct(F.col("start").alias("date"), F.lit(1).alias("change")),
-                F.struct(F.date_add("end", 1).alias("date"), F.lit(-1).alias("change")),
-            )
-        ),
-    )
+    changes = _changes(valid, keys)
     # One aggregation brings days, changes and edges together; a date outside the days has no ``first``.
     none = F.lit(None).cast("date")
     zero = F.lit(0)

@@ -216,7 +216,7 @@ def campaign_indicators(spark: SparkSession, sf: str) -> DataFrame:
 def campaign_indicators_by_outlet(spark: SparkSession, sf: str) -> DataFrame:
     campaigns = stage(r.campaign_costs(spark, sf).select("outlet", *camp.CAMPAIGN).distinct(), "campaigns")
     extent = campaigns.groupBy("outlet").agg(F.min("start").alias("first"), F.max("end").alias("last"))
-    return present(camp.campaign_indicators(campaigns, d.calendar(extent, "first", "last"), ("outlet",)))
+    return present(camp.indicators_within(campaigns, extent, ("outlet",)))
 
 
 _ADSTOCK_SQL = """long_cost AS (
