@@ -149,3 +149,23 @@ def test_days_of_a_series_are_made_after_its_changes_are_sorted(spark, capsys):
     made.explain()
     plan = capsys.readouterr().out.split("Initial Plan")[-1]
     assert "sequence(" in plan and plan.index("sequence(") < plan.index("Window")
+
+
+def test_a_boosting_visit_sorts_bins_as_short_numbers(monkeypatch):
+    import numpy as np
+
+    from tillcast.operators import boosting
+
+    rng = np.random.default_rng(3)
+    raw = rng.normal(size=(500, 3, 4)) * 40
+    plain = np.exp(raw - raw.max(axis=2, keepdims=True))
+    assert np.array_equal(boosting.chances(raw), plain / plain.sum(axis=2, keepdims=True))
+    sort, seen = np.argsort, []
+    monkeypatch.setattr(np, "argsort", lambda a, **how: seen.append(a.dtype.itemsize) or sort(a, **how))
+    for size in (2, 255, 256, 70_000):
+        bins, held, sums = rng.integers(0, size, 500), rng.integers(0, 99, (500, 5)).astype(float), np.ones((size, 5))
+        expected = sums.copy()
+        np.add.at(expected, bins, held)
+        boosting.add_by_bin(sums, bins, held)
+        assert np.array_equal(sums, expected)
+    assert seen == [1, 1, 2, 4]

@@ -45,6 +45,29 @@ def bin_counts(binned: DataFrame, sizes: list[int]) -> list[np.ndarray]:
     return counts
 
 
+def chances(raw: np.ndarray) -> np.ndarray:
+    """Shares of the classes, the last axis. Classes are few, so whole columns are taken one after another."""
+    classes = range(1, raw.shape[-1])
+    top, whole = raw[..., 0].copy(), np.zeros(raw.shape[:-1])
+    for k in classes:
+        np.maximum(top, raw[..., k], out=top)
+    p = np.exp(raw - top[..., None])
+    whole += p[..., 0]
+    for k in classes:
+        whole += p[..., k]
+    p /= whole[..., None]
+    return p
+
+
+def add_by_bin(sums: np.ndarray, bins: np.ndarray, held: np.ndarray) -> None:
+    """Add the rows of ``held`` to the rows of ``sums`` that ``bins`` names. Short whole numbers are sorted by counting."""
+    short = bins.astype(np.min_scalar_type(len(sums)))
+    order = np.argsort(short, kind="stable")
+    ordered = short[order]
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    sums[ordered[starts]] += np.add.reduceat(held[order], starts, axis=0)
+
+
 def _visit(binned: DataFrame, shapes: list[np.ndarray], intercept: np.ndarray, visited: list[int], rows: int) -> tuple[dict[int, np.ndarray], np.ndarray]:
     """For each visited feature an array (bag, bin, 1 + 2 * classes) of rows, gradients and curvatures, and per bag the loss
     and the number of the rows left out of it. ``rows`` is the number of all rows."""
@@ -69,8 +92,7 @@ def _visit(binned: DataFrame, shapes: list[np.ndarray], intercept: np.ndarray, v
             for shape, at in zip(held_shapes, bins, strict=True):
                 raw += shape.take(at, axis=0)
             raw = raw.reshape(n, bags, classes)
-            p = np.exp(raw - raw.max(axis=2, keepdims=True))
-            p /= p.sum(axis=2, keepdims=True)
+            p = chances(raw)
             chosen = p[np.arange(n), :, label]
             left_out += np.stack([(-np.log(np.maximum(chosen, 1e-300)) * (1 - own)).sum(axis=0), (1 - own).sum(axis=0)], axis=1)
             held = np.empty((n, bags, width))
@@ -80,10 +102,7 @@ def _visit(binned: DataFrame, shapes: list[np.ndarray], intercept: np.ndarray, v
             held[:, :, 1 + classes :] = p * (1 - p) * own[:, :, None]
             held = held.reshape(n, -1)
             for i in visited:
-                order = np.argsort(bins[i], kind="stable")
-                ordered = bins[i][order]
-                starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-                sums[i][ordered[starts]] += np.add.reduceat(held[order], starts, axis=0)
+                add_by_bin(sums[i], bins[i], held)
         rows_out = []
         for i in visited:
             by_slot = sums[i].reshape(sizes[i], bags, width).transpose(1, 0, 2).reshape(-1, width)
