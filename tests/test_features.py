@@ -210,6 +210,16 @@ def test_outlet_without_every_class_is_left_out(spark):
     assert rel.rank_statistics(df.where("label <> 'Low'"), NAMES, LABELS).count() == 0
 
 
+def test_one_feature_alone_and_one_row_alone(spark):
+    df, _ = one_outlet(spark, 3)
+    for name in ("told", "noise"):
+        alone = rel.rank_statistics(df, [name], LABELS).collect()
+        beside = rel.rank_statistics(df, NAMES, LABELS).where(f"feature = '{name}'").collect()
+        assert len(alone) == len(LABELS) and sorted(alone) == sorted(beside)
+    one_row = rel.class_tests(df.where("label = 'Low'").limit(1), ["told", "noise"], ["Low"]).collect()
+    assert {(r["feature"], r["values"], r["n1"], r["n0"], r["p"]) for r in one_row} == {("told", 1, 1, 0, None)}  # equal there
+
+
 def test_metrics(rows):
     pairs = [("a", "a"), ("a", "b"), ("b", "b"), ("b", "b"), ("c", "a")]
     df = rows([("validation", x, y) for x, y in pairs], "role STRING, label STRING, prediction STRING")

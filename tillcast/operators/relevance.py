@@ -70,7 +70,8 @@ def _by_outlet(features: DataFrame, names: list[str], labels: list[str], made: C
         found: dict = {c: [] for c, _ in fields}
         if np.array_equal(np.unique(ids), np.arange(len(labels))):
             gaps = flat.is_null().to_numpy(zero_copy_only=False).reshape(len(ids), -1).any(axis=0)
-            cells = np.ascontiguousarray(flat.to_numpy(zero_copy_only=False).reshape(len(ids), -1).T)
+            # Always a copy: of one feature or one row the transpose would be Arrow's own memory, which is read-only.
+            cells = np.array(flat.to_numpy(zero_copy_only=False).reshape(len(ids), -1).T, order="C")
             cells[np.isnan(cells)] = np.nan
             first: dict[bytes, int] = {}
             for i in np.flatnonzero(~gaps):
