@@ -69,6 +69,24 @@ def test_languages_are_learned_from_every_row(spark):
         assert model.strangest == pytest.approx(li.strangeness(*at, model.idf)) and model.strangest > 2 * plain.strangest
 
 
+def test_a_step_of_the_language_model_is_one_job(spark):
+    """Tasks of a step run beside each other: their sums are not fetched by a job for each task."""
+    from tillcast.llm import language_id as li
+    from pyspark.sql import functions as F
+
+    context, spec = spark.sparkContext, li.LanguageSpec(epochs=1, batches=2)
+    lang = F.when(F.col("id") % 2 == 0, "de").otherwise("en")
+    made = spark.range(400).repartition(8).select(F.col("id").alias("key"), F.concat(lang, F.lit(" text")).alias("text"), lang.alias("lang"))
+    context.setJobGroup("language-steps", "steps of the language model")
+    try:
+        assert li.fit_language_model(made, spec).labels == ("de", "en")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = context.statusTracker().getJobIdsForGroup("language-steps")
+    # Two counts, each with a job of its shuffle and with that of the rows, then the three steps with that of the rows.
+    assert len(jobs) <= 2 * 3 + 3 * 2
+
+
 def test_relevance_shuffles_series_only(spark, capsys):
     """Window features are grouped by the keys of their tests: no feature becomes a row, and no wide row is shuffled."""
     from tillcast.operators import relevance as rel

@@ -194,18 +194,20 @@ def _temperature(scores: np.ndarray, labels: np.ndarray) -> float:
 def _summed(rows: DataFrame, per_task, size: int) -> tuple[np.ndarray, int, float]:
     """Sum of the arrays that ``per_task`` makes of the (label, text) of its rows, with the number of rows and the largest strangeness.
 
-    Rows are merged into about as many tasks as run at once, so what reaches the driver is sized by cores and model.
+    One job, whose tasks run beside each other. Rows are merged into at most two tasks for each that can run at once, so
+    what reaches the driver is sized by cores and model.
     """
     context = rows.sparkSession.sparkContext
-    tasks = max(1, min(context.defaultParallelism, (256 << 20) // (8 * size)))
+    tasks = max(1, min(2 * context.defaultParallelism, (256 << 20) // (8 * size)))
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums, n, strange = per_task((label, text) for batch in batches for label, text in zip(batch["lang"], batch["text"], strict=True))
-        yield pd.DataFrame({"sums": [sums.astype(np.float64).tobytes()], "n": [n], "strange": [strange]})
+        if n:
+            yield pd.DataFrame({"sums": [sums.astype(np.float64).tobytes()], "n": [n], "strange": [strange]})
 
     total, n, strangest = np.zeros(size), 0, 0.0
-    for r in rows.select("lang", "text").coalesce(tasks).mapInPandas(made, "sums binary, n long, strange double").toLocalIterator():
-        total += np.frombuffer(bytes(r["sums"]))
+    for r in rows.select("lang", "text").coalesce(tasks).mapInPandas(made, "sums binary, n long, strange double").collect():
+        total += np.frombuffer(r["sums"])
         n, strangest = n + r["n"], max(strangest, r["strange"])
     return total, n, strangest
 
