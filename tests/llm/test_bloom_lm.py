@@ -88,6 +88,36 @@ def test_routed_equals_sent(spark):
     same(got, found(spark, ROWS, sent), 1e-9)
 
 
+def test_routed_keeps_texts_in_chunks(spark, monkeypatch):
+    """Without a copy of the filter no token becomes a row that is written, whatever the chunks."""
+    written = {}
+
+    def stage(df, name):
+        made = kept(df, name)
+        written[name] = made.count()
+        return made
+
+    kept = lm.stage
+    monkeypatch.setattr(lm, "stage", stage)
+    spec = dict(order=2, entry_bits=6, shard_ngrams=300, heavy=10)
+    sent = found(spark, ROWS, lm.LmSpec(**spec))
+    for held, held_rows in ((40, 1 << 15), (1 << 21, 7), (1 << 21, 1 << 15)):
+        written.clear()
+        same(found(spark, ROWS, lm.LmSpec(**spec, broadcast_bytes=0, held=held, held_rows=held_rows)), sent, 1e-9)
+        assert sum(n for name, n in written.items() if name != "vocabulary") <= len(ROWS)
+
+
+def test_packed_hashes_are_kept():
+    draw = np.random.default_rng(5)
+    for shards, n in ((1, 0), (1, 1), (7, 1000), (7, 5000), (1760, 300_000)):
+        grams = np.unique(draw.integers(0, 2**64, n, dtype=np.uint64))
+        order, parts = lm.by_shard(grams, shards)
+        packed = {s: lm.packed_hashes(grams[order[b:e]], shards) for s, b, e in parts}
+        back = [lm.unpacked_hashes(data, s, shards) for s, data in packed.items()]
+        assert sorted(g for part in back for g in part.tolist()) == grams.tolist()
+        assert all((lm.shard_of(part, shards) == s).all() for s, part in zip(packed, back, strict=True))
+
+
 def test_odd_tables(spark):
     assert found(spark, [], lm.LmSpec()) == []
     left = next(i for i in range(100) if held_out(i))

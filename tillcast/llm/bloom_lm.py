@@ -8,8 +8,9 @@ A word's probability after its history h is (c(h w) + prior * P(w | shorter h))
 share of the word among all training tokens, with counts from the filter. Texts are read as start marks, words and one end.
 
 The filter lies in shards by n-gram hash, each as large as its own entries ask for, so it grows with the training text and
-no task builds more than one shard. While all shards are below ``broadcast_bytes``, workers get them and texts are read
-once, without a shuffle. Beyond that the distinct n-grams of the texts are sent to the shards and their levels joined back.
+no task builds more than one shard. While all shards are surely below ``broadcast_bytes``, workers get them and texts are
+read once, without a shuffle. Beyond that texts are kept in chunks as the places of their tokens; the distinct n-grams of a
+chunk go to the shards, which learn from them and answer with their levels, and a chunk is scored where its answers meet it.
 
 Beside it stands the exact unigram score: tokens of at least a 2^-18th share, of which there can be no more than 2^18, are
 known to every worker; counts of rarer ones are joined by a shuffle of the (row, token) pairs.
@@ -26,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.session import stage
@@ -54,6 +55,7 @@ class LmSpec:
     heavy_bytes: int = 64  # longer tokens are joined, however frequent
     chunk: int = 1 << 18  # tokens worked on at a time
     held: int = 1 << 21  # tokens whose n-grams a task gathers before it sends them on
+    held_rows: int = 1 << 15  # texts of a chunk, at most
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -110,6 +112,29 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then their next ones, and so on: bytes that are always zero stand together."""
+    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+_LOW = np.uint64((1 << 40) - 1)
+
+
+def packed_hashes(hashes: np.ndarray, shards: int) -> bytes:
+    """Ascending hashes of one shard: what its number does not tell already, as differences."""
+    rest = (hashes >> np.uint64(40)) // np.uint64(shards) << np.uint64(40) | hashes & _LOW
+    return planes(np.diff(rest, prepend=np.uint64(0)))
+
+
+def unpacked_hashes(data: bytes, shard: int, shards: int) -> np.ndarray:
+    rest = np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
+    return (rest >> np.uint64(40)) * np.uint64(shards) + np.uint64(shard) << np.uint64(40) | rest & _LOW
+
+
 def _entry(hashes: np.ndarray, level: int, words: np.ndarray | np.uint64, probes: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each n-gram's entry at a level, its word among a shard's ``words`` and the bits it sets there."""
     bits = mixed(hashes ^ np.uint64(level * int(_ODD[0]) & _ALL))
@@ -173,26 +198,42 @@ def vocabulary(training: DataFrame, spec: LmSpec) -> DataFrame:
     return training.select("text").mapInArrow(count, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
+def counted_places(lengths: np.ndarray, order: int) -> list[np.ndarray]:
+    """For n = 1 to ``order``, which places of ``marked`` texts of these lengths end an n-gram that counts.
+
+    Of the start marks alone, one n-gram a text is counted: the history of its first word.
+    """
+    lengths = lengths + order - 1
+    depth = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return [depth >= (order - 1 if n == order else max(order - 2, 0)) for n in range(1, order + 1)]
+
+
+def by_shard(unique: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of ascending n-grams by shard, ascending in each, and for each shard that has some its begin and end."""
+    shard = shard_of(unique, shards)
+    order = np.argsort(shard, kind="stable")
+    present, begins = np.unique(shard[order], return_index=True)
+    return order, list(zip(present.tolist(), begins.tolist(), [*begins.tolist()[1:], len(order)], strict=True))
+
+
+def shards_for(tokens: int, spec: LmSpec) -> int:
+    return max(1, -(-spec.order * tokens // spec.shard_ngrams))
+
+
 def count_filter(training: DataFrame, heavy: Broadcast[Heavy], tokens: int, spec: LmSpec) -> tuple[DataFrame, int]:
     """(shard, bits) of the n-grams of ``training`` (text), and the number of shards for that many ``tokens``.
 
     A task sends each of its n-grams once per ``held`` tokens, packed by shard, so a frequent one is no hot row.
     """
-    shards = max(1, -(-spec.order * tokens // spec.shard_ngrams))
+    shards = shards_for(tokens, spec)
     schema = pa.schema([("shard", pa.int64()), ("ngrams", pa.binary()), ("counts", pa.binary())])
 
     def packed(texts: list[np.ndarray]) -> pa.RecordBatch:
-        lengths = np.array([len(hashes) for hashes in texts]) + spec.order - 1
-        depth = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        places = counted_places(np.array([len(hashes) for hashes in texts]), spec.order)
         grams = ngram_hashes(marked(texts, spec.order), spec.order)
-        # Of the start marks alone, one n-gram a text is counted: the history of its first word.
-        counted = np.concatenate([g[depth >= (spec.order - 1 if n == spec.order else max(spec.order - 2, 0))] for n, g in enumerate(grams, 1)])
-        unique, counts = np.unique(counted, return_counts=True)
-        shard = shard_of(unique, shards)
-        order = np.argsort(shard, kind="stable")
-        present, begins = np.unique(shard[order], return_index=True)
-        ends = np.append(begins[1:], len(order))
-        rows = [(int(s), unique[order[b:e]].tobytes(), counts[order[b:e]].astype(np.uint32).tobytes()) for s, b, e in zip(present, begins, ends, strict=True)]
+        unique, counts = np.unique(np.concatenate([g[at] for g, at in zip(grams, places, strict=True)]), return_counts=True)
+        order, parts = by_shard(unique, shards)
+        rows = [(s, packed_hashes(unique[order[b:e]], shards), planes(counts[order[b:e]].astype(np.uint32))) for s, b, e in parts]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,8 +249,9 @@ def count_filter(training: DataFrame, heavy: Broadcast[Heavy], tokens: int, spec
             yield packed(texts)
 
     def build(rows: pa.Table) -> pa.Table:
-        ngrams = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in rows.column("ngrams")])
-        counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in rows.column("counts")]).astype(np.int64)
+        shard = rows.column("shard")[0].as_py()
+        ngrams = np.concatenate([unpacked_hashes(x.as_py(), shard, shards) for x in rows.column("ngrams")])
+        counts = np.concatenate([from_planes(x.as_py(), np.uint32) for x in rows.column("counts")]).astype(np.int64)
         unique, back = np.unique(ngrams, return_inverse=True)
         bits = build_shard(unique, levels_of(np.bincount(back, weights=counts)), spec)
         return pa.table({"shard": rows.column("shard")[:1], "bits": pa.array([bits.tobytes()], pa.binary())})
@@ -240,12 +282,15 @@ def _probabilities(levels: list[np.ndarray], places: np.ndarray, tokens: int, di
 
 _BASE = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("row", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64())]
 _RARE = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
+_CHUNK = [("chunk", pa.int64()), ("rows", pa.list_(pa.struct([*_BASE, ("rare", _RARE)]))), ("places", pa.binary()), ("rare_hashes", pa.binary())]
+_KEPT = "doc_id: long, held_out: boolean, row: long, n_tokens: long, known: long, base: double, rare: array<struct<token: binary, n: long>>"
 _READ = "doc_id long, held_out boolean, row long, n_tokens long, known long, base double, rare array<struct<token: binary, n: long>>, score double"
 
 
 def read_texts(docs: DataFrame, heavy: Broadcast[Heavy], counted: tuple | None, tokens: int, distinct: int, spec: LmSpec) -> DataFrame:
     """Per row of ``docs`` (doc_id, held_out, row, text): tokens, the exact sums over heavy ones, the rarer tokens with their
-    repeats, and the model's score where ``counted``, the filter and where its shards begin, is given."""
+    repeats, and the model's score where ``counted``, the filter and where its shards begin, is given. Where it is not, these
+    rows come in chunks, with the places of their tokens among the heavy ones and the hashes of the others."""
     sent = docs.sparkSession.sparkContext.broadcast(counted) if counted else None
     schema = pa.schema([*_BASE, ("rare", _RARE), ("score", pa.float64())])
 
@@ -262,6 +307,13 @@ def read_texts(docs: DataFrame, heavy: Broadcast[Heavy], counted: tuple | None,
         levels[0][own] = first
         return np.add.reduceat(_probabilities(levels, own, tokens, distinct, spec), begins)
 
+    def chunk(batch: pa.RecordBatch, flat: tuple) -> pa.RecordBatch:
+        places, hashes, _, at = flat
+        rows = pa.StructArray.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1])
+        columns = [batch.column(2)[:1], pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)]
+        columns += [pa.array([planes(x)], pa.binary()) for x in (places.astype(np.uint32), hashes[at])]
+        return pa.RecordBatch.from_arrays([c.cast(t) for c, (_, t) in zip(columns, _CHUNK, strict=True)], schema=pa.schema(_CHUNK))
+
     def work(rows: list[tuple[int | None, bool, int, list[bytes]]], heavy_levels: np.ndarray | None) -> pa.RecordBatch:
         lengths = np.array([len(r[-1]) for r in rows], dtype=np.int64)
         begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
@@ -276,7 +328,8 @@ def read_texts(docs: DataFrame, heavy: Broadcast[Heavy], counted: tuple | None,
         score = np.full(len(rows), np.nan) if heavy_levels is None else scores(flat, lengths, begins, heavy_levels)
         columns = [*[[r[k] for r in rows] for k in range(3)], lengths, np.add.reduceat((counts > 0).astype(np.int64), begins), base]
         listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
-        return pa.RecordBatch.from_arrays([*[pa.array(c, f.type) for c, f in zip(columns, schema, strict=False)], listed, pa.array(score)], schema=schema)
+        made = pa.RecordBatch.from_arrays([*[pa.array(c, f.type) for c, f in zip(columns, schema, strict=False)], listed, pa.array(score)], schema=schema)
+        return chunk(made, flat) if sent is None else made
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, heavy_levels = [], 0, None
@@ -287,61 +340,75 @@ def read_texts(docs: DataFrame, heavy: Broadcast[Heavy], counted: tuple | None,
             for *own, data in zip(*[batch.column(k) for k in range(3)], batch.column(3).cast(pa.binary()), strict=True):
                 rows.append((*[x.as_py() for x in own], [*words_of(data.as_py()), _END]))
                 size += len(rows[-1][-1])
-                if size >= spec.chunk:
+                if size >= (spec.chunk if sent is not None else spec.held) or sent is None and len(rows) >= spec.held_rows:
                     yield work(rows, heavy_levels)
                     rows, size = [], 0
         if rows:
             yield work(rows, heavy_levels)
 
-    return docs.select("doc_id", "held_out", "row", "text").mapInArrow(read, _READ)
+    chunks = f"chunk long, rows array<struct<{_KEPT}>>, places binary, rare_hashes binary"
+    return docs.select("doc_id", "held_out", "row", "text").mapInArrow(read, _READ if sent is not None else chunks)
 
 
-def routed_scores(docs: DataFrame, heavy: Broadcast[Heavy], parts: DataFrame, shards: int, tokens: int, distinct: int, spec: LmSpec) -> DataFrame:
-    """row, score of ``docs`` (row, text) without any copy of the filter: distinct n-grams go to its shards, levels come back.
+def routed_scores(chunks: DataFrame, heavy: Broadcast[Heavy], tokens: int, distinct: int, spec: LmSpec) -> DataFrame:
+    """row, score of the texts of ``chunks``, without any copy of the filter.
 
-    The levels are joined to the tokens, where a frequent n-gram is a skewed key with one row on the other side, which
-    Spark can split; histories come from the token before within a row.
+    Each chunk sends its distinct n-grams to their shards, with how often texts to learn from hold them. A shard builds its
+    part of the filter and answers each chunk with one level per n-gram, in the order asked.
     """
-    names = [f"h{n}" for n in range(1, spec.order + 1)]
-    schema = pa.schema([("row", pa.int64()), ("at", pa.int64()), ("word", pa.bool_()), *[(n, pa.int64()) for n in names]])
+    shards = shards_for(tokens, spec)
+
+    def grams_of(lengths: np.ndarray, places: bytes, rare: bytes) -> tuple:
+        """The distinct n-grams of a chunk, and of each order the places that count and, of all these, their n-grams."""
+        at = from_planes(places, np.uint32).astype(np.int64)
+        hashes = heavy.value.hashes[at]
+        hashes[at == len(heavy.value.place)] = from_planes(rare, np.uint64)
+        grams = ngram_hashes(marked(np.split(hashes, np.cumsum(lengths)[:-1]), spec.order), spec.order)
+        counted = counted_places(lengths, spec.order)
+        unique, back = np.unique(np.concatenate([g[own] for g, own in zip(grams, counted, strict=True)]), return_inverse=True)
+        return unique, counted, back
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    asked = pa.schema([("shard", pa.int64()), ("chunk", pa.int64()), ("ngrams", pa.binary()), ("counts", pa.binary())])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, data in zip(batch.column(0), batch.column(1).cast(pa.binary()), strict=True):
-                padded = marked([heavy.value.read([*words_of(data.as_py()), _END])[1]], spec.order)
-                at = np.arange(len(padded))
-                grams = [g.view(np.int64) for g in ngram_hashes(padded, spec.order)]
-                columns = [np.full(len(padded), row.as_py()), at, at >= spec.order - 1, *grams]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-    ddl = "row long, at long, word boolean, " + ", ".join(f"{n} long" for n in names)
-    spread_out = stage(docs.select("row", "text").mapInArrow(spread, ddl), "lm-tokens")
-
-    def answer(asked: pa.Table, held: pa.Table) -> pa.Table:
-        hashes = asked.column("hash").to_numpy().view(np.uint64)
-        words = np.frombuffer(held.column("bits")[0].as_py(), np.uint64) if held.num_rows else np.zeros(1, np.uint64)
-        found = read_levels(words, np.array([0, len(words)]), hashes, spec)
-        return pa.table({"hash": asked.column("hash"), "level": found})
-
-    asked = spread_out.select(F.explode(F.array(*names)).alias("hash")).distinct()
-    shard = F.pmod(F.shiftrightunsigned("hash", 40), F.lit(shards)).alias("shard")
-    levels = asked.select("hash", shard).groupBy("shard").cogroup(parts.groupBy("shard")).applyInArrow(answer, "hash long, level long")
-    levels = stage(levels.where("level > 0"), "lm-levels")
-    for n in names:
-        one = levels.select(F.col("hash").alias(n), F.col("level").alias(f"level_{n}"))
-        spread_out = spread_out.join(one, n, "left").withColumn(f"level_{n}", F.coalesce(f"level_{n}", F.lit(0)))
-    in_row = Window.partitionBy("row").orderBy("at")
-    befores = [F.lag(f"level_{n}").over(in_row).alias(f"before_{n}") for n in names[:-1]]
-    rows = spread_out.select("row", "word", *[f"level_{n}" for n in names], *befores).where("word")
-
-    def counts(level: Column) -> Column:
-        return F.when(level > 0, 1.5 * F.pow(F.lit(2.0), level - 1) - 0.5).otherwise(0.0)
-
-    p = (counts(F.col("level_h1")) + 0.5) / (tokens + 0.5 * (distinct + 1))
-    for longer, n in zip(names[1:], names, strict=False):
-        history = F.col(f"before_{n}")
-        p = (counts(F.least(f"level_{longer}", history, f"level_{n}")) + spec.prior * p) / (counts(history) + spec.prior)
-    return rows.groupBy("row").agg(F.sum(F.log10(p)).alias("score"))
+            for chunk, lengths, left_out, places, rare in zip(*batch.columns, strict=True):
+                lengths = lengths.values.to_numpy()
+                unique, counted, back = grams_of(lengths, places.as_py(), rare.as_py())
+                learned = np.repeat(~left_out.values.to_numpy(zero_copy_only=False), lengths + spec.order - 1)
+                counts = np.bincount(back, weights=np.concatenate([learned[own] for own in counted]), minlength=len(unique)).astype(np.uint32)
+                order, parts = by_shard(unique, shards)
+                rows = [(s, chunk.as_py(), packed_hashes(unique[order[b:e]], shards), planes(counts[order[b:e]])) for s, b, e in parts]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), asked, strict=True)], schema=asked)
+
+    def answer(rows: pa.Table) -> pa.Table:
+        shard = rows.column("shard")[0].as_py()
+        grams = [unpacked_hashes(x.as_py(), shard, shards) for x in rows.column("ngrams")]
+        counts = np.concatenate([from_planes(x.as_py(), np.uint32) for x in rows.column("counts")]).astype(np.int64)
+        unique, back = np.unique(np.concatenate(grams), return_inverse=True)
+        learned = np.bincount(back, weights=counts, minlength=len(unique))
+        bits = build_shard(unique[learned > 0], levels_of(learned[learned > 0]), spec)
+        levels = read_levels(bits, np.array([0, len(bits)]), unique, spec).astype(np.uint8)[back]
+        cut = np.split(levels, np.cumsum([len(g) for g in grams])[:-1])
+        return pa.table({"chunk": rows.column("chunk"), "shard": rows.column("shard"), "levels": pa.array([x.tobytes() for x in cut], pa.binary())})
+
+    def score(key: tuple, chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        lengths = chunk.column("lengths")[0].values.to_numpy()
+        unique, counted, back = grams_of(lengths, chunk.column("places")[0].as_py(), chunk.column("rare_hashes")[0].as_py())
+        answers = answers.sort_by("shard")
+        found = np.empty(len(unique), dtype=np.int64)
+        found[by_shard(unique, shards)[0]] = np.frombuffer(b"".join(x.as_py() for x in answers.column("levels")), np.uint8)
+        levels = [np.zeros(len(own), dtype=np.int64) for own in counted]
+        for held, own, part in zip(levels, counted, np.split(found[back], np.cumsum([own.sum() for own in counted])[:-1]), strict=True):
+            held[own] = part
+        begins = np.cumsum(lengths) - lengths
+        scores = np.add.reduceat(_probabilities(levels, np.flatnonzero(counted[-1]), tokens, distinct, spec), begins)
+        return pa.table({"row": chunk.column("row")[0].values.cast(pa.int64()), "score": pa.array(scores)})
+
+    streams = chunks.select("chunk", F.col("rows.n_tokens").alias("lengths"), F.col("rows.held_out").alias("left_out"), "places", "rare_hashes")
+    answers = streams.mapInArrow(ask, "shard long, chunk long, ngrams binary, counts binary").groupBy("shard").applyInArrow(answer, "chunk long, shard long, levels binary")
+    texts = chunks.select("chunk", F.col("rows.row").alias("row"), F.col("rows.n_tokens").alias("lengths"), "places", "rare_hashes")
+    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, "row long, score double")
 
 
 def score_texts(docs: DataFrame, held_out: Column, spec: LmSpec = LmSpec()) -> DataFrame:
@@ -354,30 +421,30 @@ def score_texts(docs: DataFrame, held_out: Column, spec: LmSpec = LmSpec()) -> D
     given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     training = given.where(~F.col("held_out")).select("text")
     words = stage(vocabulary(training, spec), "vocabulary")
-    size = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")).first()
+    levels = F.sum(F.length(F.bin("c")))
+    size = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct"), F.coalesce(levels, F.lit(0)).alias("levels")).first()
     tokens, distinct = size["tokens"], size["distinct"]
     enough = (F.col("c") * spec.heavy >= tokens) & (F.octet_length("token") <= spec.heavy_bytes)
     heavy = Heavy.of({bytes(r["token"]): r["c"] for r in words.where(enough).collect()})
     heavy = docs.sparkSession.sparkContext.broadcast(heavy)
 
-    parts, shards = count_filter(training, heavy, tokens, spec)
-    parts = stage(parts, "lm-filter")
-    filter_bytes = parts.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0]
-    sent = filter_bytes <= spec.broadcast_bytes
-    counted = gathered_filter(parts, shards) if sent else None
-
+    numbered = given.withColumn("row", F.monotonically_increasing_id())
+    # Entries of the filter: those of single tokens are known, a longer n-gram has no more than occurrences.
+    sent = (size["levels"] + (spec.order - 1) * tokens) * spec.entry_bits / 8 <= spec.broadcast_bytes
     if sent:
-        numbered = given.withColumn("row", F.monotonically_increasing_id())
-    else:  # two jobs read the rows, so their numbers must hold
-        numbered = stage(given.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
-    read = stage(read_texts(numbered, heavy, counted, tokens, distinct, spec), "lm-read")
+        parts, shards = count_filter(training, heavy, tokens, spec)
+        counted = gathered_filter(stage(parts, "lm-filter"), shards)
+        read = stage(read_texts(numbered, heavy, counted, tokens, distinct, spec), "lm-read")
+    else:
+        chunks = stage(read_texts(numbered, heavy, None, tokens, distinct, spec), "lm-chunks")
+        read = chunks.select(F.inline("rows"))
 
     pairs = read.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.n")
     counts = pairs.join(words, "token", "left").select("row", "n", F.coalesce("c", F.lit(0)).alias("c"))
     rare = counts.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 0.5)).alias("rare_base"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"))
     out = read.drop("rare").join(rare, "row", "left")
     if not sent:
-        out = out.drop("score").join(routed_scores(numbered, heavy, parts, shards, tokens, distinct, spec), "row")
+        out = out.join(routed_scores(chunks, heavy, tokens, distinct, spec), "row")
     share = F.log10(F.lit(tokens + 0.5 * (distinct + 1)))
     base = F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * share
     return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(tokens).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score")
