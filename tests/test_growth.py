@@ -187,3 +187,59 @@ def test_a_boosting_visit_sorts_bins_as_short_numbers(monkeypatch):
         boosting.add_by_bin(sums, bins, held)
         assert np.array_equal(sums, expected)
     assert seen == [1, 1, 2, 4]
+
+
+def test_a_boosting_visit_adds_whole_columns_some_rows_at_a_time(monkeypatch):
+    """Columns that lie whole in memory are added without a sort, for few and for many bins; a visit works on them."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tillcast.operators import boosting
+
+    rng = np.random.default_rng(4)
+    for size in (1, 2, 16, 17, 256, 70_000):
+        bins, held, sums = rng.integers(0, size, 500), rng.integers(0, 99, (5, 500)).astype(float).T, np.ones((size, 5))
+        expected = sums.copy()
+        np.add.at(expected, bins, held)
+        boosting.add_by_bin(sums, bins, held)
+        assert np.array_equal(sums, expected)
+
+    n, bags, sizes = 5000, 3, (2, 40)
+    label, bits, bins = rng.integers(0, 3, n), rng.integers(0, 8, n), [rng.integers(0, s, n) for s in sizes]
+    shapes, intercept = [rng.normal(size=(bags, s, 3)) for s in sizes], rng.normal(size=(bags, 3))
+    made, seen = [], []
+
+    class Binned:
+        class sparkSession:
+            class sparkContext:
+                @staticmethod
+                def broadcast(value):
+                    return type("Sent", (), {"value": value})
+
+        def mapInArrow(self, work, ddl):
+            batch = pa.RecordBatch.from_arrays([pa.array(c) for c in (label, bits, *bins)], names=list("abcd"))
+            made.extend(work(iter([batch.slice(0, 4000), batch.slice(4000, 0), batch.slice(4000)])))
+            raise StopAsyncIteration
+
+    add = boosting.add_by_bin
+    monkeypatch.setattr(boosting, "add_by_bin", lambda sums, at, held: seen.append((len(at), held.flags.f_contiguous)) or add(sums, at, held))
+    try:
+        boosting._visit(Binned(), shapes, intercept, [0, 1], n)
+    except StopAsyncIteration:
+        pass
+    assert max(k for k, _ in seen) < 4000 and all(whole for _, whole in seen)
+    raw = intercept + sum(s[:, at].transpose(1, 0, 2) for s, at in zip(shapes, bins, strict=True))
+    p = np.exp(raw) / np.exp(raw).sum(axis=2, keepdims=True)
+    own = (bits[:, None] >> np.arange(bags)) & 1
+    gradient = (np.eye(3)[label][:, None] - p) * own[:, :, None]
+    got = {(r["feature"], r["slot"]): r for r in made[0].to_pylist()}
+    for bag in range(bags):
+        for b in range(40):
+            row = got[1, bag * 40 + b]
+            mine = bins[1] == b
+            assert row["v0"] == own[mine, bag].sum() << 30
+            assert [row[f"v{1 + k}"] / 2**30 for k in range(3)] == pytest.approx(gradient[mine, bag].sum(axis=0), abs=1e-8)
+            assert [row[f"v{4 + k}"] / 2**30 for k in range(3)] == pytest.approx((p * (1 - p) * own[:, :, None])[mine, bag].sum(axis=0), abs=1e-8)
+        left = own[:, bag] == 0
+        loss = -np.log(p[np.arange(n), bag, label])[left].sum()
+        assert [got[-1, bag][f"v{k}"] / 2**20 for k in range(2)] == pytest.approx([loss, left.sum()], rel=1e-6)

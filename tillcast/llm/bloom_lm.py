@@ -213,7 +213,7 @@ def by_shard(unique: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[in
     shard = shard_of(unique, shards)
     order = np.argsort(shard, kind="stable")
     present, begins = np.unique(shard[order], return_index=True)
-    return order, list(zip(present.tolist(), begins.tolist(), [*begins.tolist()[1:], len(order)], strict=True))
+    return order, list(zip(present.tolist(), begins.tolist(), [*begins.tolist(), len(order)][1:], strict=True))
 
 
 def shards_for(tokens: int, spec: LmSpec) -> int:

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 _GRID_BITS = 30  # gradients and curvatures lie between -1 and 1; their sums are kept in steps of 2 ** -30, or of more for many rows
 _LEAST_CURVATURE = 1e-9
+_FEW_BINS = 16  # of a flag or the like
+_AT_ONCE = 2048  # rows that a task works on at a time, so that their numbers stay in the processor's cache
 
 
 def bag_bits(row_hash, bags: int, share: float, seed: int):
@@ -45,22 +47,33 @@ def bin_counts(binned: DataFrame, sizes: list[int]) -> list[np.ndarray]:
     return counts
 
 
-def chances(raw: np.ndarray) -> np.ndarray:
-    """Shares of the classes, the last axis. Classes are few, so whole columns are taken one after another."""
-    classes = range(1, raw.shape[-1])
-    top, whole = raw[..., 0].copy(), np.zeros(raw.shape[:-1])
-    for k in classes:
-        np.maximum(top, raw[..., k], out=top)
-    p = np.exp(raw - top[..., None])
-    whole += p[..., 0]
-    for k in classes:
-        whole += p[..., k]
-    p /= whole[..., None]
+def chances(raw: np.ndarray, axis: int = -1) -> np.ndarray:
+    """Shares of the classes, which lie along ``axis``. Classes are few, so one is taken after another."""
+    of = np.moveaxis(raw, axis, 0)
+    top, whole = of[0].copy(), np.zeros(of.shape[1:])
+    for values in of[1:]:
+        np.maximum(top, values, out=top)
+    p = raw - np.expand_dims(top, axis)
+    np.exp(p, out=p)
+    for values in np.moveaxis(p, axis, 0):
+        whole += values
+    p /= np.expand_dims(whole, axis)
     return p
 
 
 def add_by_bin(sums: np.ndarray, bins: np.ndarray, held: np.ndarray) -> None:
-    """Add the rows of ``held`` to the rows of ``sums`` that ``bins`` names. Short whole numbers are sorted by counting."""
+    """Add the rows of ``held`` to the rows of ``sums`` that ``bins`` names.
+
+    Where columns of ``held`` lie whole in memory, one is added after another, as its few sums stay at hand, or all by a product
+    where bins are few. Else rows are sorted by their bins; short whole numbers are sorted by counting.
+    """
+    if held.flags.f_contiguous and not held.flags.c_contiguous:
+        if len(sums) <= _FEW_BINS:
+            sums += (bins == np.arange(len(sums))[:, None]).astype(np.float64) @ held
+            return
+        for k in range(sums.shape[1]):
+            sums[:, k] += np.bincount(bins, weights=held[:, k], minlength=len(sums))
+        return
     short = bins.astype(np.min_scalar_type(len(sums)))
     order = np.argsort(short, kind="stable")
     ordered = short[order]
@@ -82,27 +95,34 @@ def _visit(binned: DataFrame, shapes: list[np.ndarray], intercept: np.ndarray, v
         held_shapes, base = sent.value
         sums = {i: np.zeros((sizes[i], bags * width)) for i in visited}
         left_out = np.zeros((bags, 2))
-        for batch in batches:
-            label, bits, *bins = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+
+        def add(label: np.ndarray, bits: np.ndarray, bins: list[np.ndarray]) -> None:
             n = len(label)
-            if not n:
-                continue
-            own = ((bits[:, None] >> np.arange(bags)) & 1).astype(np.float64)
+            own = ((bits >> np.arange(bags)[:, None]) & 1).astype(np.float64)
             raw = np.tile(base, (n, 1))
             for shape, at in zip(held_shapes, bins, strict=True):
                 raw += shape.take(at, axis=0)
-            raw = raw.reshape(n, bags, classes)
-            p = chances(raw)
-            chosen = p[np.arange(n), :, label]
-            left_out += np.stack([(-np.log(np.maximum(chosen, 1e-300)) * (1 - own)).sum(axis=0), (1 - own).sum(axis=0)], axis=1)
-            held = np.empty((n, bags, width))
-            held[:, :, 0] = own
-            held[:, :, 1 : 1 + classes] = -p * own[:, :, None]
-            held[np.arange(n), :, 1 + label] += own
-            held[:, :, 1 + classes :] = p * (1 - p) * own[:, :, None]
-            held = held.reshape(n, -1)
+            p = chances(np.ascontiguousarray(raw.T).reshape(bags, classes, n), axis=1)
+            chosen = p[:, label, np.arange(n)]
+            out = 1 - own
+            left_out[:, 0] += (-np.log(np.maximum(chosen, 1e-300)) * out).sum(axis=1)
+            left_out[:, 1] += out.sum(axis=1)
+            if not visited:
+                return
+            held = np.empty((bags, width, n))
+            held[:, 0] = own
+            held[:, 1 : 1 + classes] = -p * own[:, None]
+            held[:, 1 + label, np.arange(n)] += own
+            held[:, 1 + classes :] = p * (1 - p) * own[:, None]
+            held = held.reshape(-1, n).T
             for i in visited:
                 add_by_bin(sums[i], bins[i], held)
+
+        for batch in batches:
+            label, bits, *bins = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+            for begin in range(0, len(label), _AT_ONCE):
+                some = slice(begin, begin + _AT_ONCE)
+                add(label[some], bits[some], [at[some] for at in bins])
         rows_out = []
         for i in visited:
             by_slot = sums[i].reshape(sizes[i], bags, width).transpose(1, 0, 2).reshape(-1, width)
