@@ -243,3 +243,23 @@ def test_a_boosting_visit_adds_whole_columns_some_rows_at_a_time(monkeypatch):
         left = own[:, bag] == 0
         loss = -np.log(p[np.arange(n), bag, label])[left].sum()
         assert [got[-1, bag][f"v{k}"] / 2**20 for k in range(2)] == pytest.approx([loss, left.sum()], rel=1e-6)
+
+
+def test_wide_results_are_written_small_unless_the_caller_chose(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from tillcast.session import tune
+
+    rows = spark.range(2000).selectExpr("id", *[f"round(rand({i}) * 1000, 4) AS c{i}" for i in range(8)])
+
+    def codec(session, name):
+        session.createDataFrame(rows.toPandas()).coalesce(1).write.parquet(str(tmp_path / name))
+        (file,) = (tmp_path / name).glob("*.parquet")
+        return pq.ParquetFile(file).metadata.row_group(0).column(1).compression, file.stat().st_size
+
+    free, own = spark.newSession(), spark.newSession()
+    plain = codec(free, "plain")
+    small = codec(tune(free), "small")
+    assert (plain[0], small[0]) == ("SNAPPY", "ZSTD") and small[1] < 0.9 * plain[1]
+    own.conf.set("spark.sql.parquet.compression.codec", "snappy")
+    assert codec(tune(own), "own")[0] == "SNAPPY"

@@ -13,6 +13,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_CODEC_KEY = "spark.sql.parquet.compression.codec"
 
 
 def build_session(app: str = "tillcast", cpus: int | None = None, **conf: str) -> SparkSession:
@@ -59,6 +60,9 @@ def tune(spark: SparkSession) -> SparkSession:
     # The JVM does not compile methods above 8000 bytes. Wide feature projections exceed that as one
     # generated method, and run twice as fast when Spark splits them instead.
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    # Feature tables are wide rows of doubles, of which zstd leaves about two thirds of what snappy does. A caller's choice holds.
+    if spark.conf.get(_CODEC_KEY, None) is None:
+        spark.conf.set(_CODEC_KEY, "zstd")
     return spark
 
 
